@@ -2,9 +2,10 @@
 
 The rules read text cells the way ``int(float(v))`` does: a cell holding a
 finite decimal number is truncated toward zero, anything else is null.
-Truncate-then-compare is the same as comparing the untruncated double against
-half-open ranges, so the rules below never cast to an integer and cannot hit
-ANSI overflow errors.
+Truncation is done by ``width_bucket`` (null-propagating, exact for the
+power-of-two widths used), and the bucket indexes a small label array.  Each input cell appears at
+most twice in an expression, so the rules stay small when Catalyst inlines
+them into pushed-down filters, and whole-stage codegen keeps them.
 """
 
 from __future__ import annotations
@@ -20,9 +21,14 @@ from opinio.schemas import AGE_BANDS, SENTIMENTS
 # optional sign and surrounding white space).  Spark alone would also accept
 # "1d", "0x1p3", "nan" and "inf"; the pattern and the finiteness test reject them.
 NUMBER_PATTERN = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+# The same pattern with the number itself as group 1 (for regexp_extract).
+_NUMBER_GROUP = r"^\s*([+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?)\s*$"
 
 _INF = float("inf")
 
+# Band lower bounds, in AGE_BANDS order; ages below the first have no band.
+_BAND_STARTS = (18, 30, 45, 60)
+
 
 def _as_col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -32,44 +38,72 @@ def num(c: Column | str) -> Column:
     """Lenient numeric reading of a text cell (F2, before truncation).
 
     Returns a finite double, or null for null, junk, NaN and infinities.
+    The input is referenced twice at most, so rules built on top stay small
+    even after the optimizer inlines them into pushed-down filters.
     """
-    text = _as_col(c).cast("string")
-    parsed = F.when(text.rlike(NUMBER_PATTERN), text.try_cast("double"))
-    return F.when((parsed > -_INF) & (parsed < _INF), parsed)
+    parsed = F.regexp_extract(_as_col(c).cast("string"), _NUMBER_GROUP, 1).try_cast("double")
+    return F.when(F.abs(parsed) < F.lit(_INF), parsed)
 
 
 def lenient_int(c: Column | str) -> Column:
     """``int(float(v))`` as a bigint; null when unreadable or out of range."""
     n = num(c)
-    in_range = (n > -9.2e18) & (n < 9.2e18)
-    return F.when(in_range, F.when(n >= 0, F.floor(n)).otherwise(F.ceil(n))).cast("bigint")
+    return F.when(F.abs(n) < F.lit(9.2e18), F.when(n >= 0, F.floor(n)).otherwise(F.ceil(n))).cast("bigint")
+
+
+# Truncated ages are read through ``width_bucket(n, 0, 64, 64)``: bucket
+# ``k = floor(n) + 1`` for ``0 <= n < 64`` (exact: 64 is a power of two),
+# ``0`` below, ``65`` above; null stays null.  One reference to the input.
+_AGE_SPAN = 64
+
+
+def _band_labels() -> list[str]:
+    """Label of every age bucket ``0 .. 65`` (null below the first band start)."""
+    labels: list[str | None] = []
+    for bucket in range(_AGE_SPAN + 2):
+        if bucket == 0:
+            labels.append(None)
+            continue
+        age = bucket - 1  # truncated age; the last bucket means "64 or more"
+        hits = [i for i, start in enumerate(_BAND_STARTS) if age >= start]
+        labels.append(AGE_BANDS[max(hits)] if hits else None)
+    return labels
+
+
+def _sentiment_labels() -> list[str]:
+    """Labels indexed by ``rating_bucket * 3 + recommended_bucket``.
+
+    rating_bucket = width_bucket(r, 0, 4, 4): 4 = truncated rating 3, 5 = "4 or
+    more"; recommended_bucket = width_bucket(c, 1, 2, 1): 1 = truncated value 1.
+    """
+    positivo, neutro, negativo = SENTIMENTS
+    return [
+        positivo if rb == 5 and cb == 1 else neutro if rb == 4 else negativo
+        for rb in range(6)
+        for cb in range(3)
+    ]
+
+
+def _array_lit(values: list[str | None]) -> Column:
+    return F.array(*[F.lit(v).cast("string") for v in values])
 
 
 def age_band(age: Column | str) -> Column:
     """18-29 Jovem, 30-44 Adulto, 45-59 Madura, 60+ Sênior, else null."""
-    n = num(age)
-    jovem, adulto, madura, senior = AGE_BANDS
-    return (
-        F.when((n >= 18) & (n < 30), F.lit(jovem))
-        .when((n >= 30) & (n < 45), F.lit(adulto))
-        .when((n >= 45) & (n < 60), F.lit(madura))
-        .when(n >= 60, F.lit(senior))
-    )
+    bucket = F.width_bucket(num(age), F.lit(0.0), F.lit(float(_AGE_SPAN)), F.lit(_AGE_SPAN))
+    return F.get(_array_lit(_band_labels()), bucket.cast("int"))
 
 
 def sentiment(rating: Column | str, recommended_ind: Column | str) -> Column:
     """rating>=4 and recommended==1 Positivo; rating==3 Neutro; else Negativo.
 
-    Never null: unreadable inputs fall through to Negativo.
+    Never null: an unreadable rating falls through to Negativo, an unreadable
+    recommendation counts as "not 1".
     """
-    r = num(rating)
-    rec = num(recommended_ind)
-    positivo, neutro, negativo = SENTIMENTS
-    return (
-        F.when((r >= 4) & (rec >= 1) & (rec < 2), F.lit(positivo))
-        .when((r >= 3) & (r < 4), F.lit(neutro))
-        .otherwise(F.lit(negativo))
-    )
+    rb = F.width_bucket(num(rating), F.lit(0.0), F.lit(4.0), F.lit(4))
+    cb = F.coalesce(F.width_bucket(num(recommended_ind), F.lit(1.0), F.lit(2.0), F.lit(1)), F.lit(0))
+    key = (rb * F.lit(3) + cb).cast("int")
+    return F.coalesce(F.get(_array_lit(_sentiment_labels()), key), F.lit(SENTIMENTS[2]))
 
 
 def snake_case(name: str) -> str:
@@ -87,44 +121,35 @@ def snake_case_col(c: Column | str) -> Column:
 def register_sql_functions(spark: SparkSession) -> None:
     """``age_band(age)`` and ``sentiment(rating, recommended_ind)`` for SQL.
 
-    Registered as SQL functions, so they inline into the plan like any other
-    expression instead of running in a Python worker.
+    Registered as SQL functions (same expressions as the Column builders), so
+    they inline into the plan instead of running in a Python worker.
     """
-    jovem, adulto, madura, senior = AGE_BANDS
-    positivo, neutro, negativo = SENTIMENTS
-    pattern = NUMBER_PATTERN.replace("\\", "\\\\")
+    group = _NUMBER_GROUP.replace("\\", "\\\\")
+    bands = ", ".join("NULL" if x is None else f"'{x}'" for x in _band_labels())
+    sents = ", ".join(f"'{x}'" for x in _sentiment_labels())
     spark.sql(
         f"""
         CREATE OR REPLACE TEMPORARY FUNCTION lenient_number(x STRING)
         RETURNS DOUBLE
-        RETURN CASE WHEN x RLIKE '{pattern}'
-                     AND try_cast(x AS DOUBLE) > double('-Infinity')
-                     AND try_cast(x AS DOUBLE) < double('Infinity')
-                    THEN try_cast(x AS DOUBLE) END
+        RETURN CASE WHEN abs(try_cast(regexp_extract(x, '{group}', 1) AS DOUBLE)) < double('Infinity')
+                    THEN try_cast(regexp_extract(x, '{group}', 1) AS DOUBLE) END
         """
     )
     spark.sql(
         f"""
         CREATE OR REPLACE TEMPORARY FUNCTION age_band(age STRING)
         RETURNS STRING
-        RETURN CASE
-            WHEN lenient_number(age) >= 18 AND lenient_number(age) < 30 THEN '{jovem}'
-            WHEN lenient_number(age) >= 30 AND lenient_number(age) < 45 THEN '{adulto}'
-            WHEN lenient_number(age) >= 45 AND lenient_number(age) < 60 THEN '{madura}'
-            WHEN lenient_number(age) >= 60 THEN '{senior}'
-        END
+        RETURN get(array({bands}),
+                   CAST(width_bucket(lenient_number(age), 0.0, {float(_AGE_SPAN)}, {_AGE_SPAN}) AS INT))
         """
     )
     spark.sql(
         f"""
         CREATE OR REPLACE TEMPORARY FUNCTION sentiment(rating STRING, recommended_ind STRING)
         RETURNS STRING
-        RETURN CASE
-            WHEN lenient_number(rating) >= 4
-                 AND lenient_number(recommended_ind) >= 1
-                 AND lenient_number(recommended_ind) < 2 THEN '{positivo}'
-            WHEN lenient_number(rating) >= 3 AND lenient_number(rating) < 4 THEN '{neutro}'
-            ELSE '{negativo}'
-        END
+        RETURN coalesce(get(array({sents}),
+            CAST(width_bucket(lenient_number(rating), 0.0, 4.0, 4) * 3
+                 + coalesce(width_bucket(lenient_number(recommended_ind), 1.0, 2.0, 1), 0) AS INT)),
+            '{SENTIMENTS[2]}')
         """
     )
