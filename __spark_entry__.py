@@ -157,6 +157,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "emptied_day_overwrite": lambda s, d: product_scan(s, _lake(s, d, "emptied_after").table).select(
             *PRODUCT_ORDER
         ),
+        # incremental runs over newly landed days (Structured Streaming, availableNow)
+        "incremental_product": lambda s, d: product_scan(s, scenarios.stream_run(s, d).product).select(
+            *PRODUCT_ORDER
+        ),
         "backfill_log": lambda s, d: _lake(s, d, "emptied").result.log.select("dt", "status", "error"),
         "run_summary": lambda s, d: run_summary(_lake(s, d, "emptied").result.log).drop("duration_s"),
     }

@@ -250,6 +250,7 @@ def queries_sql() -> dict[str, str]:
     q["product_round_trip"] = q["daily_product"]
     q["idempotent_rerun"] = q["daily_product"]
     q["registered_table"] = q["daily_product"]
+    q["incremental_product"] = q["daily_product"]
     q["partition_sync"] = with_product(
         "SELECT DISTINCT 'dt=' || CAST(dt AS VARCHAR) AS partition FROM product ORDER BY partition"
     )

@@ -1,0 +1 @@
+"""Incremental processing of newly landed raw days (Structured Streaming)."""
