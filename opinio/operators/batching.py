@@ -56,7 +56,7 @@ def with_row_index(
     splits = [float("-inf")] + sorted({c for c in cuts if c == c}) + [float("inf")]
     ranged = Bucketizer(
         splits=splits, inputCol=_KEY, outputCol=_RANGE, handleInvalid="keep"
-    ).transform(keyed)
+    ).transform(keyed).withColumn(_RANGE, F.col(_RANGE).cast("int"))
 
     counts = ranged.groupBy(_RANGE).agg(F.count(F.lit(1)).alias("_n"))
     # One row per range: the window below sees at most len(splits) rows.

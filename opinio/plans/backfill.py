@@ -49,11 +49,14 @@ def _days_frame(spark: SparkSession, days: list[str]) -> DataFrame:
 
 def run_days(spark: SparkSession, lake: Lake, days: list[str], table: str | None = None) -> DataFrame:
     """Clean and aggregate ``days`` as two jobs; returns ``(dt, row_count)`` per day."""
-    wanted = F.col("dt").isin([F.to_date(F.lit(d)) for d in days]) if days else F.lit(False)
-    raw = raw_scan(spark, lake.raw).where(wanted)
+    if not days:
+        return spark.createDataFrame([], "dt date, row_count bigint")
+    # Only the selected day folders are listed and read (no whole-lake listing).
+    raw = raw_scan(spark, lake.raw, days=days)
     write_days_parquet(clean(raw), lake.trusted, days)
-    trusted = trusted_scan(spark, lake.trusted).where(wanted)
+    trusted = trusted_scan(spark, lake.trusted, days=days)
     write_days_parquet(product(trusted), lake.product, days, repartition_by_day=True)
+    wanted = F.col("dt").isin([F.to_date(F.lit(d)) for d in days])
     if table:
         sync_partitions(spark, table)
     prod = product_scan(spark, table or lake.product).where(wanted)
