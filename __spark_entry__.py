@@ -86,6 +86,30 @@ def _ingest_rerun_rows(spark, d):
     return raw_scan(spark, run.root).select("doc_id", "text", "lang", "source", "n_chars", "dt", "batch")
 
 
+def _report_json(spark, d):
+    from opinio.plans.report import run_quality_report
+
+    path = scratch_path(spark, "report") + "/validation_report"
+    run_quality_report(
+        spark,
+        lambda: _product(spark, d),
+        path,
+        expected_partitions=_raw_day_count(spark, d),
+        expected_min_dt=_raw_first_day(spark, d),
+    )
+    checks = spark.read.json(path).select(F.explode("checks").alias("c")).select("c.*")
+    return checks.select(F.col("check_id").cast("int").alias("check_id"), "name", "status", "expected", "actual", "detail")
+
+
+def _runlog_round_trip(spark, d):
+    from opinio.sources.files import CSV_READ_OPTIONS
+    from opinio.sources.sinks import write_runlog
+
+    path = scratch_path(spark, "runlog") + "/simulation_log"
+    write_runlog(_lake(spark, d, "emptied").result.log, path)
+    return spark.read.options(**CSV_READ_OPTIONS).csv(path).select("dt", "status", "error")
+
+
 def _lake(spark, d, variant="full"):
     return scenarios.lake_run(spark, d, variant)
 
@@ -132,6 +156,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         # report (D6, A17, U1)
         "quality_report": _checks,
         "quality_summary": lambda s, d: quality.quality_summary(_checks(s, d)),
+        "quality_report_json": _report_json,
         # counts (A13, A14)
         "partition_counts": lambda s, d: quality.partition_counts(_product(s, d), _raw_days(s, d)),
         "table_count": lambda s, d: quality.table_count(_product(s, d)),
@@ -141,6 +166,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         ),
         "batch_summary": lambda s, d: batch_summary(_batches(s, d), "doc_id"),
         "ingest_missing_batches": _missing_before_first_ingest,
+        "ingest_first_summary": lambda s, d: scenarios.ingest_twice(s, d).first.summary,
         "ingest_summary": lambda s, d: scenarios.ingest_twice(s, d).second.summary,
         "ingest_rerun_rows": _ingest_rerun_rows,
         # files, layers and catalog
@@ -162,6 +188,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             *PRODUCT_ORDER
         ),
         "backfill_log": lambda s, d: _lake(s, d, "emptied").result.log.select("dt", "status", "error"),
+        "runlog_round_trip": _runlog_round_trip,
         "run_summary": lambda s, d: run_summary(_lake(s, d, "emptied").result.log).drop("duration_s"),
     }
     return q

@@ -215,6 +215,7 @@ def queries_sql() -> dict[str, str]:
         "CASE WHEN count(*) FILTER (WHERE status <> 'PASS') = 0 THEN 'PASS' ELSE 'FAIL' END AS overall "
         "FROM checks"
     )
+    q["quality_report_json"] = q["quality_report"]
     q["partition_counts"] = (
         f"WITH {REVIEWS_CTE},{TRUSTED_CTE},{PRODUCT_CTE},{DAYS_CTE}\n"
         "SELECT d.dt, coalesce(c.row_count, 0) AS row_count FROM days d "
@@ -234,6 +235,10 @@ def queries_sql() -> dict[str, str]:
         f"WITH {batches}\nSELECT CAST(0 AS BIGINT) AS sent, count(DISTINCT batch) AS ignored, "
         "CAST(0 AS BIGINT) AS errors, count(DISTINCT batch) AS total FROM batches"
     )
+    q["ingest_first_summary"] = (
+        f"WITH {batches}\nSELECT count(DISTINCT batch) AS sent, CAST(0 AS BIGINT) AS ignored, "
+        "CAST(0 AS BIGINT) AS errors, count(DISTINCT batch) AS total FROM batches"
+    )
     q["ingest_rerun_rows"] = (
         f"WITH {batches}\nSELECT CAST(doc_id AS VARCHAR) AS doc_id, nullif(text, '') AS text, lang, source, "
         "CAST(n_chars AS VARCHAR) AS n_chars, dt, batch FROM batches"
@@ -267,6 +272,12 @@ def queries_sql() -> dict[str, str]:
         f"CASE WHEN dt = {_first_day} THEN 'EmptyPartition | no product rows for dt=' || CAST(dt AS VARCHAR) "
         "ELSE '' END AS error FROM days"
     )
+    q["runlog_round_trip"] = (
+        f"WITH {DAYS_CTE}\nSELECT CAST(dt AS VARCHAR) AS dt, "
+        f"CASE WHEN dt = {_first_day} THEN 'FAILED' ELSE 'SUCCEEDED' END AS status, "
+        f"CASE WHEN dt = {_first_day} THEN 'EmptyPartition | no product rows for dt=' || CAST(dt AS VARCHAR) "
+        "END AS error FROM days"
+    )
     q["run_summary"] = (
         f"WITH {DAYS_CTE}\nSELECT count(*) - 1 AS successes, CAST(1 AS BIGINT) AS failures, "
         "count(*) AS total, 1 AS exit_code FROM days"
