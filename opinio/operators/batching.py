@@ -113,3 +113,27 @@ def batch_summary(batches: DataFrame, order_col: str) -> DataFrame:
         )
         .orderBy("batch_index")
     )
+
+
+def with_file_order(df: DataFrame, key_col: str = "file_order") -> DataFrame:
+    """A numeric key that follows file order: source file, then row in file.
+
+    For CSV sources read with ``multiLine`` each file is one unsplittable
+    split, so ``monotonically_increasing_id()`` grows along the rows of a file
+    (its low 33 bits are the position inside the read task, stable on
+    re-execution).  Files are ranked by path; the rank is computed over the
+    distinct file names only (one row per file, never per row).
+    """
+    spark = df.sparkSession
+    tagged = df.withColumn("_opinio_file", F.input_file_name()).withColumn(
+        "_opinio_pos", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    )
+    files = tagged.select("_opinio_file").distinct()
+    ranks = files.select(
+        "_opinio_file", (F.dense_rank().over(Window.orderBy("_opinio_file")) - 1).alias("_opinio_rank")
+    )
+    return (
+        tagged.join(F.broadcast(ranks), "_opinio_file")
+        .withColumn(key_col, F.shiftleft(F.col("_opinio_rank").cast("bigint"), 33) + F.col("_opinio_pos"))
+        .drop("_opinio_file", "_opinio_pos", "_opinio_rank")
+    )

@@ -13,10 +13,12 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from opinio.operators.batching import assign_batches, batch_keys
+from pyspark.errors import AnalysisException
+
+from opinio.operators.batching import assign_batches, batch_keys, with_file_order
 from opinio.operators.ingest import BATCH_KEY, missing_batches
 from opinio.schemas import DEFAULT_BATCH_SIZE, DEFAULT_START_DATE
-from opinio.sources.files import list_batches
+from opinio.sources.files import list_batches, source_scan
 from opinio.sources.sinks import write_raw_days_csv
 
 
@@ -51,6 +53,7 @@ def ingest(
     order_cols: str | list[str],
     start_date: str | _dt.date = DEFAULT_START_DATE,
     batch_size: int = DEFAULT_BATCH_SIZE,
+    helper_cols: tuple[str, ...] = (),
 ) -> IngestResult:
     """Write the missing batches; summary ``sent, ignored, errors, total``.
 
@@ -61,7 +64,7 @@ def ingest(
     # Both counts are taken before the write, so the summary describes this run.
     total = candidates.count()
     n_missing = missing.count()
-    payload = to_write.drop("row_index", "batch_index")
+    payload = to_write.drop("row_index", "batch_index", *helper_cols)
     errors = 0
     if n_missing:
         try:
@@ -74,3 +77,22 @@ def ingest(
         "sent bigint, ignored bigint, errors bigint, total bigint",
     )
     return IngestResult(summary, 1 if errors else 0)
+
+
+def ingest_csv(
+    spark: SparkSession,
+    csv_path: str,
+    raw_root: str,
+    start_date: str | _dt.date = DEFAULT_START_DATE,
+    batch_size: int = DEFAULT_BATCH_SIZE,
+) -> IngestResult:
+    """D4 from a CSV source in file order; exit code 2 when the source is missing."""
+    try:
+        source = source_scan(spark, csv_path)
+    except AnalysisException as exc:
+        if "PATH_NOT_FOUND" in str(exc) or "Path does not exist" in str(exc):
+            empty = spark.createDataFrame([], "sent bigint, ignored bigint, errors bigint, total bigint")
+            return IngestResult(empty, 2)
+        raise
+    ordered = with_file_order(source, "_file_order")
+    return ingest(spark, ordered, raw_root, "_file_order", start_date, batch_size, helper_cols=("_file_order",))

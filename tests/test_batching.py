@@ -44,3 +44,23 @@ def test_ingest_rerun_writes_nothing(spark, workdir):
     back = raw_scan(spark, root)
     assert back.count() == 1234
     assert back.where(F.col("text") != F.concat(F.lit('t "q",\n'), F.col("k"))).count() == 0
+
+
+def test_ingest_csv_follows_file_order(spark, workdir):
+    from opinio.plans.ingest import ingest_csv
+
+    # Keys deliberately out of order inside the file: file order must win.
+    keys = [(i * 37) % 250 for i in range(250)]
+    src = spark.createDataFrame([(str(k), f"text {k}") for k in keys], "`Clothing ID` string, `Review Text` string")
+    csv_dir = workdir + "/source_csv"
+    src.coalesce(1).write.options(header=True, escape='"').csv(csv_dir)
+    res = ingest_csv(spark, csv_dir, workdir + "/raw", "2024-03-10", 100)
+    assert res.exit_code == 0
+    assert res.summary.first().asDict() == {"sent": 3, "ignored": 0, "errors": 0, "total": 3}
+    back = raw_scan(spark, workdir + "/raw")
+    assert "_file_order" not in back.columns
+    first_batch = {r["Clothing ID"] for r in back.where(F.col("batch") == "batch_001").collect()}
+    assert first_batch == {str(k) for k in keys[:100]}
+    assert {r.dt.isoformat() for r in back.select("dt").distinct().collect()} == {"2024-03-10", "2024-03-11", "2024-03-12"}
+    missing = ingest_csv(spark, workdir + "/no_such.csv", workdir + "/raw2")
+    assert missing.exit_code == 2
