@@ -110,6 +110,24 @@ def _runlog_round_trip(spark, d):
     return spark.read.options(**CSV_READ_OPTIONS).csv(path).select("dt", "status", "error")
 
 
+def _sql_functions(spark, d):
+    from opinio.functions.rules import register_sql_functions
+
+    register_sql_functions(spark)
+    _reviews(spark, d).createOrReplaceTempView("opinio_reviews")
+    return spark.sql(
+        "SELECT clothing_id, age_band(age) AS age_band, "
+        "sentiment(rating, recommended_ind) AS sentiment FROM opinio_reviews"
+    )
+
+
+def _saved_view_sql(spark, d):
+    from opinio.sources.catalog import register_views
+
+    register_views(spark.table(_lake(spark, d).table))
+    return spark.sql("SELECT age_band, sentiment, total_reviews, media_nota FROM vw_sentiment_by_age")
+
+
 def _lake(spark, d, variant="full"):
     return scenarios.lake_run(spark, d, variant)
 
@@ -135,6 +153,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             "clothing_id", "age", num("age").alias("age_number"), lenient_int("age").alias("age_int")
         ),
         # product (A1-A3, P3, P6, P7, P8)
+        "sql_functions": _sql_functions,
         "daily_product": lambda s, d: _product(s, d).select(*PRODUCT_ORDER),
         "product_for_day": lambda s, d: dt_equals(_product(s, d), "2024-01-15").drop("dt"),
         "product_from_day": lambda s, d: dt_from(_product(s, d), "2024-01-20").select(*PRODUCT_ORDER),
@@ -174,9 +193,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             "Clothing ID", "Age", "Review Text", "Rating", "Recommended IND", "Department Name", "dt"
         ),
         "list_partitions": lambda s, d: list_partitions(s, _lake(s, d).lake.raw),
+        "trusted_for_day": lambda s, d: trusted_scan(s, _lake(s, d).lake.trusted, "2024-01-15").select(
+            *[c for c in TRUSTED_ORDER if c != "dt"]
+        ),
         "trusted_round_trip": lambda s, d: trusted_scan(s, _lake(s, d).lake.trusted).select(*TRUSTED_ORDER),
         "product_round_trip": lambda s, d: product_scan(s, _lake(s, d).lake.product).select(*PRODUCT_ORDER),
         "idempotent_rerun": _idempotent,
+        "saved_view_sql": _saved_view_sql,
         "registered_table": lambda s, d: s.table(_lake(s, d).table).select(*PRODUCT_ORDER),
         "partition_sync": lambda s, d: sync_partitions(s, _lake(s, d).table),
         "schema_contract": lambda s, d: schema_contract(s, s.table(_lake(s, d).table).schema),

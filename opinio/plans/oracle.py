@@ -177,6 +177,10 @@ def queries_sql() -> dict[str, str]:
         f"WITH {REVIEWS_CTE}\nSELECT clothing_id, age, {num('age')} AS age_number, "
         f"{lenient_int('age')} AS age_int FROM reviews"
     )
+    q["sql_functions"] = (
+        f"WITH {REVIEWS_CTE}\nSELECT clothing_id, {age_band('age')} AS age_band, "
+        f"{sentiment('rating', 'recommended_ind')} AS sentiment FROM reviews"
+    )
     q["daily_product"] = with_product(f"SELECT {PRODUCT_COLS} FROM product")
     q["product_for_day"] = with_product(
         "SELECT age_band, department_name, sentiment, review_count, avg_rating FROM product "
@@ -253,6 +257,11 @@ def queries_sql() -> dict[str, str]:
     # The CSV layer reads empty text cells back as null; the blank filter drops them either way.
     q["trusted_round_trip"] = q["clean_reviews"]
     q["product_round_trip"] = q["daily_product"]
+    q["trusted_for_day"] = (
+        f"WITH {REVIEWS_CTE},{TRUSTED_CTE}\nSELECT clothing_id, age, review_text, rating, recommended_ind, "
+        "department_name, age_band FROM trusted WHERE dt = DATE '2024-01-15'"
+    )
+    q["saved_view_sql"] = q["vw_sentiment_by_age"]
     q["idempotent_rerun"] = q["daily_product"]
     q["registered_table"] = q["daily_product"]
     q["incremental_product"] = q["daily_product"]
