@@ -4,8 +4,8 @@
 into one task.  Instead:
 
 1. approximate quantiles of the order key cut it into ranges of similar size
-   (one pass over a single pruned column; the cut points are bounded by the
-   number of ranges);
+   (one pass over a single pruned column, which also yields the row count;
+   the cut points are bounded by the number of ranges);
 2. each row's range id is a pure function of its key (JVM binary search), so a
    recomputed task always lands its rows in the same range;
 3. per-range row counts (one row per range, map-side combined) give each
@@ -39,21 +39,35 @@ def _range_count(df: DataFrame, num_ranges: int | None) -> int:
     return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
+def order_stats(df: DataFrame, lead: str, num_ranges: int | None = None) -> tuple[int, list[float]]:
+    """Row count and range cut points of ``lead`` in one pass over that column.
+
+    The cut list has ``ranges - 1`` entries (bounded by the shuffle width).
+    """
+    n_ranges = _range_count(df, num_ranges)
+    probs = [i / n_ranges for i in range(1, n_ranges)]
+    key = F.col(lead).cast("double")
+    aggs = [F.count(F.lit(1)).alias("n")]
+    if probs:
+        aggs.append(F.percentile_approx(key, probs, max(10_000, 4 * n_ranges)).alias("cuts"))
+    row = df.agg(*aggs).first()
+    cuts = list(row["cuts"] or []) if probs else []
+    return int(row["n"]), sorted({c for c in cuts if c is not None and c == c})
+
+
 def with_row_index(
     df: DataFrame,
     order_cols: str | list[str],
     index_col: str = "row_index",
     num_ranges: int | None = None,
+    stats: tuple[int, list[float]] | None = None,
 ) -> DataFrame:
     """Append a 0-based dense global row index following ``order_cols``."""
     cols = [order_cols] if isinstance(order_cols, str) else list(order_cols)
     lead = cols[0]
-    n_ranges = _range_count(df, num_ranges)
-
+    _, cuts = stats if stats is not None else order_stats(df, lead, num_ranges)
+    splits = [float("-inf")] + cuts + [float("inf")]
     keyed = df.withColumn(_KEY, F.col(lead).cast("double"))
-    probs = [i / n_ranges for i in range(1, n_ranges)]
-    cuts = keyed.approxQuantile(_KEY, probs, 1.0 / (4 * n_ranges)) if probs else []
-    splits = [float("-inf")] + sorted({c for c in cuts if c == c}) + [float("inf")]
     ranged = Bucketizer(
         splits=splits, inputCol=_KEY, outputCol=_RANGE, handleInvalid="keep"
     ).transform(keyed).withColumn(_RANGE, F.col(_RANGE).cast("int"))
@@ -78,12 +92,13 @@ def assign_batches(
     batch_size: int = DEFAULT_BATCH_SIZE,
     start_date: str | _dt.date = DEFAULT_START_DATE,
     num_ranges: int | None = None,
+    stats: tuple[int, list[float]] | None = None,
 ) -> DataFrame:
     """Row i -> ``batch_index = i // size``, ``dt = start + batch_index``,
     ``batch = batch_{index+1:03d}``."""
     if batch_size <= 0:
         raise ValueError("batch_size must be positive")
-    indexed = with_row_index(df, order_cols, "row_index", num_ranges)
+    indexed = with_row_index(df, order_cols, "row_index", num_ranges, stats)
     idx = F.floor(F.col("row_index") / F.lit(batch_size)).cast("bigint")
     return (
         indexed.withColumn("batch_index", idx)

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.errors import AnalysisException
 
-from opinio.operators.batching import assign_batches, batch_keys, with_file_order
+from opinio.operators.batching import assign_batches, batch_keys, order_stats, with_file_order
 from opinio.operators.ingest import BATCH_KEY, missing_batches
 from opinio.schemas import DEFAULT_BATCH_SIZE, DEFAULT_START_DATE
 from opinio.sources.files import list_batches, source_scan
@@ -37,11 +37,12 @@ def plan_ingest(
     batch_size: int = DEFAULT_BATCH_SIZE,
 ):
     """Candidate keys, missing keys and the rows still to write."""
-    n_rows = source.count()
-    candidates = batch_keys(spark, n_rows, batch_size, start_date)
+    lead = order_cols if isinstance(order_cols, str) else order_cols[0]
+    stats = order_stats(source, lead)  # row count and range cuts, one pass
+    candidates = batch_keys(spark, stats[0], batch_size, start_date)
     existing = list_batches(spark, raw_root)
     missing = missing_batches(candidates, existing)
-    rows = assign_batches(source, order_cols, batch_size, start_date)
+    rows = assign_batches(source, order_cols, batch_size, start_date, stats=stats)
     to_write = rows.join(missing, BATCH_KEY, "left_semi")
     return candidates, missing, to_write
 
