@@ -10,13 +10,14 @@ others.
 
 from __future__ import annotations
 
+import datetime as _dt
 import time
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opinio.functions.dates import iso
+from opinio.functions.dates import coalesce_text, elapsed_seconds, iso
 from opinio.operators.aggregate import product
 from opinio.operators.clean import clean
 from opinio.operators.quality import EmptyPartition, partition_counts
@@ -78,16 +79,13 @@ def backfill(
     days = [r["dt"] for r in select_days(spark, lake, start_from).collect()]
     if dry_run or not days:
         return BackfillResult(days, None, 0)
-    started = time.monotonic()
+    started = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
     try:
         counts = run_days(spark, lake, days, table)
-        rows = {r["dt"].isoformat(): r["row_count"] for r in counts.collect()}
-        share = round(max(0.0, time.monotonic() - started) / len(days), 1)
-        records = [
-            (d, "SUCCEEDED", share, "") if rows.get(d, 0) > 0
-            else (d, "FAILED", share, f"EmptyPartition | no product rows for dt={d}")
-            for d in days
-        ]
+        stopped = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+        # The log records this run: its rows (one per day) are fixed now, not
+        # re-derived later from a product that later runs may change.
+        log = spark.createDataFrame(status_log(counts, started, stopped, len(days)).collect(), RUNLOG_SCHEMA)
     except Exception:  # fall back to day-by-day so one bad day fails alone
         records = []
         for d in days:
@@ -100,9 +98,29 @@ def backfill(
             except Exception as exc:
                 status, error = "FAILED", f"{type(exc).__name__} | {str(exc)[:300]}"
             records.append((d, status, round(max(0.0, time.monotonic() - t0), 1), error))
-    log = spark.createDataFrame(records, RUNLOG_SCHEMA)
-    exit_code = 1 if any(r[1] != "SUCCEEDED" for r in records) else 0
-    return BackfillResult(days, log, exit_code)
+        log = spark.createDataFrame(records, RUNLOG_SCHEMA)
+    failed = log.where(F.col("status") != "SUCCEEDED").count()
+    return BackfillResult(days, log, 1 if failed else 0)
+
+
+def status_log(counts: DataFrame, started: _dt.datetime, stopped: _dt.datetime, n_days: int) -> DataFrame:
+    """Run log rows ``dt, status, duration_s, error`` from per-day product counts.
+
+    A day with rows SUCCEEDED; a day without rows FAILED with ``EmptyPartition``.
+    The days ran as one job, so each carries an equal share of its elapsed time.
+    """
+    ok = F.col("row_count") > 0
+    dt_text = F.col("dt").cast("string")
+    share = elapsed_seconds(F.lit(started), F.lit(stopped)) / F.lit(max(n_days, 1))
+    error = F.when(
+        ok, F.lit("")
+    ).otherwise(coalesce_text(F.lit("EmptyPartition"), F.concat(F.lit("no product rows for dt="), dt_text)))
+    return counts.select(
+        dt_text.alias("dt"),
+        F.when(ok, F.lit("SUCCEEDED")).otherwise(F.lit("FAILED")).alias("status"),
+        F.round(share, 1).alias("duration_s"),
+        error.alias("error"),
+    )
 
 
 def run_summary(log: DataFrame) -> DataFrame:

@@ -160,3 +160,22 @@ def test_t8_t10_views_mean_of_means_and_bigint(spark):
 def test_t13_label_order(spark):
     p = derived.event_product(spark, SF01)
     assert [r[0] for r in quality.distinct_sorted(p, "age_band").collect()] == ["Adulto", "Jovem", "Madura", "Sênior"]
+
+
+def test_t2_unreadable_rating_counts_but_not_in_mean(spark):
+    from opinio.operators.aggregate import product
+
+    rows = [("x", "25", "4", "1", "D"), ("x", "25", "junk", "1", "D"), ("x", "25", "2", "0", "D")]
+    df = spark.createDataFrame(rows, "review_text string, age string, rating string, recommended_ind string, department_name string")
+    got = {r.sentiment: (r.review_count, r.avg_rating) for r in product(clean(df)).collect()}
+    assert got == {"Positivo": (1, 4.0), "Negativo": (2, 2.0)}
+    only_junk = spark.createDataFrame([("x", "25", "?", "1", "D")], df.schema)
+    assert product(clean(only_junk)).first().avg_rating is None
+
+
+def test_normalize_prefix():
+    from opinio.sources.files import normalize_prefix
+
+    assert normalize_prefix(" /reviews ") == "reviews/"
+    assert normalize_prefix("reviews/") == "reviews/"
+    assert normalize_prefix("") == ""
