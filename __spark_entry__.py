@@ -155,6 +155,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         # product (A1-A3, P3, P6, P7, P8)
         "sql_functions": _sql_functions,
         "daily_product": lambda s, d: _product(s, d).select(*PRODUCT_ORDER),
+        "lineitem_product": lambda s, d: derived.lineitem_product(s, d).select(*PRODUCT_ORDER),
         "product_for_day": lambda s, d: dt_equals(_product(s, d), "2024-01-15").drop("dt"),
         "product_from_day": lambda s, d: dt_from(_product(s, d), "2024-01-20").select(*PRODUCT_ORDER),
         # saved views

@@ -47,23 +47,37 @@ def lenient_int(x: str) -> str:
     return f"(CASE WHEN {n} > -9.2e18 AND {n} < 9.2e18 THEN CAST(trunc({n}) AS BIGINT) END)"
 
 
-# Reviews derived from ``events`` (snake_case names, as after P1).
-REVIEWS_CTE = """
+def _reviews_cte(table: str, rid: str, age_base: str, text: str, rating_src: str, dept: str, day: str) -> str:
+    return f"""
 reviews AS (
   SELECT
-    CAST(event_id AS VARCHAR) AS clothing_id,
-    CASE WHEN event_id % 97 = 0 THEN 'abc'
-         WHEN event_id % 89 = 0 THEN NULL
-         WHEN event_id % 7 = 0 THEN CAST(10 + user_id % 60 AS VARCHAR) || '.9'
-         ELSE CAST(10 + user_id % 60 AS VARCHAR) END AS age,
-    CASE WHEN event_id % 10 = 0 THEN '' WHEN event_id % 10 = 5 THEN '   ' ELSE props END AS review_text,
-    CAST(1 + CAST(floor(value) AS INTEGER) % 5 AS VARCHAR) AS rating,
-    CASE WHEN event_id % 3 = 0 THEN '0' ELSE '1' END AS recommended_ind,
-    CASE WHEN event_id % 53 = 0 THEN NULL ELSE event_type END AS department_name,
-    CAST(ts AS DATE) AS dt
-  FROM events
+    CAST({rid} AS VARCHAR) AS clothing_id,
+    CASE WHEN {rid} % 97 = 0 THEN 'abc'
+         WHEN {rid} % 89 = 0 THEN NULL
+         WHEN {rid} % 7 = 0 THEN CAST(10 + {age_base} % 60 AS VARCHAR) || '.9'
+         ELSE CAST(10 + {age_base} % 60 AS VARCHAR) END AS age,
+    CASE WHEN {rid} % 10 = 0 THEN '' WHEN {rid} % 10 = 5 THEN '   ' ELSE {text} END AS review_text,
+    CAST(1 + CAST(floor({rating_src}) AS INTEGER) % 5 AS VARCHAR) AS rating,
+    CASE WHEN {rid} % 3 = 0 THEN '0' ELSE '1' END AS recommended_ind,
+    CASE WHEN {rid} % 53 = 0 THEN NULL ELSE {dept} END AS department_name,
+    CAST({day} AS DATE) AS dt
+  FROM {table}
 )"""
 
+
+# Reviews derived from ``events`` (snake_case names, as after P1).
+REVIEWS_CTE = _reviews_cte("events", "event_id", "user_id", "props", "value", "event_type", "ts")
+# Reviews derived from ``lineitem``.
+LINEITEM_REVIEWS_CTE = _reviews_cte(
+    "lineitem",
+    "(l_orderkey * 8 + l_linenumber)",
+    "l_partkey",
+    "'lineitem review'",
+    "l_quantity",
+    "l_returnflag || l_linestatus",
+    "l_shipdate",
+)
+
 TRUSTED_CTE = f"""
 trusted AS (
   SELECT *, {age_band('age')} AS age_band
@@ -182,6 +196,9 @@ def queries_sql() -> dict[str, str]:
         f"{sentiment('rating', 'recommended_ind')} AS sentiment FROM reviews"
     )
     q["daily_product"] = with_product(f"SELECT {PRODUCT_COLS} FROM product")
+    q["lineitem_product"] = (
+        f"WITH {LINEITEM_REVIEWS_CTE},{TRUSTED_CTE},{PRODUCT_CTE}\nSELECT {PRODUCT_COLS} FROM product"
+    )
     q["product_for_day"] = with_product(
         "SELECT age_band, department_name, sentiment, review_count, avg_rating FROM product "
         "WHERE dt = DATE '2024-01-15'"
