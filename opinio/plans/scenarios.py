@@ -35,7 +35,8 @@ class LakeRun:
 
 
 def _key(spark: SparkSession, sf_dir: str, variant: str) -> tuple:
-    return (spark.sparkContext.applicationId, sf_dir.rstrip("/"), variant)
+    app = spark.conf.get("spark.app.id", None) or str(id(spark))
+    return (app, sf_dir.rstrip("/"), variant)
 
 
 def _first_day(reviews: DataFrame) -> str:

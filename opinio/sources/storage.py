@@ -2,7 +2,7 @@
 
 Intermediate tables go under the cluster's shared checkpoint folder
 (``spark.checkpoint.dir``), never under a machine-local temporary folder.  A
-folder is set only when the session has none (as in tests).
+folder is chosen only when the session has none (as in local tests).
 """
 
 from __future__ import annotations
@@ -14,14 +14,27 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+_FALLBACK: dict[str, str] = {}
+
+
 def checkpoint_root(spark: SparkSession) -> str:
-    """The session's shared checkpoint folder, set to a fresh one if unset."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    """The session's shared checkpoint folder; a fresh one only when none is set.
+
+    ``spark.checkpoint.dir`` is a static setting, so an unset folder is given
+    to the SparkContext (``setCheckpointDir``) instead of the session config.
+    """
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    sc = None
+    try:
+        sc = spark.sparkContext
+        root = root or sc.getCheckpointDir()
+    except Exception:  # sessions without a local SparkContext
+        pass
     if not root:
-        root = tempfile.mkdtemp(prefix="opinio-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(root)
+        root = _FALLBACK.get("root") or tempfile.mkdtemp(prefix="opinio-ckpt-")
+        _FALLBACK["root"] = root
+        if sc is not None:
+            sc.setCheckpointDir(root)
     return root.rstrip("/")
 
 

@@ -14,8 +14,8 @@ SF001 = "/root/testdata/sf0.001"
 @pytest.fixture(scope="session")
 def spark():
     s = build_session("local[4]", "opinio-tests", shuffle_partitions=8)
-    if not s.conf.get("spark.checkpoint.dir", None):
-        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="opinio-test-ckpt-"))
+    if not s.conf.get("spark.checkpoint.dir", None) and s.sparkContext.getCheckpointDir() is None:
+        s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="opinio-test-ckpt-"))
     yield s
     s.stop()
 
