@@ -26,7 +26,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from opinio.functions.dates import batch_name, iso
+from opinio.functions.dates import batch_name, date_add_days
 from opinio.schemas import DEFAULT_BATCH_SIZE, DEFAULT_START_DATE
 
 _RANGE = "_opinio_range"
@@ -102,7 +102,7 @@ def assign_batches(
     idx = F.floor(F.col("row_index") / F.lit(batch_size)).cast("bigint")
     return (
         indexed.withColumn("batch_index", idx)
-        .withColumn("dt", F.date_add(F.to_date(F.lit(iso(start_date))), F.col("batch_index").cast("int")))
+        .withColumn("dt", date_add_days(start_date, F.col("batch_index")))
         .withColumn("batch", batch_name(F.col("batch_index")))
     )
 
@@ -112,7 +112,7 @@ def batch_keys(spark, n_rows: int, batch_size: int, start_date: str | _dt.date)
     n_batches = (n_rows + batch_size - 1) // batch_size
     idx = F.col("id")
     return spark.range(n_batches).select(
-        F.date_add(F.to_date(F.lit(iso(start_date))), idx.cast("int")).alias("dt"),
+        date_add_days(start_date, idx).alias("dt"),
         batch_name(idx).alias("batch"),
     )
 

@@ -12,7 +12,7 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from opinio.functions.dates import iso
+from opinio.functions.dates import date_prefix, iso
 from opinio.schemas import AGE_BANDS, EXPECTED_MIN_DT, EXPECTED_PARTITIONS, SENTIMENTS
 
 CHECK_COLUMNS = ("check_id", "name", "status", "expected", "actual", "detail")
@@ -97,7 +97,7 @@ def quality_checks(
     sents_exp = _label_set(expected_sentiments)
 
     s = table_stats(product)
-    min_s, max_s = F.col("min_dt").cast("string"), F.col("max_dt").cast("string")
+    min_s, max_s = date_prefix(F.col("min_dt")), date_prefix(F.col("max_dt"))
     range_exp = F.concat_ws("..", min_exp.cast("string"), max_exp.cast("string"))
     range_act = F.concat_ws("..", min_s, max_s)
     rows = [
