@@ -26,3 +26,24 @@ def test_new_days_are_processed_once(spark, workdir):
     got = product_scan(spark, lake.product)
     expected = derived.event_product(spark, SF001)
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, expected.select(*got.columns).collect()))
+
+
+def test_late_file_reruns_its_day(spark, workdir):
+    from opinio.operators.aggregate import product
+    from opinio.operators.clean import clean
+
+    reviews = derived.event_reviews(spark, SF001)
+    lake = Lake.under(workdir)
+    ckpt = workdir + "/_stream"
+    day = F.to_date(F.lit("2024-01-05"))
+    on_time = reviews.where((F.col("dt") == day) & (F.col("Clothing ID").cast("int") % 2 == 0))
+    late = reviews.where((F.col("dt") == day) & (F.col("Clothing ID").cast("int") % 2 == 1))
+    write_raw_days_csv(on_time, lake.raw, mode="append")
+    process_new_days(spark, lake, COLUMNS, ckpt).awaitTermination()
+    first = product_scan(spark, lake.product).agg(F.sum("review_count")).first()[0]
+    write_raw_days_csv(late, lake.raw, mode="append")  # a second file lands in the same day folder
+    process_new_days(spark, lake, COLUMNS, ckpt).awaitTermination()
+    got = product_scan(spark, lake.product)
+    expected = product(clean(reviews.where(F.col("dt") == day)))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, expected.select(*got.columns).collect()))
+    assert got.agg(F.sum("review_count")).first()[0] > first
