@@ -59,7 +59,7 @@ def run_days(spark: SparkSession, lake: Lake, days: list[str], table: str | None
     write_days_parquet(product(trusted), lake.product, days, repartition_by_day=True)
     wanted = F.col("dt").isin([F.to_date(F.lit(d)) for d in days])
     if table:
-        sync_partitions(spark, table)
+        sync_partitions(spark, table, days)
     prod = product_scan(spark, table or lake.product).where(wanted)
     return partition_counts(prod, _days_frame(spark, days))
 

@@ -58,5 +58,5 @@ def run_day(spark: SparkSession, lake: Lake, day: str | _dt.date, table: str | N
     except Exception as exc:
         raise JobAggFailed(f"aggregate failed for dt={day}: {exc}") from exc
     if table:
-        sync_partitions(spark, table)
+        sync_partitions(spark, table, [day])
     return partition_row_count(product_scan(spark, table or lake.product), day)

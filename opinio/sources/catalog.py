@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from opinio.functions.dates import iso
 from opinio.operators import views
 from opinio.schemas import PRODUCT_PROPERTIES, PRODUCT_TABLE_SCHEMA
 
@@ -27,9 +28,18 @@ def register_product_table(spark: SparkSession, table: str, location: str) -> No
     )
 
 
-def sync_partitions(spark: SparkSession, table: str) -> DataFrame:
-    """K2: make new ``dt=`` folders visible; returns ``SHOW PARTITIONS``."""
-    spark.sql(f"MSCK REPAIR TABLE {table}")
+def sync_partitions(spark: SparkSession, table: str, days=None) -> DataFrame:
+    """K2: make new ``dt=`` folders visible; returns ``SHOW PARTITIONS``.
+
+    With ``days`` (the days a job just wrote) only those partitions are added,
+    in one metadata statement - no listing of the table's other folders.
+    Without, the whole location is scanned (``MSCK REPAIR TABLE``).
+    """
+    if days:
+        specs = " ".join(f"PARTITION (dt='{iso(d)}')" for d in sorted({iso(d) for d in days}))
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {specs}")
+    else:
+        spark.sql(f"MSCK REPAIR TABLE {table}")
     spark.catalog.refreshTable(table)
     return spark.sql(f"SHOW PARTITIONS {table}")
 
