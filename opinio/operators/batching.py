@@ -130,18 +130,32 @@ def batch_summary(batches: DataFrame, order_col: str) -> DataFrame:
     )
 
 
-def with_file_order(df: DataFrame, key_col: str = "file_order") -> DataFrame:
-    """A numeric key that follows file order: source file, then row in file.
-
-    For CSV sources read with ``multiLine`` each file is one unsplittable
-    split, so ``monotonically_increasing_id()`` grows along the rows of a file
-    (its low 33 bits are the position inside the read task, stable on
-    re-execution).  Files are ranked by path; the rank is computed over the
-    distinct file names only (one row per file, never per row).
+# Helper columns that follow file order (see ``with_file_order``).
+FILE_ORDER_COLS = ("_file_split", "_file_pos")
+_SPLIT_BITS = 40  # split start offsets below 1 TiB per file
+
+
+def with_file_order(df: DataFrame) -> DataFrame:
+    """Add ``FILE_ORDER_COLS``; sorting by them follows file order.
+
+    * ``_file_split``: the source file's rank by path, shifted left 40 bits,
+      plus the start offset of the file split the row was read from
+      (``input_file_block_start``; 0 when a file is one split, as with
+      ``multiLine`` CSV).  File ranks come from the distinct file names only
+      (one row per file, broadcast; bounded by the number of files).
+    * ``_file_pos``: position inside the read task
+      (``monotonically_increasing_id()`` low bits), which grows along the rows
+      of a split and is the same when the task is retried.
+
+    Splits of one large file are read by many tasks and still order exactly.
+    As a numbering key, one ``_file_split`` value covers at most one split's
+    rows, so the ranges of ``with_row_index`` stay balanced to within a split.
     """
-    spark = df.sparkSession
-    tagged = df.withColumn("_opinio_file", F.input_file_name()).withColumn(
-        "_opinio_pos", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    split, pos = FILE_ORDER_COLS
+    tagged = (
+        df.withColumn("_opinio_file", F.input_file_name())
+        .withColumn("_opinio_block", F.input_file_block_start())
+        .withColumn(pos, F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)))
     )
     files = tagged.select("_opinio_file").distinct()
     ranks = files.select(
@@ -149,6 +163,6 @@ def with_file_order(df: DataFrame, key_col: str = "file_order") -> DataFrame:
     )
     return (
         tagged.join(F.broadcast(ranks), "_opinio_file")
-        .withColumn(key_col, F.shiftleft(F.col("_opinio_rank").cast("bigint"), 33) + F.col("_opinio_pos"))
-        .drop("_opinio_file", "_opinio_pos", "_opinio_rank")
+        .withColumn(split, F.shiftleft(F.col("_opinio_rank").cast("bigint"), _SPLIT_BITS) + F.col("_opinio_block"))
+        .drop("_opinio_file", "_opinio_block", "_opinio_rank")
     )

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.errors import AnalysisException
 
-from opinio.operators.batching import assign_batches, batch_keys, order_stats, with_file_order
+from opinio.operators.batching import FILE_ORDER_COLS, assign_batches, batch_keys, order_stats, with_file_order
 from opinio.operators.ingest import BATCH_KEY, missing_batches
 from opinio.schemas import DEFAULT_BATCH_SIZE, DEFAULT_START_DATE
 from opinio.sources.files import list_batches, source_scan
@@ -86,14 +86,22 @@ def ingest_csv(
     raw_root: str,
     start_date: str | _dt.date = DEFAULT_START_DATE,
     batch_size: int = DEFAULT_BATCH_SIZE,
+    multi_line: bool = True,
 ) -> IngestResult:
-    """D4 from a CSV source in file order; exit code 2 when the source is missing."""
+    """D4 from a CSV source in file order; exit code 2 when the source is missing.
+
+    ``multi_line=True`` (default) reads quoted fields that span lines; each
+    file is then one read task.  A large source known to hold no line breaks
+    inside fields can pass ``multi_line=False``: its files are split across
+    many tasks and the file order stays exact.
+    """
     try:
-        source = source_scan(spark, csv_path)
+        source = source_scan(spark, csv_path, multi_line)
     except AnalysisException as exc:
         if "PATH_NOT_FOUND" in str(exc) or "Path does not exist" in str(exc):
             empty = spark.createDataFrame([], "sent bigint, ignored bigint, errors bigint, total bigint")
             return IngestResult(empty, 2)
         raise
-    ordered = with_file_order(source, "_file_order")
-    return ingest(spark, ordered, raw_root, "_file_order", start_date, batch_size, helper_cols=("_file_order",))
+    ordered = with_file_order(source)
+    order = list(FILE_ORDER_COLS)
+    return ingest(spark, ordered, raw_root, order, start_date, batch_size, helper_cols=FILE_ORDER_COLS)

@@ -58,9 +58,31 @@ def test_ingest_csv_follows_file_order(spark, workdir):
     assert res.exit_code == 0
     assert res.summary.first().asDict() == {"sent": 3, "ignored": 0, "errors": 0, "total": 3}
     back = raw_scan(spark, workdir + "/raw")
-    assert "_file_order" not in back.columns
+    assert not {"_file_split", "_file_pos"} & set(back.columns)
     first_batch = {r["Clothing ID"] for r in back.where(F.col("batch") == "batch_001").collect()}
     assert first_batch == {str(k) for k in keys[:100]}
     assert {r.dt.isoformat() for r in back.select("dt").distinct().collect()} == {"2024-03-10", "2024-03-11", "2024-03-12"}
     missing = ingest_csv(spark, workdir + "/no_such.csv", workdir + "/raw2")
     assert missing.exit_code == 2
+
+
+def test_ingest_splittable_csv_keeps_file_order(spark, workdir):
+    """A large single-line CSV is read in many splits; batches still follow file order."""
+    from opinio.plans.ingest import ingest_csv
+    from opinio.sources.files import source_scan
+
+    keys = [(i * 7919) % 5003 for i in range(5003)]
+    src = spark.createDataFrame([(str(k), f"text {k}") for k in keys], "`Clothing ID` string, `Review Text` string")
+    csv_dir = workdir + "/big_csv"
+    src.coalesce(1).write.options(header=True).csv(csv_dir)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+    try:
+        assert source_scan(spark, csv_dir, multi_line=False).rdd.getNumPartitions() > 4  # really split
+        res = ingest_csv(spark, csv_dir, workdir + "/raw", "2024-01-01", 100, multi_line=False)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert res.summary.first().asDict() == {"sent": 51, "ignored": 0, "errors": 0, "total": 51}
+    back = raw_scan(spark, workdir + "/raw")
+    got = {r["Clothing ID"]: r["batch"] for r in back.select("Clothing ID", "batch").collect()}
+    assert got == {str(k): f"batch_{i // 100 + 1:03d}" for i, k in enumerate(keys)}
