@@ -117,11 +117,10 @@ def stream_run(spark: SparkSession, sf_dir: str) -> Lake:
     root = scratch_path(spark, "lake-stream")
     lake = Lake.under(root)
     reviews = derived.event_reviews(spark, sf_dir)
-    columns = [c for c in reviews.columns if c != "dt"]
     span = reviews.agg(F.min("dt").alias("lo"), F.max("dt").alias("hi"))
     middle = span.select(F.date_add("lo", (F.datediff("hi", "lo") / 2).cast("int"))).first()[0]
     for part in (reviews.where(F.col("dt") <= F.lit(middle)), reviews.where(F.col("dt") > F.lit(middle))):
         write_raw_days_csv(part, lake.raw, mode="append")
-        process_new_days(spark, lake, columns, f"{root}/_stream_checkpoint").awaitTermination()
+        process_new_days(spark, lake, f"{root}/_stream_checkpoint").awaitTermination()
     _RUNS[key] = lake
     return lake

@@ -6,7 +6,9 @@ it idempotent.  Here a file-source stream over the raw root does the
 watching: each micro-batch names the days whose files arrived, and
 ``foreachBatch`` re-runs exactly those days as one multi-day job (whole days
 are re-read from the raw layer, so a day delivered in several pieces is
-always complete).  The stream's checkpoint records which files were seen, so
+always complete).  The stream itself lists file paths only (``binaryFile``
+with the ``path`` column alone never opens a file), so landed rows are parsed
+once, by the day job, not twice.  The stream's checkpoint records which files were seen, so
 a restart neither loses nor repeats days.  ``availableNow`` processes what is
 there and stops, like a scheduled run.
 """
@@ -15,25 +17,30 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from opinio.plans.backfill import run_days
 from opinio.plans.layout import Lake
-from opinio.sources.files import CSV_READ_OPTIONS
 
 
-def raw_stream(spark: SparkSession, lake: Lake, columns: list[str]) -> DataFrame:
-    """Stream of raw CSV rows; ``dt`` filled from the folder names."""
-    schema = T.StructType(
-        [T.StructField(c, T.StringType()) for c in columns] + [T.StructField("dt", T.DateType())]
+# The fixed schema of the ``binaryFile`` source (streams must declare one).
+_FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
+
+
+def landed_days(spark: SparkSession, lake: Lake) -> DataFrame:
+    """Stream of ``dt`` values, one per newly landed raw file (contents not read)."""
+    files = (
+        spark.readStream.format("binaryFile")
+        .schema(_FILE_SCHEMA)
+        .option("recursiveFileLookup", "true")
+        .load(lake.raw)
     )
-    return spark.readStream.schema(schema).options(**CSV_READ_OPTIONS).csv(lake.raw)
+    day = F.regexp_extract(F.col("path"), r"/dt=([^/]+)/", 1)
+    return files.select(day.alias("dt")).where(F.col("dt") != "")
 
 
 def process_new_days(
     spark: SparkSession,
     lake: Lake,
-    columns: list[str],
     checkpoint: str,
     table: str | None = None,
     available_now: bool = True,
@@ -47,17 +54,11 @@ def process_new_days(
 
     def handle(batch: DataFrame, epoch_id: int) -> None:
         # Bounded: the distinct days of one micro-batch.
-        days = sorted(r["d"] for r in batch.select(F.col("dt").cast("string").alias("d")).distinct().collect())
-        days = [d for d in days if d]
+        days = sorted(r["dt"] for r in batch.distinct().collect())
         if days:
             run_days(spark, lake, days, table)
 
-    writer = (
-        raw_stream(spark, lake, columns)
-        .select("dt")
-        .writeStream.foreachBatch(handle)
-        .option("checkpointLocation", checkpoint)
-    )
+    writer = landed_days(spark, lake).writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
     if available_now:
         writer = writer.trigger(availableNow=True)
     elif processing_time:

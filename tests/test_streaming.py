@@ -9,20 +9,17 @@ from opinio.sources.sinks import write_raw_days_csv
 from opinio.streaming.incremental import process_new_days
 from tests.conftest import SF001
 
-COLUMNS = ["Clothing ID", "Age", "Review Text", "Rating", "Recommended IND", "Department Name"]
-
-
 def test_new_days_are_processed_once(spark, workdir):
     reviews = derived.event_reviews(spark, SF001)
     lake = Lake.under(workdir)
     ckpt = workdir + "/_stream"
     first = reviews.where(F.dayofmonth("dt") <= 10)
     write_raw_days_csv(first, lake.raw, mode="append")
-    process_new_days(spark, lake, COLUMNS, ckpt).awaitTermination()
+    process_new_days(spark, lake, ckpt).awaitTermination()
     got = product_scan(spark, lake.product)
     assert got.select("dt").distinct().count() == 10
     write_raw_days_csv(reviews.where(F.dayofmonth("dt") > 10), lake.raw, mode="append")
-    process_new_days(spark, lake, COLUMNS, ckpt).awaitTermination()
+    process_new_days(spark, lake, ckpt).awaitTermination()
     got = product_scan(spark, lake.product)
     expected = derived.event_product(spark, SF001)
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, expected.select(*got.columns).collect()))
@@ -39,11 +36,28 @@ def test_late_file_reruns_its_day(spark, workdir):
     on_time = reviews.where((F.col("dt") == day) & (F.col("Clothing ID").cast("int") % 2 == 0))
     late = reviews.where((F.col("dt") == day) & (F.col("Clothing ID").cast("int") % 2 == 1))
     write_raw_days_csv(on_time, lake.raw, mode="append")
-    process_new_days(spark, lake, COLUMNS, ckpt).awaitTermination()
+    process_new_days(spark, lake, ckpt).awaitTermination()
     first = product_scan(spark, lake.product).agg(F.sum("review_count")).first()[0]
     write_raw_days_csv(late, lake.raw, mode="append")  # a second file lands in the same day folder
-    process_new_days(spark, lake, COLUMNS, ckpt).awaitTermination()
+    process_new_days(spark, lake, ckpt).awaitTermination()
     got = product_scan(spark, lake.product)
     expected = product(clean(reviews.where(F.col("dt") == day)))
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, expected.select(*got.columns).collect()))
     assert got.agg(F.sum("review_count")).first()[0] > first
+
+
+def test_stream_lists_paths_only(spark, workdir, capsys):
+    from opinio.streaming.incremental import landed_days
+
+    lake = Lake.under(workdir)
+    write_raw_days_csv(derived.event_reviews(spark, SF001), lake.raw, mode="append")
+    q = landed_days(spark, lake).writeStream.format("memory").queryName("landed_days_probe").start()
+    q.processAllAvailable()
+    capsys.readouterr()
+    q.explain()
+    plan = capsys.readouterr().out
+    q.stop()
+    days = {r.dt for r in spark.table("landed_days_probe").collect()}
+    assert len(days) == 30 and all(len(d) == 10 for d in days)
+    read_schema = [line for line in plan.splitlines() if "ReadSchema" in line]
+    assert read_schema and all("content" not in line for line in read_schema)  # file bytes never read
