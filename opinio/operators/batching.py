@@ -3,9 +3,9 @@
 ``row_number() OVER (ORDER BY k)`` without a partition clause moves every row
 into one task.  Instead:
 
-1. approximate quantiles of the order key cut it into ranges of similar size
-   (one pass over a single pruned column, which also yields the row count;
-   the cut points are bounded by the number of ranges);
+1. approximate quantiles of the lead order column cut it into ranges of
+   similar size (one pass over a single pruned column, which also yields the
+   row count; the cut points are bounded by the number of ranges);
 2. each row's range id is a pure function of its key (JVM binary search), so a
    recomputed task always lands its rows in the same range;
 3. per-range row counts (one row per range, map-side combined) give each
@@ -14,23 +14,35 @@ into one task.  Instead:
 
 Only step 4 moves rows, as one shuffle by range id, and the ranges are
 balanced by construction, so no task holds more than about ``rows / ranges``
-rows.  The order key should be unique (file order is); further order columns
-break ties inside a range.
+rows.
+
+Hot lead values.  A lead value that shows up two or more times among the
+cuts holds at least about two ranges' worth of rows.  Such a value gets a
+range of its own, which is cut again by quantiles of the second order column
+(one extra pass over the hot rows only, two pruned columns).  A range is cut
+this way only when it provably holds a single lead value, so the order stays
+exact.  Ties left after all order columns keep their group in one range; the
+full order key should be unique (file order is).
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+import math
+from collections import Counter
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from opinio.functions.dates import batch_name, date_add_days
 from opinio.schemas import DEFAULT_BATCH_SIZE, DEFAULT_START_DATE
 
 _RANGE = "_opinio_range"
 _KEY = "_opinio_key"
+_SUB = "_opinio_sub"
+_INF = float("inf")
 
 
 def _range_count(df: DataFrame, num_ranges: int | None) -> int:
@@ -42,7 +54,8 @@ def _range_count(df: DataFrame, num_ranges: int | None) -> int:
 def order_stats(df: DataFrame, lead: str, num_ranges: int | None = None) -> tuple[int, list[float]]:
     """Row count and range cut points of ``lead`` in one pass over that column.
 
-    The cut list has ``ranges - 1`` entries (bounded by the shuffle width).
+    The cut list has ``ranges - 1`` entries (bounded by the shuffle width),
+    sorted; a value repeated in it is a hot value.
     """
     n_ranges = _range_count(df, num_ranges)
     probs = [i / n_ranges for i in range(1, n_ranges)]
@@ -52,28 +65,96 @@ def order_stats(df: DataFrame, lead: str, num_ranges: int | None = None) -> tupl
         aggs.append(F.percentile_approx(key, probs, max(10_000, 4 * n_ranges)).alias("cuts"))
     row = df.agg(*aggs).first()
     cuts = list(row["cuts"] or []) if probs else []
-    return int(row["n"]), sorted({c for c in cuts if c is not None and c == c})
+    return int(row["n"]), sorted(c for c in cuts if c is not None and c == c)
 
 
-def with_row_index(
+def _is_numeric(df: DataFrame, column: str) -> bool:
+    return isinstance(df.schema[column].dataType, T.NumericType)
+
+
+def _sub_ranges(ranged: DataFrame, cols: list[str], hot: dict[float, int], pieces: int) -> DataFrame:
+    """Cut each hot value's range by quantiles of the second order column.
+
+    ``hot`` maps a hot lead value (as double) to its range id.  Returns
+    ``ranged`` with ``_SUB`` (0 outside the cut ranges).
+    """
+    lead, second = cols[0], cols[1]
+    tie = F.coalesce(F.col(second).cast("double"), F.lit(-_INF))  # nulls sort first
+    probs = [i / pieces for i in range(1, pieces)]
+    stats = (
+        ranged.where(F.col(_KEY).isin(list(hot)))
+        .groupBy(_RANGE)
+        .agg(
+            F.min(lead).alias("lo"),
+            F.max(lead).alias("hi"),
+            F.percentile_approx(tie, probs, max(10_000, 4 * pieces)).alias("cuts"),
+        )
+        .collect()  # one row per hot value (at most ranges / 2)
+    )
+    splits = {}
+    for r in stats:
+        cuts = sorted({c for c in (r["cuts"] or []) if c is not None and c == c and abs(c) < _INF})
+        if r["lo"] == r["hi"] and cuts:  # exactly one lead value in this range
+            splits[int(r[_RANGE])] = [-_INF] + cuts + [_INF]
+    if not splits:
+        return ranged.withColumn(_SUB, F.lit(0))
+    ids = sorted(splits)
+    inputs = [f"_opinio_tie_{i}" for i in ids]
+    outputs = [f"_opinio_tie_bucket_{i}" for i in ids]
+    prepared = ranged
+    for rid, name in zip(ids, inputs):
+        prepared = prepared.withColumn(name, F.when(F.col(_RANGE) == rid, tie).otherwise(F.lit(float("nan"))))
+    bucketed = Bucketizer(
+        splitsArray=[splits[i] for i in ids], inputCols=inputs, outputCols=outputs, handleInvalid="keep"
+    ).transform(prepared)
+    sub = F.lit(0)
+    for rid, out in reversed(list(zip(ids, outputs))):
+        sub = F.when(F.col(_RANGE) == rid, F.col(out).cast("int")).otherwise(sub)
+    return bucketed.withColumn(_SUB, sub).drop(*inputs, *outputs)
+
+
+def range_ids(
     df: DataFrame,
     order_cols: str | list[str],
-    index_col: str = "row_index",
     num_ranges: int | None = None,
     stats: tuple[int, list[float]] | None = None,
 ) -> DataFrame:
-    """Append a 0-based dense global row index following ``order_cols``."""
+    """``df`` plus ``_RANGE``: a range id that never decreases along the order."""
     cols = [order_cols] if isinstance(order_cols, str) else list(order_cols)
     lead = cols[0]
     _, cuts = stats if stats is not None else order_stats(df, lead, num_ranges)
-    splits = [float("-inf")] + cuts + [float("inf")]
+    repeats = Counter(cuts)
+    hot = sorted(v for v, m in repeats.items() if m >= 2)
+    # A hot value v gets the range [v, next double after v) to itself.
+    edges = sorted(set(cuts) | {math.nextafter(v, _INF) for v in hot})
+    splits = [-_INF] + edges + [_INF]
     keyed = df.withColumn(_KEY, F.col(lead).cast("double"))
-    ranged = Bucketizer(
-        splits=splits, inputCol=_KEY, outputCol=_RANGE, handleInvalid="keep"
-    ).transform(keyed).withColumn(_RANGE, F.col(_RANGE).cast("int"))
+    ranged = Bucketizer(splits=splits, inputCol=_KEY, outputCol=_RANGE, handleInvalid="keep").transform(keyed)
+    # A null lead sorts first (ascending order puts nulls first).
+    ranged = ranged.withColumn(_RANGE, F.coalesce(F.col(_RANGE).cast("int"), F.lit(-1)))
+    if not hot or len(cols) < 2 or not _is_numeric(df, cols[1]):
+        return ranged.drop(_KEY)
+    pieces = max(repeats[v] for v in hot) + 1
+    own = {v: splits.index(v) for v in hot}  # range id of the range starting at v
+    sub = _sub_ranges(ranged, cols, own, pieces)
+    # Sub-range ids nest inside their range, so the combined id keeps the order.
+    width = pieces + 1  # Bucketizer ids 0..pieces (NaN ties in the last one)
+    return sub.withColumn(_RANGE, F.col(_RANGE) * F.lit(width) + F.col(_SUB)).drop(_KEY, _SUB)
+
+
+def with_row_index(
+    df: DataFrame,
+    order_cols: str | list[str],
+    index_col: str = "row_index",
+    num_ranges: int | None = None,
+    stats: tuple[int, list[float]] | None = None,
+) -> DataFrame:
+    """Append a 0-based dense global row index following ``order_cols``."""
+    cols = [order_cols] if isinstance(order_cols, str) else list(order_cols)
+    ranged = range_ids(df, cols, num_ranges, stats)
 
     counts = ranged.groupBy(_RANGE).agg(F.count(F.lit(1)).alias("_n"))
-    # One row per range: the window below sees at most len(splits) rows.
+    # One row per range: the window below sees a bounded number of rows.
     before = Window.orderBy(_RANGE).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(
         _RANGE, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset")
@@ -82,7 +163,7 @@ def with_row_index(
     return (
         ranged.join(F.broadcast(offsets), _RANGE)
         .withColumn(index_col, F.col("_offset") + F.row_number().over(within) - 1)
-        .drop(_RANGE, _KEY, "_offset")
+        .drop(_RANGE, "_offset")
     )
 
 

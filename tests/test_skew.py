@@ -5,7 +5,7 @@ from collections import Counter, defaultdict
 from pyspark.sql import functions as F
 
 from opinio.operators.aggregate import product
-from opinio.operators.batching import _KEY, _RANGE, order_stats, with_row_index
+from opinio.operators.batching import _KEY, _RANGE, order_stats, range_ids, with_row_index
 from opinio.operators.clean import clean
 
 
@@ -27,6 +27,31 @@ def test_ranges_stay_balanced_for_clustered_keys(spark):
     assert got == {k: i for i, k in enumerate(sorted(dense + sparse))}
 
 
+def test_hot_lead_value_is_split_by_the_second_column(spark):
+    # One lead value holds a third of the rows; the second order column breaks ties.
+    rows = [(5, i) for i in range(4000)] + [(i, 3 * i) for i in range(8000)] + [(None, 7), (5, None)]
+    rows = sorted(rows, key=lambda r: hash((r[0], r[1], 17)))  # shuffled input order
+    df = spark.createDataFrame(rows, "k long, t long")
+    sizes = [r["count"] for r in range_ids(df, ["k", "t"], num_ranges=8).groupBy(_RANGE).count().collect()]
+    assert max(sizes) <= 2 * (len(rows) / 8)  # the hot value spans several ranges
+    got = {(r.k, r.t): r.row_index for r in with_row_index(df, ["k", "t"], num_ranges=8).collect()}
+
+    def order(r):  # ascending, nulls first
+        return tuple((x is not None, x if x is not None else 0) for x in r)
+
+    assert got == {kt: i for i, kt in enumerate(sorted(rows, key=order))}
+
+
+def test_range_with_several_lead_values_is_not_cut_by_the_second_column(spark):
+    # Lead keys above 2**53 collide as doubles: the hot-looking range holds two
+    # distinct keys, so it must not be re-cut by the second column.
+    big = 2**60
+    rows = [(big, i) for i in range(3000)] + [(big + 1, i) for i in range(3000)] + [(i, i) for i in range(3000)]
+    df = spark.createDataFrame(rows, "k long, t long")
+    got = {(r.k, r.t): r.row_index for r in with_row_index(df, ["k", "t"], num_ranges=6).collect()}
+    assert got == {kt: i for i, kt in enumerate(sorted(rows))}
+
+
 def test_hot_department_product_matches_brute_force(spark):
     rows = []
     for i in range(3000):
