@@ -75,6 +75,14 @@ def _batches(spark, d):
     return assign_batches(docs, "doc_id", BATCH_SIZE, BATCH_START)
 
 
+def _lineitem_batches(spark, d):
+    """W1 with a skewed lead key: every line number holds up to a quarter of the rows."""
+    items = derived.table(spark, d, "lineitem").select("l_orderkey", "l_linenumber")
+    return assign_batches(items, ["l_linenumber", "l_orderkey"], BATCH_SIZE, BATCH_START).select(
+        "l_orderkey", "l_linenumber", "row_index", "batch_index", "dt", "batch"
+    )
+
+
 def _missing_before_first_ingest(spark, d):
     docs = derived.table(spark, d, "documents")
     fresh = scratch_path(spark, "ingest-empty") + "/raw/documents"
@@ -184,6 +192,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "assign_batches": lambda s, d: _batches(s, d).select(
             "doc_id", "text", "lang", "source", "n_chars", "row_index", "batch_index", "dt", "batch"
         ),
+        "assign_batches_lineitem": _lineitem_batches,
         "batch_summary": lambda s, d: batch_summary(_batches(s, d), "doc_id"),
         "ingest_missing_batches": _missing_before_first_ingest,
         "ingest_first_summary": lambda s, d: scenarios.ingest_twice(s, d).first.summary,

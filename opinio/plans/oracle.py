@@ -247,6 +247,14 @@ def queries_sql() -> dict[str, str]:
     q["assign_batches"] = (
         f"WITH {batches}\nSELECT doc_id, text, lang, source, n_chars, row_index, batch_index, dt, batch FROM batches"
     )
+    # W1 with a hot lead value: each line number holds up to a quarter of lineitem.
+    q["assign_batches_lineitem"] = (
+        "SELECT l_orderkey, l_linenumber, row_index, row_index // 100 AS batch_index, "
+        "CAST(DATE '2024-01-01' + CAST(row_index // 100 AS INTEGER) AS DATE) AS dt, "
+        "printf('batch_%03d', row_index // 100 + 1) AS batch FROM ("
+        "SELECT l_orderkey, l_linenumber, row_number() OVER (ORDER BY l_linenumber, l_orderkey) - 1 AS row_index "
+        "FROM lineitem)"
+    )
     q["batch_summary"] = (
         f"WITH {batches}\nSELECT dt, batch, batch_index, count(*) AS n_rows, min(doc_id) AS first_key, "
         "max(doc_id) AS last_key FROM batches GROUP BY dt, batch, batch_index ORDER BY batch_index"

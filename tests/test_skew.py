@@ -80,3 +80,21 @@ def test_hot_department_product_matches_brute_force(spark):
     }
     assert got == expected
     assert sum(n for (b, d, s), (n, _) in got.items() if d == "Hot") == 1000
+
+
+def test_lineitem_line_numbers_are_hot_at_32_ranges(spark):
+    """Real table: with 32 ranges every line number (about 1/7 of the rows) is hot."""
+    import duckdb
+
+    path = "/root/testdata/sf0.01/lineitem.parquet"
+    items = spark.read.parquet(path).select("l_orderkey", "l_linenumber")
+    cols = ["l_linenumber", "l_orderkey"]
+    sizes = [r["count"] for r in range_ids(items, cols, num_ranges=32).groupBy(_RANGE).count().collect()]
+    total = sum(sizes)
+    assert max(sizes) <= 2 * total / 32  # without the second-column cut a range would hold total/7
+    got = {(r.l_orderkey, r.l_linenumber): r.row_index for r in with_row_index(items, cols, num_ranges=32).collect()}
+    expected = duckdb.sql(
+        f"SELECT l_orderkey, l_linenumber, row_number() OVER (ORDER BY l_linenumber, l_orderkey) - 1 "
+        f"FROM read_parquet('{path}')"
+    ).fetchall()
+    assert got == {(k, n): i for k, n, i in expected}
