@@ -76,7 +76,9 @@ def _sub_ranges(ranged: DataFrame, cols: list[str], hot: dict[float, int], piece
     """Cut each hot value's range by quantiles of the second order column.
 
     ``hot`` maps a hot lead value (as double) to its range id.  Returns
-    ``ranged`` with ``_SUB`` (0 outside the cut ranges).
+    ``ranged`` with ``_SUB`` (0 outside the cut ranges).  Each hot range adds
+    one binary-search column and one branch per row; there are at most
+    ``ranges / 2`` hot values, and only a few when a few keys are hot.
     """
     lead, second = cols[0], cols[1]
     tie = F.coalesce(F.col(second).cast("double"), F.lit(-_INF))  # nulls sort first
@@ -110,7 +112,9 @@ def _sub_ranges(ranged: DataFrame, cols: list[str], hot: dict[float, int], piece
     sub = F.lit(0)
     for rid, out in reversed(list(zip(ids, outputs))):
         sub = F.when(F.col(_RANGE) == rid, F.col(out).cast("int")).otherwise(sub)
-    return bucketed.withColumn(_SUB, sub).drop(*inputs, *outputs)
+    # Never null (ties are coalesced above); saying so keeps the optimizer from
+    # adding a null filter that would evaluate the cuts twice.
+    return bucketed.withColumn(_SUB, F.coalesce(sub, F.lit(0))).drop(*inputs, *outputs)
 
 
 def range_ids(

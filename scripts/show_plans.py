@@ -45,6 +45,14 @@ def main() -> None:
         ("A4 vw_sentiment_by_age over the product", views.vw_sentiment_by_age(prod)),
         ("D6 six quality checks in one scan", quality.quality_checks(prod, len(days), min(days))),
         ("W1 global row numbering of documents", assign_batches(derived.table(spark, sf_dir, "documents"), "doc_id")),
+        (
+            "W1 with hot lead values (lineitem by line number, order key; 32 ranges)",
+            assign_batches(
+                derived.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber"),
+                ["l_linenumber", "l_orderkey"],
+                num_ranges=32,
+            ),
+        ),
     ]
     out = ["# Physical plans of the main jobs", "", f"Generated by `scripts/show_plans.py` on `{sf_dir}`.", ""]
     for title, df in sections:
