@@ -60,7 +60,7 @@ def ceil_div(n: Column, size: int) -> Column:
 
 def batch_name(batch_index: Column) -> Column:
     """0-based batch index -> ``batch_001``."""
-    return F.format_string("batch_%03d", (batch_index + 1).cast("int"))
+    return F.format_string("batch_%03d", (batch_index + 1).cast("bigint"))
 
 
 def coalesce_text(*parts: Column) -> Column:

@@ -217,37 +217,59 @@ def batch_summary(batches: DataFrame, order_col: str) -> DataFrame:
 
 # Helper columns that follow file order (see ``with_file_order``).
 FILE_ORDER_COLS = ("_file_split", "_file_pos")
+# Columns of ``with_file_position``: file name, split start, position.
+FILE_POSITION_COLS = ("_file_name", "_file_block", "_file_pos")
 _SPLIT_BITS = 40  # split start offsets below 1 TiB per file
+# File-rank tables up to this many files are broadcast; larger ones are joined
+# the ordinary way (AQE then picks the strategy and splits skewed partitions).
+MAX_BROADCAST_FILES = 100_000
 
 
-def with_file_order(df: DataFrame) -> DataFrame:
-    """Add ``FILE_ORDER_COLS``; sorting by them follows file order.
+def with_file_position(df: DataFrame) -> DataFrame:
+    """Add ``FILE_POSITION_COLS`` to a file-source frame (must sit on the scan).
 
-    * ``_file_split``: the source file's rank by path, shifted left 40 bits,
-      plus the start offset of the file split the row was read from
+    * ``_file_name``: the source file (``input_file_name``);
+    * ``_file_block``: start offset of the file split the row was read from
       (``input_file_block_start``; 0 when a file is one split, as with
-      ``multiLine`` CSV).  File ranks come from the distinct file names only
-      (one row per file, broadcast; bounded by the number of files).
+      ``multiLine`` CSV);
     * ``_file_pos``: position inside the read task
       (``monotonically_increasing_id()`` low bits), which grows along the rows
       of a split and is the same when the task is retried.
-
-    Splits of one large file are read by many tasks and still order exactly.
-    As a numbering key, one ``_file_split`` value covers at most one split's
-    rows, so the ranges of ``with_row_index`` stay balanced to within a split.
     """
-    split, pos = FILE_ORDER_COLS
-    tagged = (
-        df.withColumn("_opinio_file", F.input_file_name())
-        .withColumn("_opinio_block", F.input_file_block_start())
+    name, block, pos = FILE_POSITION_COLS
+    return (
+        df.withColumn(name, F.input_file_name())
+        .withColumn(block, F.input_file_block_start())
         .withColumn(pos, F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)))
     )
-    files = tagged.select("_opinio_file").distinct()
-    ranks = files.select(
-        "_opinio_file", (F.dense_rank().over(Window.orderBy("_opinio_file")) - 1).alias("_opinio_rank")
-    )
+
+
+def with_file_rank(positioned: DataFrame) -> DataFrame:
+    """``FILE_POSITION_COLS`` -> ``FILE_ORDER_COLS``; sorting by them follows file order.
+
+    ``_file_split`` is the file's rank by name, shifted left 40 bits, plus the
+    split start.  Ranks come from the distinct file names only (one row per
+    file).  The rank table is broadcast when it has at most
+    ``MAX_BROADCAST_FILES`` rows (counted first), otherwise joined normally.
+    As a numbering key one ``_file_split`` value covers at most one split's
+    rows, so the ranges of ``with_row_index`` stay balanced to within a split.
+    """
+    name, block, _ = FILE_POSITION_COLS
+    split, _ = FILE_ORDER_COLS
+    files = positioned.select(name).distinct()
+    ranks = files.select(name, (F.dense_rank().over(Window.orderBy(name)) - 1).alias("_opinio_rank"))
+    if files.count() <= MAX_BROADCAST_FILES:
+        ranks = F.broadcast(ranks)
     return (
-        tagged.join(F.broadcast(ranks), "_opinio_file")
-        .withColumn(split, F.shiftleft(F.col("_opinio_rank").cast("bigint"), _SPLIT_BITS) + F.col("_opinio_block"))
-        .drop("_opinio_file", "_opinio_block", "_opinio_rank")
+        positioned.join(ranks, name)
+        .withColumn(split, F.shiftleft(F.col("_opinio_rank").cast("bigint"), _SPLIT_BITS) + F.col(block))
+        .drop(name, block, "_opinio_rank")
     )
+
+
+def with_file_order(df: DataFrame) -> DataFrame:
+    """Add ``FILE_ORDER_COLS`` to a file-source frame (position and rank in one go).
+
+    Splits of one large file are read by many tasks and still order exactly.
+    """
+    return with_file_rank(with_file_position(df))

@@ -15,11 +15,19 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.errors import AnalysisException
 
-from opinio.operators.batching import FILE_ORDER_COLS, assign_batches, batch_keys, order_stats, with_file_order
+from opinio.operators.batching import (
+    FILE_ORDER_COLS,
+    assign_batches,
+    batch_keys,
+    order_stats,
+    with_file_position,
+    with_file_rank,
+)
 from opinio.operators.ingest import BATCH_KEY, missing_batches
 from opinio.schemas import DEFAULT_BATCH_SIZE, DEFAULT_START_DATE
 from opinio.sources.files import list_batches, source_scan
 from opinio.sources.sinks import write_raw_days_csv
+from opinio.sources.storage import scratch_path
 
 
 @dataclass
@@ -90,6 +98,11 @@ def ingest_csv(
 ) -> IngestResult:
     """D4 from a CSV source in file order; exit code 2 when the source is missing.
 
+    The source is parsed once: its rows and their file positions are staged as
+    Parquet in the shared checkpoint folder.  The later passes (file ranks,
+    quantiles, per-range counts) then read one or two columns of that table,
+    and each row's position is fixed in storage, not recomputed on a retry.
+
     ``multi_line=True`` (default) reads quoted fields that span lines; each
     file is then one read task.  A large source known to hold no line breaks
     inside fields can pass ``multi_line=False``: its files are split across
@@ -102,6 +115,8 @@ def ingest_csv(
             empty = spark.createDataFrame([], "sent bigint, ignored bigint, errors bigint, total bigint")
             return IngestResult(empty, 2)
         raise
-    ordered = with_file_order(source)
+    staged_path = scratch_path(spark, "ingest-staged") + "/source"
+    with_file_position(source).write.mode("overwrite").parquet(staged_path)
+    ordered = with_file_rank(spark.read.parquet(staged_path))
     order = list(FILE_ORDER_COLS)
     return ingest(spark, ordered, raw_root, order, start_date, batch_size, helper_cols=FILE_ORDER_COLS)

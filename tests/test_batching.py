@@ -86,3 +86,28 @@ def test_ingest_splittable_csv_keeps_file_order(spark, workdir):
     back = raw_scan(spark, workdir + "/raw")
     got = {r["Clothing ID"]: r["batch"] for r in back.select("Clothing ID", "batch").collect()}
     assert got == {str(k): f"batch_{i // 100 + 1:03d}" for i, k in enumerate(keys)}
+
+
+def test_ingest_many_files_without_broadcast(spark, workdir, monkeypatch):
+    """Above the broadcast limit the file ranks are joined normally; order is still file order."""
+    import csv
+    import glob
+
+    from opinio.operators import batching
+    from opinio.plans.ingest import ingest_csv
+
+    monkeypatch.setattr(batching, "MAX_BROADCAST_FILES", 0)
+    keys = [(i * 7919) % 1201 for i in range(1201)]
+    src = spark.createDataFrame([(str(k), f"text {k}") for k in keys], "`Clothing ID` string, `Review Text` string")
+    csv_dir = workdir + "/many_csv"
+    src.repartition(5).write.options(header=True).csv(csv_dir)
+    in_file_order = []
+    for path in sorted(glob.glob(csv_dir + "/part-*.csv")):
+        with open(path, newline="") as fh:
+            in_file_order += [row["Clothing ID"] for row in csv.DictReader(fh)]
+    assert sorted(in_file_order) == sorted(str(k) for k in keys)
+    res = ingest_csv(spark, csv_dir, workdir + "/raw", "2024-01-01", 100)
+    assert res.summary.first().asDict() == {"sent": 13, "ignored": 0, "errors": 0, "total": 13}
+    back = raw_scan(spark, workdir + "/raw")
+    got = {r["Clothing ID"]: r["batch"] for r in back.select("Clothing ID", "batch").collect()}
+    assert got == {k: f"batch_{i // 100 + 1:03d}" for i, k in enumerate(in_file_order)}
