@@ -18,17 +18,20 @@ from pyspark.sql import functions as F
 from opinio.schemas import AGE_BANDS, SENTIMENTS
 
 # What counts as a readable number - decimal or exponent form,
-# optional sign, surrounded by ASCII white space as Python's float() strips it
-# (space, \t \n \v \f \r and \x1c-\x1f).  Spark's cast alone would also accept
-# "1d", "0x1p3", "nan", "inf" and control-character padding; the pattern and
-# the finiteness test reject them.
-_WS = r"[ \t\n\x0b\x0c\r\x1c-\x1f]"
+# optional sign, surrounded by the white space Python's float() strips: space,
+# \t \n \v \f \r, and the non-ASCII spaces U+0085, U+00A0, U+1680,
+# U+2000-U+200A, U+2028, U+2029, U+202F, U+205F, U+3000 (not \x1c-\x1f, which
+# str.strip() removes but float() rejects).  Spark's cast alone would also
+# accept "1d", "0x1p3", "nan", "inf" and control-character padding; the
+# pattern and the finiteness test reject them.  \x{...} escapes read the same
+# in Java regular expressions and in RE2 (the DuckDB oracle).
+_WS = r"[ \t\n\x0b\x0c\r\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 NUMBER_PATTERN = rf"^{_WS}*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?{_WS}*$"
 # The same pattern with the number itself as group 1 (for regexp_extract).
 _NUMBER_GROUP = rf"^{_WS}*([+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?){_WS}*$"
 
 # Characters of a plain integer cell (fast path, no regular expression).
-_INTEGER_CHARS = "0123456789+- \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f"
+_INTEGER_CHARS = "0123456789+- \t\n\x0b\x0c\r"
 
 _INF = float("inf")
 
