@@ -11,6 +11,8 @@ them into pushed-down filters, and whole-stage codegen keeps them.
 from __future__ import annotations
 
 import re
+import sys
+import unicodedata
 
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
@@ -26,9 +28,12 @@ from opinio.schemas import AGE_BANDS, SENTIMENTS
 # pattern and the finiteness test reject them.  \x{...} escapes read the same
 # in Java regular expressions and in RE2 (the DuckDB oracle).
 _WS = r"[ \t\n\x0b\x0c\r\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
-NUMBER_PATTERN = rf"^{_WS}*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?{_WS}*$"
+# Digit runs may hold single underscores between digits, as float() allows
+# ("1_000", "1_0.5e1_0"); they are removed before the cast.
+_DIGITS = r"\d(?:_?\d)*"
+NUMBER_PATTERN = rf"^{_WS}*[+-]?({_DIGITS}(?:\.(?:{_DIGITS})?)?|\.{_DIGITS})([eE][+-]?{_DIGITS})?{_WS}*$"
 # The same pattern with the number itself as group 1 (for regexp_extract).
-_NUMBER_GROUP = rf"^{_WS}*([+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?){_WS}*$"
+_NUMBER_GROUP = rf"^{_WS}*([+-]?(?:{_DIGITS}(?:\.(?:{_DIGITS})?)?|\.{_DIGITS})(?:[eE][+-]?{_DIGITS})?){_WS}*$"
 
 # Characters of a plain integer cell (fast path, no regular expression).
 _INTEGER_CHARS = "0123456789+- \t\n\x0b\x0c\r"
@@ -39,6 +44,24 @@ _INF = float("inf")
 _BAND_STARTS = (18, 30, 45, 60)
 
 
+def _unicode_digits() -> tuple[str, str]:
+    """Every non-ASCII decimal digit and its ASCII digit (float() reads them).
+
+    Built from the Unicode database rather than listed: all code points with
+    a decimal value, about 700.
+    """
+    src, dst = [], []
+    for cp in range(128, sys.maxunicode + 1):
+        value = unicodedata.decimal(chr(cp), None)
+        if value is not None:
+            src.append(chr(cp))
+            dst.append(str(value))
+    return "".join(src), "".join(dst)
+
+
+_UNICODE_DIGITS, _ASCII_DIGITS = _unicode_digits()
+
+
 def _as_col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -53,7 +76,9 @@ def num(c: Column | str) -> Column:
     text = _as_col(c).cast("string")
     integer_like = F.translate(text, _INTEGER_CHARS, "") == F.lit("")
     fast = F.when(integer_like, text.try_cast("bigint")).cast("double")
-    parsed = F.regexp_extract(text, _NUMBER_GROUP, 1).try_cast("double")
+    ascii_text = F.translate(text, _UNICODE_DIGITS, _ASCII_DIGITS)
+    number = F.regexp_replace(F.regexp_extract(ascii_text, _NUMBER_GROUP, 1), "_", "")
+    parsed = number.try_cast("double")
     slow = F.when(F.abs(parsed) < F.lit(_INF), parsed)
     return F.coalesce(fast, slow)
 
@@ -138,14 +163,17 @@ def register_sql_functions(spark: SparkSession) -> None:
     they inline into the plan instead of running in a Python worker.
     """
     group = _NUMBER_GROUP.replace("\\", "\\\\")
+    number = (
+        f"replace(regexp_extract(translate(x, '{_UNICODE_DIGITS}', '{_ASCII_DIGITS}'), '{group}', 1), '_', '')"
+    )
     bands = ", ".join("NULL" if x is None else f"'{x}'" for x in _band_labels())
     sents = ", ".join(f"'{x}'" for x in _sentiment_labels())
     spark.sql(
         f"""
         CREATE OR REPLACE TEMPORARY FUNCTION lenient_number(x STRING)
         RETURNS DOUBLE
-        RETURN CASE WHEN abs(try_cast(regexp_extract(x, '{group}', 1) AS DOUBLE)) < double('Infinity')
-                    THEN try_cast(regexp_extract(x, '{group}', 1) AS DOUBLE) END
+        RETURN CASE WHEN abs(try_cast({number} AS DOUBLE)) < double('Infinity')
+                    THEN try_cast({number} AS DOUBLE) END
         """
     )
     spark.sql(
