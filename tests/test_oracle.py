@@ -1,0 +1,39 @@
+"""Every registered query against its DuckDB oracle SQL on the smallest tables."""
+
+import os
+
+import duckdb
+import pytest
+
+import __spark_entry__ as entry
+from scripts.check_oracle import TABLES, digest
+from tests.conftest import SF001
+
+QUERIES = entry.queries()
+SQL = entry.oracle_sql()
+
+
+@pytest.fixture(scope="module")
+def con():
+    c = duckdb.connect()
+    for t in TABLES:
+        path = f"{SF001}/{t}.parquet"
+        if os.path.exists(path):
+            c.sql(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{path}')")
+    yield c
+    c.close()
+
+
+def test_every_query_has_oracle_sql():
+    assert set(SQL) == set(QUERIES)
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_query_matches_oracle(spark, con, name):
+    df = QUERIES[name](spark, SF001)
+    s_cols, s_rows = df.columns, [tuple(r) for r in df.collect()]
+    rel = con.sql(SQL[name])
+    o_cols, o_rows = rel.columns, rel.fetchall()
+    assert sorted(s_cols) == sorted(o_cols)
+    assert len(s_rows) == len(o_rows)
+    assert digest(s_cols, s_rows)[0] == digest(o_cols, o_rows)[0]
