@@ -65,6 +65,9 @@ def test_derived_max_date():
     assert parse_iso_date("2024-1-5").isoformat() == "2024-01-05"
     with pytest.raises(InvalidDate):
         parse_iso_date("05/01/2024")
+    for bad in (" 2024-01-05", "2024-01-05\n", "2024-02-30", "02024-01-05"):
+        with pytest.raises(InvalidDate):
+            parse_iso_date(bad)
 
 
 def test_backfill_listing_dry_run_and_log(spark, workdir):
