@@ -105,8 +105,14 @@ def _report_json(spark, d):
         expected_partitions=_raw_day_count(spark, d),
         expected_min_dt=_raw_first_day(spark, d),
     )
-    checks = spark.read.json(path).select(F.explode("checks").alias("c")).select("c.*")
-    return checks.select(F.col("check_id").cast("int").alias("check_id"), "name", "status", "expected", "actual", "detail")
+    # expected/actual read as text: counts as digits, lists and ranges as compact JSON
+    schema = (
+        "generated_at string, database string, table string, checks array<struct<id:int, name:string, "
+        "status:string, expected:string, actual:string, sql:string, detail:string>>, "
+        "summary struct<pass:bigint, fail:bigint, overall:string>"
+    )
+    checks = spark.read.schema(schema).json(path).select(F.explode("checks").alias("c")).select("c.*")
+    return checks.select(F.col("id").alias("check_id"), "name", "status", "expected", "actual", "sql", "detail")
 
 
 def _runlog_round_trip(spark, d):

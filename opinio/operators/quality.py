@@ -28,6 +28,20 @@ CHECK_NAMES = (
 )
 
 
+# Per-check SQL over the product table, in report order (the report's ``sql``
+# field; the checks themselves run as one aggregation).
+CHECK_SQL = (
+    (1, "SELECT COUNT(DISTINCT dt) FROM {table}"),
+    (2, "SELECT DISTINCT age_band FROM {table} ORDER BY age_band"),
+    (3, "SELECT DISTINCT sentiment FROM {table} ORDER BY sentiment"),
+    (4, "SELECT COUNT(*) FROM {table} WHERE age_band IS NULL"),
+    (5, "SELECT COUNT(*) FROM {table} WHERE sentiment IS NULL"),
+    (6, "SELECT MIN(dt), MAX(dt) FROM {table}"),
+)
+# How each check's expected/actual text reads as a typed value.
+CHECK_KINDS = {1: "scalar", 2: "set", 3: "set", 4: "scalar", 5: "scalar", 6: "range"}
+
+
 class EmptyPartition(RuntimeError):
     """The gate found zero product rows for a day."""
 
@@ -50,6 +64,12 @@ def _set_text(arr: Column) -> Column:
     return F.array_join(F.array_sort(arr), ",")
 
 
+def _list_repr(arr: Column) -> Column:
+    """A label list as Python prints it: ``['Adulto', 'Jovem']``."""
+    quoted = F.transform(arr, lambda x: F.concat(F.lit("'"), x, F.lit("'")))
+    return F.concat(F.lit("["), F.array_join(quoted, ", "), F.lit("]"))
+
+
 def table_stats(product: DataFrame) -> DataFrame:
     """A7-A12 in one aggregation; returns one row.
 
@@ -104,9 +124,9 @@ def quality_checks(
         (F.col("n_dt") == n_exp, n_exp.cast("string"), F.col("n_dt").cast("string"),
          F.concat(F.lit("count="), F.col("n_dt").cast("string"))),
         (set_equal(F.col("age_bands"), bands_exp), _set_text(bands_exp), _set_text(F.col("age_bands")),
-         F.concat(F.lit("values="), F.array_join(F.col("age_bands"), ","))),
+         F.concat(F.lit("values="), _list_repr(F.col("age_bands")))),
         (set_equal(F.col("sentiments"), sents_exp), _set_text(sents_exp), _set_text(F.col("sentiments")),
-         F.concat(F.lit("values="), F.array_join(F.col("sentiments"), ","))),
+         F.concat(F.lit("values="), _list_repr(F.col("sentiments")))),
         (F.col("null_age_band") == 0, F.lit("0"), F.col("null_age_band").cast("string"),
          F.concat(F.lit("count="), F.col("null_age_band").cast("string"))),
         (F.col("null_sentiment") == 0, F.lit("0"), F.col("null_sentiment").cast("string"),

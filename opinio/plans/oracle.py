@@ -137,17 +137,21 @@ stats AS (
 ),
 s AS (SELECT *, CAST(min_exp + CAST(n_exp - 1 AS INTEGER) AS DATE) AS max_exp,
              coalesce(array_to_string(bands, ','), '') AS bands_txt,
-             coalesce(array_to_string(sents, ','), '') AS sents_txt FROM stats)
+             coalesce(array_to_string(sents, ','), '') AS sents_txt,
+             CASE WHEN coalesce(len(bands), 0) = 0 THEN '[]'
+                  ELSE '[''' || array_to_string(bands, ''', ''') || ''']' END AS bands_repr,
+             CASE WHEN coalesce(len(sents), 0) = 0 THEN '[]'
+                  ELSE '[''' || array_to_string(sents, ''', ''') || ''']' END AS sents_repr FROM stats)
 SELECT 1 AS check_id, 'COUNT DISTINCT dt' AS name,
        CASE WHEN n_dt = n_exp THEN 'PASS' ELSE 'FAIL' END AS status,
        CAST(n_exp AS VARCHAR) AS expected, CAST(n_dt AS VARCHAR) AS actual,
        'count=' || CAST(n_dt AS VARCHAR) AS detail FROM s
 UNION ALL
 SELECT 2, 'DISTINCT age_band', CASE WHEN bands_txt = '{exp_bands}' THEN 'PASS' ELSE 'FAIL' END,
-       '{exp_bands}', bands_txt, 'values=' || bands_txt FROM s
+       '{exp_bands}', bands_txt, 'values=' || bands_repr FROM s
 UNION ALL
 SELECT 3, 'DISTINCT sentiment', CASE WHEN sents_txt = '{exp_sents}' THEN 'PASS' ELSE 'FAIL' END,
-       '{exp_sents}', sents_txt, 'values=' || sents_txt FROM s
+       '{exp_sents}', sents_txt, 'values=' || sents_repr FROM s
 UNION ALL
 SELECT 4, 'age_band IS NULL', CASE WHEN null_bands = 0 THEN 'PASS' ELSE 'FAIL' END,
        '0', CAST(null_bands AS VARCHAR), 'count=' || CAST(null_bands AS VARCHAR) FROM s
@@ -176,6 +180,30 @@ batches AS (
 )"""
 
 
+def _report_json_sql(target: str = "customer_sentiment.customer_sentiment_by_age") -> str:
+    """The report's checks as written to JSON and read back with text values."""
+    from opinio.operators.quality import CHECK_SQL
+
+    sql = " ".join(f"WHEN {cid} THEN '{text.format(table=target)}'" for cid, text in CHECK_SQL)
+
+    def as_json(x: str) -> str:
+        return (
+            f"CASE WHEN {x} IS NULL THEN NULL "
+            f"WHEN check_id IN (2, 3) THEN CASE WHEN {x} = '' THEN '[]' "
+            f"ELSE '[\"' || replace({x}, ',', '\",\"') || '\"]' END "
+            f"WHEN check_id = 6 THEN CASE WHEN {x} = '' THEN '{{\"min\":null,\"max\":null}}' "
+            f"ELSE '{{\"min\":\"' || split_part({x}, '..', 1) || '\",\"max\":\"' "
+            f"|| split_part({x}, '..', 2) || '\"}}' END "
+            f"ELSE {x} END"
+        )
+
+    return (
+        f"WITH checks AS ({_checks_sql()})\n"
+        f"SELECT check_id, name, status, {as_json('expected')} AS expected, {as_json('actual')} AS actual, "
+        f"CASE check_id {sql} END AS sql, detail FROM checks"
+    )
+
+
 def queries_sql() -> dict[str, str]:
     trusted_cols = (
         "clothing_id, age, review_text, rating, recommended_ind, department_name, dt, age_band"
@@ -236,7 +264,7 @@ def queries_sql() -> dict[str, str]:
         "CASE WHEN count(*) FILTER (WHERE status <> 'PASS') = 0 THEN 'PASS' ELSE 'FAIL' END AS overall "
         "FROM checks"
     )
-    q["quality_report_json"] = q["quality_report"]
+    q["quality_report_json"] = _report_json_sql()
     q["partition_counts"] = (
         f"WITH {REVIEWS_CTE},{TRUSTED_CTE},{PRODUCT_CTE},{DAYS_CTE}\n"
         "SELECT d.dt, coalesce(c.row_count, 0) AS row_count FROM days d "

@@ -16,7 +16,7 @@ def run_quality_report(
     spark: SparkSession,
     load_product,
     report_path: str | None = None,
-    target: str = "customer_sentiment_by_age",
+    target: str = "customer_sentiment.customer_sentiment_by_age",
     **expectations,
 ) -> tuple[DataFrame, dict | None, int]:
     """Returns (checks, report document or None, exit code)."""

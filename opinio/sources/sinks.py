@@ -95,22 +95,56 @@ def write_leaf_csv(df: DataFrame, root: str, day: str | _dt.date) -> str:
     return path
 
 
+def _typed(kind: str, text: str | None):
+    """A check's expected/actual text as the report's typed JSON value."""
+    if text is None:
+        return None
+    if kind == "scalar":
+        return int(text)
+    if kind == "set":
+        return [v for v in text.split(",") if v]
+    low, _, high = text.partition("..")
+    return {"min": low or None, "max": high or None}
+
+
 def write_report(checks: DataFrame, summary: DataFrame, path: str, target: str) -> dict:
-    """One JSON document: generated_at, target, checks, summary.
+    """One JSON document: generated_at, database, table, checks, summary.
 
-    The check frame has one row per check (six), so it is gathered whole; the
-    document is written as a single-line JSON file.
+    Each check carries ``id, name, status, expected, actual, sql, detail``;
+    expected/actual are typed (a count, a sorted label list, or a
+    ``{min, max}`` date range).  The check frame has one row per check (six),
+    so it is gathered whole; the document is written as a single-line JSON
+    file.
     """
-    rows = [r.asDict() for r in checks.orderBy("check_id").collect()]
+    from opinio.operators.quality import CHECK_KINDS, CHECK_SQL
+
+    database, _, table = target.rpartition(".")
+    sql = dict(CHECK_SQL)
+    rows = []
+    for r in checks.orderBy("check_id").collect():
+        cid, kind = r["check_id"], CHECK_KINDS[r["check_id"]]
+        rows.append(
+            {
+                "id": cid,
+                "name": r["name"],
+                "status": r["status"],
+                "expected": _typed(kind, r["expected"]),
+                "actual": _typed(kind, r["actual"]),
+                "sql": sql[cid].format(table=target),
+                "detail": r["detail"],
+            }
+        )
     summ = summary.first().asDict()
     doc = {
         "generated_at": _dt.datetime.now(_dt.timezone.utc).replace(microsecond=0).isoformat().replace("+00:00", "Z"),
-        "target": target,
+        "database": database or None,
+        "table": table,
         "checks": rows,
         "summary": {"pass": summ["pass_count"], "fail": summ["fail_count"], "overall": summ["overall"]},
     }
     spark = checks.sparkSession
-    spark.createDataFrame([(json.dumps(doc, ensure_ascii=False),)], "value string").coalesce(1).write.mode(
+    text = json.dumps(doc, ensure_ascii=False, separators=(",", ":"))
+    spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode(
         "overwrite"
     ).text(path)
     return doc

@@ -48,7 +48,17 @@ def test_wrong_expectation_fails(spark, workdir):
     assert doc["summary"] == {"pass": 4, "fail": 2, "overall": "FAIL"}
     files = [f for f in os.listdir(workdir + "/report") if f.startswith("part-")]
     with open(os.path.join(workdir, "report", files[0]), encoding="utf-8") as fh:
-        assert json.loads(fh.read())["checks"][0]["name"] == "COUNT DISTINCT dt"
+        written = json.loads(fh.read())
+    assert written["checks"][0]["name"] == "COUNT DISTINCT dt"
+    assert (written["database"], written["table"]) == ("customer_sentiment", "customer_sentiment_by_age")
+    by_id = {c["id"]: c for c in written["checks"]}
+    assert list(by_id[1]) == ["id", "name", "status", "expected", "actual", "sql", "detail"]
+    assert (by_id[1]["expected"], by_id[1]["actual"], by_id[1]["detail"]) == (100, 30, "count=30")
+    assert by_id[2]["expected"] == ["Adulto", "Jovem", "Madura", "Sênior"] == by_id[2]["actual"]
+    assert by_id[2]["detail"] == "values=['Adulto', 'Jovem', 'Madura', 'Sênior']"
+    assert by_id[6]["expected"] == {"min": "2024-01-01", "max": "2024-04-09"}
+    assert by_id[6]["actual"] == {"min": "2024-01-01", "max": "2024-01-30"}
+    assert by_id[4]["sql"] == "SELECT COUNT(*) FROM customer_sentiment.customer_sentiment_by_age WHERE age_band IS NULL"
 
 
 def test_failing_scan_becomes_fail_rows(spark):
