@@ -34,6 +34,7 @@ class BackfillResult:
     days: list[str]
     log: DataFrame | None
     exit_code: int
+    error: str | None = None
 
 
 def select_days(spark: SparkSession, lake: Lake, start_from: str | None = None) -> DataFrame:
@@ -73,10 +74,15 @@ def backfill(
 ) -> BackfillResult:
     """List -> filter -> run all days -> status log + exit code.
 
-    ``dry_run`` only lists.  The day list is bounded by the number of
-    partitions, so it is held on the driver.
+    Exit code 0 when every day succeeded (or nothing was listed), 1 when a day
+    failed, 2 when the raw layer could not be listed.  ``dry_run`` only
+    lists.  The day list is bounded by the number of partitions, so it is
+    held on the driver.
     """
-    days = [r["dt"] for r in select_days(spark, lake, start_from).collect()]
+    try:
+        days = [r["dt"] for r in select_days(spark, lake, start_from).collect()]
+    except Exception as exc:  # the raw layer could not be listed: nothing ran
+        return BackfillResult([], None, 2, f"{type(exc).__name__}: {str(exc)[:300]}")
     if dry_run or not days:
         return BackfillResult(days, None, 0)
     started = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)

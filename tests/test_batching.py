@@ -111,3 +111,29 @@ def test_ingest_many_files_without_broadcast(spark, workdir, monkeypatch):
     back = raw_scan(spark, workdir + "/raw")
     got = {r["Clothing ID"]: r["batch"] for r in back.select("Clothing ID", "batch").collect()}
     assert got == {k: f"batch_{i // 100 + 1:03d}" for i, k in enumerate(in_file_order)}
+
+
+def test_ingest_on_a_raw_layer_with_batch_files(spark, workdir):
+    """A raw root holding ``dt=.../batch_001.csv`` files: those batches are kept,
+    the missing ones are added as batch folders, and the mixed layout reads whole."""
+    import csv
+    import os
+
+    root = workdir + "/raw"
+    os.makedirs(root + "/dt=2024-03-10")
+    with open(root + "/dt=2024-03-10/batch_001.csv", "w", newline="", encoding="utf-8") as fh:
+        w = csv.writer(fh)
+        w.writerow(["k", "text"])
+        w.writerows([(i, f"text {i}") for i in range(100)])
+    assert {(r.dt.isoformat(), r.batch) for r in list_batches(spark, root).collect()} == {("2024-03-10", "batch_001")}
+
+    src = spark.range(250).select(F.col("id").alias("k"), F.concat(F.lit("text "), F.col("id")).alias("text"))
+    res = ingest(spark, src, root, "k", "2024-03-10", 100)
+    assert res.summary.first().asDict() == {"sent": 2, "ignored": 1, "errors": 0, "total": 3}
+
+    back = raw_scan(spark, root)
+    assert back.count() == 250
+    keys = {(r.dt.isoformat(), r.batch) for r in back.select("dt", "batch").distinct().collect()}
+    assert keys == {("2024-03-10", "batch_001"), ("2024-03-11", "batch_002"), ("2024-03-12", "batch_003")}
+    days = raw_scan(spark, root, days=["2024-03-10", "2024-03-11", "2024-03-12"])
+    assert "batch" not in days.columns and days.count() == 250

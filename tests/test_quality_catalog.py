@@ -192,3 +192,11 @@ def test_normalize_prefix():
     assert normalize_prefix(" /reviews ") == "reviews/"
     assert normalize_prefix("reviews/") == "reviews/"
     assert normalize_prefix("") == ""
+
+
+def test_backfill_listing_error_exits_2(spark):
+    from opinio.plans.backfill import backfill
+    from opinio.plans.layout import Lake
+
+    res = backfill(spark, Lake.under("nosuchfs://bucket/lake"))
+    assert res.exit_code == 2 and res.log is None and res.days == [] and res.error
