@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from opinio.functions.dates import iso
-from opinio.functions.rules import num, sentiment
+from opinio.functions.rules import sentiment
 from opinio.schemas import PRODUCT_COLUMNS
 
 GROUP_KEYS = ("age_band", "department_name", "sentiment")
@@ -30,8 +30,14 @@ def review_count() -> Column:
 
 
 def avg_rating() -> Column:
-    """A3: mean rating, HALF_UP to two decimals; unreadable ratings are skipped."""
-    return F.round(F.avg(num("rating")), 2).alias("avg_rating")
+    """A3: mean rating, HALF_UP to two decimals.
+
+    The rating is read with Spark's own cast to double, as the job being
+    matched does (not the Python rule the sentiment uses): ``try_cast`` is that
+    cast without ANSI's failure, so unreadable ratings are skipped, while text
+    such as ``1d``, `` 4 `` or ``nan`` reads as the cast reads it.
+    """
+    return F.round(F.avg(F.col("rating").try_cast("double")), 2).alias("avg_rating")
 
 
 def product(trusted: DataFrame) -> DataFrame:

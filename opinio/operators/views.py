@@ -17,9 +17,17 @@ def total_reviews() -> Column:
 
 
 def mean_of_means() -> Column:
-    cents = F.col("avg_rating").cast("decimal(10,2)")
-    mean = F.sum(cents) / F.nullif(F.count(cents), F.lit(0)).cast("decimal(20,0)")
-    return F.round(mean, 2).cast("double").alias("media_nota")
+    """``ROUND(AVG(avg_rating), 2)`` computed exactly over two-decimal cents.
+
+    A cell mean can be NaN or infinite when ratings read as such (``nan``,
+    ``inf``).  A group holding one takes the plain double average, which
+    propagates them as the saved query's double average would.
+    """
+    x = F.col("avg_rating")
+    cents = x.try_cast("decimal(10,2)")
+    exact = F.round(F.sum(cents) / F.nullif(F.count(cents), F.lit(0)).cast("decimal(20,0)"), 2).cast("double")
+    special = F.max((F.isnan(x) | (F.abs(x) == F.lit(float("inf")))).cast("int")) == F.lit(1)
+    return F.when(special, F.round(F.avg(x), 2)).otherwise(exact).alias("media_nota")
 
 
 def vw_sentiment_by_age(product: DataFrame) -> DataFrame:

@@ -92,7 +92,7 @@ product AS (
          CAST(round(CAST(avg(rnum) AS DECIMAL(18,10)), 2) AS DOUBLE) AS avg_rating,
          dt
   FROM (SELECT dt, age_band, department_name, {sentiment('rating', 'recommended_ind')} AS sentiment,
-               {num('rating')} AS rnum
+               try_cast(rating AS DOUBLE) AS rnum
         FROM trusted
         WHERE age_band IS NOT NULL AND department_name IS NOT NULL)
   GROUP BY dt, age_band, department_name, sentiment

@@ -200,3 +200,20 @@ def test_backfill_listing_error_exits_2(spark):
 
     res = backfill(spark, Lake.under("nosuchfs://bucket/lake"))
     assert res.exit_code == 2 and res.log is None and res.days == [] and res.error
+
+
+def test_t2_mean_reads_ratings_with_the_spark_cast(spark):
+    """The mean uses Spark's cast (as the job does); the sentiment uses the Python rule."""
+    from opinio.operators.aggregate import product
+    from opinio.operators.views import vw_sentiment_by_age
+
+    schema = "review_text string, age string, rating string, recommended_ind string, department_name string"
+    rows = [("x", "25", " 4 ", "1", "D"), ("x", "25", "1d", "1", "D"), ("x", "25", "1_000", "1", "D")]
+    got = {r.sentiment: (r.review_count, r.avg_rating) for r in product(clean(spark.createDataFrame(rows, schema))).collect()}
+    # sentiment: " 4 " -> 4 Positivo, "1d" -> unreadable -> Negativo, "1_000" -> 1000 Positivo;
+    # mean: " 4 " -> 4.0, "1d" -> 1.0, "1_000" -> unreadable
+    assert got == {"Positivo": (2, 4.0), "Negativo": (1, 1.0)}
+    nan_rows = [("x", "25", "nan", "1", "D"), ("x", "40", "4", "1", "D")]
+    prod = product(clean(spark.createDataFrame(nan_rows, schema)))
+    view = {r.age_band: r.media_nota for r in vw_sentiment_by_age(prod).collect()}
+    assert view["Adulto"] == 4.0 and view["Jovem"] != view["Jovem"]  # NaN propagates, no failure
