@@ -32,7 +32,7 @@ import math
 from collections import Counter
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -45,6 +45,38 @@ _SUB = "_opinio_sub"
 _INF = float("inf")
 
 
+def _order_key(df: DataFrame, column: str, for_ties: bool = False) -> Column | None:
+    """A double that never decreases along ``column``'s ascending order.
+
+    Numbers as themselves, dates as day numbers, timestamps as microseconds
+    (exact); for tie-break columns only, strings by their first six UTF-8
+    bytes (equal prefixes merely share a sub-range).  ``None`` when the type
+    has no such key.
+    """
+    dtype = df.schema[column].dataType
+    c = F.col(column)
+    if isinstance(dtype, (T.NumericType, T.BooleanType)):
+        return c.cast("double")
+    if isinstance(dtype, T.DateType):
+        return F.unix_date(c).cast("double")
+    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
+        return F.unix_micros(c.cast("timestamp")).cast("double")
+    if for_ties and isinstance(dtype, T.StringType):
+        prefix = F.rpad(F.hex(F.substring(F.encode(c, "UTF-8"), 1, 6)), 12, "0")
+        return F.conv(prefix, 16, 10).cast("double")
+    return None
+
+
+def _lead_key(df: DataFrame, lead: str) -> Column:
+    key = _order_key(df, lead)
+    if key is None:
+        raise TypeError(
+            f"the first order column {lead!r} must be a number, date or timestamp "
+            f"(got {df.schema[lead].dataType.simpleString()}); strings may follow it as tie-breakers"
+        )
+    return key
+
+
 def _range_count(df: DataFrame, num_ranges: int | None) -> int:
     if num_ranges:
         return max(1, int(num_ranges))
@@ -59,7 +91,7 @@ def order_stats(df: DataFrame, lead: str, num_ranges: int | None = None) -> tupl
     """
     n_ranges = _range_count(df, num_ranges)
     probs = [i / n_ranges for i in range(1, n_ranges)]
-    key = F.col(lead).cast("double")
+    key = _lead_key(df, lead)
     aggs = [F.count(F.lit(1)).alias("n")]
     if probs:
         aggs.append(F.percentile_approx(key, probs, max(10_000, 4 * n_ranges)).alias("cuts"))
@@ -68,10 +100,6 @@ def order_stats(df: DataFrame, lead: str, num_ranges: int | None = None) -> tupl
     return int(row["n"]), sorted(c for c in cuts if c is not None and c == c)
 
 
-def _is_numeric(df: DataFrame, column: str) -> bool:
-    return isinstance(df.schema[column].dataType, T.NumericType)
-
-
 def _sub_ranges(ranged: DataFrame, cols: list[str], hot: dict[float, int], pieces: int) -> DataFrame:
     """Cut each hot value's range by quantiles of the second order column.
 
@@ -81,7 +109,7 @@ def _sub_ranges(ranged: DataFrame, cols: list[str], hot: dict[float, int], piece
     ``ranges / 2`` hot values, and only a few when a few keys are hot.
     """
     lead, second = cols[0], cols[1]
-    tie = F.coalesce(F.col(second).cast("double"), F.lit(-_INF))  # nulls sort first
+    tie = F.coalesce(_order_key(ranged, second, for_ties=True), F.lit(-_INF))  # nulls sort first
     probs = [i / pieces for i in range(1, pieces)]
     stats = (
         ranged.where(F.col(_KEY).isin(list(hot)))
@@ -132,11 +160,11 @@ def range_ids(
     # A hot value v gets the range [v, next double after v) to itself.
     edges = sorted(set(cuts) | {math.nextafter(v, _INF) for v in hot})
     splits = [-_INF] + edges + [_INF]
-    keyed = df.withColumn(_KEY, F.col(lead).cast("double"))
+    keyed = df.withColumn(_KEY, _lead_key(df, lead))
     ranged = Bucketizer(splits=splits, inputCol=_KEY, outputCol=_RANGE, handleInvalid="keep").transform(keyed)
     # A null lead sorts first (ascending order puts nulls first).
     ranged = ranged.withColumn(_RANGE, F.coalesce(F.col(_RANGE).cast("int"), F.lit(-1)))
-    if not hot or len(cols) < 2 or not _is_numeric(df, cols[1]):
+    if not hot or len(cols) < 2 or _order_key(df, cols[1], for_ties=True) is None:
         return ranged.drop(_KEY)
     pieces = max(repeats[v] for v in hot) + 1
     own = {v: splits.index(v) for v in hot}  # range id of the range starting at v

@@ -98,3 +98,21 @@ def test_lineitem_line_numbers_are_hot_at_32_ranges(spark):
         f"FROM read_parquet('{path}')"
     ).fetchall()
     assert got == {(k, n): i for k, n, i in expected}
+
+
+def test_hot_date_lead_with_string_ties(spark):
+    """A date lead with one day holding a third of the rows; string ids break ties."""
+    import datetime as dt
+
+    import pytest
+
+    hot = dt.date(2024, 3, 1)
+    rows = [(hot, f"id-{i:05d}") for i in range(4000)]
+    rows += [(dt.date(2020, 1, 1) + dt.timedelta(days=i % 3000), f"x{i}") for i in range(8000)]
+    df = spark.createDataFrame(rows, "d date, s string")
+    sizes = [r["count"] for r in range_ids(df, ["d", "s"], num_ranges=8).groupBy(_RANGE).count().collect()]
+    assert max(sizes) <= 2 * (len(rows) / 8)
+    got = {(r.d, r.s): r.row_index for r in with_row_index(df, ["d", "s"], num_ranges=8).collect()}
+    assert got == {k: i for i, k in enumerate(sorted(rows))}
+    with pytest.raises(TypeError, match="first order column"):
+        with_row_index(df, ["s", "d"], num_ranges=8)
