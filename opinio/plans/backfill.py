@@ -3,9 +3,10 @@
 The reference runs one orchestrated execution per day, strictly in sequence.
 Here all selected days are cleaned in one job and aggregated in one job
 (``dt`` is a group key); a day is then SUCCEEDED when its product partition
-has rows and FAILED with ``EmptyPartition`` otherwise.  If the multi-day job
-itself fails, the days are retried one by one so a bad day cannot fail the
-others.
+has rows and FAILED with ``EmptyPartition`` otherwise.  A folder whose name
+is not a ``YYYY-MM-DD`` date fails on its own before any job runs.  If the
+multi-day job itself fails, the days are split in halves and retried, so a
+bad day fails alone while the others still run as a few multi-day jobs.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opinio.functions.dates import coalesce_text, elapsed_seconds, iso
+from opinio.functions.dates import InvalidDate, coalesce_text, elapsed_seconds, iso
 from opinio.operators.aggregate import product
 from opinio.operators.clean import clean
 from opinio.operators.quality import EmptyPartition, partition_counts
@@ -85,28 +86,62 @@ def backfill(
         return BackfillResult([], None, 2, f"{type(exc).__name__}: {str(exc)[:300]}")
     if dry_run or not days:
         return BackfillResult(days, None, 0)
-    started = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+    records = [_invalid_day(d) for d in days if not _is_day(d)]
+    valid = [d for d in days if _is_day(d)]
+    if valid:
+        records += _run_group(spark, lake, valid, table)
+    log = spark.createDataFrame(sorted(records, key=lambda r: r[0]), RUNLOG_SCHEMA)
+    failed = sum(1 for r in records if r[1] != "SUCCEEDED")
+    return BackfillResult(days, log, 1 if failed else 0)
+
+
+def _now() -> _dt.datetime:
+    return _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+
+
+def _is_day(name: str) -> bool:
+    """A ``dt=`` folder name in canonical ``YYYY-MM-DD`` form."""
+    try:
+        return iso(name) == name
+    except InvalidDate:
+        return False
+
+
+def _invalid_day(name: str) -> tuple:
+    return (name, "FAILED", 0.0, f"InvalidDate | folder dt={name} is not a YYYY-MM-DD date")
+
+
+def _run_group(spark: SparkSession, lake: Lake, days: list[str], table: str | None) -> list[tuple]:
+    """Log rows for ``days``, run as one multi-day job.
+
+    If the job fails, the group is split in halves and each half retried the
+    same way, so the good days still run in about ``2 * log2(days)`` jobs; a
+    single failing day is run on its own for its typed error.  Re-running
+    days is safe: every write is a whole-day overwrite.
+    """
+    started = _now()
     try:
         counts = run_days(spark, lake, days, table)
-        stopped = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-        # The log records this run: its rows (one per day) are fixed now, not
-        # re-derived later from a product that later runs may change.
-        log = spark.createDataFrame(status_log(counts, started, stopped, len(days)).collect(), RUNLOG_SCHEMA)
-    except Exception:  # fall back to day-by-day so one bad day fails alone
-        records = []
-        for d in days:
-            t0 = time.monotonic()
-            try:
-                run_day(spark, lake, d, table)
-                status, error = "SUCCEEDED", ""
-            except EmptyPartition as exc:
-                status, error = "FAILED", f"EmptyPartition | {exc}"
-            except Exception as exc:
-                status, error = "FAILED", f"{type(exc).__name__} | {str(exc)[:300]}"
-            records.append((d, status, round(max(0.0, time.monotonic() - t0), 1), error))
-        log = spark.createDataFrame(records, RUNLOG_SCHEMA)
-    failed = log.where(F.col("status") != "SUCCEEDED").count()
-    return BackfillResult(days, log, 1 if failed else 0)
+        # The log records this run: its rows are fixed now, not re-derived
+        # later from a product that later runs may change.
+        return [tuple(r) for r in status_log(counts, started, _now(), len(days)).collect()]
+    except Exception:
+        if len(days) == 1:
+            return [_single_day(spark, lake, days[0], table)]
+        mid = len(days) // 2
+        return _run_group(spark, lake, days[:mid], table) + _run_group(spark, lake, days[mid:], table)
+
+
+def _single_day(spark: SparkSession, lake: Lake, day: str, table: str | None) -> tuple:
+    t0 = time.monotonic()
+    try:
+        run_day(spark, lake, day, table)
+        status, error = "SUCCEEDED", ""
+    except EmptyPartition as exc:
+        status, error = "FAILED", f"EmptyPartition | {exc}"
+    except Exception as exc:
+        status, error = "FAILED", f"{type(exc).__name__} | {str(exc)[:300]}"
+    return (day, status, round(max(0.0, time.monotonic() - t0), 1), error)
 
 
 def status_log(counts: DataFrame, started: _dt.datetime, stopped: _dt.datetime, n_days: int) -> DataFrame:

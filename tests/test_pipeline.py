@@ -141,3 +141,59 @@ def test_backfill_then_emptied_day_in_one_job(spark, workdir):
     counts = {r.dt.isoformat(): r.row_count for r in run_days(spark, lake, [first, "2024-01-02"]).collect()}
     assert counts[first] == 0 and counts["2024-01-02"] > 0
     assert trusted_scan(spark, lake.trusted, first).count() == 0
+
+
+def _event_lake(spark, workdir):
+    lake = Lake.under(workdir)
+    write_raw_days_csv(derived.event_reviews(spark, SF001), lake.raw)
+    return lake
+
+
+def test_backfill_invalid_day_folder_fails_alone(spark, workdir, monkeypatch):
+    import opinio.plans.backfill as bf
+
+    import shutil
+
+    from opinio.sources.files import CSV_WRITE_OPTIONS
+
+    lake = _event_lake(spark, workdir)
+    sample = workdir + "/sample_csv"
+    derived.event_reviews(spark, SF001).drop("dt").coalesce(1).write.options(**CSV_WRITE_OPTIONS).csv(sample)
+    for bad in ("2024-13-45", "2024-1-5"):
+        shutil.copytree(sample, f"{lake.raw}/dt={bad}")
+    single_runs = []
+    monkeypatch.setattr(bf, "run_day", lambda *a, **k: single_runs.append(a[2]))
+    res = backfill(spark, lake)
+    rows = {r.dt: (r.status, r.error) for r in res.log.collect()}
+    assert res.exit_code == 1 and len(rows) == 32
+    assert rows["2024-13-45"][0] == "FAILED" and rows["2024-13-45"][1].startswith("InvalidDate")
+    assert rows["2024-1-5"][0] == "FAILED"
+    assert sum(1 for s, _ in rows.values() if s == "SUCCEEDED") == 30
+    assert single_runs == []  # no day-by-day fallback
+
+
+def test_backfill_bisects_around_a_failing_day(spark, workdir, monkeypatch):
+    import opinio.plans.backfill as bf
+
+    lake = _event_lake(spark, workdir)
+    bad = "2024-01-17"
+    real_run_days, calls = bf.run_days, []
+
+    def flaky_run_days(spark_, lake_, days, table=None):
+        calls.append(len(days))
+        if bad in days:
+            raise RuntimeError("disk full")
+        return real_run_days(spark_, lake_, days, table)
+
+    def failing_run_day(spark_, lake_, day, table=None):
+        raise RuntimeError(f"disk full on {day}")
+
+    monkeypatch.setattr(bf, "run_days", flaky_run_days)
+    monkeypatch.setattr(bf, "run_day", failing_run_day)
+    res = backfill(spark, lake)
+    rows = {r.dt: (r.status, r.error) for r in res.log.collect()}
+    assert res.exit_code == 1 and len(rows) == 30
+    assert [d for d, (s, _) in rows.items() if s != "SUCCEEDED"] == [bad]
+    assert rows[bad][1].startswith("RuntimeError | disk full")
+    assert len(calls) <= 2 * 5 + 1  # about 2 * log2(30) multi-day jobs, not 30 single-day runs
+    assert sum(n for n in calls if n) >= 30
