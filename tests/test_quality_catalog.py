@@ -123,6 +123,16 @@ def test_registered_table_and_contract(spark, workdir):
     assert st["review_count"] == "TYPE_CHANGED" and st["extra"] == "UNEXPECTED"
     names = register_views(t)
     assert spark.table(names[0]).count() == views.vw_sentiment_by_age(_product(spark)).count()
+    # The saved queries' latency limit: each under 10 s over the registered table.
+    import time
+
+    for name in names:
+        t0 = time.perf_counter()
+        spark.sql(f"SELECT * FROM {name}").collect()
+        assert time.perf_counter() - t0 < 10, name
+    t0 = time.perf_counter()
+    quality.quality_checks(t, 30, "2024-01-01").collect()
+    assert time.perf_counter() - t0 < 10
 
 
 # ---- trap tests -----------------------------------------------------------
