@@ -86,13 +86,23 @@ def backfill(
         return BackfillResult([], None, 2, f"{type(exc).__name__}: {str(exc)[:300]}")
     if dry_run or not days:
         return BackfillResult(days, None, 0)
+    records = run_and_log(spark, lake, days, table)
+    log = spark.createDataFrame(records, RUNLOG_SCHEMA)
+    failed = sum(1 for r in records if r[1] != "SUCCEEDED")
+    return BackfillResult(days, log, 1 if failed else 0)
+
+
+def run_and_log(spark: SparkSession, lake: Lake, days: list[str], table: str | None = None) -> list[tuple]:
+    """Run ``days`` and return their run-log rows ``(dt, status, duration_s, error)``.
+
+    Folder names that are not dates fail alone; the rest run as multi-day
+    jobs, bisected around failures (see ``_run_group``).
+    """
     records = [_invalid_day(d) for d in days if not _is_day(d)]
     valid = [d for d in days if _is_day(d)]
     if valid:
         records += _run_group(spark, lake, valid, table)
-    log = spark.createDataFrame(sorted(records, key=lambda r: r[0]), RUNLOG_SCHEMA)
-    failed = sum(1 for r in records if r[1] != "SUCCEEDED")
-    return BackfillResult(days, log, 1 if failed else 0)
+    return sorted(records, key=lambda r: r[0])
 
 
 def _now() -> _dt.datetime:

@@ -18,7 +18,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opinio.plans.backfill import run_days
+from opinio.plans.backfill import run_and_log
+from opinio.schemas import RUNLOG_SCHEMA
 from opinio.plans.layout import Lake
 
 
@@ -45,18 +46,27 @@ def process_new_days(
     table: str | None = None,
     available_now: bool = True,
     processing_time: str | None = None,
+    run_log: str | None = None,
 ):
     """Start the stream; returns the ``StreamingQuery``.
 
-    With ``available_now`` the query stops by itself once every landed file
-    has been handled; otherwise it polls every ``processing_time``.
+    Each micro-batch runs its days like a backfill (a day that fails, or a
+    folder that is not a date, fails alone and does not stall the stream) and
+    writes its run log to ``run_log/epoch=N`` (default: next to the
+    checkpoint).  A replayed micro-batch overwrites its own epoch, so the log
+    stays exact.  With ``available_now`` the query stops by itself once every
+    landed file has been handled; otherwise it polls every
+    ``processing_time``.
     """
+    log_root = (run_log or f"{checkpoint.rstrip('/')}_runlog").rstrip("/")
 
     def handle(batch: DataFrame, epoch_id: int) -> None:
         # Bounded: the distinct days of one micro-batch.
         days = sorted(r["dt"] for r in batch.distinct().collect())
         if days:
-            run_days(spark, lake, days, table)
+            records = run_and_log(spark, lake, days, table)
+            log = spark.createDataFrame(records, RUNLOG_SCHEMA)
+            log.coalesce(1).write.mode("overwrite").parquet(f"{log_root}/epoch={epoch_id}")
 
     writer = landed_days(spark, lake).writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
     if available_now:

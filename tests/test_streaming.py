@@ -61,3 +61,25 @@ def test_stream_lists_paths_only(spark, workdir, capsys):
     assert len(days) == 30 and all(len(d) == 10 for d in days)
     read_schema = [line for line in plan.splitlines() if "ReadSchema" in line]
     assert read_schema and all("content" not in line for line in read_schema)  # file bytes never read
+
+
+def test_bad_day_folder_does_not_stall_the_stream(spark, workdir):
+    import shutil
+
+    from opinio.sources.files import CSV_WRITE_OPTIONS
+
+    reviews = derived.event_reviews(spark, SF001)
+    lake = Lake.under(workdir)
+    ckpt = workdir + "/_stream"
+    write_raw_days_csv(reviews.where(F.dayofmonth("dt") <= 3), lake.raw, mode="append")
+    sample = workdir + "/sample_csv"
+    reviews.drop("dt").limit(5).coalesce(1).write.options(**CSV_WRITE_OPTIONS).csv(sample)
+    shutil.copytree(sample, f"{lake.raw}/dt=2024-02-31")
+    process_new_days(spark, lake, ckpt).awaitTermination()
+    assert product_scan(spark, lake.product).select("dt").distinct().count() == 3
+    log = {r.dt: r.status for r in spark.read.parquet(ckpt + "_runlog").collect()}
+    assert log == {"2024-01-01": "SUCCEEDED", "2024-01-02": "SUCCEEDED", "2024-01-03": "SUCCEEDED", "2024-02-31": "FAILED"}
+    # a later delivery is still picked up
+    write_raw_days_csv(reviews.where(F.dayofmonth("dt") == 4), lake.raw, mode="append")
+    process_new_days(spark, lake, ckpt).awaitTermination()
+    assert product_scan(spark, lake.product).select("dt").distinct().count() == 4
