@@ -77,12 +77,22 @@ def _lead_key(df: DataFrame, lead: str) -> Column:
     return key
 
 
+# Rows one numbering task sorts, at most, when the row count is known.
+ROWS_PER_RANGE = 1_000_000
+
+
 def _range_count(df: DataFrame, num_ranges: int | None) -> int:
     if num_ranges:
         return max(1, int(num_ranges))
     return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
+def ranges_for(df: DataFrame, n_rows: int) -> int:
+    """Range count for ``n_rows`` rows: the shuffle width, or more so that no
+    range holds over ``ROWS_PER_RANGE`` rows (the ranges grow with the data)."""
+    return max(_range_count(df, None), -(-int(n_rows) // ROWS_PER_RANGE))
+
+
 def order_stats(df: DataFrame, lead: str, num_ranges: int | None = None) -> tuple[int, list[float]]:
     """Row count and range cut points of ``lead`` in one pass over that column.
 

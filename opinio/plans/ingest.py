@@ -20,6 +20,7 @@ from opinio.operators.batching import (
     assign_batches,
     batch_keys,
     order_stats,
+    ranges_for,
     with_file_position,
     with_file_rank,
 )
@@ -46,7 +47,9 @@ def plan_ingest(
 ):
     """Candidate keys, missing keys and the rows still to write."""
     lead = order_cols if isinstance(order_cols, str) else order_cols[0]
-    stats = order_stats(source, lead)  # row count and range cuts, one pass
+    # A Parquet source (or the staged CSV) counts from file metadata; the count
+    # sizes the numbering ranges, then one pass takes the cuts.
+    stats = order_stats(source, lead, ranges_for(source, source.count()))
     candidates = batch_keys(spark, stats[0], batch_size, start_date)
     existing = list_batches(spark, raw_root)
     missing = missing_batches(candidates, existing)

@@ -137,3 +137,12 @@ def test_ingest_on_a_raw_layer_with_batch_files(spark, workdir):
     assert keys == {("2024-03-10", "batch_001"), ("2024-03-11", "batch_002"), ("2024-03-12", "batch_003")}
     days = raw_scan(spark, root, days=["2024-03-10", "2024-03-11", "2024-03-12"])
     assert "batch" not in days.columns and days.count() == 250
+
+
+def test_range_count_grows_with_rows(spark):
+    from opinio.operators.batching import ROWS_PER_RANGE, ranges_for
+
+    df = spark.range(1)
+    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert ranges_for(df, 10) == width
+    assert ranges_for(df, 100 * ROWS_PER_RANGE + 1) == 101
