@@ -230,14 +230,19 @@ def assign_batches(
     )
 
 
-def batch_keys(spark, n_rows: int, batch_size: int, start_date: str | _dt.date) -> DataFrame:
-    """All ``(dt, batch)`` keys for ``n_rows`` rows, without touching the rows."""
+def batch_keys(
+    spark, n_rows: int, batch_size: int, start_date: str | _dt.date, with_index: bool = False
+) -> DataFrame:
+    """All ``(dt, batch)`` keys for ``n_rows`` rows, without touching the rows.
+
+    ``with_index`` adds the 0-based ``batch_index``.
+    """
     n_batches = (n_rows + batch_size - 1) // batch_size
     idx = F.col("id")
-    return spark.range(n_batches).select(
-        date_add_days(start_date, idx).alias("dt"),
-        batch_name(idx).alias("batch"),
-    )
+    cols = [date_add_days(start_date, idx).alias("dt"), batch_name(idx).alias("batch")]
+    if with_index:
+        cols.append(idx.alias("batch_index"))
+    return spark.range(n_batches).select(*cols)
 
 
 def batch_summary(batches: DataFrame, order_col: str) -> DataFrame:

@@ -24,7 +24,7 @@ from opinio.operators.batching import (
     with_file_position,
     with_file_rank,
 )
-from opinio.operators.ingest import BATCH_KEY, missing_batches
+from opinio.operators.ingest import BATCH_KEY, in_runs, missing_batches, missing_runs
 from opinio.schemas import DEFAULT_BATCH_SIZE, DEFAULT_START_DATE
 from opinio.sources.files import list_batches, source_scan
 from opinio.sources.sinks import write_raw_days_csv
@@ -50,12 +50,16 @@ def plan_ingest(
     # A Parquet source (or the staged CSV) counts from file metadata; the count
     # sizes the numbering ranges, then one pass takes the cuts.
     stats = order_stats(source, lead, ranges_for(source, source.count()))
-    candidates = batch_keys(spark, stats[0], batch_size, start_date)
+    candidates = batch_keys(spark, stats[0], batch_size, start_date, with_index=True)
     existing = list_batches(spark, raw_root)
     missing = missing_batches(candidates, existing)
     rows = assign_batches(source, order_cols, batch_size, start_date, stats=stats)
-    to_write = rows.join(missing, BATCH_KEY, "left_semi")
-    return candidates, missing, to_write
+    runs = missing_runs(missing)
+    if runs is None:  # scattered gaps: match rows to missing keys exactly, by a join
+        to_write = rows.join(missing.select(*BATCH_KEY), BATCH_KEY, "left_semi")
+    else:  # the usual case: a few runs of batch indexes, tested per row without a shuffle
+        to_write = in_runs(rows, runs)
+    return candidates.select(*BATCH_KEY), missing.select(*BATCH_KEY), to_write
 
 
 def ingest(

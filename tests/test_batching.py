@@ -146,3 +146,53 @@ def test_range_count_grows_with_rows(spark):
     width = int(spark.conf.get("spark.sql.shuffle.partitions"))
     assert ranges_for(df, 10) == width
     assert ranges_for(df, 100 * ROWS_PER_RANGE + 1) == 101
+
+
+def test_missing_runs(spark):
+    from opinio.operators.ingest import missing_runs
+
+    df = spark.createDataFrame([(i,) for i in (9, 0, 5, 1, 6, 2)], "batch_index long")
+    assert missing_runs(df) == [(0, 2), (5, 6), (9, 9)]
+    assert missing_runs(df, limit=2) is None
+    assert missing_runs(df.limit(0)) == []
+
+
+def _partial_ingest(spark, workdir):
+    """1000 rows in 10 batches; batches 3 and 7 already stored as batch files."""
+    import csv
+    import os
+
+    root = workdir + "/raw"
+    for day, name in (("2024-01-03", "batch_003"), ("2024-01-07", "batch_007")):
+        os.makedirs(f"{root}/dt={day}")
+        with open(f"{root}/dt={day}/{name}.csv", "w", newline="", encoding="utf-8") as fh:
+            csv.writer(fh).writerows([("k", "text"), (-1, "kept")])
+    src = spark.range(1000).select(F.col("id").alias("k"), F.concat(F.lit("t"), F.col("id")).alias("text"))
+    res = ingest(spark, src, root, "k", "2024-01-01", 100)
+    assert res.summary.first().asDict() == {"sent": 8, "ignored": 2, "errors": 0, "total": 10}
+    got = {(r.k, r.batch) for r in raw_scan(spark, root).select(F.col("k").cast("int").alias("k"), "batch").collect()}
+    expected = {(k, f"batch_{k // 100 + 1:03d}") for k in range(1000) if k // 100 not in (2, 6)}
+    assert got == expected | {(-1, "batch_003"), (-1, "batch_007")}
+
+
+def test_partial_ingest_by_runs(spark, workdir):
+    _partial_ingest(spark, workdir)
+
+
+def test_partial_ingest_by_key_join(spark, workdir, monkeypatch):
+    from opinio.operators import ingest as ingest_ops
+
+    monkeypatch.setattr(ingest_ops, "MAX_MISSING_RUNS", 1)  # three runs: fall back to the join
+    _partial_ingest(spark, workdir)
+
+
+def test_first_ingest_moves_rows_once(spark, workdir):
+    import re
+
+    from opinio.plans.ingest import plan_ingest
+
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    _, _, to_write = plan_ingest(spark, docs, workdir + "/raw", "doc_id")
+    plan = to_write._jdf.queryExecution().executedPlan().toString()
+    # the range shuffle of W1 only: no second shuffle of the rows by batch key
+    assert not re.search(r"Exchange hashpartitioning\((dt|batch)", plan)
