@@ -28,7 +28,7 @@ from opinio.operators.ingest import BATCH_KEY, in_runs, missing_batches, missing
 from opinio.schemas import DEFAULT_BATCH_SIZE, DEFAULT_START_DATE
 from opinio.sources.files import list_batches, source_scan
 from opinio.sources.sinks import write_raw_days_csv
-from opinio.sources.storage import scratch_path
+from opinio.sources.storage import checkpoint_root, scratch_path
 
 
 @dataclass
@@ -52,7 +52,10 @@ def plan_ingest(
     stats = order_stats(source, lead, ranges_for(source, source.count()))
     candidates = batch_keys(spark, stats[0], batch_size, start_date, with_index=True)
     existing = list_batches(spark, raw_root)
-    missing = missing_batches(candidates, existing)
+    # Listed and joined once: the missing keys are checkpointed to the shared
+    # folder, and the counts and runs below read that copy.
+    checkpoint_root(spark)
+    missing = missing_batches(candidates, existing).checkpoint()
     rows = assign_batches(source, order_cols, batch_size, start_date, stats=stats)
     runs = missing_runs(missing)
     if runs is None:  # scattered gaps: match rows to missing keys exactly, by a join
