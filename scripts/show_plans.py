@@ -17,6 +17,7 @@ from opinio.operators.aggregate import product  # noqa: E402
 from opinio.operators.batching import assign_batches  # noqa: E402
 from opinio.operators.clean import clean  # noqa: E402
 from opinio.plans import derived  # noqa: E402
+from opinio.plans.ingest import plan_ingest  # noqa: E402
 from opinio.session import build_session  # noqa: E402
 from opinio.sources.files import trusted_scan  # noqa: E402
 from opinio.sources.sinks import write_days_parquet  # noqa: E402
@@ -48,6 +49,10 @@ def main() -> None:
         ("A4 vw_sentiment_by_age over the product", views.vw_sentiment_by_age(prod)),
         ("D6 six quality checks in one scan", quality.quality_checks(prod, len(days), min(days))),
         ("W1 global row numbering of documents", assign_batches(derived.table(spark, sf_dir, "documents"), "doc_id")),
+        (
+            "D4 ingest: rows still to write on a first run (documents, 100-row batches)",
+            plan_ingest(spark, derived.table(spark, sf_dir, "documents"), f"{root}/ingest-raw", "doc_id")[2],
+        ),
         (
             "W1 with hot lead values (lineitem by line number, order key; 32 ranges)",
             assign_batches(
