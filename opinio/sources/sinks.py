@@ -16,6 +16,7 @@ from __future__ import annotations
 import datetime as _dt
 import json
 from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
@@ -24,6 +25,10 @@ from opinio.functions.dates import iso
 from opinio.sources.files import CSV_WRITE_OPTIONS, day_path
 
 
+# Leaf overwrites of emptied days submitted at once (each is a small job).
+_CONCURRENT_LEAF_WRITES = 8
+
+
 class PartitionColumnInFile(ValueError):
     """A leaf write would store ``dt`` inside the file as well as in the path."""
 
@@ -74,8 +79,9 @@ def write_days_parquet(
     written = set(obs.get.get("days") or [])
     emptied = [d for d in wanted if d not in written]
     empty = df.drop("dt").limit(0)
-    for d in emptied:
-        write_leaf_parquet(empty, root, d)
+    # Each emptied day is one tiny leaf overwrite; they run as concurrent jobs.
+    with ThreadPoolExecutor(max_workers=max(1, min(_CONCURRENT_LEAF_WRITES, len(emptied)))) as pool:
+        list(pool.map(lambda d: write_leaf_parquet(empty, root, d), emptied))
     return emptied
 
 

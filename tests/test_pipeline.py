@@ -197,3 +197,18 @@ def test_backfill_bisects_around_a_failing_day(spark, workdir, monkeypatch):
     assert rows[bad][1].startswith("RuntimeError | disk full")
     assert len(calls) <= 2 * 5 + 1  # about 2 * log2(30) multi-day jobs, not 30 single-day runs
     assert sum(n for n in calls if n) >= 30
+
+
+def test_many_emptied_days_cleared_concurrently(spark, workdir):
+    import datetime as dt
+
+    root = workdir + "/prod_many"
+    days = [(dt.date(2024, 1, 1) + dt.timedelta(days=i)).isoformat() for i in range(20)]
+    df = spark.createDataFrame([(f"k{i}", i, d) for i, d in enumerate(days)], "k string, v int, dt string").withColumn(
+        "dt", F.to_date("dt")
+    )
+    assert write_days_parquet(df, root, days) == []
+    only_last = df.where(F.col("dt") == F.to_date(F.lit(days[-1])))
+    assert write_days_parquet(only_last, root, days) == days[:-1]
+    back = spark.read.parquet(root)
+    assert back.count() == 1 and back.first().k == "k19"
