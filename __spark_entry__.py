@@ -2,7 +2,8 @@
 
 Every query reads the driver's tables (or frames Spark derives from them) in
 full.  Review rows come from ``events`` (see ``opinio.sources.reviews``);
-batching and ingest run on ``documents``.  Queries whose names end in
+batching runs on ``documents`` and on ``lineitem`` (a skewed lead key), ingest
+on ``documents``.  Queries whose names end in
 ``_round_trip`` and the lake/ingest scenarios write under a fresh folder below
 the session's shared checkpoint folder.
 """
