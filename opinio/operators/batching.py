@@ -171,8 +171,12 @@ def range_ids(
     edges = sorted(set(cuts) | {math.nextafter(v, _INF) for v in hot})
     splits = [-_INF] + edges + [_INF]
     keyed = df.withColumn(_KEY, _lead_key(df, lead))
-    ranged = Bucketizer(splits=splits, inputCol=_KEY, outputCol=_RANGE, handleInvalid="keep").transform(keyed)
-    # A null lead sorts first (ascending order puts nulls first).
+    if len(splits) < 3:  # no cut points (one range, or no non-null lead): a single range
+        key = F.col(_KEY)
+        ranged = keyed.withColumn(_RANGE, F.when(F.isnan(key), F.lit(1)).otherwise(F.lit(0)))
+    else:
+        ranged = Bucketizer(splits=splits, inputCol=_KEY, outputCol=_RANGE, handleInvalid="keep").transform(keyed)
+    # A null lead sorts first (ascending order puts nulls first); NaN sorts last.
     ranged = ranged.withColumn(_RANGE, F.coalesce(F.col(_RANGE).cast("int"), F.lit(-1)))
     if not hot or len(cols) < 2 or _order_key(df, cols[1], for_ties=True) is None:
         return ranged.drop(_KEY)

@@ -196,3 +196,12 @@ def test_first_ingest_moves_rows_once(spark, workdir):
     plan = to_write._jdf.queryExecution().executedPlan().toString()
     # the range shuffle of W1 only: no second shuffle of the rows by batch key
     assert not re.search(r"Exchange hashpartitioning\((dt|batch)", plan)
+
+
+def test_row_index_with_one_range_or_only_null_leads(spark):
+    df = spark.createDataFrame([(None, 2), (None, 1), (5, 0)], "k long, t long")
+    got = {(r.k, r.t): r.row_index for r in with_row_index(df, ["k", "t"], num_ranges=1).collect()}
+    assert got == {(None, 1): 0, (None, 2): 1, (5, 0): 2}
+    nulls = df.where(F.col("k").isNull())
+    got = {r.t: r.row_index for r in with_row_index(nulls, ["k", "t"], num_ranges=4).collect()}
+    assert got == {1: 0, 2: 1}

@@ -116,3 +116,24 @@ def test_hot_date_lead_with_string_ties(spark):
     assert got == {k: i for i, k in enumerate(sorted(rows))}
     with pytest.raises(TypeError, match="first order column"):
         with_row_index(df, ["s", "d"], num_ranges=8)
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    leads=st.lists(st.one_of(st.sampled_from([7, 7, 7, -3, 0]), st.integers(-50, 50), st.none()), min_size=1, max_size=400),
+    ranges=st.integers(2, 9),
+)
+def test_row_index_matches_python_sort(spark, leads, ranges):
+    """Duplicated (hot), negative and null leads; a unique tie column makes the order total."""
+    rows = [(k, i * 7919 % 100_003) for i, k in enumerate(leads)]
+    df = spark.createDataFrame(rows, "k long, t long")
+    got = {(r.k, r.t): r.row_index for r in with_row_index(df, ["k", "t"], num_ranges=ranges).collect()}
+
+    def order(r):  # ascending, nulls first
+        return tuple((x is not None, x if x is not None else 0) for x in r)
+
+    assert got == {kt: i for i, kt in enumerate(sorted(rows, key=order))}
