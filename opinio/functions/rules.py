@@ -78,7 +78,7 @@ def num(c: Column | str) -> Column:
     fast = F.when(integer_like, text.try_cast("bigint")).cast("double")
     ascii_text = F.translate(text, _UNICODE_DIGITS, _ASCII_DIGITS)
     # Underscores are dropped with translate: same result as a regexp_replace,
-    # but a much smaller generated method (measured 1.8 s -> 1.0 s on 600k rows).
+    # measured 1.8 s -> 1.0 s on 600k rows (likely the generated code size).
     number = F.translate(F.regexp_extract(ascii_text, _NUMBER_GROUP, 1), "_", "")
     parsed = number.try_cast("double")
     slow = F.when(F.abs(parsed) < F.lit(_INF), parsed)
