@@ -39,6 +39,11 @@ from pyspark.sql import types as T
 from opinio.functions.dates import batch_name, date_add_days
 from opinio.schemas import DEFAULT_BATCH_SIZE, DEFAULT_START_DATE
 
+# Hot lead values are sub-split only when they hold at least this many rows
+# (estimated from the cuts), and only the MAX_SPLIT_HOT heaviest ones.
+MIN_SPLIT_ROWS = 1_000
+MAX_SPLIT_HOT = 64
+
 _RANGE = "_opinio_range"
 _KEY = "_opinio_key"
 _SUB = "_opinio_sub"
@@ -164,7 +169,7 @@ def range_ids(
     """``df`` plus ``_RANGE``: a range id that never decreases along the order."""
     cols = [order_cols] if isinstance(order_cols, str) else list(order_cols)
     lead = cols[0]
-    _, cuts = stats if stats is not None else order_stats(df, lead, num_ranges)
+    n_rows, cuts = stats if stats is not None else order_stats(df, lead, num_ranges)
     repeats = Counter(cuts)
     hot = sorted(v for v, m in repeats.items() if m >= 2)
     # A hot value v gets the range [v, next double after v) to itself.
@@ -178,10 +183,17 @@ def range_ids(
         ranged = Bucketizer(splits=splits, inputCol=_KEY, outputCol=_RANGE, handleInvalid="keep").transform(keyed)
     # A null lead sorts first (ascending order puts nulls first); NaN sorts last.
     ranged = ranged.withColumn(_RANGE, F.coalesce(F.col(_RANGE).cast("int"), F.lit(-1)))
-    if not hot or len(cols) < 2 or _order_key(df, cols[1], for_ties=True) is None:
+    # Sub-split only the heaviest hot values: estimated rows above a floor
+    # (smaller ones sort in one task trivially), at most MAX_SPLIT_HOT of them
+    # (any other hot value holds under 1/(MAX_SPLIT_HOT + 1) of the rows and
+    # keeps a range of its own).  Each split value costs a column per row.
+    per_range = n_rows / (len(cuts) + 1)
+    heavy = [v for v in hot if repeats[v] * per_range >= MIN_SPLIT_ROWS]
+    to_split = sorted(sorted(heavy, key=lambda v: -repeats[v])[:MAX_SPLIT_HOT])
+    if not to_split or len(cols) < 2 or _order_key(df, cols[1], for_ties=True) is None:
         return ranged.drop(_KEY)
-    pieces = max(repeats[v] for v in hot) + 1
-    own = {v: splits.index(v) for v in hot}  # range id of the range starting at v
+    pieces = max(repeats[v] for v in to_split) + 1
+    own = {v: splits.index(v) for v in to_split}  # range id of the range starting at v
     sub = _sub_ranges(ranged, cols, own, pieces)
     # Sub-range ids nest inside their range, so the combined id keeps the order.
     width = pieces + 1  # Bucketizer ids 0..pieces (NaN ties in the last one)

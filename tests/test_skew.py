@@ -137,3 +137,26 @@ def test_row_index_matches_python_sort(spark, leads, ranges):
         return tuple((x is not None, x if x is not None else 0) for x in r)
 
     assert got == {kt: i for i, kt in enumerate(sorted(rows, key=order))}
+
+
+def test_many_more_ranges_than_rows(spark):
+    """A wide shuffle (as in the cluster profile) over a small table: no sub-splitting, exact."""
+    import time
+
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id")
+    t0 = time.perf_counter()
+    got = [r.row_index for r in with_row_index(docs, ["doc_id"], num_ranges=2000).orderBy("doc_id").collect()]
+    assert got == list(range(docs.count()))
+    assert time.perf_counter() - t0 < 60
+
+
+def test_more_heavy_values_than_the_split_limit(spark):
+    """100 lead values each spanning several ranges: the 64 heaviest are re-cut, all stay exact."""
+    from opinio.operators import batching
+
+    rows = spark.range(150_000).select((F.col("id") % 100).alias("k"), F.col("id").alias("t"))
+    n, cuts = batching.order_stats(rows, "k", 400)
+    assert sum(1 for m in Counter(cuts).values() if m >= 2) > batching.MAX_SPLIT_HOT
+    got = with_row_index(rows, ["k", "t"], num_ranges=400, stats=(n, cuts))
+    bad = got.where(F.col("row_index") != F.col("k") * 1500 + F.floor(F.col("t") / 100)).count()
+    assert bad == 0
