@@ -27,6 +27,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     sc = None
     try:
         sc = spark.sparkContext
+        if root and sc.getCheckpointDir() is None:
+            sc.setCheckpointDir(root)  # DataFrame.checkpoint() reads the context's folder
         root = root or sc.getCheckpointDir()
     except Exception:  # sessions without a local SparkContext
         pass
