@@ -77,3 +77,26 @@ def test_quality_checks_match_model(spark, rows, n_exp):
         assert r.actual == actual, (cid, r)
         if detail is not None:
             assert r.detail == detail, (cid, r)
+
+
+@settings(max_examples=300, deadline=None)
+@given(name=st.text(max_size=30))
+def test_snake_case_matches_the_stated_rule(name):
+    """Strip, lower, runs of non [0-9a-z] to '_', runs of '_' to one, strip '_'."""
+    import re
+
+    from opinio.functions.rules import snake_case
+
+    stated = re.sub(r"_+", "_", re.sub(r"[^0-9a-z]+", "_", name.strip().lower())).strip("_")
+    assert snake_case(name) == stated
+
+
+@settings(max_examples=300, deadline=None)
+@given(prefix=st.text(alphabet=" /ab_=-.", max_size=12))
+def test_normalize_prefix_matches_the_stated_rule(prefix):
+    """Blanks stripped, leading slashes removed, exactly one trailing slash unless empty."""
+    from opinio.sources.files import normalize_prefix
+
+    got = normalize_prefix(prefix)
+    core = prefix.strip().lstrip("/")
+    assert got == ("" if not core else core if core.endswith("/") else core + "/")
