@@ -10,6 +10,7 @@ the session's shared checkpoint folder.
 
 from __future__ import annotations
 
+import importlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -155,6 +156,16 @@ def _idempotent(spark, d):
     return product_scan(spark, run.table).select(*PRODUCT_ORDER)
 
 
+def _training_data():
+    """The module of the training-data queries; None where that subpackage is not installed."""
+    try:
+        return importlib.import_module("opinio.llm.queries")
+    except ModuleNotFoundError as missing:
+        if missing.name in ("opinio.llm", "opinio.llm.queries", "corpus_pipeline"):
+            return None
+        raise
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         # rules and cleaning
@@ -231,9 +242,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "runlog_round_trip": _runlog_round_trip,
         "run_summary": lambda s, d: run_summary(_lake(s, d, "emptied").result.log).drop("duration_s"),
     }
-    return q
+    more = _training_data()
+    return q | (more.queries() if more else {})
 
 
 def oracle_sql() -> dict[str, str]:
-    sql = queries_sql()
+    more = _training_data()
+    sql = queries_sql() | (more.oracle_sql() if more else {})
     return {name: sql[name] for name in queries() if name in sql}
