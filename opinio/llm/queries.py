@@ -6,12 +6,14 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from opinio.llm import oracle
+from opinio.llm import language_id, oracle, toxicity
 from opinio.llm.bpe import encode_digests
-from opinio.llm.common import table
+from opinio.llm.common import fold, table
 from opinio.llm.decontaminate import match_documents
 from opinio.llm.exact_dedup import exact_groups
+from opinio.llm.html_extract import extract
 from opinio.llm.url_filter import judge_urls
 
 #: host, path, verdict
@@ -22,22 +24,42 @@ def op2_exact_dedup(spark: SparkSession, d: str) -> DataFrame:
     return exact_groups(table(spark, d, "documents"))
 
 
+def op3_html_extract(spark: SparkSession, d: str) -> DataFrame:
+    return extract(table(spark, d, "pages"), keep=("url",)).select("page_id", "url", "text", "n_chars")
+
+
 def op4_bpe(spark: SparkSession, d: str) -> DataFrame:
     return encode_digests(table(spark, d, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op6_toxicity(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    labels = table(spark, d, "labels").select("doc_id", F.col("toxic").alias("label"))
+    net = toxicity.fit(docs.where(fold("doc_id", 4) != 2).join(labels, "doc_id"))
+    row = F.struct("doc_id", (fold("doc_id", 4) == 2).alias("held_out"))
+    return toxicity.score(docs, net, row=row).select("row.*", "score", "predicted")
+
+
 def op7_url_filter(spark: SparkSession, d: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
     return judge_urls(table(spark, d, "pages"), rules)
 
 
+def op8_language_id(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents").select("doc_id", "text", "lang")
+    model = language_id.fit(docs, fold("doc_id", 4) != 2)
+    return language_id.identify(docs, model).select(
+        "doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score", "accepted"
+    )
+
+
 def op9_decontaminate(spark: SparkSession, d: str) -> DataFrame:
     out = match_documents(table(spark, d, "documents"), table(spark, d, "benchmark"))
     return out.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (op2_exact_dedup, op4_bpe, op7_url_filter, op9_decontaminate)
+    own = (op2_exact_dedup, op3_html_extract, op4_bpe, op6_toxicity, op7_url_filter, op8_language_id, op9_decontaminate)
     return {f.__name__: f for f in own}
 
 
