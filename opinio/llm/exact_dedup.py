@@ -3,14 +3,15 @@ inside the groups, keep one row of each.
 
 Texts are equal when they are identical after white space (space, tab to
 carriage return) is deleted.  Of equal texts the row with the most code points
-stays, then the smallest id, then the first such row.
+stays, then the smallest id, then one of the equal rows.
 
 Two passes read the texts.  The first compares bytes: distinct (hash, text)
 pairs are counted by hash, and a hash with more than one text is a collision.
-The second writes one narrow row per document (id, length, hash, digest; the
-text itself only for collided hashes) to the checkpoint folder; groups and
-result come from those rows.  Copies are combined before each shuffle, and the
-last join has the documents on its skewed side, where Spark splits partitions.
+The second reduces each document to a narrow row (id, length, hash, digest; the
+text itself only for collided hashes) and counts rows that are equal in all of
+them; groups and result come from those.  Copies are combined before each
+shuffle, and the last join has the documents on its skewed side, where Spark
+splits partitions.
 
 Defined cases: null counts as the empty text, and all empty texts are one
 group.  A null id comes after every other id.  Rows that repeat an id and text
@@ -24,8 +25,6 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from opinio.llm.common import checkpointed
-
 
 def squeezed(text: Column) -> Column:
     """``text`` (null: empty) without white space."""
@@ -41,17 +40,21 @@ def exact_groups(
     hashed = own.withColumn("hash", content_hash(F.encode("norm", "utf-8")))
     texts = hashed.select("hash", "norm").distinct()
     collided = texts.groupBy("hash").agg(F.count(F.lit(1)).alias("texts")).where("texts > 1").select("hash")
-    collided = checkpointed(collided)
-    rows = hashed.withColumn("row", F.monotonically_increasing_id())
     if collided.isEmpty():
-        rows = rows.withColumn("variant", F.lit(""))
+        rows = hashed.withColumn("variant", F.lit(""))
     else:
-        rows = rows.join(collided.withColumn("several", F.lit(True)), "hash", "left")
+        rows = hashed.join(collided.withColumn("several", F.lit(True)), "hash", "left")
         rows = rows.withColumn("variant", F.when(F.col("several"), F.col("norm")).otherwise(""))
-    rows = checkpointed(rows.select("row", "id", "chars", "hash", "variant", F.sha2("norm", 256).alias("sha")))
-    best = F.min(F.struct((-F.col("chars")).alias("longest"), F.col("id").isNull().alias("none"), "id", "row"))
-    groups = rows.groupBy("hash", "variant").agg(F.count(F.lit(1)).alias("group_size"), best.alias("best"))
-    return rows.join(groups, ["hash", "variant"]).select(
+    rows = rows.select("id", "chars", "hash", "variant", F.sha2("norm", 256).alias("sha"))
+    rows = rows.groupBy("id", "chars", "hash", "variant", "sha").agg(F.count(F.lit(1)).alias("n"))
+    best = F.min(F.struct((-F.col("chars")).alias("longest"), F.col("id").isNull().alias("none"), "id"))
+    groups = rows.groupBy("hash", "variant").agg(F.sum("n").alias("group_size"), best.alias("best"))
+    wins = F.col("id").eqNullSafe(F.col("best.id")) & (F.col("chars") == -F.col("best.longest"))
+    out = rows.join(groups, ["hash", "variant"]).withColumn("wins", wins)
+    # equal rows come back from their number, a million at a time
+    out = out.withColumn("from", F.explode(F.expr("sequence(1, n, 1000000)")))
+    out = out.withColumn("copy", F.explode(F.expr("sequence(`from`, least(`from` + 999999, n))")))
+    return out.select(
         F.col("id").alias(id_col), F.col("best.id").alias("keep_id"), "group_size",
-        (F.col("row") == F.col("best.row")).alias("kept"), F.col("sha").alias("text_sha256"),
+        (F.col("wins") & (F.col("copy") == 1)).alias("kept"), F.col("sha").alias("text_sha256"),
     )
