@@ -14,12 +14,17 @@ from opinio.llm.common import fold, table
 from opinio.llm.decontaminate import match_documents
 from opinio.llm.exact_dedup import exact_groups
 from opinio.llm.html_extract import extract
+from opinio.llm.line_dedup import dedup_lines
 from opinio.llm.url_filter import judge_urls
 
 #: host, path, verdict
 URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
 
 
+def op1_line_dedup(spark: SparkSession, d: str) -> DataFrame:
+    return dedup_lines(table(spark, d, "documents")).select("row.*", "text", "n_words", "n_removed", "runs")
+
+
 def op2_exact_dedup(spark: SparkSession, d: str) -> DataFrame:
     return exact_groups(table(spark, d, "documents"))
 
@@ -59,7 +64,7 @@ def op9_decontaminate(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (op2_exact_dedup, op3_html_extract, op4_bpe, op6_toxicity, op7_url_filter, op8_language_id, op9_decontaminate)
+    own = (op1_line_dedup, op2_exact_dedup, op3_html_extract, op4_bpe, op6_toxicity, op7_url_filter, op8_language_id, op9_decontaminate)
     return {f.__name__: f for f in own}
 
 
