@@ -14,6 +14,7 @@ from opinio.llm.common import fold, table
 from opinio.llm.decontaminate import match_documents
 from opinio.llm.exact_dedup import exact_groups
 from opinio.llm.html_extract import extract
+from opinio.llm.jaccard_join import link_documents
 from opinio.llm.line_dedup import dedup_lines
 from opinio.llm.url_filter import judge_urls
 
@@ -37,6 +38,10 @@ def op4_bpe(spark: SparkSession, d: str) -> DataFrame:
     return encode_digests(table(spark, d, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op5_jaccard_join(spark: SparkSession, d: str) -> DataFrame:
+    return link_documents(table(spark, d, "documents"))
+
+
 def op6_toxicity(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents").select("doc_id", "text")
     labels = table(spark, d, "labels").select("doc_id", F.col("toxic").alias("label"))
@@ -64,7 +69,7 @@ def op9_decontaminate(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (op1_line_dedup, op2_exact_dedup, op3_html_extract, op4_bpe, op6_toxicity, op7_url_filter, op8_language_id, op9_decontaminate)
+    own = (op1_line_dedup, op2_exact_dedup, op3_html_extract, op4_bpe, op5_jaccard_join, op6_toxicity, op7_url_filter, op8_language_id, op9_decontaminate)
     return {f.__name__: f for f in own}
 
 
