@@ -12,8 +12,8 @@ both, hence the same fingerprint: none is missed.
    that one text has twice, are joined back to their positions.
 2. A position is extended both ways to the run of ``MIN_WORDS`` words whose
    window it is the least of, and the run is hashed.  Equal runs meet in a
-   group-by; every occurrence but the first, in order of id and position, is a
-   later repeat.  Overlapping repeats of a document join to maximal runs.
+   group-by that finds the least id; occurrences in other documents, and later
+   ones in a document, are repeats.  Overlapping ones join to maximal runs.
 3. The words of later repeats are deleted.  A document whose whole text is that
    of an earlier one is one such run (if it has ``MIN_WORDS`` words).
 
@@ -24,7 +24,7 @@ before each shuffle and joined where Spark splits skewed partitions.
 
 Defined cases: null counts as the empty text and is returned empty.  A null id
 comes after every other id.  Equal rows (id and text) are one occurrence and
-keep the same words.  Within a text a repeat deletes only words after the first
+keep the same words; different texts of one id do not repeat each other.  Within a text a repeat deletes only words after the first
 occurrence's end.  A deleted run takes the white space beside it; one line break
 stays where it held one.  Other columns are not read.
 """
@@ -106,12 +106,14 @@ def _runs(min_words: int, line: int, batches: Iterator[pa.RecordBatch]) -> Itera
             start = first[window[keep]]
             text = np.searchsorted(counts, start, side="right") - 1
             g = spans_hash(prefix(words), start, start + min_words)
-            taken = pa.array(text)
-            rows = batch.slice(a, b - a)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(g.view(np.int64)), *[rows.column(c).take(taken) for c in ("id", "t", "t2")], pa.array((start - counts[text]).astype(np.int32))],
-                ["g", "id", "t", "t2", "at"],
-            )
+            # the same run earlier in the text: its first place
+            order = np.lexsort((start, g, text))
+            new = np.append(True, (g[order][1:] != g[order][:-1]) | (text[order][1:] != text[order][:-1]))[: len(order)]
+            own = np.empty(len(g), np.int64)
+            own[order] = start[order][np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))]
+            taken, rows = pa.array(text), batch.slice(a, b - a)
+            at = [pa.array((x - counts[text]).astype(np.int32)) for x in (start, own)]
+            yield pa.RecordBatch.from_arrays([pa.array(g.view(np.int64)), rows.column("id").take(taken), rows.column("t").take(taken), *at], ["g", "id", "t", "at", "own"])
 
 
 def cut(text: bytes, starts: np.ndarray, ends: np.ndarray, kept: np.ndarray) -> bytes:
@@ -143,7 +145,7 @@ def _cut_rows(min_words: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.
                 starts, ends, _ = split(data, offsets[k : k + 2], NOT_SPACE)
                 n, runs = len(starts), []
                 if copy and n >= min_words:
-                    runs = [{"start": 0, "words": n, "source": source, "source_start": 0}]
+                    runs = [{"start": 0, "words": n, "source": source}]
                     kept = np.zeros(n, bool)
                 elif repeats and not copy:
                     kept = np.ones(n, bool)
@@ -151,14 +153,14 @@ def _cut_rows(min_words: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.
                         if runs and r["from"] <= runs[-1]["start"] + runs[-1]["words"]:
                             runs[-1]["words"] = max(runs[-1]["words"], r["until"] - runs[-1]["start"])
                         else:
-                            runs.append({"start": r["from"], "words": r["until"] - r["from"], "source": r["source"], "source_start": r["source_at"]})
+                            runs.append({"start": r["from"], "words": r["until"] - r["from"], "source": r["source"]})
                         kept[r["from"] : r["until"]] = False
                 texts.append(cut(body, starts, ends, kept) if runs else body)
                 all_words.append(n)
                 removed.append(int((~kept).sum()) if runs else 0)
                 all_runs.append(runs)
             source_type = batch.schema.field("source").type
-            run_type = pa.list_(pa.struct([("start", pa.int64()), ("words", pa.int64()), ("source", source_type), ("source_start", pa.int64())]))
+            run_type = pa.list_(pa.struct([("start", pa.int64()), ("words", pa.int64()), ("source", source_type)]))
             yield pa.RecordBatch.from_arrays(
                 [rows.column("row"), pa.array(texts, pa.binary()).cast(pa.string()), pa.array(all_words, pa.int64()), pa.array(removed, pa.int64()), pa.array(all_runs, run_type)],
                 ["row", "text", "n_words", "n_removed", "runs"],
@@ -169,32 +171,34 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 keep: tuple[str, ...] = ()) -> DataFrame:
     """One row per row of ``docs``: ``row`` (the id and the columns named in
     ``keep``), the text that stays, n_words, n_removed, and the deleted runs
-    (first word, words, id of the document and word that they repeat)."""
+    (first word, words, id of the earliest document with the run's beginning)."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    own = docs.select(F.struct(id_col, *keep).alias("row"), F.col(id_col).alias("id"), text.alias("text"))
-    own = own.select("row", "id", "text", F.xxhash64("text").alias("t"), F.xxhash64(F.lit(1), "text").alias("t2"))
+    own = docs.select(F.col(id_col).alias("id"), text.alias("text"), *([F.struct(*keep).alias("kept")] if keep else []))
+    own = own.select("*", F.xxhash64("text").alias("t"), F.xxhash64(F.lit(1), "text").alias("t2"))
     kind = own.schema["id"].dataType.simpleString()
-    order = [F.col("id").isNull().alias("none"), F.col("id").alias("id"), F.col("t").alias("t"), F.col("t2").alias("t2")]
 
     prints = own.select("t", "text").mapInArrow(partial(_fingerprints, min_words, line), "h bigint, t bigint, at int, again boolean")
     seen = prints.groupBy("h").agg(F.min("t").alias("low"), F.max("t").alias("high"), F.max("again").alias("again"))
     shared = prints.select("h", "t", "at").join(seen.where("low <> high or again").select("h"), "h", "left_semi")
     shared = shared.groupBy("t").agg(F.collect_set("at").alias("at"))
-    first = own.groupBy("t", "t2").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id")).alias("first")).select("t", "t2", F.col("first.id").alias("source"))
+    first = own.groupBy("t", "t2").agg(F.min("id").alias("source"))
     wanted = first.join(shared, "t")
 
-    runs = own.join(wanted, ["t", "t2"]).where(F.col("id").eqNullSafe(F.col("source"))).select("id", "t", "t2", "text", "at")
-    runs = runs.mapInArrow(partial(_runs, min_words, line), f"g bigint, id {kind}, t bigint, t2 bigint, at int")
-    origin = runs.groupBy("g").agg(F.min(F.struct(*order, "at")).alias("o"), F.max(F.struct(*order, "at")).alias("last")).where("o <> last").select("g", "o")
-    same = (F.col("t") == F.col("o.t")) & (F.col("t2") == F.col("o.t2"))
-    later = runs.join(origin, "g").where(F.struct(*order, "at") > F.col("o"))
-    begin = F.when(same, F.greatest(F.col("at"), F.col("o.at") + min_words)).otherwise(F.col("at"))
-    repeat = F.struct(begin.alias("from"), (F.col("at") + min_words).alias("until"), F.col("o.id").alias("source"), (F.col("o.at") + begin - F.col("at")).alias("source_at"))
-    repeats = later.groupBy("t", "t2").agg(F.collect_set(repeat).alias("repeats"))
-
-    told = first.join(repeats, ["t", "t2"], "left")
-    out = own.join(told, ["t", "t2"], "left").select("row", "text", (~F.col("id").eqNullSafe(F.col("source"))).alias("copy"), "source", "repeats")
-    run = f"array<struct<start:bigint,words:bigint,source:{kind},source_start:bigint>>"
+    # not an equality (source is the least id), so that both joins of the texts share one exchange by (t, t2)
+    earliest = (F.col("id") <= F.col("source")) | (F.col("id").isNull() & F.col("source").isNull())
+    runs = own.join(wanted, ["t", "t2"]).where(earliest).select("id", "t", "text", "at")
+    runs = runs.mapInArrow(partial(_runs, min_words, line), f"g bigint, id {kind}, t bigint, at int, own int")
+    origin = runs.where("own = at").groupBy("g").agg(F.min("id").alias("low"))
+    elsewhere = F.col("low").isNotNull() & (F.col("id").isNull() | (F.col("id") > F.col("low")))
+    later = runs.join(origin, "g").where(elsewhere | (F.col("own") < F.col("at")))
+    begin = F.when(elsewhere, F.col("at")).otherwise(F.greatest("at", F.col("own") + min_words))
+    repeat = F.struct(begin.alias("from"), (F.col("at") + min_words).alias("until"), F.coalesce("low", "id").alias("source"))
+    repeats = later.groupBy(F.col("t").alias("rt"), F.col("id").alias("rid")).agg(F.collect_set(repeat).alias("repeats"))
+
+    told = first.join(repeats, (F.col("t") == F.col("rt")) & F.col("source").eqNullSafe(F.col("rid")), "left").select("t", "t2", "source", "repeats")
+    row = F.struct(F.col("id").alias(id_col), *[F.col(f"kept.{c}").alias(c) for c in keep])
+    out = own.join(told, ["t", "t2"], "left").select(row.alias("row"), "text", (~F.col("id").eqNullSafe(F.col("source"))).alias("copy"), "source", "repeats")
+    run = f"array<struct<start:bigint,words:bigint,source:{kind}>>"
     return out.mapInArrow(
-        partial(_cut_rows, min_words), f"row {own.schema['row'].dataType.simpleString()}, text string, n_words bigint, n_removed bigint, runs {run}"
+        partial(_cut_rows, min_words), f"row {out.schema['row'].dataType.simpleString()}, text string, n_words bigint, n_removed bigint, runs {run}"
     )

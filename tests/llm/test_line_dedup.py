@@ -69,7 +69,7 @@ def test_runs_name_what_they_repeat(spark):
     got = {r.row.doc_id: r for r in run(spark, rows, 50, 8)}
     assert got[1].text == rows[0][1] and not got[1].runs
     assert got[2].text == "x\ny z"
-    assert [tuple(x) for x in got[2].runs] == [(1, 55, 1, 7)]
+    assert [tuple(x) for x in got[2].runs] == [(1, 55, 1)]
 
 
 def test_hot_passage_and_long_text(spark):
