@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opinio.llm import language_id, oracle, toxicity
+from opinio.llm import language_id, lm_score, oracle, toxicity
 from opinio.llm.bpe import encode_digests
 from opinio.llm.common import fold, table
 from opinio.llm.decontaminate import match_documents
@@ -44,12 +45,16 @@ def op5_jaccard_join(spark: SparkSession, d: str) -> DataFrame:
 
 def op6_toxicity(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents").select("doc_id", "text")
-    labels = table(spark, d, "labels").select("doc_id", F.col("toxic").alias("label"))
-    net = toxicity.fit(docs.where(fold("doc_id", 4) != 2).join(labels, "doc_id"))
+    net = toxicity.fit(docs, toxic_labels(spark, d))
     row = F.struct("doc_id", (fold("doc_id", 4) == 2).alias("held_out"))
     return toxicity.score(docs, net, row=row).select("row.*", "score", "predicted")
 
 
+def toxic_labels(spark: SparkSession, d: str) -> DataFrame:
+    """Labels that may be learned from."""
+    return table(spark, d, "labels").where(fold("doc_id", 4) != 2).select("doc_id", F.col("toxic").alias("label"))
+
+
 def op7_url_filter(spark: SparkSession, d: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
     return judge_urls(table(spark, d, "pages"), rules)
@@ -68,8 +73,18 @@ def op9_decontaminate(spark: SparkSession, d: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def op10_lm_score(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    taught = docs.where(fold("doc_id", 7) != 2)
+    counts = lm_score.word_counts(taught).persist(StorageLevel.DISK_ONLY)
+    frequent = lm_score.frequent_words(counts)
+    model = lm_score.fit(taught, counts, frequent, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    out = lm_score.score(docs, counts, frequent, model, keep=((fold("doc_id", 7) == 2).alias("held_out"),))
+    return out.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (op1_line_dedup, op2_exact_dedup, op3_html_extract, op4_bpe, op5_jaccard_join, op6_toxicity, op7_url_filter, op8_language_id, op9_decontaminate)
+    own = (op1_line_dedup, op2_exact_dedup, op3_html_extract, op4_bpe, op5_jaccard_join, op6_toxicity, op7_url_filter, op8_language_id, op9_decontaminate, op10_lm_score)
     return {f.__name__: f for f in own}
 
 
