@@ -13,7 +13,7 @@ Labels belong to whole texts, so a toxic text's windows are trained as a bag
 (one minus the product of the windows' complements) and every window of a clean
 text as negative.  Training takes a bounded sample of labelled rows
 (``sample_rows`` of each label: about so many, at most twice as many expected,
-taken by a hash of the text) and runs on the driver; the network has a fixed
+taken by a hash of the id) and runs on the driver; the network has a fixed
 size and is broadcast.  Scoring is a narrow pass over whole texts.
 
 Defined cases: null, empty and word-less texts have no window and score 0.
@@ -81,6 +81,19 @@ def read_words(data: np.ndarray, offsets: np.ndarray) -> Words:
     return Words((distinct % np.uint64(WORD_ROWS)).astype(np.int32), np.concatenate(rows)[order], gram_start, places, counts)
 
 
+def join_words(parts: list[Words]) -> Words:
+    """Blocks of texts as one; a word of several blocks is distinct in each."""
+    distinct = np.cumsum([0] + [len(p.word_row) for p in parts])
+    rows = np.cumsum([0] + [len(p.gram_row) for p in parts])
+    places = np.cumsum([0] + [len(p.places) for p in parts])
+    return Words(
+        np.concatenate([p.word_row for p in parts]), np.concatenate([p.gram_row for p in parts]),
+        np.concatenate([p.gram_start[:-1] + r for p, r in zip(parts, rows, strict=False)] + [rows[-1:]]),
+        np.concatenate([(p.places + d).astype(np.int32) for p, d in zip(parts, distinct, strict=False)]),
+        np.concatenate([p.counts[:-1] + n for p, n in zip(parts, places, strict=False)] + [places[-1:]]),
+    )
+
+
 def windows(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """First place, words and text of all windows: every ``STRIDE`` words until one reaches the text's end."""
     n = np.diff(counts)
@@ -219,7 +232,7 @@ def train(texts: list[str], labels: np.ndarray, epochs: int = 5, steps: int = 16
     rng = np.random.default_rng(seed)
     data, offsets = utf8(pa.array(texts, pa.string()))
     held = np.arange(len(texts)) % 5 == 4
-    w = read_words(data, offsets)
+    w = join_words([read_words(data, offsets[a : b + 1]) for a, b in blocks(offsets)])
     first, size, text = windows(w.counts)
     net = Network(seed)
     edge = np.searchsorted(text, np.arange(len(texts) + 1))
@@ -243,7 +256,7 @@ def train(texts: list[str], labels: np.ndarray, epochs: int = 5, steps: int = 16
             some, at = np.concatenate(bags[at:upto]), upto
             step += 1
             _train_batch(net, w, first[some], size[some], text[some], labels, moments, squares, step)
-    logit = net.scores(data, offsets)
+    logit = np.concatenate([net.scores(data, offsets[a : b + 1]) for a, b in blocks(offsets)])
     use = held & np.isfinite(logit)
     if len(np.unique(labels[use])) == 2:
         net.scale, net.shift = _platt(logit[use], labels[use])
@@ -308,18 +321,22 @@ def _platt(logit: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
     return max(a, 0.05), b
 
 
-def fit(labelled: DataFrame, sample_rows: int = 2000, label_col: str = "label", text_col: str = "text") -> Network | None:
-    """The network of labelled rows (0 or 1); None when one of the labels has no row with text."""
-    own = labelled.select(F.col(label_col).cast("int").alias("label"), F.col(text_col).alias("text")).where("label in (0, 1) and length(text) > 0")
+def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = 2000, id_col: str = "doc_id", text_col: str = "text", label_col: str = "label") -> Network | None:
+    """The network of the texts that ``labels`` (id, 0 or 1) names; None when one of the labels has no row with text.
+
+    The sample is drawn from the labels, so that only its rows are read from the texts."""
+    own = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label")).where("label in (0, 1) and id is not null")
     n = {r.label: r.n for r in own.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     if len(n) < 2:
         return None
     step = F.when(F.col("label") == 1, n[1] // sample_rows + 1).otherwise(n[0] // sample_rows + 1)
-    rows = own.where(F.pmod(F.xxhash64("text"), step) == 0).collect()
+    drawn = own.where(F.pmod(F.xxhash64("id"), step) == 0).distinct().toArrow()
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where("length(text) > 0")
+    rows = texts.join(docs.sparkSession.createDataFrame(drawn), "id").select("text", "label").collect()
     rows = sorted((r.text, r.label) for r in rows)
     rows = [rows[i] for i in np.random.default_rng(3).permutation(len(rows))]
-    labels = np.array([label for _, label in rows])
-    return train([text for text, _ in rows], labels) if len(np.unique(labels)) == 2 else None
+    y = np.array([label for _, label in rows])
+    return train([text for text, _ in rows], y) if len(np.unique(y)) == 2 else None
 
 
 def score(docs: DataFrame, net: Network | None, text_col: str = "text", threshold: float = 0.3, row: Column | None = None) -> DataFrame:

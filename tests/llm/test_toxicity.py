@@ -67,7 +67,8 @@ def test_windows_overlap_and_cover():
 
 
 def test_learns_words_and_their_parts(spark):
-    net = fit(spark.createDataFrame(corpus(1, 400), "doc_id long, text string, label int"))
+    taught = spark.createDataFrame(corpus(1, 400), "doc_id long, text string, label int")
+    net = fit(taught.drop("label"), taught.drop("text"))
     docs = spark.createDataFrame(corpus(2, 150), "doc_id long, text string, label int")
     got = score(docs, net).select("row.*", "score", "predicted").collect()
     assert sum(r.predicted == r.label for r in got) >= 0.95 * len(got)
@@ -77,8 +78,9 @@ def test_learns_words_and_their_parts(spark):
 
 def test_defined_cases(spark):
     docs = spark.createDataFrame([(1, None), (2, ""), (3, "!!"), (4, "a"), (4, "a"), (None, "b")], "doc_id long, text string").selectExpr("*", "5 as score", "6 as row")
-    labelled = spark.createDataFrame([("x", 1), ("y", None), (None, 0)], "text string, label int")
-    assert fit(labelled) is None and fit(labelled.limit(0)) is None
+    labelled = spark.createDataFrame([(1, "x", 1), (2, "y", None), (3, None, 0), (None, "z", 0)], "doc_id long, text string, label int")
+    texts, labels = labelled.drop("label"), labelled.drop("text")
+    assert fit(texts, labels) is None and fit(texts, labels.limit(0)) is None and fit(texts.limit(0), labels) is None
     assert {(r.score, r.predicted) for r in score(docs, None).select("score", "predicted").collect()} == {(0.0, 0)}
     assert score(docs, None).count() == 6
     net = Network()
