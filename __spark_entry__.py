@@ -157,8 +157,9 @@ def _idempotent(spark, d):
 
 
 def _training_data():
-    """The module of the training-data queries; None where that subpackage is not installed."""
+    """The module of the training-data queries; None where that subpackage or its pipeline is not installed."""
     try:
+        importlib.import_module("corpus_pipeline")
         return importlib.import_module("opinio.llm.queries")
     except ModuleNotFoundError as missing:
         if missing.name in ("opinio.llm", "opinio.llm.queries", "corpus_pipeline"):
