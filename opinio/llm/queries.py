@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import importlib
 from collections.abc import Callable
 
 import public_tokenizers
@@ -85,7 +86,8 @@ def op10_lm_score(spark: SparkSession, d: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = (op1_line_dedup, op2_exact_dedup, op3_html_extract, op4_bpe, op5_jaccard_join, op6_toxicity, op7_url_filter, op8_language_id, op9_decontaminate, op10_lm_score)
-    return {f.__name__: f for f in own}
+    pipeline = importlib.import_module("corpus_pipeline")  # it imports this module
+    return {f.__name__: f for f in own} | {"pipeline": pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -1 +1 @@
-from tests.conftest import spark  # noqa: F401
+from tests.conftest import spark, workdir  # noqa: F401
