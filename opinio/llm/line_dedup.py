@@ -20,7 +20,9 @@ both, hence the same fingerprint: none is missed.
 A deleted word always has an equal, earlier run that stays, or whose words stay
 elsewhere.  Runs shorter than ``MIN_WORDS`` words stay.  No group is collected
 but the positions of one document; hashes of hot lines and passages are combined
-before each shuffle and joined where Spark splits skewed partitions.
+before each shuffle and joined where Spark splits skewed partitions.  Texts that
+share no line with another are not shuffled, as far as a broadcast map of bounded
+size tells them apart.
 
 Defined cases: null counts as the empty text and is returned empty.  A null id
 comes after every other id.  Equal rows (id and text) are one occurrence and
@@ -44,6 +46,8 @@ from opinio.llm.words import NOT_SPACE, grams, hashed, prefix, spans_hash, split
 
 #: Words of the shortest run that is deleted, and of a hashed line.
 MIN_WORDS, LINE = 50, 8
+#: Slots of the map of texts that take part in a repeat: the most that is broadcast.
+SLOTS = 1 << 20
 
 
 def least(hashes: np.ndarray, first: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -149,12 +153,13 @@ def _cut_rows(min_words: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.
                     kept = np.zeros(n, bool)
                 elif repeats and not copy:
                     kept = np.ones(n, bool)
-                    for r in sorted(repeats, key=lambda r: r["from"]):
-                        if runs and r["from"] <= runs[-1]["start"] + runs[-1]["words"]:
-                            runs[-1]["words"] = max(runs[-1]["words"], r["until"] - runs[-1]["start"])
+                    for span, source in sorted(((r["span"], r["source"]) for r in repeats), key=lambda r: r[0]):
+                        begin, until = span >> 32, span & 0xFFFFFFFF
+                        if runs and begin <= runs[-1]["start"] + runs[-1]["words"]:
+                            runs[-1]["words"] = max(runs[-1]["words"], until - runs[-1]["start"])
                         else:
-                            runs.append({"start": r["from"], "words": r["until"] - r["from"], "source": r["source"]})
-                        kept[r["from"] : r["until"]] = False
+                            runs.append({"start": begin, "words": until - begin, "source": source})
+                        kept[begin:until] = False
                 texts.append(cut(body, starts, ends, kept) if runs else body)
                 all_words.append(n)
                 removed.append(int((~kept).sum()) if runs else 0)
@@ -181,23 +186,34 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     seen = prints.groupBy("h").agg(F.min("t").alias("low"), F.max("t").alias("high"), F.max("again").alias("again"))
     shared = prints.select("h", "t", "at").join(seen.where("low <> high or again").select("h"), "h", "left_semi")
     shared = shared.groupBy("t").agg(F.collect_set("at").alias("at"))
-    first = own.groupBy("t", "t2").agg(F.min("id").alias("source"))
-    wanted = first.join(shared, "t")
+    first = own.groupBy("t", "t2").agg(F.min("id").alias("source"), F.count(F.lit(1)).alias("n"))
+    wanted = first.join(shared, "t", "left").where("at is not null or n > 1")
+
+    # Texts that share nothing stay where they are: a map of SLOTS slots tells (and tells the rest in passing)
+    slot = F.pmod(F.col("t"), F.lit(SLOTS)).alias("slot")
+    slots = F.broadcast(wanted.select(slot).distinct())
+    own = own.withColumn("slot", slot)
+    touched, alone = (own.join(slots, "slot", how).drop("slot") for how in ("left_semi", "left_anti"))
 
     # not an equality (source is the least id), so that both joins of the texts share one exchange by (t, t2)
     earliest = (F.col("id") <= F.col("source")) | (F.col("id").isNull() & F.col("source").isNull())
-    runs = own.join(wanted, ["t", "t2"]).where(earliest).select("id", "t", "text", "at")
+    runs = touched.join(wanted.where("at is not null"), ["t", "t2"]).where(earliest).select("id", "t", "text", "at")
     runs = runs.mapInArrow(partial(_runs, min_words, line), f"g bigint, id {kind}, t bigint, at int, own int")
     origin = runs.where("own = at").groupBy("g").agg(F.min("id").alias("low"))
     elsewhere = F.col("low").isNotNull() & (F.col("id").isNull() | (F.col("id") > F.col("low")))
     later = runs.join(origin, "g").where(elsewhere | (F.col("own") < F.col("at")))
-    begin = F.when(elsewhere, F.col("at")).otherwise(F.greatest("at", F.col("own") + min_words))
-    repeat = F.struct(begin.alias("from"), (F.col("at") + min_words).alias("until"), F.coalesce("low", "id").alias("source"))
+    begin = F.when(elsewhere, F.col("at")).otherwise(F.greatest("at", F.col("own") + min_words)).cast("bigint")
+    span = F.shiftleft(begin, 32) + F.col("at") + min_words  # first word, and the one after the last
+    repeat = F.struct(span.alias("span"), F.coalesce("low", "id").alias("source"))
     repeats = later.groupBy(F.col("t").alias("rt"), F.col("id").alias("rid")).agg(F.collect_set(repeat).alias("repeats"))
 
-    told = first.join(repeats, (F.col("t") == F.col("rt")) & F.col("source").eqNullSafe(F.col("rid")), "left").select("t", "t2", "source", "repeats")
+    told = first.join(repeats, (F.col("t") == F.col("rt")) & F.col("source").eqNullSafe(F.col("rid")), "left").where("n > 1 or repeats is not null")
+    told = told.select("t", "t2", "source", "repeats")
+    found = touched.join(told, ["t", "t2"], "left")
+    copy = F.col("id").isNull() & F.col("source").isNotNull() | (F.col("id") > F.col("source"))
+    out = found.withColumn("copy", F.coalesce(copy, F.lit(False))).unionByName(alone.withColumn("copy", F.lit(False)), allowMissingColumns=True)
     row = F.struct(F.col("id").alias(id_col), *[F.col(f"kept.{c}").alias(c) for c in keep])
-    out = own.join(told, ["t", "t2"], "left").select(row.alias("row"), "text", (~F.col("id").eqNullSafe(F.col("source"))).alias("copy"), "source", "repeats")
+    out = out.select(row.alias("row"), "text", "copy", "source", "repeats")
     run = f"array<struct<start:bigint,words:bigint,source:{kind}>>"
     return out.mapInArrow(
         partial(_cut_rows, min_words), f"row {out.schema['row'].dataType.simpleString()}, text string, n_words bigint, n_removed bigint, runs {run}"
