@@ -175,15 +175,17 @@ def _alike(least: float, table: pa.Table) -> pa.RecordBatch:
     for lo, hi in _bounds(table)[1]:
         open_ = np.arange(lo, hi)
         while len(open_) > 1:
-            root, queue, open_ = int(open_[0]), [int(open_[0])], open_[1:]
+            queue, open_ = [int(open_[0])], open_[1:]
+            alike = {keys[queue[0]]}
             while queue and len(open_):
                 near = (bytes_[open_] == bytes_[queue.pop()]).sum(axis=1) >= least * COORDINATES
-                for k in open_[near].tolist():
-                    if keys[k] != keys[root]:
-                        a.append(keys[root])
-                        b.append(keys[k])
-                    queue.append(k)
+                queue += open_[near].tolist()
+                alike.update(keys[k] for k in open_[near].tolist())
                 open_ = open_[~near]
+            # the least key is the root, so that runs which find the same sets find the same edges
+            root = min(alike)
+            b += alike - {root}
+            a += [root] * (len(alike) - 1)
     return pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
 
 
