@@ -1,227 +1,70 @@
-"""Stable global row numbering and daily batch assignment.
-
-``row_number() OVER (ORDER BY k)`` without a partition clause moves every row
-into one task.  Instead:
-
-1. approximate quantiles of the lead order column cut it into ranges of
-   similar size (one pass over a single pruned column, which also yields the
-   row count; the cut points are bounded by the number of ranges);
-2. each row's range id is a pure function of its key (JVM binary search), so a
-   recomputed task always lands its rows in the same range;
-3. per-range row counts (one row per range, map-side combined) give each
-   range's starting offset through a running sum over those few rows;
-4. ``row_number()`` within each range plus its offset is the global index.
-
-Only step 4 moves rows, as one shuffle by range id, and the ranges are
-balanced by construction, so no task holds more than about ``rows / ranges``
-rows.
-
-Hot lead values.  A lead value that shows up two or more times among the
-cuts holds at least about two ranges' worth of rows.  Such a value gets a
-range of its own, which is cut again by quantiles of the second order column
-(one extra pass over the hot rows only, two pruned columns).  A range is cut
-this way only when it provably holds a single lead value, so the order stays
-exact.  Ties left after all order columns keep their group in one range; the
-full order key should be unique (file order is).
+"""Global row numbering and daily batch assignment without a one-task sort.
+
+Two orders are supported.
+
+*Key order* (``with_row_index``): Spark's range partitioner cuts the rows by all
+order columns and, last, by arrival, so rows that tie in every order column
+still spread over the ranges.  Each range is sorted by its own task; a row's
+index is its place in the range plus the rows of the ranges before it (one
+count per range).  The placed rows are persisted, because the counts and the
+rows must come from the same cut.
+
+*File order* (``with_file_index``): a file split's rows already stand in order
+within the task that read them, so no row moves: index = rows of the splits
+before + position in the task - the split's first position there.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
-import math
-from collections import Counter
 
-from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Window
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from opinio.functions.dates import batch_name, date_add_days
+from opinio.functions.dates import batch_name, ceil_div, date_add_days
 from opinio.schemas import DEFAULT_BATCH_SIZE, DEFAULT_START_DATE
 
-# Hot lead values are sub-split only when they hold at least this many rows
-# (estimated from the cuts), and only the MAX_SPLIT_HOT heaviest ones.
-MIN_SPLIT_ROWS = 1_000
-MAX_SPLIT_HOT = 64
-
-_RANGE = "_opinio_range"
-_KEY = "_opinio_key"
-_SUB = "_opinio_sub"
-_INF = float("inf")
-
-
-def _order_key(df: DataFrame, column: str, for_ties: bool = False) -> Column | None:
-    """A double that never decreases along ``column``'s ascending order.
-
-    Numbers as themselves, dates as day numbers, timestamps as microseconds
-    (exact); for tie-break columns only, strings by their first six UTF-8
-    bytes (equal prefixes merely share a sub-range).  ``None`` when the type
-    has no such key.
-    """
-    dtype = df.schema[column].dataType
-    c = F.col(column)
-    if isinstance(dtype, (T.NumericType, T.BooleanType)):
-        return c.cast("double")
-    if isinstance(dtype, T.DateType):
-        return F.unix_date(c).cast("double")
-    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        return F.unix_micros(c.cast("timestamp")).cast("double")
-    if for_ties and isinstance(dtype, T.StringType):
-        prefix = F.rpad(F.hex(F.substring(F.encode(c, "UTF-8"), 1, 6)), 12, "0")
-        return F.conv(prefix, 16, 10).cast("double")
-    return None
-
-
-def _lead_key(df: DataFrame, lead: str) -> Column:
-    key = _order_key(df, lead)
-    if key is None:
-        raise TypeError(
-            f"the first order column {lead!r} must be a number, date or timestamp "
-            f"(got {df.schema[lead].dataType.simpleString()}); strings may follow it as tie-breakers"
-        )
-    return key
-
-
-# Rows one numbering task sorts, at most, when the row count is known.
-ROWS_PER_RANGE = 1_000_000
-
+_RANGE, _PLACE, _ARRIVAL = "_opinio_range", "_opinio_place", "_opinio_arrival"
+_IN_TASK = (1 << 33) - 1  # low bits of monotonically_increasing_id: the row's place in its task
 
-def _range_count(df: DataFrame, num_ranges: int | None) -> int:
-    if num_ranges:
-        return max(1, int(num_ranges))
-    return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
+def _columns(order_cols: str | list[str]) -> list[str]:
+    return [order_cols] if isinstance(order_cols, str) else list(order_cols)
 
-def ranges_for(df: DataFrame, n_rows: int) -> int:
-    """Range count for ``n_rows`` rows: the shuffle width, or more so that no
-    range holds over ``ROWS_PER_RANGE`` rows (the ranges grow with the data)."""
-    return max(_range_count(df, None), -(-int(n_rows) // ROWS_PER_RANGE))
 
+def placed_rows(df: DataFrame, order_cols: str | list[str], num_ranges: int | None = None) -> DataFrame:
+    """``df`` cut into sorted ranges, with ``_RANGE`` and ``_PLACE`` (0-based, in the range).
 
-def order_stats(df: DataFrame, lead: str, num_ranges: int | None = None) -> tuple[int, list[float]]:
-    """Row count and range cut points of ``lead`` in one pass over that column.
-
-    The cut list has ``ranges - 1`` entries (bounded by the shuffle width),
-    sorted; a value repeated in it is a hot value.
-    """
-    n_ranges = _range_count(df, num_ranges)
-    probs = [i / n_ranges for i in range(1, n_ranges)]
-    key = _lead_key(df, lead)
-    aggs = [F.count(F.lit(1)).alias("n")]
-    if probs:
-        aggs.append(F.percentile_approx(key, probs, max(10_000, 4 * n_ranges)).alias("cuts"))
-    row = df.agg(*aggs).first()
-    cuts = list(row["cuts"] or []) if probs else []
-    return int(row["n"]), sorted(c for c in cuts if c is not None and c == c)
-
-
-def _sub_ranges(ranged: DataFrame, cols: list[str], hot: dict[float, int], pieces: int) -> DataFrame:
-    """Cut each hot value's range by quantiles of the second order column.
-
-    ``hot`` maps a hot lead value (as double) to its range id.  Returns
-    ``ranged`` with ``_SUB`` (0 outside the cut ranges).  Each hot range adds
-    one binary-search column and one branch per row; there are at most
-    ``ranges / 2`` hot values, and only a few when a few keys are hot.
-    """
-    lead, second = cols[0], cols[1]
-    tie = F.coalesce(_order_key(ranged, second, for_ties=True), F.lit(-_INF))  # nulls sort first
-    probs = [i / pieces for i in range(1, pieces)]
-    stats = (
-        ranged.where(F.col(_KEY).isin(list(hot)))
-        .groupBy(_RANGE)
-        .agg(
-            F.min(lead).alias("lo"),
-            F.max(lead).alias("hi"),
-            F.percentile_approx(tie, probs, max(10_000, 4 * pieces)).alias("cuts"),
-        )
-        .collect()  # one row per hot value (at most ranges / 2)
-    )
-    splits = {}
-    for r in stats:
-        cuts = sorted({c for c in (r["cuts"] or []) if c is not None and c == c and abs(c) < _INF})
-        if r["lo"] == r["hi"] and cuts:  # exactly one lead value in this range
-            splits[int(r[_RANGE])] = [-_INF] + cuts + [_INF]
-    if not splits:
-        return ranged.withColumn(_SUB, F.lit(0))
-    ids = sorted(splits)
-    inputs = [f"_opinio_tie_{i}" for i in ids]
-    outputs = [f"_opinio_tie_bucket_{i}" for i in ids]
-    prepared = ranged
-    for rid, name in zip(ids, inputs):
-        prepared = prepared.withColumn(name, F.when(F.col(_RANGE) == rid, tie).otherwise(F.lit(float("nan"))))
-    bucketed = Bucketizer(
-        splitsArray=[splits[i] for i in ids], inputCols=inputs, outputCols=outputs, handleInvalid="keep"
-    ).transform(prepared)
-    sub = F.lit(0)
-    for rid, out in reversed(list(zip(ids, outputs))):
-        sub = F.when(F.col(_RANGE) == rid, F.col(out).cast("int")).otherwise(sub)
-    # Never null (ties are coalesced above); saying so keeps the optimizer from
-    # adding a null filter that would evaluate the cuts twice.
-    return bucketed.withColumn(_SUB, F.coalesce(sub, F.lit(0))).drop(*inputs, *outputs)
-
-
-def range_ids(
-    df: DataFrame,
-    order_cols: str | list[str],
-    num_ranges: int | None = None,
-    stats: tuple[int, list[float]] | None = None,
-) -> DataFrame:
-    """``df`` plus ``_RANGE``: a range id that never decreases along the order."""
-    cols = [order_cols] if isinstance(order_cols, str) else list(order_cols)
-    lead = cols[0]
-    n_rows, cuts = stats if stats is not None else order_stats(df, lead, num_ranges)
-    repeats = Counter(cuts)
-    hot = sorted(v for v, m in repeats.items() if m >= 2)
-    # A hot value v gets the range [v, next double after v) to itself.
-    edges = sorted(set(cuts) | {math.nextafter(v, _INF) for v in hot})
-    splits = [-_INF] + edges + [_INF]
-    keyed = df.withColumn(_KEY, _lead_key(df, lead))
-    if len(splits) < 3:  # no cut points (one range, or no non-null lead): a single range
-        key = F.col(_KEY)
-        ranged = keyed.withColumn(_RANGE, F.when(F.isnan(key), F.lit(1)).otherwise(F.lit(0)))
-    else:
-        ranged = Bucketizer(splits=splits, inputCol=_KEY, outputCol=_RANGE, handleInvalid="keep").transform(keyed)
-    # A null lead sorts first (ascending order puts nulls first); NaN sorts last.
-    ranged = ranged.withColumn(_RANGE, F.coalesce(F.col(_RANGE).cast("int"), F.lit(-1)))
-    # Sub-split only the heaviest hot values: estimated rows above a floor
-    # (smaller ones sort in one task trivially), at most MAX_SPLIT_HOT of them
-    # (any other hot value holds under 1/(MAX_SPLIT_HOT + 1) of the rows and
-    # keeps a range of its own).  Each split value costs a column per row.
-    per_range = n_rows / (len(cuts) + 1)
-    heavy = [v for v in hot if repeats[v] * per_range >= MIN_SPLIT_ROWS]
-    to_split = sorted(sorted(heavy, key=lambda v: -repeats[v])[:MAX_SPLIT_HOT])
-    if not to_split or len(cols) < 2 or _order_key(df, cols[1], for_ties=True) is None:
-        return ranged.drop(_KEY)
-    pieces = max(repeats[v] for v in to_split) + 1
-    own = {v: splits.index(v) for v in to_split}  # range id of the range starting at v
-    sub = _sub_ranges(ranged, cols, own, pieces)
-    # Sub-range ids nest inside their range, so the combined id keeps the order.
-    width = pieces + 1  # Bucketizer ids 0..pieces (NaN ties in the last one)
-    return sub.withColumn(_RANGE, F.col(_RANGE) * F.lit(width) + F.col(_SUB)).drop(_KEY, _SUB)
+    ``num_ranges`` defaults to the shuffle width of the session."""
+    n = num_ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    order = [*_columns(order_cols), _ARRIVAL]
+    cut = df.withColumn(_ARRIVAL, F.monotonically_increasing_id()).repartitionByRange(max(1, n), *order)
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit(_IN_TASK))
+    return cut.sortWithinPartitions(*order).withColumn(_RANGE, F.spark_partition_id()).withColumn(_PLACE, place).drop(_ARRIVAL)
 
 
 def with_row_index(
-    df: DataFrame,
-    order_cols: str | list[str],
-    index_col: str = "row_index",
-    num_ranges: int | None = None,
-    stats: tuple[int, list[float]] | None = None,
+    df: DataFrame, order_cols: str | list[str], index_col: str = "row_index", num_ranges: int | None = None
 ) -> DataFrame:
-    """Append a 0-based dense global row index following ``order_cols``."""
-    cols = [order_cols] if isinstance(order_cols, str) else list(order_cols)
-    ranged = range_ids(df, cols, num_ranges, stats)
-
-    counts = ranged.groupBy(_RANGE).agg(F.count(F.lit(1)).alias("_n"))
-    # One row per range: the window below sees a bounded number of rows.
+    """Append a 0-based dense global row index following ``order_cols`` (ascending, nulls first)."""
+    rows = placed_rows(df, order_cols, num_ranges).persist(StorageLevel.DISK_ONLY)
+    counts = rows.groupBy(_RANGE).agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy(_RANGE).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(
-        _RANGE, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset")
-    )
-    within = Window.partitionBy(_RANGE).orderBy(*[F.col(c).asc() for c in cols])
+    offsets = counts.select(_RANGE, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+    # one row per range: as many as the caller (or the shuffle width) asked for
+    return rows.join(F.broadcast(offsets), _RANGE).withColumn(index_col, F.col("_offset") + F.col(_PLACE)).drop(_RANGE, _PLACE, "_offset")
+
+
+def with_batches(indexed: DataFrame, batch_size: int, start_date: str | _dt.date, index_col: str = "row_index") -> DataFrame:
+    """Row i -> ``batch_index = i // size``, ``dt = start + batch_index``, ``batch = batch_{index+1:03d}``."""
+    if batch_size <= 0:
+        raise ValueError("batch_size must be positive")
+    idx = F.floor(F.col(index_col) / F.lit(batch_size)).cast("bigint")
     return (
-        ranged.join(F.broadcast(offsets), _RANGE)
-        .withColumn(index_col, F.col("_offset") + F.row_number().over(within) - 1)
-        .drop(_RANGE, "_offset")
+        indexed.withColumn("batch_index", idx)
+        .withColumn("dt", date_add_days(start_date, F.col("batch_index")))
+        .withColumn("batch", batch_name(F.col("batch_index")))
     )
 
 
@@ -231,19 +74,9 @@ def assign_batches(
     batch_size: int = DEFAULT_BATCH_SIZE,
     start_date: str | _dt.date = DEFAULT_START_DATE,
     num_ranges: int | None = None,
-    stats: tuple[int, list[float]] | None = None,
 ) -> DataFrame:
-    """Row i -> ``batch_index = i // size``, ``dt = start + batch_index``,
-    ``batch = batch_{index+1:03d}``."""
-    if batch_size <= 0:
-        raise ValueError("batch_size must be positive")
-    indexed = with_row_index(df, order_cols, "row_index", num_ranges, stats)
-    idx = F.floor(F.col("row_index") / F.lit(batch_size)).cast("bigint")
-    return (
-        indexed.withColumn("batch_index", idx)
-        .withColumn("dt", date_add_days(start_date, F.col("batch_index")))
-        .withColumn("batch", batch_name(F.col("batch_index")))
-    )
+    """W1 in key order."""
+    return with_batches(with_row_index(df, order_cols, "row_index", num_ranges), batch_size, start_date)
 
 
 def batch_keys(
@@ -253,12 +86,12 @@ def batch_keys(
 
     ``with_index`` adds the 0-based ``batch_index``.
     """
-    n_batches = (n_rows + batch_size - 1) // batch_size
+    one = spark.range(1).select(ceil_div(F.lit(n_rows), batch_size).alias("n"))
     idx = F.col("id")
     cols = [date_add_days(start_date, idx).alias("dt"), batch_name(idx).alias("batch")]
     if with_index:
         cols.append(idx.alias("batch_index"))
-    return spark.range(n_batches).select(*cols)
+    return spark.range(one.first()["n"]).select(*cols)
 
 
 def batch_summary(batches: DataFrame, order_col: str) -> DataFrame:
@@ -274,14 +107,8 @@ def batch_summary(batches: DataFrame, order_col: str) -> DataFrame:
     )
 
 
-# Helper columns that follow file order (see ``with_file_order``).
-FILE_ORDER_COLS = ("_file_split", "_file_pos")
-# Columns of ``with_file_position``: file name, split start, position.
+# Columns of ``with_file_position``: file name, split start, position in the task.
 FILE_POSITION_COLS = ("_file_name", "_file_block", "_file_pos")
-_SPLIT_BITS = 40  # split start offsets below 1 TiB per file
-# File-rank tables up to this many files are broadcast; larger ones are joined
-# the ordinary way (AQE then picks the strategy and splits skewed partitions).
-MAX_BROADCAST_FILES = 100_000
 
 
 def with_file_position(df: DataFrame) -> DataFrame:
@@ -291,44 +118,28 @@ def with_file_position(df: DataFrame) -> DataFrame:
     * ``_file_block``: start offset of the file split the row was read from
       (``input_file_block_start``; 0 when a file is one split, as with
       ``multiLine`` CSV);
-    * ``_file_pos``: position inside the read task
-      (``monotonically_increasing_id()`` low bits), which grows along the rows
+    * ``_file_pos``: position inside the read task, which grows along the rows
       of a split and is the same when the task is retried.
     """
     name, block, pos = FILE_POSITION_COLS
     return (
         df.withColumn(name, F.input_file_name())
         .withColumn(block, F.input_file_block_start())
-        .withColumn(pos, F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)))
-    )
-
-
-def with_file_rank(positioned: DataFrame) -> DataFrame:
-    """``FILE_POSITION_COLS`` -> ``FILE_ORDER_COLS``; sorting by them follows file order.
-
-    ``_file_split`` is the file's rank by name, shifted left 40 bits, plus the
-    split start.  Ranks come from the distinct file names only (one row per
-    file).  The rank table is broadcast when it has at most
-    ``MAX_BROADCAST_FILES`` rows (counted first), otherwise joined normally.
-    As a numbering key one ``_file_split`` value covers at most one split's
-    rows, so the ranges of ``with_row_index`` stay balanced to within a split.
-    """
-    name, block, _ = FILE_POSITION_COLS
-    split, _ = FILE_ORDER_COLS
-    files = positioned.select(name).distinct()
-    ranks = files.select(name, (F.dense_rank().over(Window.orderBy(name)) - 1).alias("_opinio_rank"))
-    if files.count() <= MAX_BROADCAST_FILES:
-        ranks = F.broadcast(ranks)
-    return (
-        positioned.join(ranks, name)
-        .withColumn(split, F.shiftleft(F.col("_opinio_rank").cast("bigint"), _SPLIT_BITS) + F.col(block))
-        .drop(name, block, "_opinio_rank")
+        .withColumn(pos, F.monotonically_increasing_id().bitwiseAND(F.lit(_IN_TASK)))
     )
 
 
-def with_file_order(df: DataFrame) -> DataFrame:
-    """Add ``FILE_ORDER_COLS`` to a file-source frame (position and rank in one go).
+def with_file_index(positioned: DataFrame, index_col: str = "row_index") -> DataFrame:
+    """``FILE_POSITION_COLS`` -> a 0-based dense index by file name and place in the file.
 
-    Splits of one large file are read by many tasks and still order exactly.
+    The running sum sees one row per file split (some 128 MB of input each).
+    The splits are counted once and persisted, so that Spark knows their size
+    when it chooses the join; a broadcast, where it fits, leaves the rows in place.
     """
-    return with_file_rank(with_file_position(df))
+    name, block, pos = FILE_POSITION_COLS
+    before = Window.orderBy(name, block).rowsBetween(Window.unboundedPreceding, -1)
+    splits = positioned.groupBy(name, block).agg(F.count(F.lit(1)).alias("_n"), F.min(pos).alias("_first"))
+    offsets = splits.select(name, block, (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias("_shift"))
+    offsets = offsets.persist(StorageLevel.DISK_ONLY)
+    offsets.count()
+    return positioned.join(offsets, [name, block]).withColumn(index_col, F.col("_shift") + F.col(pos)).drop(*FILE_POSITION_COLS, "_shift")

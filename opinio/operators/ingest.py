@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,54 +18,17 @@ def missing_batches(candidates: DataFrame, existing: DataFrame) -> DataFrame:
     return candidates.join(keys, BATCH_KEY, "left_anti")
 
 
-def ingest_summary(candidate_keys: DataFrame, missing_keys: DataFrame, errors: int = 0) -> DataFrame:
-    """``sent``, ``ignored`` (already stored), ``errors``, ``total`` batches."""
+def ingest_summary(candidate_keys: DataFrame, missing_keys: DataFrame, failed: bool = False) -> DataFrame:
+    """``sent``, ``ignored`` (already stored), ``errors``, ``total`` batches;
+    a failed write counts every batch that it should have sent as an error."""
     flagged = missing_keys.select(*BATCH_KEY).withColumn("_missing", F.lit(1))
     counts = candidate_keys.select(*BATCH_KEY).join(flagged, BATCH_KEY, "left").agg(
         F.count(F.lit(1)).alias("total"), F.count("_missing").alias("n_missing")
     )
-    failed = F.lit(errors).cast("bigint")
+    none = F.lit(0).cast("bigint")
     return counts.select(
-        F.when(failed > 0, F.lit(0).cast("bigint")).otherwise(F.col("n_missing")).alias("sent"),
+        (none if failed else F.col("n_missing")).alias("sent"),
         (F.col("total") - F.col("n_missing")).alias("ignored"),
-        F.when(failed > 0, F.col("n_missing")).otherwise(F.lit(0).cast("bigint")).alias("errors"),
+        (F.col("n_missing") if failed else none).alias("errors"),
         F.col("total"),
     )
-
-
-# Above this many runs of missing batches, rows are matched to missing keys by
-# a join instead of an interval test.
-MAX_MISSING_RUNS = 100_000
-
-
-def missing_runs(missing: DataFrame, limit: int | None = None) -> list[tuple[int, int]] | None:
-    """J1 as runs: the missing ``batch_index`` values as sorted ``(first, last)`` runs.
-
-    A run starts where the previous index is not missing and ends where the
-    next one is not (two anti joins over the key table; no window over all
-    keys).  A first ingest is one run, a re-run none.  Returns ``None`` when
-    there are more than ``limit`` runs; the caller then joins on the keys.
-    """
-    limit = MAX_MISSING_RUNS if limit is None else limit
-    idx = missing.select("batch_index")
-    starts = idx.join(idx.select((F.col("batch_index") + 1).alias("batch_index")), "batch_index", "left_anti")
-    ends = idx.join(idx.select((F.col("batch_index") - 1).alias("batch_index")), "batch_index", "left_anti")
-    first = [r[0] for r in starts.orderBy("batch_index").limit(limit + 1).collect()]
-    if len(first) > limit:
-        return None
-    last = [r[0] for r in ends.orderBy("batch_index").limit(limit + 1).collect()]
-    return list(zip(first, last))
-
-
-def in_runs(rows: DataFrame, runs: list[tuple[int, int]], column: str = "batch_index") -> DataFrame:
-    """Rows whose ``column`` falls in one of ``runs`` (a binary search per row, no shuffle)."""
-    if not runs:
-        return rows.where(F.lit(False))
-    # Runs are maximal, so last + 1 < next first: the edges strictly increase,
-    # and odd buckets are the inside of a run.
-    edges = [float(x) for first, last in runs for x in (first, last + 1)]
-    name = "_opinio_run_bucket"
-    bucketed = Bucketizer(
-        splits=[float("-inf")] + edges + [float("inf")], inputCol="_opinio_run_key", outputCol=name
-    ).transform(rows.withColumn("_opinio_run_key", F.col(column).cast("double")))
-    return bucketed.where(F.col(name) % 2 == 1).drop(name, "_opinio_run_key")

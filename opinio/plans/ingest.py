@@ -1,33 +1,27 @@
 """Slice a source into daily batches and store the ones not stored yet.
 
-One Spark job replaces the per-batch loop: rows are numbered in source order
-(W1), batch keys already present under the raw root are listed from file
-paths, and only the missing batches are appended as CSV under
-``dt=YYYY-MM-DD/batch=batch_NNN/``.
+One Spark job replaces the per-batch loop: the batch keys follow from the row
+count, those already stored are taken out, and only then are rows numbered (W1)
+and the missing batches written as CSV under
+``dt=YYYY-MM-DD/batch=batch_NNN/``.  A batch counts as stored once its
+completion record is written, which happens after the job; a torn batch has
+none and is overwritten by the next run.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
-
 from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 
-from opinio.operators.batching import (
-    FILE_ORDER_COLS,
-    assign_batches,
-    batch_keys,
-    order_stats,
-    ranges_for,
-    with_file_position,
-    with_file_rank,
-)
-from opinio.operators.ingest import BATCH_KEY, in_runs, missing_batches, missing_runs
+from opinio.operators.batching import batch_keys, with_batches, with_file_index, with_file_position, with_row_index
+from opinio.operators.ingest import BATCH_KEY, ingest_summary, missing_batches
 from opinio.schemas import DEFAULT_BATCH_SIZE, DEFAULT_START_DATE
 from opinio.sources.files import list_batches, source_scan
-from opinio.sources.sinks import write_raw_days_csv
+from opinio.sources.sinks import record_batches, write_raw_days_csv
 from opinio.sources.storage import checkpoint_root, scratch_path
 
 
@@ -35,34 +29,29 @@ from opinio.sources.storage import checkpoint_root, scratch_path
 class IngestResult:
     summary: DataFrame
     exit_code: int
+    error: str | None = None
 
 
 def plan_ingest(
     spark: SparkSession,
     source: DataFrame,
     raw_root: str,
-    order_cols: str | list[str],
+    number_rows: Callable[[DataFrame], DataFrame],
     start_date: str | _dt.date = DEFAULT_START_DATE,
     batch_size: int = DEFAULT_BATCH_SIZE,
-):
-    """Candidate keys, missing keys and the rows still to write."""
-    lead = order_cols if isinstance(order_cols, str) else order_cols[0]
-    # A Parquet source (or the staged CSV) counts from file metadata; the count
-    # sizes the numbering ranges, then one pass takes the cuts.
-    stats = order_stats(source, lead, ranges_for(source, source.count()))
-    candidates = batch_keys(spark, stats[0], batch_size, start_date, with_index=True)
-    existing = list_batches(spark, raw_root)
-    # Listed and joined once: the missing keys are checkpointed to the shared
-    # folder, and the counts and runs below read that copy.
+) -> tuple[DataFrame, DataFrame, DataFrame | None]:
+    """Candidate keys, missing keys, and the rows still to write (None: no batch is missing)."""
+    candidates = batch_keys(spark, source.count(), batch_size, start_date, with_index=True)
+    # Listed and joined once, before the write below changes what is stored.
     checkpoint_root(spark)
-    missing = missing_batches(candidates, existing).checkpoint()
-    rows = assign_batches(source, order_cols, batch_size, start_date, stats=stats)
-    runs = missing_runs(missing)
-    if runs is None:  # scattered gaps: match rows to missing keys exactly, by a join
-        to_write = rows.join(missing.select(*BATCH_KEY), BATCH_KEY, "left_semi")
-    else:  # the usual case: a few runs of batch indexes, tested per row without a shuffle
-        to_write = in_runs(rows, runs)
-    return candidates.select(*BATCH_KEY), missing.select(*BATCH_KEY), to_write
+    missing = missing_batches(candidates, list_batches(spark, raw_root)).checkpoint()
+    n_missing = missing.count()
+    if not n_missing:
+        return candidates, missing, None
+    rows = with_batches(number_rows(source), batch_size, start_date)
+    if n_missing < candidates.count():
+        rows = rows.join(missing.select("batch_index"), "batch_index", "left_semi")
+    return candidates, missing, rows
 
 
 def ingest(
@@ -72,30 +61,26 @@ def ingest(
     order_cols: str | list[str],
     start_date: str | _dt.date = DEFAULT_START_DATE,
     batch_size: int = DEFAULT_BATCH_SIZE,
-    helper_cols: tuple[str, ...] = (),
 ) -> IngestResult:
-    """Write the missing batches; summary ``sent, ignored, errors, total``.
+    """D4 in key order: write the missing batches; summary ``sent, ignored, errors, total``.
 
     A re-run writes nothing.  A failed write counts every batch of the run as
-    an error and returns exit code 1.
+    an error, keeps the error's text and returns exit code 1.
     """
-    candidates, missing, to_write = plan_ingest(spark, source, raw_root, order_cols, start_date, batch_size)
-    # Both counts are taken before the write, so the summary describes this run.
-    total = candidates.count()
-    n_missing = missing.count()
-    payload = to_write.drop("row_index", "batch_index", *helper_cols)
-    errors = 0
-    if n_missing:
+    return _store(spark, source, raw_root, lambda rows: with_row_index(rows, order_cols), start_date, batch_size)
+
+
+def _store(spark, source, raw_root, number_rows, start_date, batch_size) -> IngestResult:
+    candidates, missing, rows = plan_ingest(spark, source, raw_root, number_rows, start_date, batch_size)
+    error = None
+    if rows is not None:
         try:
-            write_raw_days_csv(payload, raw_root, mode="append", by=("dt", "batch"))
-        except Exception:
-            errors = n_missing
-    sent = 0 if errors else n_missing
-    summary = spark.createDataFrame(
-        [(sent, total - n_missing, errors, total)],
-        "sent bigint, ignored bigint, errors bigint, total bigint",
-    )
-    return IngestResult(summary, 1 if errors else 0)
+            write_raw_days_csv(rows.drop("row_index", "batch_index"), raw_root, by=tuple(BATCH_KEY))
+            record_batches(missing.select(*BATCH_KEY), raw_root)
+        except Exception as exc:  # reported with its whole text, and by the exit code
+            error = f"{type(exc).__name__}: {exc}"
+    summary = ingest_summary(candidates, missing, failed=error is not None)
+    return IngestResult(summary, 1 if error else 0, error)
 
 
 def ingest_csv(
@@ -109,9 +94,9 @@ def ingest_csv(
     """D4 from a CSV source in file order; exit code 2 when the source is missing.
 
     The source is parsed once: its rows and their file positions are staged as
-    Parquet in the shared checkpoint folder.  The later passes (file ranks,
-    quantiles, per-range counts) then read one or two columns of that table,
-    and each row's position is fixed in storage, not recomputed on a retry.
+    Parquet in the shared checkpoint folder, so that a row's position is fixed
+    in storage, not recomputed on a retry; the count reads that table's footers
+    and the numbering its position columns.
 
     ``multi_line=True`` (default) reads quoted fields that span lines; each
     file is then one read task.  A large source known to hold no line breaks
@@ -123,10 +108,8 @@ def ingest_csv(
     except AnalysisException as exc:
         if "PATH_NOT_FOUND" in str(exc) or "Path does not exist" in str(exc):
             empty = spark.createDataFrame([], "sent bigint, ignored bigint, errors bigint, total bigint")
-            return IngestResult(empty, 2)
+            return IngestResult(empty, 2, str(exc))
         raise
     staged_path = scratch_path(spark, "ingest-staged") + "/source"
     with_file_position(source).write.mode("overwrite").parquet(staged_path)
-    ordered = with_file_rank(spark.read.parquet(staged_path))
-    order = list(FILE_ORDER_COLS)
-    return ingest(spark, ordered, raw_root, order, start_date, batch_size, helper_cols=FILE_ORDER_COLS)
+    return _store(spark, spark.read.parquet(staged_path), raw_root, with_file_index, start_date, batch_size)

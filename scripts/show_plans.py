@@ -8,13 +8,14 @@ from __future__ import annotations
 import io
 import os
 import sys
+import tempfile
 from contextlib import redirect_stdout
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from opinio.operators import quality, views  # noqa: E402
 from opinio.operators.aggregate import product  # noqa: E402
-from opinio.operators.batching import assign_batches  # noqa: E402
+from opinio.operators.batching import assign_batches, with_row_index  # noqa: E402
 from opinio.operators.clean import clean  # noqa: E402
 from opinio.plans import derived  # noqa: E402
 from opinio.plans.ingest import plan_ingest  # noqa: E402
@@ -36,7 +37,7 @@ def formatted(df) -> str:
 
 def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    spark = build_session("local[8]", shuffle_partitions=8)
+    spark = build_session("local[8]", shuffle_partitions=8, extra={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="opinio-plans-")})
     root = scratch_path(spark, "plans")
     trusted = clean(derived.event_reviews(spark, sf_dir))
     days = [r[0].isoformat() for r in trusted.select("dt").distinct().collect()]
@@ -51,7 +52,7 @@ def main() -> None:
         ("W1 global row numbering of documents", assign_batches(derived.table(spark, sf_dir, "documents"), "doc_id")),
         (
             "D4 ingest: rows still to write on a first run (documents, 100-row batches)",
-            plan_ingest(spark, derived.table(spark, sf_dir, "documents"), f"{root}/ingest-raw", "doc_id")[2],
+            plan_ingest(spark, derived.table(spark, sf_dir, "documents"), f"{root}/ingest-raw", lambda rows: with_row_index(rows, "doc_id"))[2],
         ),
         (
             "W1 with hot lead values (lineitem by line number, order key; 32 ranges)",

@@ -58,7 +58,7 @@ def test_ingest_csv_follows_file_order(spark, workdir):
     assert res.exit_code == 0
     assert res.summary.first().asDict() == {"sent": 3, "ignored": 0, "errors": 0, "total": 3}
     back = raw_scan(spark, workdir + "/raw")
-    assert not {"_file_split", "_file_pos"} & set(back.columns)
+    assert not {"_file_name", "_file_block", "_file_pos"} & set(back.columns)
     first_batch = {r["Clothing ID"] for r in back.where(F.col("batch") == "batch_001").collect()}
     assert first_batch == {str(k) for k in keys[:100]}
     assert {r.dt.isoformat() for r in back.select("dt").distinct().collect()} == {"2024-03-10", "2024-03-11", "2024-03-12"}
@@ -88,15 +88,13 @@ def test_ingest_splittable_csv_keeps_file_order(spark, workdir):
     assert got == {str(k): f"batch_{i // 100 + 1:03d}" for i, k in enumerate(keys)}
 
 
-def test_ingest_many_files_without_broadcast(spark, workdir, monkeypatch):
-    """Above the broadcast limit the file ranks are joined normally; order is still file order."""
+def test_ingest_many_files_without_broadcast(spark, workdir):
+    """Where nothing is broadcast the split offsets are joined by a shuffle; order is still file order."""
     import csv
     import glob
 
-    from opinio.operators import batching
     from opinio.plans.ingest import ingest_csv
 
-    monkeypatch.setattr(batching, "MAX_BROADCAST_FILES", 0)
     keys = [(i * 7919) % 1201 for i in range(1201)]
     src = spark.createDataFrame([(str(k), f"text {k}") for k in keys], "`Clothing ID` string, `Review Text` string")
     csv_dir = workdir + "/many_csv"
@@ -106,7 +104,12 @@ def test_ingest_many_files_without_broadcast(spark, workdir, monkeypatch):
         with open(path, newline="") as fh:
             in_file_order += [row["Clothing ID"] for row in csv.DictReader(fh)]
     assert sorted(in_file_order) == sorted(str(k) for k in keys)
-    res = ingest_csv(spark, csv_dir, workdir + "/raw", "2024-01-01", 100)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        res = ingest_csv(spark, csv_dir, workdir + "/raw", "2024-01-01", 100)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     assert res.summary.first().asDict() == {"sent": 13, "ignored": 0, "errors": 0, "total": 13}
     back = raw_scan(spark, workdir + "/raw")
     got = {r["Clothing ID"]: r["batch"] for r in back.select("Clothing ID", "batch").collect()}
@@ -139,24 +142,6 @@ def test_ingest_on_a_raw_layer_with_batch_files(spark, workdir):
     assert "batch" not in days.columns and days.count() == 250
 
 
-def test_range_count_grows_with_rows(spark):
-    from opinio.operators.batching import ROWS_PER_RANGE, ranges_for
-
-    df = spark.range(1)
-    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    assert ranges_for(df, 10) == width
-    assert ranges_for(df, 100 * ROWS_PER_RANGE + 1) == 101
-
-
-def test_missing_runs(spark):
-    from opinio.operators.ingest import missing_runs
-
-    df = spark.createDataFrame([(i,) for i in (9, 0, 5, 1, 6, 2)], "batch_index long")
-    assert missing_runs(df) == [(0, 2), (5, 6), (9, 9)]
-    assert missing_runs(df, limit=2) is None
-    assert missing_runs(df.limit(0)) == []
-
-
 def _partial_ingest(spark, workdir):
     """1000 rows in 10 batches; batches 3 and 7 already stored as batch files."""
     import csv
@@ -175,33 +160,75 @@ def _partial_ingest(spark, workdir):
     assert got == expected | {(-1, "batch_003"), (-1, "batch_007")}
 
 
-def test_partial_ingest_by_runs(spark, workdir):
+def test_partial_ingest(spark, workdir):
     _partial_ingest(spark, workdir)
 
 
-def test_partial_ingest_by_key_join(spark, workdir, monkeypatch):
-    from opinio.operators import ingest as ingest_ops
+def test_row_index_with_one_range_or_only_null_leads(spark):
+    df = spark.createDataFrame([(None, 2), (None, 1), (5, 0)], "k long, t long")
+    got = {(r.k, r.t): r.row_index for r in with_row_index(df, ["k", "t"], num_ranges=1).collect()}
+    assert got == {(None, 1): 0, (None, 2): 1, (5, 0): 2}
+    nulls = df.where(F.col("k").isNull())
+    got = {r.t: r.row_index for r in with_row_index(nulls, ["k", "t"], num_ranges=4).collect()}
+    assert got == {1: 0, 2: 1}
 
-    monkeypatch.setattr(ingest_ops, "MAX_MISSING_RUNS", 1)  # three runs: fall back to the join
-    _partial_ingest(spark, workdir)
 
+def test_file_order_leaves_rows_in_place(spark, workdir):
+    from opinio.operators.batching import with_file_index, with_file_position
 
-def test_first_ingest_moves_rows_once(spark, workdir):
+    spark.range(5000).selectExpr("cast(id as string) as k").repartition(6).write.options(header=True).csv(workdir + "/csv")
+    with_file_position(spark.read.options(header=True).csv(workdir + "/csv")).write.parquet(workdir + "/staged")
+    rows = with_file_index(spark.read.parquet(workdir + "/staged"))
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan.split("InMemoryRelation")[0]
+    assert sorted(r.row_index for r in rows.collect()) == list(range(5000))
+
+
+def test_key_order_moves_rows_once_and_only_for_missing_batches(spark, workdir):
     import re
 
     from opinio.plans.ingest import plan_ingest
 
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
-    _, _, to_write = plan_ingest(spark, docs, workdir + "/raw", "doc_id")
+    number = lambda rows: with_row_index(rows, "doc_id")
+    _, _, to_write = plan_ingest(spark, docs, workdir + "/raw", number)
     plan = to_write._jdf.queryExecution().executedPlan().toString()
-    # the range shuffle of W1 only: no second shuffle of the rows by batch key
+    assert len(set(re.findall(r"Exchange rangepartitioning\([^)]*\), REPARTITION_BY_NUM", plan))) <= 1
     assert not re.search(r"Exchange hashpartitioning\((dt|batch)", plan)
+    ingest(spark, docs, workdir + "/raw", "doc_id")
 
+    def never(rows):
+        raise AssertionError("no batch is missing: rows must not be numbered")
 
-def test_row_index_with_one_range_or_only_null_leads(spark):
-    df = spark.createDataFrame([(None, 2), (None, 1), (5, 0)], "k long, t long")
-    got = {(r.k, r.t): r.row_index for r in with_row_index(df, ["k", "t"], num_ranges=1).collect()}
-    assert got == {(None, 1): 0, (None, 2): 1, (5, 0): 2}
-    nulls = df.where(F.col("k").isNull())
-    got = {r.t: r.row_index for r in with_row_index(nulls, ["k", "t"], num_ranges=4).collect()}
-    assert got == {1: 0, 2: 1}
+    assert plan_ingest(spark, docs, workdir + "/raw", never)[2] is None
+
+
+def test_torn_batch_is_written_again(spark, workdir):
+    """Part files of a batch without a completion record do not count as stored."""
+    import glob
+    import os
+    import shutil
+
+    root = workdir + "/raw"
+    src = spark.range(1000).select(F.col("id").alias("k"))
+    assert ingest(spark, src, root, "k").exit_code == 0
+    shutil.rmtree(root + "/_stored_batches")
+    parts = sorted(glob.glob(root + "/dt=2024-01-04/batch=*/part-*.csv"))
+    os.remove(parts[0])
+    res = ingest(spark, src, root, "k")
+    assert res.summary.first().asDict() == {"sent": 10, "ignored": 0, "errors": 0, "total": 10}
+    assert sorted(int(r.k) for r in raw_scan(spark, root).collect()) == list(range(1000))
+    assert ingest(spark, src, root, "k").summary.first().asDict() == {"sent": 0, "ignored": 10, "errors": 0, "total": 10}
+
+
+def test_failed_write_keeps_its_error(spark, workdir, monkeypatch):
+    from opinio.plans import ingest as plan
+
+    def broken(*_, **__):
+        raise OSError("x" * 1000 + " disk full")
+
+    monkeypatch.setattr(plan, "write_raw_days_csv", broken)
+    res = plan.ingest(spark, spark.range(250).withColumnRenamed("id", "k"), workdir + "/raw", "k")
+    assert res.exit_code == 1 and res.error.endswith("disk full") and len(res.error) > 1000
+    assert res.summary.first().asDict() == {"sent": 0, "ignored": 0, "errors": 3, "total": 3}
+    assert list_batches(spark, workdir + "/raw").count() == 0

@@ -38,11 +38,10 @@ def test_product_plan_is_one_shuffle_with_pushdown(spark, workdir):
 def test_batching_moves_rows_once(spark):
     docs = derived.table(spark, SF001, "documents")
     plan = _plan(assign_batches(docs, "doc_id"))
-    big_exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning(_opinio_range" in line]
-    # one shuffle of the rows (by range id) + one of the per-range counts
-    assert len(big_exchanges) == 2
-    assert "BroadcastExchange" in plan
-    assert "Window" in plan and "SinglePartition" in plan  # running sum over per-range counts only
+    # the rows' one (range) shuffle is inside the persisted frame that counts and rows share
+    cuts = set(re.findall(r"Exchange (rangepartitioning\([^)]*\)), REPARTITION_BY_NUM", plan))
+    assert len(cuts) == 1 and "rangepartitioning" not in plan.split("InMemoryRelation")[0]
+    assert "BroadcastExchange" in plan and "hashpartitioning(doc_id" not in plan
 
 
 def test_quality_checks_scan_once(spark, workdir):

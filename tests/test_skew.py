@@ -1,55 +1,73 @@
-"""Skewed inputs: one value holding a third of the rows."""
+"""Skewed inputs: one value holding a third of the rows or more."""
 
 from collections import Counter, defaultdict
 
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from opinio.operators.aggregate import product
-from opinio.operators.batching import _KEY, _RANGE, order_stats, range_ids, with_row_index
+from opinio.operators.batching import _RANGE, placed_rows, with_row_index
 from opinio.operators.clean import clean
 
 
-def test_ranges_stay_balanced_for_clustered_keys(spark):
-    # A third of the keys packed into a tiny interval, the rest spread wide.
-    dense = [1_000_000 + i for i in range(4000)]
-    sparse = [i * 997 for i in range(8000)]
-    df = spark.createDataFrame([(k,) for k in dense + sparse], "k long")
-    n, cuts = order_stats(df, "k", 8)
-    assert n == 12000 and len(cuts) == 7
-    from pyspark.ml.feature import Bucketizer
+def _order(row):  # ascending, nulls first
+    return tuple((x is not None, x if x is not None else 0) for x in row)
 
-    ranged = Bucketizer(splits=[float("-inf")] + cuts + [float("inf")], inputCol=_KEY, outputCol=_RANGE).transform(
-        df.withColumn(_KEY, F.col("k").cast("double"))
-    )
-    sizes = [r["count"] for r in ranged.groupBy(_RANGE).count().collect()]
-    assert max(sizes) <= 2 * (n / 8)  # no range near a third of the rows
-    got = {r.k: r.row_index for r in with_row_index(df, "k", num_ranges=8).collect()}
-    assert got == {k: i for i, k in enumerate(sorted(dense + sparse))}
 
+def _largest(df, cols, ranges):
+    return max(r["count"] for r in placed_rows(df, cols, ranges).groupBy(_RANGE).count().collect())
 
-def test_hot_lead_value_is_split_by_the_second_column(spark):
-    # One lead value holds a third of the rows; the second order column breaks ties.
-    rows = [(5, i) for i in range(4000)] + [(i, 3 * i) for i in range(8000)] + [(None, 7), (5, None)]
-    rows = sorted(rows, key=lambda r: hash((r[0], r[1], 17)))  # shuffled input order
-    df = spark.createDataFrame(rows, "k long, t long")
-    sizes = [r["count"] for r in range_ids(df, ["k", "t"], num_ranges=8).groupBy(_RANGE).count().collect()]
-    assert max(sizes) <= 2 * (len(rows) / 8)  # the hot value spans several ranges
-    got = {(r.k, r.t): r.row_index for r in with_row_index(df, ["k", "t"], num_ranges=8).collect()}
 
-    def order(r):  # ascending, nulls first
-        return tuple((x is not None, x if x is not None else 0) for x in r)
+@pytest.mark.parametrize("cols", [["k"], ["k", "s"], ["k", "two", "id"], ["k", "id"], ["s"], ["two"]])
+def test_no_task_holds_much_more_than_its_share(spark, cols):
+    """Half the rows have one lead value; strings share a long prefix; one column has two values."""
+    rows = spark.range(60_000).select(
+        F.when(F.col("id") % 2 == 0, 7).otherwise(F.col("id")).alias("k"),
+        F.concat(F.lit("a-common-prefix-"), F.format_string("%08d", "id")).alias("s"),
+        (F.col("id") % 3 % 2).alias("two"),
+        "id",
+    )
+    assert _largest(rows, cols, 32) <= 2.5 * 60_000 / 32
+    got = with_row_index(rows, cols, num_ranges=32).orderBy("row_index").select("row_index", *cols).collect()
+    assert [r.row_index for r in got] == list(range(60_000))
+    keys = [tuple(r[c] for c in cols) for r in got]
+    assert keys == sorted(keys)
+
 
-    assert got == {kt: i for i, kt in enumerate(sorted(rows, key=order))}
+def test_row_index_of_a_real_table(spark):
+    import duckdb
+
+    path = "/root/testdata/sf0.01/lineitem.parquet"
+    items = spark.read.parquet(path).select("l_orderkey", "l_linenumber")
+    cols = ["l_linenumber", "l_orderkey"]
+    assert _largest(items, cols, 32) <= 2.5 * items.count() / 32
+    got = {(r.l_orderkey, r.l_linenumber): r.row_index for r in with_row_index(items, cols, num_ranges=32).collect()}
+    expected = duckdb.sql(
+        f"SELECT l_orderkey, l_linenumber, row_number() OVER (ORDER BY l_linenumber, l_orderkey) - 1 "
+        f"FROM read_parquet('{path}')"
+    ).fetchall()
+    assert got == {(k, n): i for k, n, i in expected}
 
 
-def test_range_with_several_lead_values_is_not_cut_by_the_second_column(spark):
-    # Lead keys above 2**53 collide as doubles: the hot-looking range holds two
-    # distinct keys, so it must not be re-cut by the second column.
-    big = 2**60
-    rows = [(big, i) for i in range(3000)] + [(big + 1, i) for i in range(3000)] + [(i, i) for i in range(3000)]
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    leads=st.lists(st.one_of(st.sampled_from([7, 7, 7, -3, 0, 2**60, 2**60 + 1]), st.integers(-50, 50), st.none()), min_size=1, max_size=300),
+    ranges=st.integers(1, 9),
+)
+def test_row_index_matches_python_sort(spark, leads, ranges):
+    """Duplicated (hot), negative, very large and null leads; a unique tie column makes the order total."""
+    rows = [(k, i * 7919 % 100_003) for i, k in enumerate(leads)]
     df = spark.createDataFrame(rows, "k long, t long")
-    got = {(r.k, r.t): r.row_index for r in with_row_index(df, ["k", "t"], num_ranges=6).collect()}
-    assert got == {kt: i for i, kt in enumerate(sorted(rows))}
+    got = {(r.k, r.t): r.row_index for r in with_row_index(df, ["k", "t"], num_ranges=ranges).collect()}
+    assert got == {kt: i for i, kt in enumerate(sorted(rows, key=_order))}
+
+
+def test_many_more_ranges_than_rows(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id")
+    got = [r.row_index for r in with_row_index(docs, ["doc_id"], num_ranges=500).orderBy("doc_id").collect()]
+    assert got == list(range(docs.count()))
 
 
 def test_hot_department_product_matches_brute_force(spark):
@@ -80,83 +98,3 @@ def test_hot_department_product_matches_brute_force(spark):
     }
     assert got == expected
     assert sum(n for (b, d, s), (n, _) in got.items() if d == "Hot") == 1000
-
-
-def test_lineitem_line_numbers_are_hot_at_32_ranges(spark):
-    """Real table: with 32 ranges every line number (about 1/7 of the rows) is hot."""
-    import duckdb
-
-    path = "/root/testdata/sf0.01/lineitem.parquet"
-    items = spark.read.parquet(path).select("l_orderkey", "l_linenumber")
-    cols = ["l_linenumber", "l_orderkey"]
-    sizes = [r["count"] for r in range_ids(items, cols, num_ranges=32).groupBy(_RANGE).count().collect()]
-    total = sum(sizes)
-    assert max(sizes) <= 2 * total / 32  # without the second-column cut a range would hold total/7
-    got = {(r.l_orderkey, r.l_linenumber): r.row_index for r in with_row_index(items, cols, num_ranges=32).collect()}
-    expected = duckdb.sql(
-        f"SELECT l_orderkey, l_linenumber, row_number() OVER (ORDER BY l_linenumber, l_orderkey) - 1 "
-        f"FROM read_parquet('{path}')"
-    ).fetchall()
-    assert got == {(k, n): i for k, n, i in expected}
-
-
-def test_hot_date_lead_with_string_ties(spark):
-    """A date lead with one day holding a third of the rows; string ids break ties."""
-    import datetime as dt
-
-    import pytest
-
-    hot = dt.date(2024, 3, 1)
-    rows = [(hot, f"id-{i:05d}") for i in range(4000)]
-    rows += [(dt.date(2020, 1, 1) + dt.timedelta(days=i % 3000), f"x{i}") for i in range(8000)]
-    df = spark.createDataFrame(rows, "d date, s string")
-    sizes = [r["count"] for r in range_ids(df, ["d", "s"], num_ranges=8).groupBy(_RANGE).count().collect()]
-    assert max(sizes) <= 2 * (len(rows) / 8)
-    got = {(r.d, r.s): r.row_index for r in with_row_index(df, ["d", "s"], num_ranges=8).collect()}
-    assert got == {k: i for i, k in enumerate(sorted(rows))}
-    with pytest.raises(TypeError, match="first order column"):
-        with_row_index(df, ["s", "d"], num_ranges=8)
-
-
-from hypothesis import HealthCheck, given, settings  # noqa: E402
-from hypothesis import strategies as st  # noqa: E402
-
-
-@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(
-    leads=st.lists(st.one_of(st.sampled_from([7, 7, 7, -3, 0]), st.integers(-50, 50), st.none()), min_size=1, max_size=400),
-    ranges=st.integers(2, 9),
-)
-def test_row_index_matches_python_sort(spark, leads, ranges):
-    """Duplicated (hot), negative and null leads; a unique tie column makes the order total."""
-    rows = [(k, i * 7919 % 100_003) for i, k in enumerate(leads)]
-    df = spark.createDataFrame(rows, "k long, t long")
-    got = {(r.k, r.t): r.row_index for r in with_row_index(df, ["k", "t"], num_ranges=ranges).collect()}
-
-    def order(r):  # ascending, nulls first
-        return tuple((x is not None, x if x is not None else 0) for x in r)
-
-    assert got == {kt: i for i, kt in enumerate(sorted(rows, key=order))}
-
-
-def test_many_more_ranges_than_rows(spark):
-    """A wide shuffle (as in the cluster profile) over a small table: no sub-splitting, exact."""
-    import time
-
-    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id")
-    t0 = time.perf_counter()
-    got = [r.row_index for r in with_row_index(docs, ["doc_id"], num_ranges=2000).orderBy("doc_id").collect()]
-    assert got == list(range(docs.count()))
-    assert time.perf_counter() - t0 < 60
-
-
-def test_more_heavy_values_than_the_split_limit(spark):
-    """100 lead values each spanning several ranges: the 64 heaviest are re-cut, all stay exact."""
-    from opinio.operators import batching
-
-    rows = spark.range(150_000).select((F.col("id") % 100).alias("k"), F.col("id").alias("t"))
-    n, cuts = batching.order_stats(rows, "k", 400)
-    assert sum(1 for m in Counter(cuts).values() if m >= 2) > batching.MAX_SPLIT_HOT
-    got = with_row_index(rows, ["k", "t"], num_ranges=400, stats=(n, cuts))
-    bad = got.where(F.col("row_index") != F.col("k") * 1500 + F.floor(F.col("t") / 100)).count()
-    assert bad == 0
