@@ -3,6 +3,9 @@ the schema contract and the saved views."""
 
 from __future__ import annotations
 
+import re
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -44,31 +47,37 @@ def sync_partitions(spark: SparkSession, table: str, days=None) -> DataFrame:
     return spark.sql(f"SHOW PARTITIONS {table}")
 
 
-_STATUS_SCHEMA = T.StructType(
-    [
-        T.StructField("column_name", T.StringType()),
-        T.StructField("expected_type", T.StringType()),
-        T.StructField("actual_type", T.StringType()),
-        T.StructField("status", T.StringType()),
-    ]
-)
-
-
-def schema_contract(spark: SparkSession, actual: T.StructType, contract: T.StructType = PRODUCT_TABLE_SCHEMA) -> DataFrame:
-    """K3: drift report; drift is reported, never applied.
+def schema_contract(spark: SparkSession, table: str, contract: T.StructType = PRODUCT_TABLE_SCHEMA) -> DataFrame:
+    """K3: drift report over the stored files; drift is reported, never applied.
 
-    One row per column of either schema: ``OK``, ``TYPE_CHANGED``, ``MISSING``
-    (in the contract, not the data) or ``UNEXPECTED`` (the reverse).  Schemas
-    are metadata, so this runs on the driver over the field lists.
+    The Parquet schema of every registered partition is read (footers only) and
+    held against the contract: a row per column and type found, ``OK``,
+    ``TYPE_CHANGED``, ``MISSING`` (in the contract, not the files) or
+    ``UNEXPECTED`` (the reverse), with the number of partitions that have it.
+    The partition key's type comes from the folder names.
     """
-    exp = {f.name: f.dataType.simpleString() for f in contract.fields}
-    act = {f.name: f.dataType.simpleString() for f in actual.fields}
+    described = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE FORMATTED {table}").collect()}
+    location = described["Location"]
+    parts = [r[0] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()]
+    key = parts[0].split("=")[0] if parts else None
+
+    def types(part: str) -> dict[str, str]:
+        own = {f.name: f.dataType.simpleString() for f in spark.read.parquet(f"{location}/{part}").schema.fields}
+        dates = re.fullmatch(r"[0-9]{4}-[0-9]{2}-[0-9]{2}", part.split("=", 1)[1])
+        return own | {key: "date" if dates else "string"}
+
+    wanted = {f.name: f.dataType.simpleString() for f in contract.fields}
+    seen: dict[tuple[str, str | None], int] = {}
+    with ThreadPoolExecutor(8) as pool:
+        for found in pool.map(types, parts):
+            for name in [*wanted, *(n for n in found if n not in wanted)]:
+                seen[name, found.get(name)] = seen.get((name, found.get(name)), 0) + 1
     rows = []
-    for name in list(exp) + [n for n in act if n not in exp]:
-        e, a = exp.get(name), act.get(name)
-        status = "OK" if e == a else "MISSING" if a is None else "UNEXPECTED" if e is None else "TYPE_CHANGED"
-        rows.append((name, e, a, status))
-    return spark.createDataFrame(rows, _STATUS_SCHEMA)
+    for (name, actual), partitions in seen.items():
+        expected = wanted.get(name)
+        status = "OK" if expected == actual else "MISSING" if actual is None else "UNEXPECTED" if expected is None else "TYPE_CHANGED"
+        rows.append((name, expected, actual, status, partitions))
+    return spark.createDataFrame(rows, "column_name string, expected_type string, actual_type string, status string, partitions bigint")
 
 
 VIEW_BUILDERS = {

@@ -1,8 +1,9 @@
 """Review rows derived from the driver's test tables (no reviews table exists).
 
 Each adapter returns raw-shaped reviews: the raw header names, every value a
-string, plus the ``dt`` day.  The junk patterns (unreadable ages, blank texts,
-missing departments) exercise the cleaning rules on every row of the table.
+string, plus the ``dt`` day.  The junk patterns (unreadable, exponent,
+underscore and full-width numbers, fractional and out-of-range ratings, other
+recommendations, blank texts, missing and empty departments) exercise the cleaning rules on every row of the table.
 """
 
 from __future__ import annotations
@@ -17,14 +18,27 @@ def _raw_columns(rid: Column, age_base: Column, text: Column, rating_src: Column
         F.when(rid % 97 == 0, F.lit("abc"))
         .when(rid % 89 == 0, F.lit(None).cast("string"))
         .when(rid % 7 == 0, F.concat(base, F.lit(".9")))
+        .when(rid % 71 == 0, F.lit("4.5e1"))
+        .when(rid % 61 == 0, F.lit("3_0"))
+        .when(rid % 59 == 0, F.lit("\uff12\uff15"))
         .otherwise(base)
     )
     review_text = (
         F.when(rid % 10 == 0, F.lit("")).when(rid % 10 == 5, F.lit("   ")).otherwise(text)
     )
-    rating = (F.lit(1) + F.floor(rating_src).cast("int") % 5).cast("string")
-    recommended = F.when(rid % 3 == 0, F.lit("0")).otherwise(F.lit("1"))
-    department = F.when(rid % 53 == 0, F.lit(None).cast("string")).otherwise(dept)
+    stars = (F.lit(1) + F.floor(rating_src).cast("int") % 5).cast("string")
+    rating = (
+        F.when(rid % 43 == 0, F.lit("?"))
+        .when(rid % 41 == 0, F.lit("4.5"))
+        .when(rid % 37 == 0, F.lit("0"))
+        .when(rid % 31 == 0, F.lit("3e0"))
+        .otherwise(stars)
+    )
+    recommended = (
+        F.when(rid % 47 == 0, F.lit("yes")).when(rid % 29 == 0, F.lit("1.0")).when(rid % 23 == 0, F.lit("2"))
+        .when(rid % 3 == 0, F.lit("0")).otherwise(F.lit("1"))
+    )
+    department = F.when(rid % 53 == 0, F.lit(None).cast("string")).when(rid % 67 == 0, F.lit("")).otherwise(dept)
     return [
         rid.cast("string").alias("Clothing ID"),
         age.alias("Age"),

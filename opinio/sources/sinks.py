@@ -22,11 +22,8 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from opinio.functions.dates import iso
-from opinio.sources.files import CSV_WRITE_OPTIONS, day_path
-
-
-# Leaf overwrites of emptied days submitted at once (each is a small job).
-_CONCURRENT_LEAF_WRITES = 8
+from opinio.sources.files import CSV_WRITE_OPTIONS, STORED_BATCHES, day_path
+from opinio.sources.storage import file_system
 
 
 class PartitionColumnInFile(ValueError):
@@ -78,13 +75,26 @@ def write_days_parquet(
     )
     written = set(obs.get.get("days") or [])
     emptied = [d for d in wanted if d not in written]
-    empty = df.drop("dt").limit(0)
-    # Each emptied day is one tiny leaf overwrite; they run as concurrent jobs.
-    with ThreadPoolExecutor(max_workers=max(1, min(_CONCURRENT_LEAF_WRITES, len(emptied)))) as pool:
-        list(pool.map(lambda d: write_leaf_parquet(empty, root, d), emptied))
+    if emptied:
+        # one empty leaf is written; the other emptied days get copies of its files
+        first = write_leaf_parquet(strip_partition_column(df).limit(0), root, emptied[0])
+        _copy_leaf(df.sparkSession, first, [day_path(root, d) for d in emptied[1:]])
     return emptied
 
 
+def _copy_leaf(spark, source: str, targets: list[str]) -> None:
+    fs, leaf = file_system(spark, source)
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+
+    def copy(target: str) -> None:
+        place = jvm.org.apache.hadoop.fs.Path(target)
+        fs.delete(place, True)
+        jvm.org.apache.hadoop.fs.FileUtil.copy(fs, leaf, fs, place, False, conf)
+
+    with ThreadPoolExecutor(8) as pool:
+        list(pool.map(copy, targets))
+
+
 def write_raw_days_csv(df: DataFrame, root: str, mode: str = "overwrite", by: tuple[str, ...] = ("dt",)) -> None:
     """S7 (folder form): raw CSV partitioned by ``dt`` (and ``batch``)."""
     writer = df.write.mode(mode).options(**CSV_WRITE_OPTIONS)
@@ -93,6 +103,11 @@ def write_raw_days_csv(df: DataFrame, root: str, mode: str = "overwrite", by: tu
     writer.partitionBy(*by).csv(root)
 
 
+def record_batches(keys: DataFrame, root: str) -> None:
+    """Completion records ``(dt, batch)`` of batches that a finished job has written."""
+    keys.coalesce(1).write.mode("append").parquet(f"{root.rstrip('/')}/{STORED_BATCHES}")
+
+
 def write_leaf_csv(df: DataFrame, root: str, day: str | _dt.date) -> str:
     """Overwrite one raw day with CSV (used to replace a day's reviews)."""
     _guard_leaf(df)
@@ -122,10 +137,9 @@ def write_report(checks: DataFrame, summary: DataFrame, path: str, target: str)
     so it is gathered whole; the document is written as a single-line JSON
     file.
     """
-    from opinio.operators.quality import CHECK_KINDS, CHECK_SQL
+    from opinio.operators.quality import CHECK_KINDS, check_sql
 
     database, _, table = target.rpartition(".")
-    sql = dict(CHECK_SQL)
     rows = []
     for r in checks.orderBy("check_id").collect():
         cid, kind = r["check_id"], CHECK_KINDS[r["check_id"]]
@@ -136,7 +150,7 @@ def write_report(checks: DataFrame, summary: DataFrame, path: str, target: str)
                 "status": r["status"],
                 "expected": _typed(kind, r["expected"]),
                 "actual": _typed(kind, r["actual"]),
-                "sql": sql[cid].format(table=target),
+                "sql": check_sql(cid, target),
                 "detail": r["detail"],
             }
         )
@@ -157,7 +171,7 @@ def write_report(checks: DataFrame, summary: DataFrame, path: str, target: str)
 
 
 def write_runlog(log: DataFrame, path: str) -> None:
-    """Run log CSV ``dt,status,duration_s,error`` (rewritten per run)."""
-    log.select("dt", "status", "duration_s", "error").coalesce(1).write.mode("overwrite").options(
+    """Run log CSV ``dt,status,duration_s,error`` (rewritten per run; seconds to one decimal)."""
+    log.select("dt", "status", F.round("duration_s", 1).alias("duration_s"), "error").coalesce(1).write.mode("overwrite").options(
         **CSV_WRITE_OPTIONS
     ).csv(path)

@@ -1,49 +1,49 @@
-"""Shared scratch locations.
+"""Shared scratch locations and one-level listings.
 
 Intermediate tables go under the cluster's shared checkpoint folder
-(``spark.checkpoint.dir``), never under a machine-local temporary folder.  A
-folder is chosen only when the session has none (as in local tests).
+(``spark.checkpoint.dir``), never under a machine-local temporary folder; a
+session without one is refused.
 """
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 
-_FALLBACK: dict[str, str] = {}
+class NoCheckpointFolder(RuntimeError):
+    """The session names no shared folder for intermediate data."""
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The session's shared checkpoint folder; a fresh one only when none is set.
-
-    ``spark.checkpoint.dir`` is a static setting, so an unset folder is given
-    to the SparkContext (``setCheckpointDir``) instead of the session config.
-    """
+    """The session's shared checkpoint folder: ``spark.checkpoint.dir``, or the
+    one given to the SparkContext (``setCheckpointDir``)."""
+    sc = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None)
-    sc = None
-    try:
-        sc = spark.sparkContext
-        if root and sc.getCheckpointDir() is None:
-            sc.setCheckpointDir(root)  # DataFrame.checkpoint() reads the context's folder
-        root = root or sc.getCheckpointDir()
-    except Exception:  # sessions without a local SparkContext
-        pass
+    if root and sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(root)  # DataFrame.checkpoint() reads the context's folder
+    root = root or sc.getCheckpointDir()
     if not root:
-        root = _FALLBACK.get("root") or tempfile.mkdtemp(prefix="opinio-ckpt-")
-        _FALLBACK["root"] = root
-        if sc is not None:
-            sc.setCheckpointDir(root)
+        raise NoCheckpointFolder("set spark.checkpoint.dir to a folder that the driver and all executors share")
     return root.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique folder under the shared checkpoint root."""
-    root = checkpoint_root(spark)
-    path = f"{root}/opinio-scratch/{name}-{uuid.uuid4().hex[:12]}"
-    if "://" not in path or path.startswith("file:"):
-        os.makedirs(path.replace("file:", "", 1), exist_ok=True)
-    return path
+    """A fresh, unique path under the shared checkpoint root."""
+    return f"{checkpoint_root(spark)}/opinio-scratch/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def file_system(spark: SparkSession, path: str):
+    """Hadoop's file system of ``path`` and the path there."""
+    jvm = spark.sparkContext._jvm
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
+
+
+def children(spark: SparkSession, path: str) -> list[tuple[str, bool]]:
+    """Names directly under ``path`` and whether each is a folder; an absent path has none."""
+    fs, place = file_system(spark, path)
+    if not fs.exists(place):
+        return []
+    return sorted((x.getPath().getName(), x.isDirectory()) for x in fs.listStatus(place))
