@@ -19,14 +19,13 @@ from pyspark.sql import functions as F
 from opinio.functions.rules import age_band, lenient_int, num, sentiment
 from opinio.operators import quality, views
 from opinio.operators.aggregate import dt_equals, dt_from
-from opinio.operators.batching import assign_batches, batch_keys, batch_summary
-from opinio.operators.ingest import missing_batches
+from opinio.operators.batching import assign_batches, batch_summary
 from opinio.operators.clean import normalize_headers
 from opinio.plans import derived, scenarios
 from opinio.plans.backfill import run_summary
 from opinio.plans.oracle import queries_sql
 from opinio.sources.catalog import schema_contract, sync_partitions
-from opinio.sources.files import list_batches, list_partitions, product_scan, raw_scan, trusted_scan
+from opinio.sources.files import list_partitions, product_scan, raw_scan, trusted_scan
 from opinio.sources.storage import scratch_path
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -85,12 +84,6 @@ def _lineitem_batches(spark, d):
     )
 
 
-def _missing_before_first_ingest(spark, d):
-    docs = derived.table(spark, d, "documents")
-    fresh = scratch_path(spark, "ingest-empty") + "/raw/documents"
-    return missing_batches(batch_keys(spark, docs.count(), BATCH_SIZE, BATCH_START), list_batches(spark, fresh))
-
-
 def _ingest_rerun_rows(spark, d):
     run = scenarios.ingest_twice(spark, d)
     return raw_scan(spark, run.root).select("doc_id", "text", "lang", "source", "n_chars", "dt", "batch")
@@ -148,12 +141,24 @@ def _lake(spark, d, variant="full"):
     return scenarios.lake_run(spark, d, variant)
 
 
-def _idempotent(spark, d):
-    run = scenarios.lake_run(spark, d, "full")
-    from opinio.plans.backfill import backfill
+def _flawed(spark, d):
+    """The stored table with null labels and a drifted partition (columns that drifted are not read)."""
+    return spark.table(_lake(spark, d, "flawed").table)
+
+
+def _large_ratings(spark, d):
+    """The product with cell means beyond the exact decimal type."""
+    return _product(spark, d).withColumn("avg_rating", F.col("review_count") * F.lit(2e14))
+
+
+def _stored_checks(spark, d):
+    return quality.quality_checks(
+        _flawed(spark, d), expected_partitions=_raw_day_count(spark, d), expected_min_dt=_raw_first_day(spark, d)
+    )
+
 
-    backfill(spark, run.lake, table=run.table)  # second run over the same lake
-    return product_scan(spark, run.table).select(*PRODUCT_ORDER)
+def _csv_ingested(spark, d):
+    return raw_scan(spark, scenarios.ingest_after_torn_run(spark, d).root).select("doc_id", "lang", "source", "n_chars", "dt", "batch")
 
 
 def _training_data():
@@ -189,19 +194,21 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "vw_sentiment_by_age": lambda s, d: views.vw_sentiment_by_age(_product(s, d)),
         "vw_sentiment_by_dept": lambda s, d: views.vw_sentiment_by_dept(_product(s, d)),
         "vw_daily_trend": lambda s, d: views.vw_daily_trend(_product(s, d)),
-        # single checks
-        "check_distinct_dt": lambda s, d: _product(s, d).agg(F.count_distinct("dt").alias("n_dt")),
-        "check_age_bands": lambda s, d: quality.distinct_sorted(_product(s, d), "age_band"),
-        "check_sentiments": lambda s, d: quality.distinct_sorted(_product(s, d), "sentiment"),
-        "check_null_age_band": lambda s, d: quality.null_rows(_product(s, d), "age_band").agg(
+        "vw_sentiment_by_age_large": lambda s, d: views.vw_sentiment_by_age(_large_ratings(s, d)),
+        # single checks over the stored table
+        "check_distinct_dt": lambda s, d: _flawed(s, d).agg(F.count_distinct("dt").alias("n_dt")),
+        "check_age_bands": lambda s, d: quality.distinct_sorted(_flawed(s, d), "age_band"),
+        "check_sentiments": lambda s, d: quality.distinct_sorted(_flawed(s, d), "sentiment"),
+        "check_null_age_band": lambda s, d: quality.null_rows(_flawed(s, d), "age_band").agg(
             F.count(F.lit(1)).alias("null_count")
         ),
-        "check_null_sentiment": lambda s, d: quality.null_rows(_product(s, d), "sentiment").agg(
+        "check_null_sentiment": lambda s, d: quality.null_rows(_flawed(s, d), "sentiment").agg(
             F.count(F.lit(1)).alias("null_count")
         ),
-        "check_dt_range": lambda s, d: _product(s, d).agg(F.min("dt").alias("min_dt"), F.max("dt").alias("max_dt")),
+        "check_dt_range": lambda s, d: _flawed(s, d).agg(F.min("dt").alias("min_dt"), F.max("dt").alias("max_dt")),
         # report (D6, A17, U1)
         "quality_report": _checks,
+        "quality_report_stored": _stored_checks,
         "quality_summary": lambda s, d: quality.quality_summary(_checks(s, d)),
         "quality_report_json": _report_json,
         # counts (A13, A14)
@@ -213,7 +220,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         ),
         "assign_batches_lineitem": _lineitem_batches,
         "batch_summary": lambda s, d: batch_summary(_batches(s, d), "doc_id"),
-        "ingest_missing_batches": _missing_before_first_ingest,
+        "ingest_missing_batches": lambda s, d: scenarios.ingest_after_torn_run(s, d).missing,
+        "ingest_csv_documents": _csv_ingested,
+        "ingest_csv_summary": lambda s, d: scenarios.ingest_after_torn_run(s, d).result.summary,
         "ingest_first_summary": lambda s, d: scenarios.ingest_twice(s, d).first.summary,
         "ingest_summary": lambda s, d: scenarios.ingest_twice(s, d).second.summary,
         "ingest_rerun_rows": _ingest_rerun_rows,
@@ -227,11 +236,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         ),
         "trusted_round_trip": lambda s, d: trusted_scan(s, _lake(s, d).lake.trusted).select(*TRUSTED_ORDER),
         "product_round_trip": lambda s, d: product_scan(s, _lake(s, d).lake.product).select(*PRODUCT_ORDER),
-        "idempotent_rerun": _idempotent,
+        "idempotent_rerun": lambda s, d: product_scan(s, _lake(s, d, "rerun").table).select(*PRODUCT_ORDER),
+        "mixed_header_backfill": lambda s, d: product_scan(s, _lake(s, d, "mixed").table).select(*PRODUCT_ORDER),
         "saved_view_sql": _saved_view_sql,
         "registered_table": lambda s, d: s.table(_lake(s, d).table).select(*PRODUCT_ORDER),
         "partition_sync": lambda s, d: sync_partitions(s, _lake(s, d).table),
-        "schema_contract": lambda s, d: schema_contract(s, s.table(_lake(s, d).table).schema),
+        "schema_contract": lambda s, d: schema_contract(s, _lake(s, d, "flawed").table),
         "emptied_day_overwrite": lambda s, d: product_scan(s, _lake(s, d, "emptied_after").table).select(
             *PRODUCT_ORDER
         ),

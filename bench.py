@@ -25,6 +25,7 @@ import json
 import os
 import re
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -51,7 +52,8 @@ def _run(df) -> None:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    spark = build_session(f"local[{cpus}]", "opinio-bench", shuffle_partitions=int(cpus))
+    scratch = tempfile.mkdtemp(prefix="opinio-bench-")  # one machine: the folder is shared
+    spark = build_session(f"local[{cpus}]", "opinio-bench", shuffle_partitions=int(cpus), extra={"spark.checkpoint.dir": scratch})
 
     landing = scratch_path(spark, "bench-landing")
     derived.lineitem_reviews(spark, sf_dir).write.parquet(f"{landing}/lineitem_reviews")

@@ -39,11 +39,6 @@ def date_add_days(start: Column | str, days: Column) -> Column:
     return F.date_add(start_col, days.cast("int"))
 
 
-def expected_max_dt(min_dt: str, partition_count: int) -> str:
-    """F10 on the driver: last day of ``partition_count`` consecutive days."""
-    return (parse_iso_date(min_dt) + _dt.timedelta(days=partition_count - 1)).isoformat()
-
-
 def date_prefix(c: Column) -> Column:
     """first ten characters of a date-like value, null-safe."""
     return F.substring(c.cast("string"), 1, 10)
@@ -65,6 +60,6 @@ def coalesce_text(*parts: Column) -> Column:
 
 
 def elapsed_seconds(start: Column, stop: Column) -> Column:
-    """``stop - start`` in seconds, floored at 0, one decimal."""
+    """``stop - start`` in seconds, floored at 0; rounded where it is shown."""
     micros = F.unix_micros(stop.cast("timestamp")) - F.unix_micros(start.cast("timestamp"))
-    return F.round(F.greatest(F.lit(0.0), micros / F.lit(1e6)), 1)
+    return F.greatest(F.lit(0.0), micros / F.lit(1e6))

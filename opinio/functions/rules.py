@@ -86,9 +86,16 @@ def num(c: Column | str) -> Column:
 
 
 def lenient_int(c: Column | str) -> Column:
-    """``int(float(v))`` as a bigint; null when unreadable or out of range."""
+    """``int(float(v))`` as decimal(38,0), every digit of the double; null when
+    unreadable, or from 2**122 (5e36) on, near the largest integers that Spark has."""
     n = num(c)
-    return F.when(F.abs(n) < F.lit(9.2e18), F.when(n >= 0, F.floor(n)).otherwise(F.ceil(n))).cast("bigint")
+    whole = F.when(n >= 0, F.floor(n.cast("double"))).otherwise(F.ceil(n.cast("double")))
+    # above 2**63 a double is split into two exact halves
+    trunc = F.when(F.abs(n) < F.lit(2.0**62), whole.cast("double")).otherwise(n)
+    high = F.rint(trunc / F.lit(2.0**62))
+    low = trunc - high * F.lit(2.0**62)
+    exact = high.cast("bigint").cast("decimal(19,0)") * F.lit(2**62).cast("decimal(19,0)") + low.cast("bigint").cast("decimal(19,0)")
+    return F.when(F.abs(n) < F.lit(2.0**122), exact).cast("decimal(38,0)")
 
 
 # Truncated ages are read through ``width_bucket(n, 0, 64, 64)``: bucket
@@ -161,8 +168,9 @@ def snake_case_col(c: Column | str) -> Column:
 def register_sql_functions(spark: SparkSession) -> None:
     """``age_band(age)`` and ``sentiment(rating, recommended_ind)`` for SQL.
 
-    Registered as SQL functions (same expressions as the Column builders), so
-    they inline into the plan instead of running in a Python worker.
+    Registered as SQL functions that restate the Column builders' rule (without
+    the fast path for plain integers), so they inline into the plan instead of
+    running in a Python worker; a test holds both against each other.
     """
     group = _NUMBER_GROUP.replace("\\", "\\\\")
     number = (

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from opinio.functions.dates import date_prefix, iso
@@ -28,16 +28,22 @@ CHECK_NAMES = (
 )
 
 
-# Per-check SQL over the product table, in report order (the report's ``sql``
-# field; the checks themselves run as one aggregation).
-CHECK_SQL = (
-    (1, "SELECT COUNT(DISTINCT dt) FROM {table}"),
-    (2, "SELECT DISTINCT age_band FROM {table} ORDER BY age_band"),
-    (3, "SELECT DISTINCT sentiment FROM {table} ORDER BY sentiment"),
-    (4, "SELECT COUNT(*) FROM {table} WHERE age_band IS NULL"),
-    (5, "SELECT COUNT(*) FROM {table} WHERE sentiment IS NULL"),
-    (6, "SELECT MIN(dt), MAX(dt) FROM {table}"),
-)
+# The aggregates that each check takes from the product table, in report order.
+CHECK_STATS = {
+    1: {"n_dt": "count(DISTINCT dt)"},
+    2: {"age_bands": "array_sort(collect_set(age_band))"},
+    3: {"sentiments": "array_sort(collect_set(sentiment))"},
+    4: {"null_age_band": "count_if(age_band IS NULL)"},
+    5: {"null_sentiment": "count_if(sentiment IS NULL)"},
+    6: {"min_dt": "min(dt)", "max_dt": "max(dt)"},
+}
+
+
+def check_sql(check_id: int, table: str) -> str:
+    """The statement of one check (together they run as one aggregation)."""
+    return f"SELECT {', '.join(CHECK_STATS[check_id].values())} FROM {table}"
+
+
 # How each check's expected/actual text reads as a typed value.
 CHECK_KINDS = {1: "scalar", 2: "set", 3: "set", 4: "scalar", 5: "scalar", 6: "range"}
 
@@ -70,20 +76,12 @@ def _list_repr(arr: Column) -> Column:
     return F.concat(F.lit("["), F.array_join(quoted, ", "), F.lit("]"))
 
 
-def table_stats(product: DataFrame) -> DataFrame:
+def table_stats(product: DataFrame, only: tuple[int, ...] = tuple(CHECK_STATS)) -> DataFrame:
     """A7-A12 in one aggregation; returns one row.
 
     The label sets are bounded by the label vocabularies of the rules.
     """
-    return product.agg(
-        F.count_distinct("dt").alias("n_dt"),
-        F.array_sort(F.collect_set("age_band")).alias("age_bands"),
-        F.array_sort(F.collect_set("sentiment")).alias("sentiments"),
-        F.count_if(F.col("age_band").isNull()).alias("null_age_band"),
-        F.count_if(F.col("sentiment").isNull()).alias("null_sentiment"),
-        F.min("dt").alias("min_dt"),
-        F.max("dt").alias("max_dt"),
-    )
+    return product.agg(*[F.expr(sql).alias(name) for cid in only for name, sql in CHECK_STATS[cid].items()])
 
 
 def set_equal(actual: Column, expected: Column) -> Column:
@@ -94,17 +92,22 @@ def set_equal(actual: Column, expected: Column) -> Column:
 
 
 def quality_checks(
-    product: DataFrame,
+    product: DataFrame | None,
     expected_partitions: int | Column = EXPECTED_PARTITIONS,
     expected_min_dt: str | _dt.date | Column = EXPECTED_MIN_DT,
     expected_max_dt: str | _dt.date | Column | None = None,
     expected_age_bands=AGE_BANDS,
     expected_sentiments=SENTIMENTS,
+    only: tuple[int, ...] = tuple(CHECK_STATS),
+    error: Column | None = None,
+    spark: SparkSession | None = None,
 ) -> DataFrame:
-    """D6 core: six check rows ``(check_id, name, status, expected, actual, detail)``.
+    """D6 core: check rows ``(check_id, name, status, expected, actual, detail)``.
 
     ``expected_max_dt`` defaults to ``expected_min_dt + expected_partitions - 1``.
     Expectations may be literals or scalar Columns (e.g. scalar subqueries).
+    ``only`` names the checks to run.  Without a product (``spark`` then gives
+    the session) the checks fail with ``error`` as detail and keep their expectation.
     """
     n_exp = _lit_or_col(expected_partitions).cast("bigint")
     min_exp = _date_expr(expected_min_dt)
@@ -115,38 +118,38 @@ def quality_checks(
     )
     bands_exp = _label_set(expected_age_bands)
     sents_exp = _label_set(expected_sentiments)
-
-    s = table_stats(product)
-    min_s, max_s = date_prefix(F.col("min_dt")), date_prefix(F.col("max_dt"))
-    range_exp = F.concat_ws("..", min_exp.cast("string"), max_exp.cast("string"))
-    range_act = F.concat_ws("..", min_s, max_s)
-    rows = [
-        (F.col("n_dt") == n_exp, n_exp.cast("string"), F.col("n_dt").cast("string"),
-         F.concat(F.lit("count="), F.col("n_dt").cast("string"))),
-        (set_equal(F.col("age_bands"), bands_exp), _set_text(bands_exp), _set_text(F.col("age_bands")),
-         F.concat(F.lit("values="), _list_repr(F.col("age_bands")))),
-        (set_equal(F.col("sentiments"), sents_exp), _set_text(sents_exp), _set_text(F.col("sentiments")),
-         F.concat(F.lit("values="), _list_repr(F.col("sentiments")))),
-        (F.col("null_age_band") == 0, F.lit("0"), F.col("null_age_band").cast("string"),
-         F.concat(F.lit("count="), F.col("null_age_band").cast("string"))),
-        (F.col("null_sentiment") == 0, F.lit("0"), F.col("null_sentiment").cast("string"),
-         F.concat(F.lit("count="), F.col("null_sentiment").cast("string"))),
-        (F.coalesce((F.col("min_dt") == min_exp) & (F.col("max_dt") == max_exp), F.lit(False)),
-         range_exp, range_act,
-         F.concat(F.lit("min="), F.coalesce(min_s, F.lit("None")), F.lit(" max="), F.coalesce(max_s, F.lit("None")))),
-    ]
-    structs = [
-        F.struct(
-            F.lit(cid).alias("check_id"),
-            F.lit(name).alias("name"),
-            F.when(F.coalesce(ok, F.lit(False)), F.lit("PASS")).otherwise(F.lit("FAIL")).alias("status"),
-            exp.alias("expected"),
-            act.alias("actual"),
-            detail.alias("detail"),
-        )
-        for (cid, name), (ok, exp, act, detail) in zip(CHECK_NAMES, rows)
-    ]
-    return s.select(F.inline(F.array(*structs))).select(*CHECK_COLUMNS)
+    expected = {
+        1: n_exp.cast("string"), 2: _set_text(bands_exp), 3: _set_text(sents_exp), 4: F.lit("0"), 5: F.lit("0"),
+        6: F.concat_ws("..", min_exp.cast("string"), max_exp.cast("string")),
+    }
+    found: dict[int, tuple[Column, Column, Column]] = {}
+    if product is not None:
+        count = lambda c: F.concat(F.lit("count="), F.col(c).cast("string"))
+        values = lambda c: F.concat(F.lit("values="), _list_repr(F.col(c)))
+        low, high = date_prefix(F.col("min_dt")), date_prefix(F.col("max_dt"))
+        in_range = (F.col("min_dt") == min_exp) & (F.col("max_dt") == max_exp)
+        shown = F.concat(F.lit("min="), F.coalesce(low, F.lit("None")), F.lit(" max="), F.coalesce(high, F.lit("None")))
+        found = {
+            1: (F.col("n_dt") == n_exp, F.col("n_dt").cast("string"), count("n_dt")),
+            2: (set_equal(F.col("age_bands"), bands_exp), _set_text(F.col("age_bands")), values("age_bands")),
+            3: (set_equal(F.col("sentiments"), sents_exp), _set_text(F.col("sentiments")), values("sentiments")),
+            4: (F.col("null_age_band") == 0, F.col("null_age_band").cast("string"), count("null_age_band")),
+            5: (F.col("null_sentiment") == 0, F.col("null_sentiment").cast("string"), count("null_sentiment")),
+            6: (in_range, F.concat_ws("..", low, high), shown),
+        }
+    structs = []
+    for cid, name in CHECK_NAMES:
+        if cid in only:
+            ok, actual, detail = found.get(cid, (F.lit(False), F.lit(None).cast("string"), error))
+            status = F.when(F.coalesce(ok, F.lit(False)), F.lit("PASS")).otherwise(F.lit("FAIL"))
+            structs.append(
+                F.struct(
+                    F.lit(cid).alias("check_id"), F.lit(name).alias("name"), status.alias("status"),
+                    expected[cid].alias("expected"), actual.alias("actual"), detail.alias("detail"),
+                )
+            )
+    stats = table_stats(product, only) if product is not None else spark.range(1)
+    return stats.select(F.inline(F.array(*structs))).select(*CHECK_COLUMNS)
 
 
 def quality_summary(checks: DataFrame) -> DataFrame:

@@ -2,8 +2,9 @@
 
 The views average the per-cell means without weights, as the saved queries
 do.  The cell means are two-decimal values, so they are summed as
-``decimal(10,2)``: the sum is exact, the division keeps twenty decimals, and
-the final HALF_UP rounding cannot be flipped by summation order.
+``decimal(16,2)``: the sum is exact, the division keeps fourteen decimals, and
+the final HALF_UP rounding cannot be flipped by summation order.  A group with a
+cell that this type does not hold takes the plain mean of doubles.
 """
 
 from __future__ import annotations
@@ -19,15 +20,13 @@ def total_reviews() -> Column:
 def mean_of_means() -> Column:
     """``ROUND(AVG(avg_rating), 2)`` computed exactly over two-decimal cents.
 
-    A cell mean can be NaN or infinite when ratings read as such (``nan``,
-    ``inf``).  A group holding one takes the plain double average, which
-    propagates them as the saved query's double average would.
+    A group whose cells do not all fit the exact type (1e14 and more, and the
+    NaN and infinities that ratings can read as) takes the plain double average.
     """
     x = F.col("avg_rating")
-    cents = x.try_cast("decimal(10,2)")
-    exact = F.round(F.sum(cents) / F.nullif(F.count(cents), F.lit(0)).cast("decimal(20,0)"), 2).cast("double")
-    special = F.max((F.isnan(x) | (F.abs(x) == F.lit(float("inf")))).cast("int")) == F.lit(1)
-    return F.when(special, F.round(F.avg(x), 2)).otherwise(exact).alias("media_nota")
+    cents = x.try_cast("decimal(16,2)")
+    exact = F.round(F.sum(cents) / F.nullif(F.count(cents), F.lit(0)).cast("decimal(12,0)"), 2).cast("double")
+    return F.when(F.count(cents) == F.count(x), exact).otherwise(F.round(F.avg(x), 2)).alias("media_nota")
 
 
 def vw_sentiment_by_age(product: DataFrame) -> DataFrame:

@@ -83,7 +83,7 @@ def backfill(
     try:
         days = [r["dt"] for r in select_days(spark, lake, start_from).collect()]
     except Exception as exc:  # the raw layer could not be listed: nothing ran
-        return BackfillResult([], None, 2, f"{type(exc).__name__}: {str(exc)[:300]}")
+        return BackfillResult([], None, 2, f"{type(exc).__name__}: {exc}")
     if dry_run or not days:
         return BackfillResult(days, None, 0)
     records = run_and_log(spark, lake, days, table)
@@ -150,8 +150,8 @@ def _single_day(spark: SparkSession, lake: Lake, day: str, table: str | None) ->
     except EmptyPartition as exc:
         status, error = "FAILED", f"EmptyPartition | {exc}"
     except Exception as exc:
-        status, error = "FAILED", f"{type(exc).__name__} | {str(exc)[:300]}"
-    return (day, status, round(max(0.0, time.monotonic() - t0), 1), error)
+        status, error = "FAILED", f"{type(exc).__name__} | {exc}"
+    return (day, status, max(0.0, time.monotonic() - t0), error)
 
 
 def status_log(counts: DataFrame, started: _dt.datetime, stopped: _dt.datetime, n_days: int) -> DataFrame:
@@ -169,13 +169,13 @@ def status_log(counts: DataFrame, started: _dt.datetime, stopped: _dt.datetime,
     return counts.select(
         dt_text.alias("dt"),
         F.when(ok, F.lit("SUCCEEDED")).otherwise(F.lit("FAILED")).alias("status"),
-        F.round(share, 1).alias("duration_s"),
+        share.alias("duration_s"),
         error.alias("error"),
     )
 
 
 def run_summary(log: DataFrame) -> DataFrame:
-    """Successes, failures, total, summed duration, exit code."""
+    """Successes, failures, total, elapsed seconds (the sum of the days' unrounded shares), exit code."""
     ok = F.count_if(F.col("status") == "SUCCEEDED")
     bad = F.count_if(F.col("status") != "SUCCEEDED")
     return log.agg(

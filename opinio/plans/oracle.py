@@ -12,18 +12,22 @@ are spelled out in plain SQL so the oracle shares no code path with Spark:
 
 from __future__ import annotations
 
-from opinio.functions.rules import NUMBER_PATTERN
-from opinio.schemas import AGE_BANDS, SENTIMENTS
-
+# Fixed values, stated here again so that nothing of the code under test is used.
+AGE_BANDS = ("Jovem", "Adulto", "Madura", "Sênior")
+SENTIMENTS = ("Positivo", "Neutro", "Negativo")
 _J, _A, _M, _S = AGE_BANDS
 _POS, _NEU, _NEG = SENTIMENTS
+# Full-width digits are the only other digits in the derived data.
+_WIDE, _PLAIN = "\uff10\uff11\uff12\uff13\uff14\uff15\uff16\uff17\uff18\uff19", "0123456789"
 
 
 def num(x: str) -> str:
-    return (
-        f"(CASE WHEN regexp_matches({x}, '{NUMBER_PATTERN}') "
-        f"AND isfinite(try_cast({x} AS DOUBLE)) THEN try_cast({x} AS DOUBLE) END)"
-    )
+    """A decimal or exponent number between blanks, with single underscores between digits."""
+    digits = "[0-9](_?[0-9])*"
+    pattern = f"^[ \\t]*[+-]?({digits}([.]({digits})?)?|[.]{digits})([eE][+-]?{digits})?[ \\t]*$"
+    plain = f"translate({x}, '{_WIDE}', '{_PLAIN}')"
+    value = f"try_cast(replace({plain}, '_', '') AS DOUBLE)"
+    return f"(CASE WHEN regexp_matches({plain}, '{pattern}') AND isfinite({value}) THEN {value} END)"
 
 
 def age_band(x: str) -> str:
@@ -44,7 +48,7 @@ def sentiment(r: str, c: str) -> str:
 
 def lenient_int(x: str) -> str:
     n = num(x)
-    return f"(CASE WHEN {n} > -9.2e18 AND {n} < 9.2e18 THEN CAST(trunc({n}) AS BIGINT) END)"
+    return f"CAST(trunc({n}) AS DECIMAL(38,0))"
 
 
 def _reviews_cte(table: str, rid: str, age_base: str, text: str, rating_src: str, dept: str, day: str) -> str:
@@ -55,11 +59,14 @@ reviews AS (
     CASE WHEN {rid} % 97 = 0 THEN 'abc'
          WHEN {rid} % 89 = 0 THEN NULL
          WHEN {rid} % 7 = 0 THEN CAST(10 + {age_base} % 60 AS VARCHAR) || '.9'
+         WHEN {rid} % 71 = 0 THEN '4.5e1' WHEN {rid} % 61 = 0 THEN '3_0' WHEN {rid} % 59 = 0 THEN '\uff12\uff15'
          ELSE CAST(10 + {age_base} % 60 AS VARCHAR) END AS age,
     CASE WHEN {rid} % 10 = 0 THEN '' WHEN {rid} % 10 = 5 THEN '   ' ELSE {text} END AS review_text,
-    CAST(1 + CAST(floor({rating_src}) AS INTEGER) % 5 AS VARCHAR) AS rating,
-    CASE WHEN {rid} % 3 = 0 THEN '0' ELSE '1' END AS recommended_ind,
-    CASE WHEN {rid} % 53 = 0 THEN NULL ELSE {dept} END AS department_name,
+    CASE WHEN {rid} % 43 = 0 THEN '?' WHEN {rid} % 41 = 0 THEN '4.5' WHEN {rid} % 37 = 0 THEN '0' WHEN {rid} % 31 = 0 THEN '3e0'
+         ELSE CAST(1 + CAST(floor({rating_src}) AS INTEGER) % 5 AS VARCHAR) END AS rating,
+    CASE WHEN {rid} % 47 = 0 THEN 'yes' WHEN {rid} % 29 = 0 THEN '1.0' WHEN {rid} % 23 = 0 THEN '2'
+         WHEN {rid} % 3 = 0 THEN '0' ELSE '1' END AS recommended_ind,
+    CASE WHEN {rid} % 53 = 0 THEN NULL WHEN {rid} % 67 = 0 THEN '' ELSE {dept} END AS department_name,
     CAST({day} AS DATE) AS dt
   FROM {table}
 )"""
@@ -106,6 +113,24 @@ def with_product(body: str) -> str:
     return f"WITH {REVIEWS_CTE},{TRUSTED_CTE},{PRODUCT_CTE}\n{body}"
 
 
+# The lake's raw layer is CSV, where an empty cell reads as null: such departments drop out.
+STORED_CTE = """
+stored AS (SELECT * FROM product WHERE department_name <> '')"""
+# The flawed table: its first day holds every row again without a band, and again without a sentiment.
+FLAWED_CTE = """
+flawed AS (
+  SELECT * FROM stored
+  UNION ALL
+  SELECT NULL, department_name, sentiment, review_count, avg_rating, dt FROM stored WHERE dt = (SELECT min(CAST(ts AS DATE)) FROM events)
+  UNION ALL
+  SELECT age_band, department_name, NULL, review_count, avg_rating, dt FROM stored WHERE dt = (SELECT min(CAST(ts AS DATE)) FROM events)
+)"""
+
+
+def with_stored(body: str) -> str:
+    return f"WITH {REVIEWS_CTE},{TRUSTED_CTE},{PRODUCT_CTE},{STORED_CTE},{FLAWED_CTE}\n{body}"
+
+
 def _mean_of_means() -> str:
     cents = "CAST(round(avg_rating * 100) AS BIGINT)"
     return (
@@ -119,10 +144,11 @@ _first_day = "(SELECT min(CAST(ts AS DATE)) FROM events)"
 _n_days = "(SELECT count(DISTINCT CAST(ts AS DATE)) FROM events)"
 
 
-def _checks_sql() -> str:
+def _checks_sql(source: str = "product") -> str:
     exp_bands = ",".join(sorted(AGE_BANDS))
     exp_sents = ",".join(sorted(SENTIMENTS))
-    return with_product(
+    body = with_product("") if source == "product" else with_stored("")
+    return body + (
         f""",
 stats AS (
   SELECT count(DISTINCT dt) AS n_dt,
@@ -133,7 +159,7 @@ stats AS (
          min(dt) AS min_dt, max(dt) AS max_dt,
          {_n_days} AS n_exp,
          {_first_day} AS min_exp
-  FROM product
+  FROM {source}
 ),
 s AS (SELECT *, CAST(min_exp + CAST(n_exp - 1 AS INTEGER) AS DATE) AS max_exp,
              coalesce(array_to_string(bands, ','), '') AS bands_txt,
@@ -182,9 +208,11 @@ batches AS (
 
 def _report_json_sql(target: str = "customer_sentiment.customer_sentiment_by_age") -> str:
     """The report's checks as written to JSON and read back with text values."""
-    from opinio.operators.quality import CHECK_SQL
-
-    sql = " ".join(f"WHEN {cid} THEN '{text.format(table=target)}'" for cid, text in CHECK_SQL)
+    taken = {
+        1: "count(DISTINCT dt)", 2: "array_sort(collect_set(age_band))", 3: "array_sort(collect_set(sentiment))",
+        4: "count_if(age_band IS NULL)", 5: "count_if(sentiment IS NULL)", 6: "min(dt), max(dt)",
+    }
+    sql = " ".join(f"WHEN {cid} THEN 'SELECT {text} FROM {target}'" for cid, text in taken.items())
 
     def as_json(x: str) -> str:
         return (
@@ -246,16 +274,16 @@ def queries_sql() -> dict[str, str]:
         "SELECT dt, sentiment, CAST(sum(review_count) AS BIGINT) AS total_reviews FROM product "
         "GROUP BY dt, sentiment ORDER BY dt, sentiment"
     )
-    q["check_distinct_dt"] = with_product("SELECT count(DISTINCT dt) AS n_dt FROM product")
-    q["check_age_bands"] = with_product(
-        "SELECT DISTINCT age_band FROM product WHERE age_band IS NOT NULL ORDER BY age_band"
+    q["check_distinct_dt"] = with_stored("SELECT count(DISTINCT dt) AS n_dt FROM flawed")
+    q["check_age_bands"] = with_stored(
+        "SELECT DISTINCT age_band FROM flawed WHERE age_band IS NOT NULL ORDER BY age_band"
     )
-    q["check_sentiments"] = with_product(
-        "SELECT DISTINCT sentiment FROM product WHERE sentiment IS NOT NULL ORDER BY sentiment"
+    q["check_sentiments"] = with_stored(
+        "SELECT DISTINCT sentiment FROM flawed WHERE sentiment IS NOT NULL ORDER BY sentiment"
     )
-    q["check_null_age_band"] = with_product("SELECT count(*) AS null_count FROM product WHERE age_band IS NULL")
-    q["check_null_sentiment"] = with_product("SELECT count(*) AS null_count FROM product WHERE sentiment IS NULL")
-    q["check_dt_range"] = with_product("SELECT min(dt) AS min_dt, max(dt) AS max_dt FROM product")
+    q["check_null_age_band"] = with_stored("SELECT count(*) AS null_count FROM flawed WHERE age_band IS NULL")
+    q["check_null_sentiment"] = with_stored("SELECT count(*) AS null_count FROM flawed WHERE sentiment IS NULL")
+    q["check_dt_range"] = with_stored("SELECT min(dt) AS min_dt, max(dt) AS max_dt FROM flawed")
     q["quality_report"] = _checks_sql()
     q["quality_summary"] = (
         f"WITH checks AS ({_checks_sql()})\n"
@@ -264,6 +292,11 @@ def queries_sql() -> dict[str, str]:
         "CASE WHEN count(*) FILTER (WHERE status <> 'PASS') = 0 THEN 'PASS' ELSE 'FAIL' END AS overall "
         "FROM checks"
     )
+    q["quality_report_stored"] = _checks_sql("flawed")
+    q["vw_sentiment_by_age_large"] = with_product(
+        "SELECT age_band, sentiment, CAST(sum(review_count) AS BIGINT) AS total_reviews, "
+        "round(avg(review_count * 2e14), 2) AS media_nota FROM product GROUP BY age_band, sentiment ORDER BY age_band, sentiment"
+    )
     q["quality_report_json"] = _report_json_sql()
     q["partition_counts"] = (
         f"WITH {REVIEWS_CTE},{TRUSTED_CTE},{PRODUCT_CTE},{DAYS_CTE}\n"
@@ -287,7 +320,15 @@ def queries_sql() -> dict[str, str]:
         f"WITH {batches}\nSELECT dt, batch, batch_index, count(*) AS n_rows, min(doc_id) AS first_key, "
         "max(doc_id) AS last_key FROM batches GROUP BY dt, batch, batch_index ORDER BY batch_index"
     )
-    q["ingest_missing_batches"] = f"WITH {batches}\nSELECT DISTINCT dt, batch FROM batches"
+    # every third batch is stored, the second one torn
+    q["ingest_missing_batches"] = f"WITH {batches}\nSELECT DISTINCT dt, batch FROM batches WHERE batch_index % 3 <> 0"
+    q["ingest_csv_documents"] = (
+        f"WITH {batches}\nSELECT CAST(doc_id AS VARCHAR) AS doc_id, lang, source, CAST(n_chars AS VARCHAR) AS n_chars, dt, batch FROM batches"
+    )
+    q["ingest_csv_summary"] = (
+        f"WITH {batches}\nSELECT count(DISTINCT batch) FILTER (WHERE batch_index % 3 <> 0) AS sent, "
+        "count(DISTINCT batch) FILTER (WHERE batch_index % 3 = 0) AS ignored, CAST(0 AS BIGINT) AS errors, count(DISTINCT batch) AS total FROM batches"
+    )
     q["ingest_summary"] = (
         f"WITH {batches}\nSELECT CAST(0 AS BIGINT) AS sent, count(DISTINCT batch) AS ignored, "
         "CAST(0 AS BIGINT) AS errors, count(DISTINCT batch) AS total FROM batches"
@@ -303,31 +344,38 @@ def queries_sql() -> dict[str, str]:
     raw_cols = (
         'clothing_id AS "Clothing ID", age AS "Age", nullif(review_text, \'\') AS "Review Text", '
         'rating AS "Rating", recommended_ind AS "Recommended IND", '
-        'department_name AS "Department Name", dt'
+        'nullif(department_name, \'\') AS "Department Name", dt'
     )
     q["csv_round_trip"] = f"WITH {REVIEWS_CTE}\nSELECT {raw_cols} FROM reviews"
     q["list_partitions"] = "SELECT DISTINCT CAST(CAST(ts AS DATE) AS VARCHAR) AS dt FROM events ORDER BY dt"
     # The CSV layer reads empty text cells back as null; the blank filter drops them either way.
-    q["trusted_round_trip"] = q["clean_reviews"]
-    q["product_round_trip"] = q["daily_product"]
+    stored_cols = trusted_cols.replace("department_name", "nullif(department_name, '') AS department_name")
+    q["trusted_round_trip"] = f"WITH {REVIEWS_CTE},{TRUSTED_CTE}\nSELECT {stored_cols} FROM trusted"
+    stored = with_stored(f"SELECT {PRODUCT_COLS} FROM stored")
+    q["product_round_trip"] = stored
     q["trusted_for_day"] = (
         f"WITH {REVIEWS_CTE},{TRUSTED_CTE}\nSELECT clothing_id, age, review_text, rating, recommended_ind, "
-        "department_name, age_band FROM trusted WHERE dt = DATE '2024-01-15'"
+        "nullif(department_name, '') AS department_name, age_band FROM trusted WHERE dt = DATE '2024-01-15'"
+    )
+    q["saved_view_sql"] = with_stored(
+        f"SELECT age_band, sentiment, CAST(sum(review_count) AS BIGINT) AS total_reviews, {_mean_of_means()} AS media_nota "
+        "FROM stored GROUP BY age_band, sentiment ORDER BY age_band, sentiment"
     )
-    q["saved_view_sql"] = q["vw_sentiment_by_age"]
-    q["idempotent_rerun"] = q["daily_product"]
-    q["registered_table"] = q["daily_product"]
-    q["incremental_product"] = q["daily_product"]
+    for name in ("idempotent_rerun", "registered_table", "incremental_product", "mixed_header_backfill"):
+        q[name] = stored
     q["partition_sync"] = with_product(
         "SELECT DISTINCT 'dt=' || CAST(dt AS VARCHAR) AS partition FROM product ORDER BY partition"
     )
+    days = "(SELECT count(DISTINCT CAST(ts AS DATE)) FROM events)"
     q["schema_contract"] = (
-        "SELECT * FROM (VALUES ('age_band', 'string', 'string', 'OK'), "
-        "('department_name', 'string', 'string', 'OK'), ('sentiment', 'string', 'string', 'OK'), "
-        "('review_count', 'int', 'int', 'OK'), ('avg_rating', 'double', 'double', 'OK'), "
-        "('dt', 'date', 'date', 'OK')) AS t(column_name, expected_type, actual_type, status)"
-    )
-    q["emptied_day_overwrite"] = with_product(f"SELECT {PRODUCT_COLS} FROM product WHERE dt <> {_first_day}")
+        "SELECT column_name, expected_type, actual_type, status, CAST(partitions AS BIGINT) AS partitions FROM (VALUES "
+        f"('age_band', 'string', 'string', 'OK', {days}), ('department_name', 'string', 'string', 'OK', {days}), "
+        f"('sentiment', 'string', 'string', 'OK', {days}), ('review_count', 'int', 'int', 'OK', {days} - 1), "
+        f"('review_count', 'int', 'bigint', 'TYPE_CHANGED', 1), ('avg_rating', 'double', 'double', 'OK', {days} - 1), "
+        f"('avg_rating', 'double', 'string', 'TYPE_CHANGED', 1), ('dt', 'date', 'date', 'OK', {days}), "
+        "('extra', NULL, 'int', 'UNEXPECTED', 1)) AS t(column_name, expected_type, actual_type, status, partitions)"
+    )
+    q["emptied_day_overwrite"] = with_stored(f"SELECT {PRODUCT_COLS} FROM stored WHERE dt <> {_first_day}")
     q["backfill_log"] = (
         f"WITH {DAYS_CTE}\nSELECT CAST(dt AS VARCHAR) AS dt, "
         f"CASE WHEN dt = {_first_day} THEN 'FAILED' ELSE 'SUCCEEDED' END AS status, "

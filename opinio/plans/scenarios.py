@@ -16,11 +16,14 @@ from pyspark.sql import functions as F
 from opinio.plans import derived
 from opinio.plans.backfill import BackfillResult, backfill
 from opinio.plans.daily import run_day
-from opinio.plans.ingest import IngestResult, ingest
+from opinio.plans.ingest import IngestResult, ingest, ingest_csv
 from opinio.plans.layout import Lake
+from opinio.operators.batching import batch_keys, with_batches, with_row_index
+from opinio.operators.ingest import missing_batches
 from opinio.operators.quality import EmptyPartition
 from opinio.sources.catalog import register_databases, register_product_table
-from opinio.sources.sinks import write_leaf_csv, write_raw_days_csv
+from opinio.sources.files import CSV_WRITE_OPTIONS, day_path, list_batches, product_scan
+from opinio.sources.sinks import record_batches, write_leaf_csv, write_raw_days_csv
 from opinio.sources.storage import scratch_path
 
 _RUNS: dict[tuple, object] = {}
@@ -60,6 +63,11 @@ def lake_run(spark: SparkSession, sf_dir: str, variant: str = "full") -> LakeRun
       day fails its gate.
     * ``emptied_after``: a full backfill, then the first day is re-delivered
       with blank texts and re-run on its own (its product must become empty).
+    * ``rerun``: backfilled twice.
+    * ``mixed``: the days' files have different headers (columns permuted, one
+      more, one less).
+    * ``flawed``: after the backfill the first day's product gets rows with null
+      labels, and the last day's is replaced by files with other types.
     """
     key = _key(spark, sf_dir, variant)
     if key in _RUNS:
@@ -68,10 +76,13 @@ def lake_run(spark: SparkSession, sf_dir: str, variant: str = "full") -> LakeRun
     lake = Lake.under(root)
     reviews = derived.event_reviews(spark, sf_dir)
     first = _first_day(reviews)
-    write_raw_days_csv(reviews, lake.raw)
+    if variant == "mixed":
+        _write_mixed(reviews, lake.raw)
+    else:
+        write_raw_days_csv(reviews, lake.raw)
     if variant == "emptied":
         write_leaf_csv(_blank_day(reviews, first), lake.raw, first)
-    register_databases(spark, {"customer_sentiment": f"{root}/catalog"})
+    register_databases(spark, {"customer_sentiment": f"{root}/catalog", "reviews_trusted": f"{root}/catalog_trusted"})
     table = f"customer_sentiment.customer_sentiment_by_age_{uuid.uuid4().hex[:8]}"
     register_product_table(spark, table, lake.product)
     result = backfill(spark, lake, table=table)
@@ -81,11 +92,41 @@ def lake_run(spark: SparkSession, sf_dir: str, variant: str = "full") -> LakeRun
             run_day(spark, lake, first, table)
         except EmptyPartition:
             pass
+    if variant == "rerun":
+        backfill(spark, lake, table=table)
+    if variant == "flawed":
+        _spoil(spark, lake, table, first, max(result.days))
     run = LakeRun(lake, table, result, first)
     _RUNS[key] = run
     return run
 
 
+def _write_mixed(reviews: DataFrame, root: str) -> None:
+    """Days by day of month modulo 4: as they are, columns reversed, one column more, one less."""
+    names = [c for c in reviews.columns if c != "dt"]
+    shapes = [
+        reviews,
+        reviews.select(*reversed(names), "dt"),
+        reviews.withColumn("Extra Note", F.lit("x")).select("Extra Note", *names, "dt"),
+        reviews.drop("Clothing ID"),
+    ]
+    for k, shape in enumerate(shapes):
+        write_raw_days_csv(shape.where(F.dayofmonth("dt") % 4 == k), root)
+
+
+def _spoil(spark: SparkSession, lake: Lake, table: str, first: str, last: str) -> None:
+    """Null labels beside the first day's product; other types and a further column in the last day's."""
+    product = product_scan(spark, lake.product)
+    some = product.where(F.col("dt") == F.lit(first)).drop("dt")
+    nulls = some.withColumn("age_band", F.lit(None).cast("string")).union(some.withColumn("sentiment", F.lit(None).cast("string")))
+    nulls.write.mode("append").parquet(day_path(lake.product, first))
+    other = product.where(F.col("dt") == F.lit(last)).drop("dt").withColumn("review_count", F.col("review_count").cast("bigint"))
+    other = other.withColumn("avg_rating", F.col("avg_rating").cast("string")).withColumn("extra", F.lit(1))
+    kept = spark.createDataFrame(other.collect(), other.schema)  # one day's product: bands x departments x labels
+    kept.write.mode("overwrite").parquet(day_path(lake.product, last))
+    spark.catalog.refreshTable(table)
+
+
 @dataclass
 class IngestRun:
     root: str
@@ -107,6 +148,34 @@ def ingest_twice(spark: SparkSession, sf_dir: str) -> IngestRun:
     return run
 
 
+@dataclass
+class PartialIngestRun:
+    root: str
+    missing: DataFrame
+    result: IngestResult
+
+
+def ingest_after_torn_run(spark: SparkSession, sf_dir: str) -> PartialIngestRun:
+    """Ingest ``documents`` as CSV into a raw root where an earlier run has left
+    every third batch stored, and the second batch torn (part of its rows, no record)."""
+    key = _key(spark, sf_dir, "ingest-torn")
+    if key in _RUNS:
+        return _RUNS[key]
+    root = scratch_path(spark, "ingest-torn")
+    docs = derived.table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars")
+    docs.repartitionByRange(4, "doc_id").sortWithinPartitions("doc_id").write.options(**CSV_WRITE_OPTIONS).csv(f"{root}/source")
+    rows = with_batches(with_row_index(docs, "doc_id"), 100, "2024-01-01").drop("row_index")
+    stored = rows.where("batch_index % 3 = 0").drop("batch_index")
+    write_raw_days_csv(stored, f"{root}/raw", by=("dt", "batch"))
+    record_batches(stored.select("dt", "batch").distinct(), f"{root}/raw")
+    write_raw_days_csv(rows.where("batch_index = 1 and doc_id % 2 = 0").drop("batch_index"), f"{root}/raw", by=("dt", "batch"))
+    keys = batch_keys(spark, docs.count(), 100, "2024-01-01")
+    missing = missing_batches(keys, list_batches(spark, f"{root}/raw")).collect()  # keys of batches, before the run
+    run = PartialIngestRun(f"{root}/raw", spark.createDataFrame(missing, "dt date, batch string"), ingest_csv(spark, f"{root}/source", f"{root}/raw"))
+    _RUNS[key] = run
+    return run
+
+
 def stream_run(spark: SparkSession, sf_dir: str) -> Lake:
     """Raw days land in two deliveries; each is picked up by an incremental run."""
     from opinio.streaming.incremental import process_new_days

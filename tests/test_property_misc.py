@@ -1,32 +1,16 @@
-"""Property tests: ingest runs and the views' exact mean of means."""
+"""Property tests: the views' exact mean of means, the checks, header names."""
 
 from decimal import ROUND_HALF_UP, Decimal
 
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from opinio.operators.ingest import in_runs, missing_runs
 from opinio.operators.views import vw_sentiment_by_age
 
 _SETTINGS = settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 
 
-@_SETTINGS
-@given(missing=st.sets(st.integers(0, 300), max_size=120))
-def test_runs_and_membership(spark, missing):
-    keys = spark.createDataFrame([(i,) for i in sorted(missing)], "batch_index long")
-    runs = missing_runs(keys)
-    expected = []
-    for i in sorted(missing):
-        if expected and expected[-1][1] == i - 1:
-            expected[-1] = (expected[-1][0], i)
-        else:
-            expected.append((i, i))
-    assert runs == expected
-    rows = spark.range(0, 310).withColumnRenamed("id", "batch_index")
-    assert {r.batch_index for r in in_runs(rows, runs).collect()} == missing
-
-
 @_SETTINGS
 @given(cells=st.lists(st.tuples(st.sampled_from(["Jovem", "Adulto"]), st.integers(100, 500)), min_size=1, max_size=80))
 def test_mean_of_means_is_exact_half_up(spark, cells):
@@ -39,6 +23,12 @@ def test_mean_of_means_is_exact_half_up(spark, cells):
         assert got[band] == float(mean.quantize(Decimal("0.01"), rounding=ROUND_HALF_UP)), (band, cents)
 
 
+@pytest.mark.parametrize("cells", [[3.0, 1e9], [2e8], [1e13, 2.5], [2e14, 4.0], [2e14, 6e14], [1e300]])
+def test_large_cell_means_equal_the_plain_mean(spark, cells):
+    product = spark.createDataFrame([("Jovem", "Neutro", 1, c) for c in cells], "age_band string, sentiment string, review_count int, avg_rating double")
+    assert vw_sentiment_by_age(product).first().media_nota == round(sum(cells) / len(cells), 2)
+
+
 _band = st.sampled_from(["Jovem", "Adulto", "Madura", "Sênior", "Outro"]) | st.none()
 _sent = st.sampled_from(["Positivo", "Neutro", "Negativo"]) | st.none()
 
@@ -89,14 +79,3 @@ def test_snake_case_matches_the_stated_rule(name):
 
     stated = re.sub(r"_+", "_", re.sub(r"[^0-9a-z]+", "_", name.strip().lower())).strip("_")
     assert snake_case(name) == stated
-
-
-@settings(max_examples=300, deadline=None)
-@given(prefix=st.text(alphabet=" /ab_=-.", max_size=12))
-def test_normalize_prefix_matches_the_stated_rule(prefix):
-    """Blanks stripped, leading slashes removed, exactly one trailing slash unless empty."""
-    from opinio.sources.files import normalize_prefix
-
-    got = normalize_prefix(prefix)
-    core = prefix.strip().lstrip("/")
-    assert got == ("" if not core else core if core.endswith("/") else core + "/")

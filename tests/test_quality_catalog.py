@@ -5,17 +5,18 @@ import os
 
 import pytest
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from opinio.functions.dates import InvalidDate, expected_max_dt, parse_iso_date
+from opinio.functions.dates import InvalidDate, parse_iso_date
 from opinio.operators import quality, views
 from opinio.operators.clean import clean
 from opinio.plans import derived
 from opinio.plans.backfill import backfill, run_summary, select_days
+from opinio.plans.daily import run_day
 from opinio.plans.layout import Lake
 from opinio.plans.report import run_quality_report
 from opinio.schemas import PRODUCT_TABLE_SCHEMA
 from opinio.sources.catalog import (
+    register_databases,
     register_product_table,
     register_views,
     schema_contract,
@@ -58,20 +59,55 @@ def test_wrong_expectation_fails(spark, workdir):
     assert by_id[2]["detail"] == "values=['Adulto', 'Jovem', 'Madura', 'Sênior']"
     assert by_id[6]["expected"] == {"min": "2024-01-01", "max": "2024-04-09"}
     assert by_id[6]["actual"] == {"min": "2024-01-01", "max": "2024-01-30"}
-    assert by_id[4]["sql"] == "SELECT COUNT(*) FROM customer_sentiment.customer_sentiment_by_age WHERE age_band IS NULL"
+    assert by_id[4]["sql"] == "SELECT count_if(age_band IS NULL) FROM customer_sentiment.customer_sentiment_by_age"
 
 
 def test_failing_scan_becomes_fail_rows(spark):
     def broken():
         return spark.read.parquet("/nonexistent/opinio/product")
 
-    checks, _, code = run_quality_report(spark, broken)
-    assert code == 1 and {r.status for r in checks.collect()} == {"FAIL"}
-    assert checks.count() == 6
+    checks, _, code = run_quality_report(spark, broken, expected_partitions=30)
+    rows = {r.check_id: r for r in checks.collect()}
+    assert code == 1 and {r.status for r in rows.values()} == {"FAIL"} and len(rows) == 6
+    assert rows[1].expected == "30" and rows[2].expected == "Adulto,Jovem,Madura,Sênior" and rows[6].expected == "2024-01-01..2024-01-30"
+    assert all(r.actual is None and "opinio/product" in r.detail for r in rows.values())
+
+
+def test_one_unreadable_column_fails_its_checks_only(spark):
+    def load():
+        return derived.event_product(spark, SF01).drop("sentiment")
+
+    checks, _, code = run_quality_report(spark, load, expected_partitions=30, expected_min_dt="2024-01-01")
+    assert code == 1
+    assert {r.check_id: r.status for r in checks.collect()} == {1: "PASS", 2: "PASS", 3: "FAIL", 4: "PASS", 5: "FAIL", 6: "PASS"}
+
+
+def test_run_duration_is_the_elapsed_time(spark):
+    import datetime as dt
+
+    from opinio.plans.backfill import status_log
+
+    days = spark.range(2499).selectExpr("date_add(date'2020-01-01', cast(id as int)) as dt", "1L as row_count")
+    start = dt.datetime(2024, 1, 1)
+    for seconds in (60, 120, 300, 7):
+        log = status_log(days, start, start + dt.timedelta(seconds=seconds), 2499)
+        assert run_summary(log).first().duration_s == seconds
+
+
+def test_whole_error_text_is_logged(spark, workdir, monkeypatch):
+    import opinio.plans.backfill as bf
+
+    def broken(*_, **__):
+        raise RuntimeError("y" * 2000)
+
+    lake = Lake.under(workdir)
+    write_raw_days_csv(derived.event_reviews(spark, SF001).where(F.dayofmonth("dt") == 1), lake.raw)
+    monkeypatch.setattr(bf, "run_days", broken)
+    monkeypatch.setattr(bf, "run_day", broken)
+    assert backfill(spark, lake).log.first().error == "RuntimeError | " + "y" * 2000
 
 
-def test_derived_max_date():
-    assert expected_max_dt("2024-01-01", 235) == "2024-08-22"
+def test_date_arguments():
     assert parse_iso_date("2024-1-5").isoformat() == "2024-01-05"
     with pytest.raises(InvalidDate):
         parse_iso_date("05/01/2024")
@@ -112,17 +148,23 @@ def test_registered_table_and_contract(spark, workdir):
     parts = [r[0] for r in sync_partitions(spark, "opinio_test.product_t").collect()]
     assert len(parts) == 30 and parts[0] == "dt=2024-01-01"
     t = spark.table("opinio_test.product_t")
-    assert t.count() == _product(spark).count()
+    stored = _product(spark).where("department_name <> ''")  # an empty CSV cell reads as null
+    assert t.count() == stored.count()
     assert {f.name: f.dataType for f in t.schema} == {f.name: f.dataType for f in PRODUCT_TABLE_SCHEMA}
     props = {r.key: r.value for r in table_properties(spark, "opinio_test.product_t").collect()}
     assert props["sla"] == "30min" and props["domain"] == "marketing" and props["product.owner"] == "data-team"
-    assert {r.status for r in schema_contract(spark, t.schema).collect()} == {"OK"}
-    drift = T.StructType([f if f.name != "review_count" else T.StructField("review_count", T.LongType()) for f in t.schema.fields]
-                         + [T.StructField("extra", T.StringType())])
-    st = {r.column_name: r.status for r in schema_contract(spark, drift).collect()}
-    assert st["review_count"] == "TYPE_CHANGED" and st["extra"] == "UNEXPECTED"
+    contract = schema_contract(spark, "opinio_test.product_t").collect()
+    assert {(r.column_name, r.status, r.partitions) for r in contract} == {(f.name, "OK", 30) for f in PRODUCT_TABLE_SCHEMA}
+    day = spark.read.parquet(lake.product + "/dt=2024-01-02").withColumn("review_count", F.col("review_count").cast("bigint"))
+    drifted = spark.createDataFrame(day.drop("sentiment").withColumn("extra", F.lit("x")).collect())
+    drifted.write.mode("overwrite").parquet(lake.product + "/dt=2024-01-02")
+    found = {(r.column_name, r.status): r.partitions for r in schema_contract(spark, "opinio_test.product_t").collect()}
+    assert found["review_count", "TYPE_CHANGED"] == found["extra", "UNEXPECTED"] == found["sentiment", "MISSING"] == 1
+    assert found["review_count", "OK"] == found["sentiment", "OK"] == 29 and found["dt", "OK"] == 30
+    run_day(spark, lake, "2024-01-02", "opinio_test.product_t")
+    spark.catalog.refreshTable("opinio_test.product_t")
     names = register_views(t)
-    assert spark.table(names[0]).count() == views.vw_sentiment_by_age(_product(spark)).count()
+    assert spark.table(names[0]).count() == views.vw_sentiment_by_age(stored).count()
     # The saved queries' latency limit: each under 10 s over the registered table.
     import time
 
@@ -196,12 +238,54 @@ def test_t2_unreadable_rating_counts_but_not_in_mean(spark):
     assert product(clean(only_junk)).first().avg_rating is None
 
 
-def test_normalize_prefix():
-    from opinio.sources.files import normalize_prefix
+def test_both_databases_are_registered(spark, workdir):
+    register_databases(spark, {"opinio_sentiment_t": workdir + "/a", "opinio_trusted_t": workdir + "/b"})
+    for name, place in (("opinio_sentiment_t", "/a"), ("opinio_trusted_t", "/b")):
+        assert spark.catalog.getDatabase(name).locationUri.endswith(place)
+
+
+def test_delivered_results(spark):
+    from opinio.sources.files import fetch_column, fetch_scalar, fetch_two
+
+    many = spark.range(20_000)
+    assert fetch_column(many.orderBy("id"))[-1] == 19_999 and len(fetch_column(many)) == 20_000
+    assert fetch_scalar(many.agg(F.max("id"))) == 19_999 and fetch_scalar(many.limit(0)) is None
+    assert fetch_two(many.agg(F.min("id"), F.max("id"))) == (0, 19_999) and fetch_two(many.limit(0)) == (None, None)
+
+
+def test_listing_cost_follows_days_not_files(spark, workdir, monkeypatch):
+    from opinio.sources import files
+
+    spark.range(400).selectExpr("cast(id as string) as k", "date_add(date'2024-01-01', cast(id % 4 as int)) as dt").repartition(50).write.partitionBy("dt").csv(workdir + "/raw")
+    calls = []
+    real = files.children
+    monkeypatch.setattr(files, "children", lambda s, p: calls.append(p) or real(s, p))
+    assert [r.dt for r in list_partitions(spark, workdir + "/raw").collect()] == [f"2024-01-0{i}" for i in range(1, 5)]
+    assert len(calls) == 1
+    assert list_partitions(spark, workdir + "/absent").count() == 0
+
+
+def test_session_without_a_checkpoint_folder_is_refused():
+    from types import SimpleNamespace
+
+    from opinio.sources.storage import NoCheckpointFolder, checkpoint_root
+
+    bare = SimpleNamespace(sparkContext=SimpleNamespace(getCheckpointDir=lambda: None), conf=SimpleNamespace(get=lambda *_: None))
+    with pytest.raises(NoCheckpointFolder):
+        checkpoint_root(bare)
+
 
-    assert normalize_prefix(" /reviews ") == "reviews/"
-    assert normalize_prefix("reviews/") == "reviews/"
-    assert normalize_prefix("") == ""
+def test_large_raw_file_is_split_without_multi_line(spark, workdir):
+    rows = spark.range(20_000).selectExpr("cast(id as string) as Age", "repeat('x', 50) as `Review Text`")
+    write_leaf_csv(rows.coalesce(1), workdir, "2024-01-01")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "128k")
+    try:
+        assert raw_scan(spark, workdir, "2024-01-01", multi_line=False).rdd.getNumPartitions() > 4
+        assert raw_scan(spark, workdir, "2024-01-01", multi_line=False).count() == 20_000
+        assert raw_scan(spark, workdir, "2024-01-01").rdd.getNumPartitions() == 1
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
 
 
 def test_backfill_listing_error_exits_2(spark):
