@@ -1,12 +1,14 @@
 """Shared scratch locations and one-level listings.
 
 Intermediate tables go under the cluster's shared checkpoint folder
-(``spark.checkpoint.dir``), never under a machine-local temporary folder; a
-session without one is refused.
+(``spark.checkpoint.dir``).  Only a session that runs in one process
+(``local[...]``) may leave it unset and gets a temporary folder of its own; on a
+cluster a missing setting is refused.
 """
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -18,12 +20,15 @@ class NoCheckpointFolder(RuntimeError):
 
 def checkpoint_root(spark: SparkSession) -> str:
     """The session's shared checkpoint folder: ``spark.checkpoint.dir``, or the
-    one given to the SparkContext (``setCheckpointDir``)."""
+    one given to the SparkContext (``setCheckpointDir``); see above where neither is."""
     sc = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root and sc.getCheckpointDir() is None:
         sc.setCheckpointDir(root)  # DataFrame.checkpoint() reads the context's folder
     root = root or sc.getCheckpointDir()
+    if not root and sc.master.startswith("local") and not sc.master.startswith("local-cluster"):
+        root = tempfile.mkdtemp(prefix="opinio-ckpt-")
+        sc.setCheckpointDir(root)
     if not root:
         raise NoCheckpointFolder("set spark.checkpoint.dir to a folder that the driver and all executors share")
     return root.rstrip("/")

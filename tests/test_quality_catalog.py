@@ -265,14 +265,15 @@ def test_listing_cost_follows_days_not_files(spark, workdir, monkeypatch):
     assert list_partitions(spark, workdir + "/absent").count() == 0
 
 
-def test_session_without_a_checkpoint_folder_is_refused():
+def test_cluster_session_without_a_checkpoint_folder_is_refused():
     from types import SimpleNamespace
 
     from opinio.sources.storage import NoCheckpointFolder, checkpoint_root
 
-    bare = SimpleNamespace(sparkContext=SimpleNamespace(getCheckpointDir=lambda: None), conf=SimpleNamespace(get=lambda *_: None))
-    with pytest.raises(NoCheckpointFolder):
-        checkpoint_root(bare)
+    for master in ("spark://host:7077", "yarn", "local-cluster[2,1,1024]"):
+        bare = SimpleNamespace(sparkContext=SimpleNamespace(getCheckpointDir=lambda: None, master=master), conf=SimpleNamespace(get=lambda *_: None))
+        with pytest.raises(NoCheckpointFolder):
+            checkpoint_root(bare)
 
 
 def test_large_raw_file_is_split_without_multi_line(spark, workdir):
