@@ -50,13 +50,15 @@ from opinio.llm.bpe import read_ranks
 from opinio.llm.common import blocks, utf8
 from opinio.llm.words import _LOWER, NOT_SPACE, hashed, mix
 
-CONTEXT, STRIDE, SIZE, HEADS, INNER = 32, 24, 24, 1, 32
-OWN_CLASSES, SHARED_CLASSES = 160, 24
+CONTEXT, STRIDE, SIZE, HEADS, INNER = 32, 26, 24, 1, 32
+OWN_CLASSES, SHARED_CLASSES = 128, 24
 FREQUENT = 1_000_000
 #: Hash of the end, as a word.
 END = int(mix(np.array([0xE0F], np.uint64)).view(np.int64)[0])
 #: Words that a worker remembers with their ids; windows that are scored at once.
-_REMEMBERED, _BATCH = 300_000, 64
+_REMEMBERED, _BATCH = 300_000, 48
+#: Exponents stay below this in training and scoring: weights are scaled down to it.
+LIMIT = 60.0
 
 
 class Subwords(dict):
@@ -165,15 +167,26 @@ class Network:
         }
         self.mask = np.tri(CONTEXT, dtype=np.float32)
 
+    def bound(self) -> None:
+        """Scales weights down where exponents could exceed ``LIMIT``: a normed state has length sqrt(SIZE)."""
+        q, k = (self.w["qkv"][:, i * SIZE : (i + 1) * SIZE] for i in (0, 1))
+        score = np.linalg.norm(q, 2) * np.linalg.norm(k, 2) * SIZE * (SIZE // HEADS) ** -0.5
+        if score > LIMIT:
+            self.w["qkv"][:, : 2 * SIZE] *= np.float32((LIMIT / score) ** 0.5)
+        logit = np.linalg.norm(self.w["y"], axis=0).max() * SIZE**0.5 + np.abs(self.w["by"]).max()
+        if logit > LIMIT:
+            self.w["y"] *= np.float32(LIMIT / logit)
+            self.w["by"] *= np.float32(LIMIT / logit)
+
     def hidden(self, ids: np.ndarray) -> tuple[np.ndarray, tuple]:
         """States (B, T, SIZE) that predict the next class, and what their gradients need."""
         w, (b, t) = self.w, ids.shape
         x0 = w["e"][ids] + w["p"][:t]
         a, ra = _norm(x0)
         q, k, v = (a @ w["qkv"]).reshape(b, t, 3, HEADS, SIZE // HEADS).transpose(2, 0, 3, 1, 4)
-        # norms bound the scores, so their exponentials need no shift
+        # no shift before the exponentials: norms bound the scores (see LIMIT)
         s = (q * np.float32((SIZE // HEADS) ** -0.5)) @ k.transpose(0, 1, 3, 2)
-        np.exp(np.minimum(s, 60, out=s), out=s)
+        np.exp(s, out=s)
         s *= self.mask[:t, :t]
         s /= s.sum(axis=-1, keepdims=True) + np.float32(1e-30)
         z = (s @ v).transpose(0, 2, 1, 3).reshape(b, t, SIZE)
@@ -266,20 +279,21 @@ class LanguageModel:
         shown[1:] = classes[:-1]
         shown[text_first] = self.classes.of[-1]
         length = np.minimum(CONTEXT, (text_end - text_first)[owner] - begin)
-        order = np.argsort(length, kind="stable")
+        order = np.lexsort((scored, length))
         both = np.stack([np.ones(len(self.classes.begins)), self.classes.begins], axis=1).astype(np.float32)
         w = self.network.w
         for a in range(0, len(order), _BATCH):
             some = order[a : a + _BATCH]
             longest = int(length[some].max())
+            whole = int(length[some[0]]) == longest and scored[some].min() == scored[some].max()  # windows of one shape
             place = text_first[owner[some]][:, None] + begin[some][:, None] + np.arange(longest)
             column = np.arange(longest)
-            used = (column >= scored[some][:, None]) & (column < length[some][:, None])
-            y, _ = self.network.hidden(shown[np.minimum(place, len(ids) - 1)])
-            z = y[used] @ w["y"]
+            used = None if whole else (column >= scored[some][:, None]) & (column < length[some][:, None])
+            y, _ = self.network.hidden(shown[place if whole else np.minimum(place, len(ids) - 1)])
+            from_ = int(scored[some[0]])
+            at = place[:, from_:].reshape(-1) if whole else place[used]
+            z = (y[:, from_:].reshape(-1, SIZE) if whole else y[used]) @ w["y"]
             z += w["by"]
-            np.minimum(z, 80, out=z)
-            at = place[used]
             own = z[np.arange(len(at)), classes[at]]
             np.exp(z, out=z)
             total = np.log(z @ both)
@@ -321,6 +335,7 @@ def train_network(subwords: Subwords, bodies: list[bytes], steps: int, batch: in
             m += 0.1 * (v - m)
             s += 0.01 * (v * v - s)
             net.w[k] -= (rate * (m / (1 - 0.9**step)) / (np.sqrt(s / (1 - 0.99**step)) + 1e-8)).astype(np.float32)
+        net.bound()
     return classes, net
 
 
@@ -402,6 +417,7 @@ def score(docs: DataFrame, counts: DataFrame, frequent: Frequent, model: Languag
     own = docs.select(F.monotonically_increasing_id().alias("at"), row.alias("row"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     schema = f"at bigint, row {own.schema['row'].dataType.simpleString()}, n_tokens bigint, n_known bigint, base double, score double, rare array<struct<h:bigint,p:float>>"
     scored = own.mapInArrow(partial(_score, sent), schema).persist(StorageLevel.DISK_ONLY)
+    scored.count()  # computed once, before two branches of the result read it at the same time
     rare = scored.select("at", F.explode("rare").alias("r")).select("at", "r.h", F.col("r.p").cast("double").alias("p"))
     c = F.coalesce(F.col("n"), F.lit(0))
     mixed = F.when(c == 0, F.col("p") + float(np.log10(1 - model.share))).otherwise(
