@@ -200,12 +200,17 @@ def _fit_language(rows: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"lang": [rows["lang"].iloc[0]], "counts": [pickle.dumps(count_grams(taught))], "held": [held]})
 
 
-def fit(docs: DataFrame, learn: Column, sample_rows: int = 300, lang_col: str = "lang", text_col: str = "text") -> Model | None:
-    """The model of the rows for which ``learn`` holds; None when none has a language and a letter."""
+def fit(docs: DataFrame, learn: Column, sample_rows: int = 300, languages: int = 1000, lang_col: str = "lang", text_col: str = "text") -> Model | None:
+    """The model of the rows for which ``learn`` holds (of the ``languages`` most
+    frequent languages); None when none has a language and a letter."""
     own = docs.where(learn).select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
     own = own.where(r"lang is not null and text rlike '\\p{L}'")
-    size = own.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-    sample = own.join(size, "lang").where(F.pmod(F.xxhash64("text"), F.floor(F.col("n") / sample_rows) + 1) == 0).select("lang", "text")
+    size = own.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(languages).collect()
+    if not size:
+        return None
+    steps = docs.sparkSession.createDataFrame([(r.lang, r.n // sample_rows + 1) for r in size], "lang string, step bigint")
+    # the sample is drawn where the rows are read; only its rows move
+    sample = own.join(F.broadcast(steps), "lang").where(F.pmod(F.xxhash64("text"), "step") == 0).select("lang", "text")
     fitted = sample.groupBy("lang").applyInPandas(_fit_language, "lang string, counts binary, held array<string>").collect()
     if not fitted:
         return None
