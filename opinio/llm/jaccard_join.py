@@ -2,7 +2,7 @@
 
 Texts are sets of shingles (five consecutive words; A-Z folded, words as runs of
 ASCII letters, digits and other characters beyond ASCII).  Texts with equal sets
-are one class and are not compared again.  The join works on classes:
+are represented by one of them and are not compared again:
 
 1. Each set is mapped to ``COORDINATES`` MinHash values, tokens of which two sets
    share as large a part as their similarity.  A run starts at a root node; a
@@ -350,20 +350,20 @@ def similar_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """One row per row of ``docs``: the id, class_id (least id with the same
-    set), class_size, group_id (least id of the texts that links connect),
-    n_links (other rows at the threshold or more, copies too)."""
+    """One row per row of ``docs``: the id, class_id (least id of the texts that
+    links connect), n_links (other rows at the threshold or more, copies too),
+    set_id (least id with the same shingles) and set_size (rows with them)."""
     described, classes = similar_classes(docs, id_col, text_col, **options)
     heads = classes.groupBy("label").agg(F.min("first").alias("head"))
     told = classes.join(heads, "label").select(
-        "class", F.col("first.id").alias("class_id"), F.col("texts").alias("class_size"), F.col("head.id").alias("group_id"), (F.col("links") + F.col("texts") - 1).alias("n_links")
+        "class", F.col("head.id").alias("class_id"), F.col("first.id").alias("set_id"), F.col("texts").alias("set_size"), (F.col("links") + F.col("texts") - 1).alias("n_links")
     )
     out = described.select("id", F.when(F.col("n") > 0, F.col("class")).alias("class")).join(told, "class", "left")
     one = F.lit(1).cast("long")
     alone = F.col("class").isNull()
     return out.select(
-        F.col("id").alias(id_col), F.when(alone, F.col("id")).otherwise(F.col("class_id")).alias("class_id"), F.coalesce("class_size", one).alias("class_size"),
-        F.when(alone, F.col("id")).otherwise(F.col("group_id")).alias("group_id"), F.coalesce("n_links", one - 1).alias("n_links"),
+        F.col("id").alias(id_col), F.when(alone, F.col("id")).otherwise(F.col("class_id")).alias("class_id"), F.coalesce("n_links", one - 1).alias("n_links"),
+        F.when(alone, F.col("id")).otherwise(F.col("set_id")).alias("set_id"), F.coalesce("set_size", one).alias("set_size"),
     )
 
 

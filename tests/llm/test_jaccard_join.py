@@ -51,7 +51,7 @@ def corpus(seed, n=120, words=60):
 
 def run(spark, rows):
     docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 as t", "2 as class", "3 as n")
-    return sorted((tuple(r) for r in link_documents(docs).select("doc_id", "class_id", "class_size", "group_id", "n_links").collect()), key=str)
+    return sorted((tuple(r) for r in link_documents(docs).select("doc_id", "set_id", "set_size", "class_id", "n_links").collect()), key=str)
 
 
 def test_equals_all_pairs(spark):
