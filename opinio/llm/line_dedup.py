@@ -4,7 +4,7 @@ words, joined positions, matches extended both ways, later repeated runs deleted
 Passages that repeat across documents begin and end inside newline-delimited
 lines, where hashes of whole lines can't meet; so a "line" here is every run of
 ``LINE`` words, wherever it begins.  Of each ``WINDOW = MIN_WORDS - LINE + 1``
-consecutive line hashes the least (the leftmost, if equal) is a fingerprint.  A
+consecutive line hashes the least is a fingerprint.  A
 run of ``MIN_WORDS`` words that two places share holds the same full window at
 both, hence the same fingerprint: none is missed.
 
@@ -45,28 +45,33 @@ from opinio.llm.common import blocks, utf8
 from opinio.llm.words import NOT_SPACE, grams, hashed, prefix, spans_hash, split
 
 #: Words of the shortest run that is deleted, and of a hashed line.
-MIN_WORDS, LINE = 50, 8
+MIN_WORDS, LINE = 50, 16
 #: Slots of the map of texts that take part in a repeat: the most that is broadcast.
 SLOTS = 1 << 20
 
 
-def least(hashes: np.ndarray, first: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Of each full window of ``width`` consecutive lines (hash, first word): the window's first line and its least one, by index."""
+def least(hashes: np.ndarray, first: np.ndarray, at: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of each full window of ``width`` consecutive lines (hash, first word, place
+    in the text): the window's first line and its least one, by index.  Of equal
+    hashes the one whose place modulo ``width`` is least, so that windows of a
+    repeated word choose the same line instead of one each."""
     n = len(hashes) - width + 1
     if n <= 0:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    tie = (at % width).astype(np.int32)
     value, index, span = hashes, np.arange(len(hashes)), 1
 
-    def smaller(a: int, b: int, m: int) -> None:
+    def smaller(b: int, m: int) -> None:
         nonlocal value, index
-        right = value[b : b + m] < value[a : a + m]
-        value, index = np.where(right, value[b : b + m], value[a : a + m]), np.where(right, index[b : b + m], index[a : a + m])
+        x, y, i, j = value[:m], value[b : b + m], index[:m], index[b : b + m]
+        right = (y < x) | ((y == x) & (tie[j] < tie[i]))
+        value, index = np.where(right, y, x), np.where(right, j, i)
 
     while 2 * span <= width:
-        smaller(0, span, len(value) - span)
+        smaller(span, len(value) - span)
         span *= 2
     if span < width:
-        smaller(0, width - span, n)
+        smaller(width - span, n)
     whole = first[width - 1 :] - first[:n] == width - 1
     return np.flatnonzero(whole), index[:n][whole]
 
@@ -75,10 +80,10 @@ def _lines(data: np.ndarray, offsets: np.ndarray, min_words: int, line: int):
     """Words of a block; line hashes with their first words; windows and their least lines."""
     words, _, _, counts = hashed(data, offsets, NOT_SPACE, False)
     hashes, first = grams(words, counts, line)
-    window, chosen = least(hashes, first, min_words - line + 1)
-    inside = first[window] + min_words <= counts[np.searchsorted(counts, first[window], side="right")] if len(window) else slice(0)
-    window, chosen = window[inside], chosen[inside]
-    return words, counts, hashes, first, window, chosen
+    text = np.searchsorted(counts, first, side="right") - 1
+    window, chosen = least(hashes, first, first - counts[text], min_words - line + 1)
+    inside = first[window] + min_words <= counts[text[window] + 1]
+    return words, counts, hashes, first, window[inside], chosen[inside]
 
 
 def _fingerprints(min_words: int, line: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
