@@ -45,7 +45,7 @@ from opinio.llm.common import blocks, checkpointed, utf8
 from opinio.llm.words import ALNUM, grams, hashed, mix, prefix, spans_hash
 
 SHINGLE, THRESHOLD, TARGET_RECALL = 5, 0.8, 0.999
-COORDINATES, BUCKET, DEPTH, BLOCK = 128, 256, 4, 256
+COORDINATES, BUCKET, DEPTH, BLOCK = 128, 256, 2, 256
 #: A pair at the threshold is estimated this much lower with a probability of about 1e-5 (four standard deviations).
 SLACK = 0.15
 ROWS_A_FILE = 200_000
