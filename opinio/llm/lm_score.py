@@ -5,9 +5,10 @@ attention, interpolated with word counts of the whole training corpus.
 A text is its words (runs of anything but white space, A-Z folded) and one end.
 Each word is encoded on its own, after a space, by a public byte-level BPE; a
 subword that begins with a space, or the end, thereby ends the word before it.
-The network (one layer, one head, RMS norm) predicts a class of ids from the
-classes before: the most frequent ids have classes of their own, the others
-share classes by frequency, within which their frequency decides.  Windows of
+The network (one layer, one head, RMS norm) reads the ids before, each by an
+embedding of its own, and predicts a class of ids: the most frequent ids have
+classes of their own, the others share classes by what stands beside them, within
+which their frequency decides.  Windows of
 ``CONTEXT`` ids start every ``STRIDE`` ids; a window scores the ids that no
 earlier one scored, so every id but the first few of a text has at least
 ``CONTEXT - STRIDE`` ids before it.
@@ -50,8 +51,8 @@ from opinio.llm.bpe import read_ranks
 from opinio.llm.common import blocks, utf8
 from opinio.llm.words import _LOWER, NOT_SPACE, hashed, mix
 
-CONTEXT, STRIDE, SIZE, HEADS, INNER = 32, 26, 24, 1, 32
-OWN_CLASSES, SHARED_CLASSES = 128, 24
+CONTEXT, STRIDE, SIZE, HEADS, INNER = 32, 24, 24, 1, 32
+OWN_CLASSES, SHARED_CLASSES = 160, 24
 FREQUENT = 1_000_000
 #: Hash of the end, as a word.
 END = int(mix(np.array([0xE0F], np.uint64)).view(np.int64)[0])
@@ -99,29 +100,48 @@ _FOLD = bytes(_LOWER)
 
 @dataclass
 class Classes:
-    """Class of each id, its log-probability within the class, and which classes begin words."""
+    """Class of each id, its log-probability within the class, which classes begin words, and how many (the first) hold one id."""
 
     of: np.ndarray
     within: np.ndarray
     begins: np.ndarray
+    own: int
+
+
+def own_classes(counts: np.ndarray) -> np.ndarray:
+    """Ids that have classes of their own: the most frequent ones and the end."""
+    own = np.argsort(-counts, kind="stable")[:OWN_CLASSES]
+    return own if len(counts) - 1 in own else np.append(own[:-1], len(counts) - 1)
+
+
+def neighbours(ids: np.ndarray, own: np.ndarray, size: int) -> np.ndarray:
+    """What stands before and after each id without an own class: id * 2 * len(own) + column, once per occurrence."""
+    column = np.full(size, -1)
+    column[own] = np.arange(len(own))
+    out = []
+    for a, b, more in ((ids[1:], ids[:-1], 0), (ids[:-1], ids[1:], len(own))):
+        seen = (column[a] < 0) & (column[b] >= 0)
+        out.append(a[seen] * (2 * len(own)) + column[b[seen]] + more)
+    return np.concatenate(out)
 
 
 def make_classes(ids: np.ndarray, begins: np.ndarray, seed: int = 2) -> Classes:
-    """Classes from a sample's ids: own ones for the most frequent and the end;
-    the others share classes with ids that occur beside the same ids (k-means), which sets languages and word parts apart."""
+    """Classes from the ids of one sequence."""
     counts = np.bincount(ids, minlength=len(begins)).astype(float)
+    own = own_classes(counts)
+    return classes_of_counts(counts, own, *np.unique(neighbours(ids, own, len(begins)), return_counts=True), begins, seed)
+
+
+def classes_of_counts(counts: np.ndarray, own: np.ndarray, beside_key: np.ndarray, beside_n: np.ndarray, begins: np.ndarray, seed: int = 2) -> Classes:
+    """Classes from the counts of ids and of ``neighbours``: ``own`` ids have one each; the others share
+    classes with ids that occur beside the same ids (k-means), which sets languages and word parts apart."""
     order = np.argsort(-counts, kind="stable")
-    own = order[:OWN_CLASSES]
-    if len(counts) - 1 not in own:
-        own = np.append(own[:-1], len(counts) - 1)
     of = np.full(len(counts), -1)
     of[own] = np.arange(len(own))
-    # what stands before and after each remaining id that occurs, among the own classes
     rest = order[(of[order] < 0) & (counts[order] > 0)]
     beside = np.zeros((len(counts) if len(rest) else 0, 2 * len(own)), np.float32)
-    for a, b, column in ((ids[1:], ids[:-1], 0), (ids[:-1], ids[1:], len(own))) if len(rest) else ():
-        seen = (of[a] < 0) & (of[b] >= 0)
-        np.add.at(beside, (a[seen], of[b[seen]] + column), 1)
+    if len(rest):
+        beside.reshape(-1)[beside_key] = beside_n
     rng = np.random.default_rng(seed)
     n = len(own)
     for kind in (True, False):
@@ -136,13 +156,13 @@ def make_classes(ids: np.ndarray, begins: np.ndarray, seed: int = 2) -> Classes:
                     if (nearest == k).any():
                         centres[k] = np.average(x[nearest == k], axis=0, weights=weight[nearest == k])
             of[some] = n + nearest
-        # ids that the sample lacks
+        # ids that the texts lack
         of[(of < 0) & (begins == kind)] = n + SHARED_CLASSES
         n += SHARED_CLASSES + 1
     total = np.bincount(of, counts + 0.05, n)
     starts = np.zeros(n, bool)
     starts[of[begins]] = True
-    return Classes(of, np.log((counts + 0.05) / total[of]), starts)
+    return Classes(of, np.log((counts + 0.05) / total[of]), starts, len(own))
 
 
 def _norm(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -154,10 +174,19 @@ def _norm_back(d: np.ndarray, y: np.ndarray, r: np.ndarray) -> np.ndarray:
     return r * (d - y * (d * y).mean(axis=-1, keepdims=True))
 
 
+def _sum_rows(values: np.ndarray, index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct indexes and the sums of their rows."""
+    order = np.argsort(index, kind="stable")
+    index = index[order]
+    begin = np.flatnonzero(np.append(True, index[1:] != index[:-1]))
+    return index[begin], np.add.reduceat(values[order], begin, axis=0)
+
+
 class Network:
-    """Causal self-attention over classes of ids."""
+    """Causal self-attention over ids, with classes of ids as output.  An id's embedding is that of
+    its class (``e``) and, if it shares the class, an offset of its own (``offset``)."""
 
-    def __init__(self, classes: int, seed: int = 5):
+    def __init__(self, classes: int, seed: int = 5, ids: int = 0):
         rng = np.random.default_rng(seed)
         f = lambda *shape, s: (rng.standard_normal(shape) * s).astype(np.float32)
         self.w = {
@@ -166,6 +195,7 @@ class Network:
             "y": f(SIZE, classes, s=0.1), "by": np.zeros(classes, np.float32),
         }
         self.mask = np.tri(CONTEXT, dtype=np.float32)
+        self.offset = np.zeros((ids, SIZE), np.float32)
 
     def bound(self) -> None:
         """Scales weights down where exponents could exceed ``LIMIT``: a normed state has length sqrt(SIZE)."""
@@ -178,10 +208,11 @@ class Network:
             self.w["y"] *= np.float32(LIMIT / logit)
             self.w["by"] *= np.float32(LIMIT / logit)
 
-    def hidden(self, ids: np.ndarray) -> tuple[np.ndarray, tuple]:
-        """States (B, T, SIZE) that predict the next class, and what their gradients need."""
+    def hidden(self, ids: np.ndarray, inputs: np.ndarray | None = None) -> tuple[np.ndarray, tuple]:
+        """States (B, T, SIZE) that predict the next class, and what their gradients need;
+        ``ids`` are classes, ``inputs`` their embeddings if they are not those of the classes alone."""
         w, (b, t) = self.w, ids.shape
-        x0 = w["e"][ids] + w["p"][:t]
+        x0 = (w["e"][ids] if inputs is None else inputs) + w["p"][:t]
         a, ra = _norm(x0)
         q, k, v = (a @ w["qkv"]).reshape(b, t, 3, HEADS, SIZE // HEADS).transpose(2, 0, 3, 1, 4)
         # no shift before the exponentials: norms bound the scores (see LIMIT)
@@ -198,7 +229,7 @@ class Network:
         return y, (ids, a, ra, q, k, v, s, z, c, rc, g, y, ry)
 
     def gradients(self, dy: np.ndarray, state: tuple) -> dict:
-        """Of all weights but the output's, from those of the states."""
+        """Of all weights but the output's, and of the inputs (``x``), from those of the states."""
         ids, a, ra, q, k, v, s, z, c, rc, g, y, ry = state
         w, (b, t) = self.w, ids.shape
         flat = lambda x: x.reshape(-1, x.shape[-1])
@@ -217,34 +248,35 @@ class Network:
         dx0 = dx1 + _norm_back(dqkv @ w["qkv"].T, a, ra)
         out["p"] = np.zeros_like(w["p"])
         out["p"][:t] = dx0.sum(axis=0)
+        out["x"] = flat(dx0)
         out["e"] = np.zeros_like(w["e"])
-        np.add.at(out["e"], ids.reshape(-1), flat(dx0))
+        found, sums = _sum_rows(out["x"], ids.reshape(-1))
+        out["e"][found] = sums
         return out
 
-    def loss(self, ids: np.ndarray, targets: np.ndarray, used: np.ndarray) -> tuple[float, dict]:
+    def loss(self, ids: np.ndarray, targets: np.ndarray, used: np.ndarray, inputs: np.ndarray | None = None) -> tuple[float, dict]:
         """Mean negative log-probability of the used target classes, and the gradients."""
-        y, state = self.hidden(ids)
+        y, state = self.hidden(ids, inputs)
         rows = y[used]
         z = rows @ self.w["y"] + self.w["by"]
-        z -= z.max(axis=1, keepdims=True)
-        p = np.exp(z)
+        # no shift here either (see LIMIT)
+        p = np.exp(z, out=z)
         p /= p.sum(axis=1, keepdims=True)
         want = targets[used]
         at = np.arange(len(want))
         value = float(-np.log(p[at, want] + 1e-30).mean())
         p[at, want] -= 1
-        p /= len(want)
         dy = np.zeros_like(y)
-        dy[used] = p @ self.w["y"].T
-        return value, self.gradients(dy, state) | {"y": rows.T @ p, "by": p.sum(axis=0)}
+        dy[used] = (p @ self.w["y"].T) / len(want)
+        return value, self.gradients(dy, state) | {"y": rows.T @ p / len(want), "by": p.mean(axis=0)}
 
 
-def context_windows(size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def context_windows(size: np.ndarray, stride: int = STRIDE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """For sequences of ``size`` predictions: sequence, first prediction, and predictions already scored, of each window."""
-    many = np.where(size > 0, np.maximum(-(-(size - CONTEXT) // STRIDE), 0) + 1, 0)
+    many = np.where(size > 0, np.maximum(-(-(size - CONTEXT) // stride), 0) + 1, 0)
     owner = np.repeat(np.arange(len(size)), many)
     inside = np.arange(len(owner)) - np.repeat(np.cumsum(many) - many, many)
-    return owner, inside * STRIDE, np.where(inside > 0, CONTEXT - STRIDE, 0)
+    return owner, inside * stride, np.where(inside > 0, CONTEXT - stride, 0)
 
 
 @dataclass
@@ -255,9 +287,10 @@ class LanguageModel:
     network: Network
     share: float = 0.5
     _subwords: Subwords | None = field(default=None, repr=False)
+    _inputs: np.ndarray | None = field(default=None, repr=False)
 
     def __getstate__(self) -> dict:
-        return self.__dict__ | {"_subwords": None}
+        return self.__dict__ | {"_subwords": None, "_inputs": None}
 
     @property
     def subwords(self) -> Subwords:
@@ -265,6 +298,13 @@ class LanguageModel:
             self._subwords = Subwords(self.rank_file, self.pattern)
         return self._subwords
 
+    @property
+    def inputs(self) -> np.ndarray:
+        """Embedding of every id."""
+        if self._inputs is None:
+            self._inputs = self.network.w["e"][self.classes.of] + self.network.offset
+        return self._inputs
+
     def word_logs(self, bodies: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Natural log-probability of every word of the texts by the network (each text's end last), and words of each text."""
         ids, sizes, words = self.subwords.texts(bodies)
@@ -276,8 +316,8 @@ class LanguageModel:
         log_id, log_begin = np.empty(len(ids), np.float32), np.empty(len(ids), np.float32)
         # an id's window shows the ids before it; before the first stands an end
         shown = np.empty(len(ids), np.int64)
-        shown[1:] = classes[:-1]
-        shown[text_first] = self.classes.of[-1]
+        shown[1:] = ids[:-1]
+        shown[text_first] = self.subwords.end
         length = np.minimum(CONTEXT, (text_end - text_first)[owner] - begin)
         order = np.lexsort((scored, length))
         both = np.stack([np.ones(len(self.classes.begins)), self.classes.begins], axis=1).astype(np.float32)
@@ -289,7 +329,8 @@ class LanguageModel:
             place = text_first[owner[some]][:, None] + begin[some][:, None] + np.arange(longest)
             column = np.arange(longest)
             used = None if whole else (column >= scored[some][:, None]) & (column < length[some][:, None])
-            y, _ = self.network.hidden(shown[place if whole else np.minimum(place, len(ids) - 1)])
+            read = shown[place if whole else np.minimum(place, len(ids) - 1)]
+            y, _ = self.network.hidden(read, self.inputs[read])
             from_ = int(scored[some[0]])
             at = place[:, from_:].reshape(-1) if whole else place[used]
             z = (y[:, from_:].reshape(-1, SIZE) if whole else y[used]) @ w["y"]
@@ -308,34 +349,59 @@ class LanguageModel:
         return by_word + following, words
 
 
-def train_network(subwords: Subwords, bodies: list[bytes], steps: int, batch: int = 64, seed: int = 11) -> tuple[Classes, Network]:
-    rng = np.random.default_rng(seed)
+class Trainer:
+    """Trains a network, a batch of windows at a time."""
+
+    def __init__(self, subwords: Subwords, classes: Classes, network: Network, seed: int = 11):
+        self.subwords, self.classes, self.net, self.rng = subwords, classes, network, np.random.default_rng(seed)
+        self.moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in network.w.items()}
+        self.squares = np.full((len(network.offset), 1), 1e-8, np.float32)
+        self.step = 0
+
+    def read(self, ids: np.ndarray, sizes: np.ndarray, words: np.ndarray) -> None:
+        """Takes up encoded texts (see ``Subwords.texts``)."""
+        end = np.cumsum(np.add.reduceat(sizes, np.cumsum(words) - words))
+        first = np.append(0, end[:-1])
+        self.shown, self.target = np.append(0, ids[:-1]), self.classes.of[ids]
+        self.shown[first] = self.subwords.end
+        owner, begin, _ = context_windows(end - first, CONTEXT)  # each id is predicted once
+        self.start, self.length = first[owner] + begin, np.minimum(CONTEXT, (end - first)[owner] - begin)
+
+    def train(self, some: np.ndarray, rate: float) -> int:
+        """One step on some of the windows; the number of ids predicted."""
+        self.step += 1
+        place = np.minimum(self.start[some][:, None] + np.arange(CONTEXT), len(self.shown) - 1)
+        used = np.arange(CONTEXT) < self.length[some][:, None]
+        ids, net = self.shown[place], self.net
+        shown = self.classes.of[ids]
+        _, g = net.loss(shown, self.target[place], used, net.w["e"][shown] + net.offset[ids])
+        dx = g.pop("x")
+        for k, v in g.items():
+            m, s = self.moments[k]
+            m += 0.1 * (v - m)
+            s += 0.01 * (v * v - s)
+            net.w[k] -= (rate * (m / (1 - 0.9**self.step)) / (np.sqrt(s / (1 - 0.99**self.step)) + 1e-8)).astype(np.float32)
+        shared = (used & (shown >= self.classes.own)).reshape(-1)
+        if shared.any():
+            found, sums = _sum_rows(dx[shared], ids.reshape(-1)[shared])
+            self.squares[found] += (sums * sums).mean(axis=1, keepdims=True)
+            net.offset[found] -= 5 * rate * sums / np.sqrt(self.squares[found])
+        net.bound()
+        return int(used.sum())
+
+
+def train_network(subwords: Subwords, bodies: list[bytes], steps: int, batch: int = 64, seed: int = 11, classes: Classes | None = None) -> tuple[Classes, Network]:
+    """A network of some texts; their own ids make the classes if none are given."""
     ids, sizes, words = subwords.texts(bodies)
-    classes = make_classes(ids, subwords.begins)
-    net = Network(len(classes.begins), seed)
+    classes = make_classes(ids, subwords.begins) if classes is None else classes
+    net = Network(len(classes.begins), seed, len(classes.of))
     if not len(ids):
         return classes, net
     net.w["by"][:] = np.log(np.bincount(classes.of[ids], minlength=len(classes.begins)) / len(ids) + 1e-6)
-    end = np.cumsum(np.add.reduceat(sizes, np.cumsum(words) - words))
-    first = np.append(0, end[:-1])
-    target = classes.of[ids]
-    shown = np.append(0, target[:-1])
-    shown[first] = classes.of[-1]
-    owner, begin, _ = context_windows(end - first)
-    start, length = first[owner] + begin, np.minimum(CONTEXT, (end - first)[owner] - begin)
-    moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in net.w.items()}
+    trainer = Trainer(subwords, classes, net, seed)
+    trainer.read(ids, sizes, words)
     for step in range(1, steps + 1):
-        some = rng.integers(0, len(start), batch)
-        place = np.minimum(start[some][:, None] + np.arange(CONTEXT), len(ids) - 1)
-        used = np.arange(CONTEXT) < length[some][:, None]
-        _, g = net.loss(shown[place], target[place], used)
-        rate = 0.01 * min(1, step / 20) * (1 - 0.95 * step / steps)
-        for k, v in g.items():
-            m, s = moments[k]
-            m += 0.1 * (v - m)
-            s += 0.01 * (v * v - s)
-            net.w[k] -= (rate * (m / (1 - 0.9**step)) / (np.sqrt(s / (1 - 0.99**step)) + 1e-8)).astype(np.float32)
-        net.bound()
+        trainer.train(trainer.rng.integers(0, len(trainer.start), batch), 0.01 * min(1, step / 20) * (1 - 0.95 * step / steps))
     return classes, net
 
 

@@ -141,3 +141,14 @@ def test_counts_and_mixture_equal_the_plain_rule(spark):
 def test_no_rows_and_no_training_text(spark):
     assert run(spark, [(1, "a b")], "false")[0][0].n_known == 0
     assert run(spark, [], "true")[0] == []
+
+
+def test_ids_that_share_a_class_are_read_apart():
+    tokens = [t.strip() for t in SUBWORDS.encoding.decode_tokens_bytes(list(range(1000, 6000))) if t[:1] == b" " and t.strip().isalpha()]
+    bodies = [b" ".join(random.Random(j).choices(tokens[:600], k=60)) for j in range(40)]
+    classes, net = train_network(SUBWORDS, bodies, 5, batch=16)
+    assert classes.own == lm_score.OWN_CLASSES == 160 and (CONTEXT, STRIDE) == (32, 24)
+    ids = np.unique(SUBWORDS.texts(bodies)[0])
+    shared = ids[classes.of[ids] >= classes.own]
+    inputs = LanguageModel(RANKS, PATTERN, classes, net).inputs[shared]
+    assert len(shared) > 20 and len(np.unique(inputs, axis=0)) > 0.8 * len(shared)
