@@ -18,11 +18,14 @@ earlier one scored, so every id but the first few of a text has at least
 c counts the word in all training texts, N all their tokens.  p_network is the
 product of the word's subwords, given that a word begins and until one ends, so
 both parts, and the mixture, are distributions over words.  ``share`` is fitted by
-expectation maximisation on texts held back from the network's sample, with
+expectation maximisation on texts held back from the network's training, with
 their own occurrences taken out of the counts.
 
-The network learns from a bounded sample of texts (``sample_chars`` expected); the
-counts cover every training text.  Counting combines words per block and task
+The counts of words and ids, and so the classes and the frequencies within them,
+cover every training text.  The network begins on a bounded sample of distinct
+texts (``sample_chars`` expected) on the driver; then each task trains it on all
+texts of its partition, and the mean of the tasks' weights is the model (so scores
+depend a little on how the table is split).  Counting combines words per block and task
 before the shuffle.  The words at or above a count that at most ``FREQUENT`` words
 reach are broadcast; each occurrence of another word is a narrow row (word hash,
 network probability) that is joined with the counts and summed by document.
@@ -30,12 +33,14 @@ network probability) that is joined with the counts and summed by document.
 Defined cases: null counts as the empty text: one token, the end.  Without any
 training text all counts are 0, and base and network are uniform.  Words are
 told apart by a 64-bit hash.  Repeated rows are scored each; as training texts
-they count each.  Other columns are not read.
+they count each.  With a single training text nothing is held back and ``share``
+is 0.5.  Other columns are not read.
 """
 
 from __future__ import annotations
 
 import base64
+import copy
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import partial
@@ -405,6 +410,92 @@ def train_network(subwords: Subwords, bodies: list[bytes], steps: int, batch: in
     return classes, net
 
 
+def _bodies(batches: Iterator[pa.RecordBatch], size: int = 1 << 20) -> Iterator[list[bytes]]:
+    for batch in batches:
+        data, offsets = utf8(batch.column("text"))
+        for a, b in blocks(offsets, size):
+            yield [data[offsets[i] : offsets[i + 1]].tobytes() for i in range(a, b)]
+
+
+def _count_ids(sent: Broadcast, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of a task's texts: how often each id occurs, or each key of ``neighbours`` if own classes are given."""
+    subwords, own = Subwords(*sent.value[:2]), sent.value[2]
+    size = subwords.end + 1
+    n = np.zeros(size * (1 if own is None else 2 * len(own)), np.int64)
+    for bodies in _bodies(batches):
+        ids = subwords.texts(bodies)[0]
+        if own is None:
+            n += np.bincount(ids, minlength=size)
+        else:
+            key, many = np.unique(neighbours(ids, own, size), return_counts=True)
+            n[key] += many
+    found = np.flatnonzero(n)
+    for a in range(0, len(found), 1 << 16):
+        some = found[a : a + (1 << 16)]
+        yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(n[some])], ["k", "n"])
+
+
+def corpus_classes(docs: DataFrame, rank_file: bytes, pattern: str, text_col: str = "text") -> Classes:
+    """Classes by the ids of all texts of ``docs``: counted in one pass, what stands beside them in a second."""
+    subwords, spark = Subwords(rank_file, pattern), docs.sparkSession
+    texts = docs.select(F.col(text_col).alias("text"))
+
+    def counted(own: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+        sent = spark.sparkContext.broadcast((rank_file, pattern, own))
+        found = texts.mapInArrow(partial(_count_ids, sent), "k int, n bigint").groupBy("k").agg(F.sum("n").alias("n")).toArrow()
+        return found.column("k").to_numpy(), found.column("n").to_numpy()
+
+    counts = np.zeros(subwords.end + 1)
+    k, n = counted(None)
+    counts[k] = n
+    own = own_classes(counts)
+    return classes_of_counts(counts, own, *counted(own), subwords.begins)
+
+
+_WEIGHTS = [f"x{i}" for i in range(SIZE)]
+
+
+def _train_part(sent: Broadcast, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Trains on a task's texts; a row for each offset (k: id, n: its occurrences) and each SIZE numbers of the other weights (k < 0, n: ids)."""
+    model: LanguageModel = sent.value
+    net = copy.deepcopy(model.network)  # a worker runs several tasks on one broadcast value
+    trainer, many, seen = Trainer(model.subwords, model.classes, net), 0, np.zeros(len(net.offset), np.int64)
+    for bodies in _bodies(batches):
+        trainer.read(*model.subwords.texts(bodies))
+        order = trainer.rng.permutation(len(trainer.start))
+        for a in range(0, len(order), 64):
+            many += trainer.train(order[a : a + 64], 0.002 * min(1, (trainer.step + 1) / 20) / (1 + trainer.step / 200) ** 0.5)
+        seen += np.bincount(trainer.shown, minlength=len(seen))
+    if many:
+        seen[model.classes.of < model.classes.own] = 0
+        ids = np.flatnonzero(seen)
+        dense = np.concatenate([net.w[k].reshape(-1) for k in sorted(net.w)])
+        dense = np.pad(dense, (0, -len(dense) % SIZE)).reshape(-1, SIZE)
+        keys = np.append(ids, -1 - np.arange(len(dense))).astype(np.int32)
+        rows = np.concatenate([net.offset[ids], dense])
+        n = np.append(seen[ids], np.full(len(dense), many)).astype(np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n), *(pa.array(np.ascontiguousarray(c)) for c in rows.T)], ["k", "n", *_WEIGHTS])
+
+
+def train_everywhere(texts: DataFrame, model: LanguageModel) -> Network:
+    """The model's network after each task has trained it on its own texts: the mean of the tasks' weights by
+    ids trained on, of each id's offset by the id's occurrences."""
+    sent = texts.sparkSession.sparkContext.broadcast(model)
+    parts = texts.mapInArrow(partial(_train_part, sent), "k int, n bigint, " + ", ".join(f"{x} float" for x in _WEIGHTS))
+    mean = parts.groupBy("k").agg(*((F.sum(F.col(x) * F.col("n").cast("double")) / F.sum("n")).alias(x) for x in _WEIGHTS)).toArrow()
+    net = model.network
+    if mean.num_rows:
+        k = mean.column("k").to_numpy()
+        rows = np.stack([mean.column(x).to_numpy() for x in _WEIGHTS], axis=1).astype(np.float32)
+        net.offset[k[k >= 0]] = rows[k >= 0]
+        flat, at = rows[k < 0][np.argsort(-k[k < 0])].reshape(-1), 0
+        for name in sorted(net.w):
+            shape, size = net.w[name].shape, net.w[name].size
+            net.w[name], at = flat[at : at + size].reshape(shape).copy(), at + size
+        net.bound()
+    return net
+
+
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         data, offsets = utf8(batch.column("text"))
@@ -448,17 +539,39 @@ def frequent_words(counts: DataFrame, limit: int = FREQUENT) -> Frequent:
     return Frequent(h[order], n[order], least, sum(r.tokens for r in by_size.values()), sum(r.words for r in by_size.values()))
 
 
+def draw_texts(docs: DataFrame, chars: int, text_col: str = "text") -> list[tuple[int, bytes]]:
+    """Hash and beginning of distinct texts, of about ``chars`` characters together (all, if there are fewer); copies count once."""
+    own = docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("text")).select(F.xxhash64("text").alias("t"), "text")
+    most = max(chars // 8, 1)
+    sizes = own.select("t", F.least(F.char_length("text"), F.lit(most)).alias("n")).groupBy("t").agg(F.max("n").alias("n")).persist(StorageLevel.DISK_ONLY)
+    step = (sizes.agg(F.sum("n")).first()[0] or 0) // chars + 1
+    drawn = {r.t: r.n for r in sizes.where(F.pmod("t", F.lit(step)) == 0).collect()}
+    if step > 1 and (len(drawn) < 16 or sum(drawn.values()) < chars // 2):
+        # few long texts: the next by hash
+        for r in sizes.orderBy("t").limit(64).collect():
+            if len(drawn) < 16 or sum(drawn.values()) < chars // 2:
+                drawn[r.t] = r.n
+    sizes.unpersist()
+    wanted = docs.sparkSession.createDataFrame(pa.table({"t": pa.array(sorted(drawn), pa.int64())}))
+    begun = own.join(F.broadcast(wanted), "t", "left_semi").select("t", F.substring("text", 1, most).alias("text")).distinct()
+    return sorted((r.t, r.text.encode()) for r in begun.collect())
+
+
 def fit(docs: DataFrame, counts: DataFrame, frequent: Frequent, rank_path: str, pattern: str, text_col: str = "text", sample_chars: int = 3_000_000, steps: int = 1500) -> LanguageModel:
-    """The model of ``docs`` (training texts): network from a sample, share from texts held back from it."""
+    """The model of ``docs`` (training texts): classes by the ids of all texts; the network begun on a sample,
+    from which the share's texts are held back, then trained on every other text."""
     rank_file = read_ranks(rank_path)
     subwords = Subwords(rank_file, pattern)
-    own = docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    total = own.agg(F.sum(F.char_length("text"))).first()[0] or 0
-    sample = own.where(F.pmod(F.xxhash64("text"), F.lit(total // sample_chars + 1)) == 0).distinct().collect()
-    bodies = sorted(r.text.encode() for r in sample)
-    bodies = [bodies[i] for i in np.random.default_rng(1).permutation(len(bodies))]
-    held = bodies[: len(bodies) // 8]
-    model = LanguageModel(rank_file, pattern, *train_network(subwords, bodies[len(held) :], steps if bodies else 0))
+    drawn = draw_texts(docs, sample_chars, text_col)
+    drawn = [drawn[i] for i in np.random.default_rng(1).permutation(len(drawn))]
+    some = max(len(drawn) // 8, min(len(drawn) - 1, 1))
+    held, bodies = [b for _, b in drawn[:some]], [b for _, b in drawn[some:]]
+    classes = corpus_classes(docs, rank_file, pattern, text_col)
+    model = LanguageModel(rank_file, pattern, *train_network(subwords, bodies, steps if bodies else 0, classes=classes))
+    if bodies:
+        back = docs.sparkSession.createDataFrame(pa.table({"t": pa.array([t for t, _ in drawn[:some]], pa.int64())}))
+        own = docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+        model.network = train_everywhere(own.join(F.broadcast(back), F.xxhash64("text") == F.col("t"), "left_anti"), model)
     if held:
         logs, _ = model.word_logs(held)
         h = np.concatenate([np.append(hashed(*utf8(pa.array([b.decode()])), NOT_SPACE, True)[0].view(np.int64), END) for b in held])

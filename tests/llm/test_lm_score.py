@@ -152,3 +152,30 @@ def test_ids_that_share_a_class_are_read_apart():
     shared = ids[classes.of[ids] >= classes.own]
     inputs = LanguageModel(RANKS, PATTERN, classes, net).inputs[shared]
     assert len(shared) > 20 and len(np.unique(inputs, axis=0)) > 0.8 * len(shared)
+
+
+def test_every_training_text_makes_the_model(spark):
+    common = "the of and"
+    rows = [(i, f"{common} text{i} " * 40) for i in range(300)] + [(1000 + i, "zebra quartz " * 40 + str(i)) for i in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    counts = lm_score.word_counts(docs)
+    model = lm_score.fit(docs, counts, lm_score.frequent_words(counts), PATH, PATTERN, sample_chars=2000, steps=5)
+    ids = np.concatenate([SUBWORDS.texts([t.encode()])[0] for _, t in rows])
+    n = np.bincount(ids, minlength=SUBWORDS.end + 1)
+    c = model.classes
+    total = np.bincount(c.of, n + 0.05)
+    assert np.allclose(c.within, np.log((n + 0.05) / total[c.of]))
+    assert c.own == lm_score.OWN_CLASSES and n[c.of < c.own].min() >= n[c.of >= c.own].max()
+    # ids that share a class are still told apart where they are read: each one trained on has an embedding of its own
+    shared = np.flatnonzero((n > 0) & (c.of >= c.own))
+    assert len(shared) > 20 and (np.abs(model.network.offset[shared]).max(axis=1) > 0).mean() > 0.8
+    assert len(np.unique(model.inputs[shared], axis=0)) > 0.8 * len(shared)
+
+
+def test_sample_counts_texts_not_copies(spark):
+    rows = [(i, f"text {i % 6} " * 100) for i in range(3000)] + [(9000 + i, f"long {i} " * 4000) for i in range(4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    drawn = lm_score.draw_texts(docs, 10_000)
+    assert sum(len(b) for _, b in drawn) >= 5000 and len({t for t, _ in drawn}) == len(drawn) >= 8
+    assert len(lm_score.draw_texts(docs.where("doc_id >= 9000"), 1000)) == 4
+    assert lm_score.draw_texts(docs.limit(0), 1000) == []
