@@ -7,7 +7,8 @@ of its character n-grams (on UTF-8 bytes; those at the word's start are marked).
 A GRU reads each window of ``WINDOW`` words in both directions, attention pools
 the states, one unit gives the window's logit.  A text's logit is that of its
 most toxic window; two constants, fitted on rows held back from training, turn
-it into a probability.
+it into a probability.  Labels are sampled at different rates, which the second
+constant takes back, so that a score means the same at any number of labels.
 
 Labels belong to whole texts, so a toxic text's windows are trained as a bag
 (one minus the product of the windows' complements) and every window of a clean
@@ -226,9 +227,10 @@ class Network:
         return np.where(np.isfinite(logit), _sigmoid(self.scale * np.where(np.isfinite(logit), logit, 0) + self.shift), 0.0)
 
 
-def train(texts: list[str], labels: np.ndarray, epochs: int = 5, steps: int = 160, seed: int = 7) -> Network:
+def train(texts: list[str], labels: np.ndarray, epochs: int = 5, steps: int = 160, seed: int = 7, odds: float = 1.0) -> Network:
     """A network from texts and their labels, in ``epochs`` passes and ``steps``
-    batches at least; every fifth text is held back for the two constants."""
+    batches at least; every fifth text is held back for the two constants.
+    ``odds``: how much likelier a toxic row was drawn than a clean one."""
     rng = np.random.default_rng(seed)
     data, offsets = utf8(pa.array(texts, pa.string()))
     held = np.arange(len(texts)) % 5 == 4
@@ -260,6 +262,7 @@ def train(texts: list[str], labels: np.ndarray, epochs: int = 5, steps: int = 16
     use = held & np.isfinite(logit)
     if len(np.unique(labels[use])) == 2:
         net.scale, net.shift = _platt(logit[use], labels[use])
+    net.shift -= float(np.log(odds))
     return net
 
 
@@ -329,14 +332,15 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = 2000, id_col: str
     n = {r.label: r.n for r in own.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     if len(n) < 2:
         return None
-    step = F.when(F.col("label") == 1, n[1] // sample_rows + 1).otherwise(n[0] // sample_rows + 1)
+    steps = {label: n[label] // sample_rows + 1 for label in (0, 1)}
+    step = F.when(F.col("label") == 1, steps[1]).otherwise(steps[0])
     drawn = own.where(F.pmod(F.xxhash64("id"), step) == 0).distinct().toArrow()
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where("length(text) > 0")
     rows = texts.join(docs.sparkSession.createDataFrame(drawn), "id").select("text", "label").collect()
     rows = sorted((r.text, r.label) for r in rows)
     rows = [rows[i] for i in np.random.default_rng(3).permutation(len(rows))]
     y = np.array([label for _, label in rows])
-    return train([text for text, _ in rows], y) if len(np.unique(y)) == 2 else None
+    return train([text for text, _ in rows], y, odds=steps[0] / steps[1]) if len(np.unique(y)) == 2 else None
 
 
 def score(docs: DataFrame, net: Network | None, text_col: str = "text", threshold: float = 0.3, row: Column | None = None) -> DataFrame:

@@ -89,3 +89,24 @@ def test_defined_cases(spark):
     assert score(docs.limit(0), net).count() == 0
     one = net.scores(*utf8(pa.array(["ab cd", "zz " * 100])))
     assert np.allclose(one[0], net.scores(*utf8(pa.array(["ab cd"])))[0], atol=1e-5)
+
+
+def test_scores_keep_their_meaning_when_the_labels_grow(spark):
+    def noisy(n):
+        rng = random.Random(n)
+        rows = []
+        for i in range(n):
+            toxic = rng.random() < 0.1
+            w = rng.choices(["the", "of", "thing", "ander", "reth"], k=12)
+            if rng.random() < (0.6 if toxic else 0.05):  # a sign that is often wrong, so that scores are no 0 or 1
+                w[rng.randrange(12)] = "vilex"
+            rows.append((i, " ".join(w), int(toxic)))
+        return spark.createDataFrame(rows, "doc_id long, text string, label int")
+
+    unseen = noisy(2001)
+    means = []
+    for n in (600, 6000):
+        taught = noisy(n)
+        net = fit(taught.drop("label"), taught.drop("text"), sample_rows=400)
+        means.append(np.mean([r.score for r in score(unseen, net).select("score").collect()]))
+    assert all(abs(m - 0.1) < 0.07 for m in means), means
