@@ -3,9 +3,13 @@ the schema contract and the saved views."""
 
 from __future__ import annotations
 
+import json
 import re
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Iterator
+from functools import partial
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -47,31 +51,75 @@ def sync_partitions(spark: SparkSession, table: str, days=None) -> DataFrame:
     return spark.sql(f"SHOW PARTITIONS {table}")
 
 
+#: Bytes of the largest file whose footer is read by a task of the contract check; Spark infers the schema of a larger one.
+WHOLE_FILE = 1 << 30
+
+
+def _footer_types(footer: bytes) -> dict[str, str]:
+    """Columns and Spark types of a Parquet file by its footer."""
+    meta = pq.read_metadata(pa.BufferReader(b"PAR1" + footer))
+    stored = (meta.metadata or {}).get(b"org.apache.spark.sql.parquet.row.metadata")
+    if stored:  # the writer's schema, which Spark reads too
+        return {f.name: f.dataType.simpleString() for f in T.StructType.fromJson(json.loads(stored)).fields}
+    from pyspark.sql.pandas.types import from_arrow_type
+
+    physical = {meta.schema.column(i).path: meta.schema.column(i).physical_type for i in range(len(meta.schema))}
+    found = {}
+    for field in meta.schema.to_arrow_schema():
+        try:
+            found[field.name] = "timestamp" if physical.get(field.name) == "INT96" else from_arrow_type(field.type).simpleString()
+        except Exception:  # a type that Spark does not have
+            found[field.name] = str(field.type)
+    return found
+
+
+def _file_types(wanted: list[str], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        rows = []
+        for part, footer in zip(*(batch.column(c).to_pylist() for c in ("part", "footer")), strict=True):
+            found = _footer_types(footer)
+            rows += [(part, name, found.get(name)) for name in [*wanted, *(n for n in found if n not in wanted)]]
+        columns = zip(*rows, strict=True) if rows else ([], [], [])
+        yield pa.RecordBatch.from_arrays([pa.array(list(c), pa.string()) for c in columns], ["part", "name", "type"])
+
+
 def schema_contract(spark: SparkSession, table: str, contract: T.StructType = PRODUCT_TABLE_SCHEMA) -> DataFrame:
     """K3: drift report over the stored files; drift is reported, never applied.
 
-    The Parquet schema of every registered partition is read (footers only) and
-    held against the contract: a row per column and type found, ``OK``,
-    ``TYPE_CHANGED``, ``MISSING`` (in the contract, not the files) or
-    ``UNEXPECTED`` (the reverse), with the number of partitions that have it.
+    The footer of every file of every registered partition is read, in Spark
+    tasks, and held against the contract: a row per column and type found, ``OK``,
+    ``TYPE_CHANGED``, ``MISSING`` (in the contract, not the file) or
+    ``UNEXPECTED`` (the reverse), with the number of partitions that have such a
+    file; one whose files differ counts in several rows.
     The partition key's type comes from the folder names.
     """
     described = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE FORMATTED {table}").collect()}
     location = described["Location"]
     parts = [r[0] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()]
-    key = parts[0].split("=")[0] if parts else None
-
-    def types(part: str) -> dict[str, str]:
-        own = {f.name: f.dataType.simpleString() for f in spark.read.parquet(f"{location}/{part}").schema.fields}
-        dates = re.fullmatch(r"[0-9]{4}-[0-9]{2}-[0-9]{2}", part.split("=", 1)[1])
-        return own | {key: "date" if dates else "string"}
-
     wanted = {f.name: f.dataType.simpleString() for f in contract.fields}
     seen: dict[tuple[str, str | None], int] = {}
-    with ThreadPoolExecutor(8) as pool:
-        for found in pool.map(types, parts):
-            for name in [*wanted, *(n for n in found if n not in wanted)]:
-                seen[name, found.get(name)] = seen.get((name, found.get(name)), 0) + 1
+    if parts:
+        key = parts[0].split("=")[0]
+        stored = [name for name in wanted if name != key]
+        files = spark.read.format("binaryFile").load([f"{location}/{part}" for part in parts])
+        part = F.element_at(F.split("path", "/"), -2).alias("part")
+        small = files.where(F.col("length") < WHOLE_FILE)
+        # the last eight bytes: the footer's length, least byte first, and the mark
+        size = F.expr("cast(conv(concat(" + ", ".join(f"hex(substring(content, -{i}, 1))" for i in (5, 6, 7, 8)) + "), 16, 10) as int) + 8")
+        footers = small.select(part, "content", size.alias("size")).selectExpr("part", "substring(content, -size, size) as footer")
+        types = footers.mapInArrow(partial(_file_types, stored), "part string, name string, type string")
+        large = []
+        for r in files.where(F.col("length") >= WHOLE_FILE).select("path", part).collect():
+            found = {f.name: f.dataType.simpleString() for f in spark.read.parquet(r.path).schema.fields}
+            large += [(r.part, name, found.get(name)) for name in [*stored, *(n for n in found if n not in stored)]]
+        if large:
+            types = types.unionByName(spark.createDataFrame(large, types.schema))
+        # a file's own column named like the key is the folder's
+        for r in types.where(F.col("name") != key).groupBy("name", "type").agg(F.countDistinct("part").alias("n")).collect():
+            seen[r.name, r.type] = r.n
+        for part_name in parts:
+            kind = "date" if re.fullmatch(r"[0-9]{4}-[0-9]{2}-[0-9]{2}", part_name.split("=", 1)[1]) else "string"
+            seen[key, kind] = seen.get((key, kind), 0) + 1
     rows = []
     for (name, actual), partitions in seen.items():
         expected = wanted.get(name)

@@ -312,3 +312,27 @@ def test_t2_mean_reads_ratings_with_the_spark_cast(spark):
     prod = product(clean(spark.createDataFrame(nan_rows, schema)))
     view = {r.age_band: r.media_nota for r in vw_sentiment_by_age(prod).collect()}
     assert view["Adulto"] == 4.0 and view["Jovem"] != view["Jovem"]  # NaN propagates, no failure
+
+
+def test_contract_reads_every_file_of_a_partition(spark, workdir):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    spark.sql("CREATE DATABASE IF NOT EXISTS opinio_test")
+    register_product_table(spark, "opinio_test.product_files", f"{workdir}/files")
+    good = _product(spark).drop("dt").limit(5)
+    for day in ("2024-01-01", "2024-01-02"):
+        good.coalesce(1).write.parquet(f"{workdir}/files/dt={day}")
+    sync_partitions(spark, "opinio_test.product_files")
+    before = schema_contract(spark, "opinio_test.product_files").collect()
+    assert {(r.status, r.partitions) for r in before} == {("OK", 2)}
+    folder = f"{workdir}/files/dt=2024-01-02"
+    drifted = good.withColumn("review_count", F.col("review_count").cast("string")).withColumn("extra", F.lit(1)).drop("sentiment")
+    drifted.coalesce(1).write.mode("append").parquet(folder)
+    # a file that Spark did not write
+    pq.write_table(pa.table({"review_count": pa.array([1.5])}), folder.removeprefix("file:") + "/late.parquet")
+    found = {(r.column_name, r.actual_type, r.status): r.partitions for r in schema_contract(spark, "opinio_test.product_files").collect()}
+    kind = dict(good.dtypes)["review_count"]
+    assert found["review_count", kind, "OK"] == found["sentiment", "string", "OK"] == found["dt", "date", "OK"] == 2
+    assert found["review_count", "string", "TYPE_CHANGED"] == found["review_count", "double", "TYPE_CHANGED"] == 1
+    assert found["extra", "int", "UNEXPECTED"] == found["sentiment", None, "MISSING"] == 1
