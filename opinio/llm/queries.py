@@ -18,6 +18,7 @@ from opinio.llm.exact_dedup import exact_groups
 from opinio.llm.html_extract import extract
 from opinio.llm.jaccard_join import link_documents
 from opinio.llm.line_dedup import dedup_lines
+from opinio.llm.token_align import link_statistics
 from opinio.llm.url_filter import judge_urls
 
 #: host, path, verdict
@@ -84,8 +85,13 @@ def op10_lm_score(spark: SparkSession, d: str) -> DataFrame:
     return out.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+def op13_token_align(spark: SparkSession, d: str) -> DataFrame:
+    paths = [public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
+    return link_statistics(table(spark, d, "documents"), *paths)[0]
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (op1_line_dedup, op2_exact_dedup, op3_html_extract, op4_bpe, op5_jaccard_join, op6_toxicity, op7_url_filter, op8_language_id, op9_decontaminate, op10_lm_score)
+    own = (op1_line_dedup, op2_exact_dedup, op3_html_extract, op4_bpe, op5_jaccard_join, op6_toxicity, op7_url_filter, op8_language_id, op9_decontaminate, op10_lm_score, op13_token_align)
     pipeline = importlib.import_module("corpus_pipeline")  # it imports this module
     return {f.__name__: f for f in own} | {"pipeline": pipeline.run}
 

@@ -1,0 +1,121 @@
+import hashlib
+from collections import Counter
+
+import public_tokenizers
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from sentencepiece import SentencePieceProcessor
+from tokenizers import Tokenizer
+
+from opinio.llm.common import table
+from opinio.llm.token_align import Aligner, align, byte_alphabet, link_statistics
+from tests.conftest import SF001
+
+A, B = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+TOKENIZER, PIECES = Tokenizer.from_file(A), SentencePieceProcessor(model_file=B)
+TOKENIZER.encode_special_tokens = True
+
+
+def files():
+    return open(A, "rb").read(), open(B, "rb").read()
+
+
+ALIGNER = Aligner(*files())
+
+
+def spans(text):
+    """Ids with byte ranges by both tokenizers, each token's bytes taken on its own."""
+    byte = byte_alphabet()
+    a = TOKENIZER.encode(" " + text, add_special_tokens=False).ids
+    b = PIECES.encode(text)
+    raw_a = [bytes(byte[c] for c in TOKENIZER.id_to_token(k)) for k in a]
+    raw_b = [bytes([int(PIECES.id_to_piece(k)[3:5], 16)]) if PIECES.is_byte(k) else PIECES.id_to_piece(k).replace("▁", " ").encode() for k in b]
+    raw = (" " + text).encode()
+    if not text or b"".join(raw_a) != raw or b"".join(raw_b) != raw:
+        return [], []
+    out = []
+    for ids, pieces in ((a, raw_a), (b, raw_b)):
+        at, found = 0, []
+        for k, piece in zip(ids, pieces, strict=True):
+            found.append((k, at, at + len(piece)))
+            at += len(piece)
+        out.append(found)
+    return out
+
+
+def brute_links(a, b):
+    return [(i, j) for i, x in enumerate(a) for j, y in enumerate(b) if x[1] < y[2] and y[1] < x[2]]
+
+
+def brute_groups(a, b):
+    """Borders are the offsets at which a token of both lists ends."""
+    ends = sorted({x[2] for x in a} & {y[2] for y in b})
+    inside = lambda tokens, p, q: [t[0] for t in tokens if p < t[2] <= q]
+    return [(inside(a, p, q), inside(b, p, q)) for p, q in zip([0, *ends], ends, strict=False)]
+
+
+TEXTS = st.one_of(
+    st.text(max_size=40),
+    st.lists(st.sampled_from(["the ", "naïve", " Straße", "<|endoftext|>", "<s>", "</s>", "<0x41>", "\n\n", "  ", "日本語", "🙂", "antidisestablish", "▁", "\x00", "é"]), max_size=9).map("".join),
+)
+
+
+@settings(max_examples=300, deadline=None)
+@given(TEXTS)
+def test_groups_and_links_as_by_overlap_of_all_pairs(text):
+    ids = next(iter(ALIGNER.encode([text])))
+    found = ALIGNER.aligned(*ids)
+    a, b = spans(text)
+    assert ids == ([x[0] for x in a], [x[0] for x in b])
+    assert sorted(zip(*(x.tolist() for x in found.links()), strict=True)) == brute_links(a, b)
+    assert [(found.a[i:k], found.b[j:m]) for i, k, j, m in found.slices()] == brute_groups(a, b)
+
+
+def brute(texts):
+    linked = [(a, b, brute_links(a, b)) for a, b in map(spans, texts)]
+    count = Counter(pair for a, b, links in linked for pair in {(a[i][0], b[j][0]) for i, j in links})
+    most = Counter()
+    for (k, _), n in count.items():
+        most[k] = max(most[k], n)
+    out = []
+    for a, b, links in linked:
+        n = [(count[a[i][0], b[j][0]], most[a[i][0]]) for i, j in links]
+        groups = brute_groups(a, b)
+        shown = ";".join(",".join(map(str, x)) + "|" + ",".join(map(str, y)) for x, y in groups)
+        digest = hashlib.sha256(shown.encode()).hexdigest() if a else ""
+        out.append((len(a), len(b), len(groups), len(links), sum(x == y for x, y in n), sum(x for x, _ in n), digest))
+    return out, {(k << 32) + m: n for (k, m), n in count.items()}
+
+
+@pytest.mark.parametrize("limit", [1 << 20, 40, 0])
+def test_statistics_of_rows_against_brute_force_whatever_is_broadcast(spark, limit):
+    rows = table(spark, SF001, "documents").select("doc_id", "text").where("length(text) < 900").collect()
+    texts = [(r.doc_id, r.text, 1) for r in rows[:60]] + [(900, None, 2), (901, "", 3), (902, "<|endoftext|> <s>x</s>", 3), (902, "<|endoftext|> <s>x</s>", 3), (None, "naïve\t<0x41>", 4)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string, pairs int").repartition(3)
+    got, counts = link_statistics(docs, A, B, limit=limit)
+    want, want_counts = brute([t or "" for _, t, _ in texts])
+    key = lambda r: tuple(-1 if x is None else x for x in r)
+    assert sorted((tuple(r) for r in got.collect()), key=key) == sorted(((t[0], *w) for t, w in zip(texts, want, strict=True)), key=key)
+    assert {r.pair: r.n for r in counts.collect()} == want_counts
+
+
+def test_groups_as_output_and_empty_tables(spark):
+    docs = spark.createDataFrame([(1, "naïve words"), (2, None), (2, "")], "doc_id long, text string")
+    got = {r.doc_id: r for r in align(docs, A, B).where("n_a > 0").collect()}
+    a, b = spans("naïve words")
+    assert [(g.a, g.b) for g in got[1].groups] == brute_groups(a, b) and list(got) == [1]
+    assert [tuple(x) for x in sorted(got[1].links)] == brute_links(a, b)
+    assert align(docs.limit(0), A, B).count() == 0
+    empty, counts = link_statistics(docs.limit(0), A, B)
+    assert empty.count() == 0 and counts.count() == 0
+
+
+def test_very_long_text_in_a_batch_with_short_ones(spark):
+    long = "An unusually long text, naïve and repeated. " * 20_000
+    docs = spark.createDataFrame([(1, long), (2, "short"), (3, long)], "doc_id long, text string").coalesce(1)
+    got, _ = link_statistics(docs, A, B)
+    found = {r.doc_id: r for r in got.collect()}
+    ids_a, ids_b = TOKENIZER.encode(" " + long, add_special_tokens=False).ids, PIECES.encode(long)
+    assert found[1][1:] == found[3][1:] and (found[1].n_a, found[1].n_b) == (len(ids_a), len(ids_b))
+    assert found[1].n_links == found[1].n_a + found[1].n_b - found[1].n_groups
