@@ -87,7 +87,7 @@ def op10_lm_score(spark: SparkSession, d: str) -> DataFrame:
 
 def op13_token_align(spark: SparkSession, d: str) -> DataFrame:
     paths = [public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
-    return link_statistics(table(spark, d, "documents"), *paths)[0]
+    return link_statistics(table(spark, d, "documents"), *paths, public_tokenizers.PATTERN)[0]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

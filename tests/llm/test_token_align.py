@@ -1,6 +1,8 @@
 import hashlib
+import json
 from collections import Counter
 
+import duckdb
 import public_tokenizers
 import pytest
 from hypothesis import given, settings
@@ -9,10 +11,11 @@ from sentencepiece import SentencePieceProcessor
 from tokenizers import Tokenizer
 
 from opinio.llm.common import table
-from opinio.llm.token_align import Aligner, align, byte_alphabet, link_statistics
-from tests.conftest import SF001
+from opinio.llm.token_align import Aligner, align, byte_alphabet, link_statistics, plain
+from tests.conftest import SF01, SF001
 
 A, B = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+PATTERN = public_tokenizers.PATTERN
 TOKENIZER, PIECES = Tokenizer.from_file(A), SentencePieceProcessor(model_file=B)
 TOKENIZER.encode_special_tokens = True
 
@@ -21,7 +24,7 @@ def files():
     return open(A, "rb").read(), open(B, "rb").read()
 
 
-ALIGNER = Aligner(*files())
+ALIGNER = Aligner(*files(), PATTERN)
 
 
 def spans(text):
@@ -57,19 +60,37 @@ def brute_groups(a, b):
 
 TEXTS = st.one_of(
     st.text(max_size=40),
-    st.lists(st.sampled_from(["the ", "naïve", " Straße", "<|endoftext|>", "<s>", "</s>", "<0x41>", "\n\n", "  ", "日本語", "🙂", "antidisestablish", "▁", "\x00", "é"]), max_size=9).map("".join),
+    st.lists(st.sampled_from(["the ", "naïve", " ", " a", "\x1c b", "\u00a0", " ▁", " 's", "1 ", ". ",  " Straße", "<|endoftext|>", "<s>", "</s>", "<0x41>", "\n\n", "  ", "日本語", "🙂", "antidisestablish", "▁", "\x00", "é"]), max_size=12).map("".join),
 )
 
 
 @settings(max_examples=300, deadline=None)
 @given(TEXTS)
 def test_groups_and_links_as_by_overlap_of_all_pairs(text):
-    ids = next(iter(ALIGNER.encode([text])))
-    found = ALIGNER.aligned(*ids)
+    found = next(ALIGNER.align([text]))
     a, b = spans(text)
-    assert ids == ([x[0] for x in a], [x[0] for x in b])
+    assert (found.a.tolist(), found.b.tolist()) == ([x[0] for x in a], [x[0] for x in b])
     assert sorted(zip(*(x.tolist() for x in found.links()), strict=True)) == brute_links(a, b)
-    assert [(found.a[i:k], found.b[j:m]) for i, k, j, m in found.slices()] == brute_groups(a, b)
+    assert [(x["a"].tolist(), x["b"].tolist()) for x in found.groups()] == brute_groups(a, b)
+
+
+def test_ids_of_all_sample_texts_are_those_of_the_file_by_its_own_library():
+    texts = [t for (t,) in duckdb.sql(f"SELECT text FROM '{SF01}/documents.parquet' WHERE text <> ''").fetchall()]
+    for text, found in zip(texts, ALIGNER.align(texts), strict=True):
+        assert not len(found.a) or found.a.tolist() == TOKENIZER.encode(" " + text, add_special_tokens=False).ids
+        assert bool(len(found.a)) == bool(spans(text)[0])
+
+
+@settings(max_examples=2000, deadline=None)
+@given(st.text(alphabet="abest'12 .é\t\n\r\x0b\x1c\x1f\x85\u00a0\u180e\u2028\u200b\u3000日", max_size=30))
+def test_same_ids_around_white_space(text):
+    assert ALIGNER.a.encode_ordinary(" " + text) == TOKENIZER.encode(" " + text, add_special_tokens=False).ids
+
+
+def test_other_kinds_of_tokenizer_files_are_refused():
+    other = json.loads(files()[0])
+    other["model"]["merges"].reverse()
+    assert plain(json.loads(files()[0])) and not plain(other)
 
 
 def brute(texts):
@@ -93,7 +114,7 @@ def test_statistics_of_rows_against_brute_force_whatever_is_broadcast(spark, lim
     rows = table(spark, SF001, "documents").select("doc_id", "text").where("length(text) < 900").collect()
     texts = [(r.doc_id, r.text, 1) for r in rows[:60]] + [(900, None, 2), (901, "", 3), (902, "<|endoftext|> <s>x</s>", 3), (902, "<|endoftext|> <s>x</s>", 3), (None, "naïve\t<0x41>", 4)]
     docs = spark.createDataFrame(texts, "doc_id long, text string, pairs int").repartition(3)
-    got, counts = link_statistics(docs, A, B, limit=limit)
+    got, counts = link_statistics(docs, A, B, PATTERN, limit=limit)
     want, want_counts = brute([t or "" for _, t, _ in texts])
     key = lambda r: tuple(-1 if x is None else x for x in r)
     assert sorted((tuple(r) for r in got.collect()), key=key) == sorted(((t[0], *w) for t, w in zip(texts, want, strict=True)), key=key)
@@ -102,19 +123,19 @@ def test_statistics_of_rows_against_brute_force_whatever_is_broadcast(spark, lim
 
 def test_groups_as_output_and_empty_tables(spark):
     docs = spark.createDataFrame([(1, "naïve words"), (2, None), (2, "")], "doc_id long, text string")
-    got = {r.doc_id: r for r in align(docs, A, B).where("n_a > 0").collect()}
+    got = {r.doc_id: r for r in align(docs, A, B, PATTERN).where("n_a > 0").collect()}
     a, b = spans("naïve words")
     assert [(g.a, g.b) for g in got[1].groups] == brute_groups(a, b) and list(got) == [1]
     assert [tuple(x) for x in sorted(got[1].links)] == brute_links(a, b)
-    assert align(docs.limit(0), A, B).count() == 0
-    empty, counts = link_statistics(docs.limit(0), A, B)
+    assert align(docs.limit(0), A, B, PATTERN).count() == 0
+    empty, counts = link_statistics(docs.limit(0), A, B, PATTERN)
     assert empty.count() == 0 and counts.count() == 0
 
 
 def test_very_long_text_in_a_batch_with_short_ones(spark):
     long = "An unusually long text, naïve and repeated. " * 20_000
     docs = spark.createDataFrame([(1, long), (2, "short"), (3, long)], "doc_id long, text string").coalesce(1)
-    got, _ = link_statistics(docs, A, B)
+    got, _ = link_statistics(docs, A, B, PATTERN)
     found = {r.doc_id: r for r in got.collect()}
     ids_a, ids_b = TOKENIZER.encode(" " + long, add_special_tokens=False).ids, PIECES.encode(long)
     assert found[1][1:] == found[3][1:] and (found[1].n_a, found[1].n_b) == (len(ids_a), len(ids_b))
