@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from opinio.llm import language_id, lm_score, oracle, toxicity
@@ -18,6 +18,7 @@ from opinio.llm.exact_dedup import exact_groups
 from opinio.llm.html_extract import extract
 from opinio.llm.jaccard_join import link_documents
 from opinio.llm.line_dedup import dedup_lines
+from opinio.llm.period_runs import periodic_runs
 from opinio.llm.token_align import link_statistics
 from opinio.llm.url_filter import judge_urls
 
@@ -85,13 +86,39 @@ def op10_lm_score(spark: SparkSession, d: str) -> DataFrame:
     return out.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+def op12_period_runs(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents").select("doc_id", with_planted_runs(F.col("doc_id"), F.col("text")).alias("text"))
+    out, best = periodic_runs(docs), F.col("best")
+    written = F.concat(F.array_join(F.transform("runs", lambda r: F.concat_ws(",", r.start, r.length, r.period)), "\n"), F.when(F.size("runs") > 0, "\n").otherwise(""))
+    return out.select(
+        "row.*", F.size("runs").cast("long").alias("n_runs"), best.start.alias("start"), best.length.alias("length"), best.period.alias("period"),
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"), F.sha2(written, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def with_planted_runs(doc_id: Column, text: Column) -> Column:
+    """The text; for every tenth id (by its crc32 h) its words from number a = h // 10 mod n on repeat with a period by h."""
+    h = F.crc32(doc_id.cast("string"))
+    g = F.floor(h / 10)
+
+    def planted(words: Column) -> Column:
+        n = F.size(words)
+        a = g % n
+        p = F.floor((n - a) / (3 + g % 8)) + 1
+        return F.array_join(F.transform(words, lambda w, i: F.when(i < a, w).otherwise(F.get(words, (a + (i - a) % p).cast("int")))), " ")
+
+    words = F.filter(F.split(text, r"[ \t-\r]+"), lambda w: w != "")
+    # a lambda's variable is computed once, a column repeated in it for each word
+    return F.when(h % 10 == 0, F.get(F.transform(F.filter(F.array(words), lambda w: F.size(w) > 0), planted), 0)).otherwise(text)
+
+
 def op13_token_align(spark: SparkSession, d: str) -> DataFrame:
     paths = [public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
     return link_statistics(table(spark, d, "documents"), *paths, public_tokenizers.PATTERN)[0]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (op1_line_dedup, op2_exact_dedup, op3_html_extract, op4_bpe, op5_jaccard_join, op6_toxicity, op7_url_filter, op8_language_id, op9_decontaminate, op10_lm_score, op13_token_align)
+    own = (op1_line_dedup, op2_exact_dedup, op3_html_extract, op4_bpe, op5_jaccard_join, op6_toxicity, op7_url_filter, op8_language_id, op9_decontaminate, op10_lm_score, op12_period_runs, op13_token_align)
     pipeline = importlib.import_module("corpus_pipeline")  # it imports this module
     return {f.__name__: f for f in own} | {"pipeline": pipeline.run}
 
