@@ -54,5 +54,14 @@ WITH words AS (
 SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
   sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM words LEFT JOIN hits USING (doc_id) LEFT JOIN listed USING (doc_id)
+""",
+    "op11_warc": r"""
+WITH own AS (
+  SELECT page_id, encode(coalesce(html, '')) AS body FROM pages
+), ranked AS (
+  SELECT page_id, octet_length(body) AS payload_bytes, sha1(body) AS payload_digest, row_number() OVER w > 1 AND octet_length(body) >= 1000 AS again, first_value(page_id) OVER w AS lead
+  FROM own WINDOW w AS (PARTITION BY body ORDER BY page_id DESC NULLS LAST)
+)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN again THEN lead END AS refers_to FROM ranked
 """,
 }

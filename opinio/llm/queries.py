@@ -21,6 +21,8 @@ from opinio.llm.line_dedup import dedup_lines
 from opinio.llm.period_runs import periodic_runs
 from opinio.llm.token_align import link_statistics
 from opinio.llm.url_filter import judge_urls
+from opinio.llm.warc import read_archives, write_archives
+from opinio.sources.storage import scratch_path
 
 #: host, path, verdict
 URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
@@ -86,6 +88,15 @@ def op10_lm_score(spark: SparkSession, d: str) -> DataFrame:
     return out.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+def op11_warc(spark: SparkSession, d: str) -> DataFrame:
+    path, pages = scratch_path(spark, "warc"), table(spark, d, "pages")
+    write_archives(pages, path)
+    kind = pages.schema["page_id"].dataType
+    return read_archives(spark, path, payloads=False).select(
+        F.col("row_id").cast(kind).alias("page_id"), "payload_bytes", "payload_digest", "record_type", F.col("refers_to_row_id").cast(kind).alias("refers_to")
+    )
+
+
 def op12_period_runs(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents").select("doc_id", with_planted_runs(F.col("doc_id"), F.col("text")).alias("text"))
     out, best = periodic_runs(docs), F.col("best")
@@ -118,7 +129,7 @@ def op13_token_align(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (op1_line_dedup, op2_exact_dedup, op3_html_extract, op4_bpe, op5_jaccard_join, op6_toxicity, op7_url_filter, op8_language_id, op9_decontaminate, op10_lm_score, op12_period_runs, op13_token_align)
+    own = (op1_line_dedup, op2_exact_dedup, op3_html_extract, op4_bpe, op5_jaccard_join, op6_toxicity, op7_url_filter, op8_language_id, op9_decontaminate, op10_lm_score, op11_warc, op12_period_runs, op13_token_align)
     pipeline = importlib.import_module("corpus_pipeline")  # it imports this module
     return {f.__name__: f for f in own} | {"pipeline": pipeline.run}
 

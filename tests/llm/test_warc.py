@@ -1,0 +1,113 @@
+import gzip
+import hashlib
+from collections import Counter, defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from opinio.llm import warc
+from opinio.llm.queries import op11_warc
+from opinio.llm.warc import NotCommitted, commit, manifest, members, parse, read_archives, write_archives
+
+SCHEMA = "page_id long, url string, html string, payload string"
+BIG, TINY = "<p>é " + "x" * 1200, "<p>tiny"
+ROWS = (
+    [(i, f"http://h/{i}", BIG + str(i // 4), "z") for i in range(40)]
+    + [(100 + i, "http://hot/", BIG, None) for i in range(200)]
+    + [(300, "http://a/", TINY, None), (301, "http://b/", TINY, None), (302, None, None, None), (303, "a b\r\nX-Row-ID: 7 é", "", None)]
+    + [(304, "u", BIG + "q", None), (304, "u", BIG + "q", None), (299, "u", BIG, None), (None, "u", BIG, None), (None, "n", "y" * 1000, None), (None, "n", "y" * 1000, None)]
+)
+
+
+def expected(rows, least=1000):
+    groups = defaultdict(list)
+    for i, _, html, *_ in rows:
+        groups[(html or "").encode()].append(i)
+    out = []
+    for body, ids in groups.items():
+        ids.sort(key=lambda i: -1 if i is None else i, reverse=True)
+        for k, i in enumerate(ids):
+            revisit = k > 0 and len(body) >= least
+            out.append((i, len(body), hashlib.sha1(body).hexdigest(), "revisit" if revisit else "response", ids[0] if revisit else None))
+    return Counter(out)
+
+
+def found(records):
+    cols = [F.col("row_id").cast("long"), "payload_bytes", "payload_digest", "record_type", F.col("refers_to_row_id").cast("long")]
+    return Counter(map(tuple, records.select(*cols).collect()))
+
+
+@pytest.mark.parametrize(("hot", "file_bytes"), [(1024, 2000), (2, 1 << 20), (1, 300)])
+def test_records_as_by_definition_whatever_is_hot(spark, workdir, hot, file_bytes):
+    pages = spark.createDataFrame(ROWS, SCHEMA).repartition(5)
+    done = write_archives(pages, workdir, file_bytes=file_bytes, hot=hot).collect()
+    records = read_archives(spark, workdir)
+    assert found(records) == expected(ROWS)
+    assert sum(f.records for f in done) == len(ROWS)
+    assert all(f.bytes <= file_bytes or f.records == 1 for f in done)
+    rows = records.collect()
+    assert all(r.digests_hold for r in rows) and len({r.record_id for r in rows}) == len(rows)
+    responses = {r.record_id: r for r in rows if r.record_type == "response"}
+    assert all(responses[r.refers_to_id].payload_digest == r.payload_digest and r.payload is None for r in rows if r.record_type == "revisit")
+    bodies = Counter((i, (html or "").encode()) for i, _, html, _ in ROWS)
+    assert all((int(r.row_id) if r.row_id else None, bytes(r.payload)) in bodies for r in responses.values())
+
+
+def test_files_are_gzip_members_with_whole_records(spark, workdir):
+    write_archives(spark.createDataFrame(ROWS, SCHEMA), workdir, file_bytes=5000)
+    for f in manifest(spark, workdir).collect():
+        path = f"{workdir}/{f.name}"
+        raw = open(path, "rb").read()
+        assert len(raw) == f.bytes and hashlib.sha1(raw).hexdigest() == f.sha1
+        with open(path, "rb") as stream:
+            parts = list(members(stream, 7))
+        assert gzip.decompress(raw) == b"".join(x for _, x in parts) and raw[parts[-1][0] :][:2] == b"\x1f\x8b"
+        fields = [parse(x)[0] for _, x in parts]
+        assert [x["warc-type"] for x in fields][0] == "warcinfo" and fields[0]["warc-filename"] == f.name
+        assert all("\n" not in x.get("warc-target-uri", "") for x in fields)
+
+
+def test_same_rows_give_the_same_records(spark, tmp_path):
+    pages = spark.createDataFrame(ROWS, SCHEMA)
+    texts = []
+    for k, p in enumerate((pages.repartition(7), pages.orderBy("url").coalesce(2))):
+        write_archives(p, f"{tmp_path}/{k}")
+        kept = []
+        for f in manifest(spark, f"{tmp_path}/{k}").collect():
+            with open(f"{tmp_path}/{k}/{f.name}", "rb") as stream:
+                kept += [x for _, x in members(stream) if b"WARC-Type: warcinfo" not in x]
+        texts.append(sorted(kept))
+    assert texts[0] == texts[1]
+
+
+def test_interrupted_commits_and_failed_attempts(spark, workdir, monkeypatch):
+    monkeypatch.setattr(warc, "commit", lambda s, p: None)
+    pages = spark.createDataFrame(ROWS, SCHEMA)
+    write_archives(pages, workdir, file_bytes=3000)
+    with pytest.raises(NotCommitted):
+        read_archives(spark, workdir)
+    # an attempt that failed left a file, and a commit that failed had moved one
+    store, root = warc.storage(workdir)
+    store.create_dir(f"{root}/_temporary/lost")
+    store.open_output_stream(f"{root}/_temporary/lost/part-00000-00000.warc.gz").close()
+    one = spark.read.parquet(f"{workdir}/_staged").first()
+    store.move(f"{root}/{one.temporary}", f"{root}/{one.name}")
+    commit(spark, workdir)
+    assert found(read_archives(spark, workdir)) == expected(ROWS)
+    assert commit(spark, workdir).count() == manifest(spark, workdir).count()
+    with pytest.raises(NotCommitted):
+        manifest(spark, workdir + "-none")
+
+
+def test_empty_table_and_query(spark, tmp_path):
+    pages = spark.createDataFrame(ROWS, SCHEMA)
+    assert write_archives(pages.limit(0), f"{tmp_path}/w").count() == 0
+    assert read_archives(spark, f"{tmp_path}/w").count() == 0
+    pages.write.parquet(f"{tmp_path}/pages.parquet")
+    assert Counter(map(tuple, op11_warc(spark, str(tmp_path)).collect())) == expected(ROWS)
+
+
+def test_long_payloads_are_records_of_their_own(spark, workdir):
+    rows = [(1, "u", "é" * 3_000_000, ""), (2, "u", "é" * 3_000_000, ""), (3, "u", "short", "")]
+    write_archives(spark.createDataFrame(rows, SCHEMA), workdir)
+    assert found(read_archives(spark, workdir, payloads=False)) == expected(rows)
