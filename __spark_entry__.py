@@ -158,7 +158,7 @@ def _stored_checks(spark, d):
 
 
 def _csv_ingested(spark, d):
-    return raw_scan(spark, scenarios.ingest_after_torn_run(spark, d).root).select("doc_id", "lang", "source", "n_chars", "dt", "batch")
+    return raw_scan(spark, scenarios.ingest_after_torn_run(spark, d).root).select("doc_id", "text", "lang", "source", "n_chars", "dt", "batch")
 
 
 def _training_data():

@@ -17,7 +17,7 @@ from dataclasses import dataclass
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
-from opinio.operators.batching import batch_keys, with_batches, with_file_index, with_file_position, with_row_index
+from opinio.operators.batching import batch_keys, with_batches, with_file_index, with_row_index
 from opinio.operators.ingest import BATCH_KEY, ingest_summary, missing_batches
 from opinio.schemas import DEFAULT_BATCH_SIZE, DEFAULT_START_DATE
 from opinio.sources.files import list_batches, source_scan
@@ -93,15 +93,12 @@ def ingest_csv(
 ) -> IngestResult:
     """D4 from a CSV source in file order; exit code 2 when the source is missing.
 
-    The source is parsed once: its rows and their file positions are staged as
-    Parquet in the shared checkpoint folder, so that a row's position is fixed
-    in storage, not recomputed on a retry; the count reads that table's footers
-    and the numbering its position columns.
+    The records and their file positions are staged in the shared checkpoint folder,
+    so that a row's position is fixed in storage, not recomputed on a retry.
 
-    ``multi_line=True`` (default) reads quoted fields that span lines; each
-    file is then one read task.  A large source known to hold no line breaks
-    inside fields can pass ``multi_line=False``: its files are split across
-    many tasks and the file order stays exact.
+    ``multi_line=True`` (default) reads quoted fields that span lines, large files
+    by many tasks.  ``multi_line=False`` parses the lines where they are read and
+    stages the rows; no line breaks inside fields are allowed then.
     """
     try:
         source = source_scan(spark, csv_path, multi_line)
@@ -110,6 +107,8 @@ def ingest_csv(
             empty = spark.createDataFrame([], "sent bigint, ignored bigint, errors bigint, total bigint")
             return IngestResult(empty, 2, str(exc))
         raise
-    staged_path = scratch_path(spark, "ingest-staged") + "/source"
-    with_file_position(source).write.mode("overwrite").parquet(staged_path)
-    return _store(spark, spark.read.parquet(staged_path), raw_root, with_file_index, start_date, batch_size)
+    if not multi_line:
+        staged_path = scratch_path(spark, "ingest-staged") + "/source"
+        source.write.mode("overwrite").parquet(staged_path)
+        source = spark.read.parquet(staged_path)
+    return _store(spark, source, raw_root, with_file_index, start_date, batch_size)

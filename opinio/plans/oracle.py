@@ -323,7 +323,7 @@ def queries_sql() -> dict[str, str]:
     # every third batch is stored, the second one torn
     q["ingest_missing_batches"] = f"WITH {batches}\nSELECT DISTINCT dt, batch FROM batches WHERE batch_index % 3 <> 0"
     q["ingest_csv_documents"] = (
-        f"WITH {batches}\nSELECT CAST(doc_id AS VARCHAR) AS doc_id, lang, source, CAST(n_chars AS VARCHAR) AS n_chars, dt, batch FROM batches"
+        f"WITH {batches}\nSELECT CAST(doc_id AS VARCHAR) AS doc_id, nullif(text, '') AS text, lang, source, CAST(n_chars AS VARCHAR) AS n_chars, dt, batch FROM batches"
     )
     q["ingest_csv_summary"] = (
         f"WITH {batches}\nSELECT count(DISTINCT batch) FILTER (WHERE batch_index % 3 <> 0) AS sent, "

@@ -8,9 +8,11 @@ cluster a missing setting is refused.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
+from pyarrow import fs
 from pyspark.sql import SparkSession
 
 
@@ -52,3 +54,8 @@ def children(spark: SparkSession, path: str) -> list[tuple[str, bool]]:
     if not fs.exists(place):
         return []
     return sorted((x.getPath().getName(), x.isDirectory()) for x in fs.listStatus(place))
+
+
+def task_file_system(path: str) -> tuple[fs.FileSystem, str]:
+    """The file system of ``path`` and the path there, for use inside a task."""
+    return fs.FileSystem.from_uri(re.sub(r"^file:/+", "/", path))

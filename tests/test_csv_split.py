@@ -1,0 +1,120 @@
+import csv
+import io
+
+import numpy as np
+import pytest
+
+from opinio.operators.batching import with_file_index
+from opinio.plans.ingest import ingest_csv
+from opinio.sources.csv_split import UnbalancedQuotes, csv_records
+from opinio.sources.files import raw_scan, source_scan
+
+
+@pytest.fixture
+def small_splits(spark):
+    old = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    yield
+    for k, v in old.items():
+        spark.conf.set(k, v)
+
+
+CELLS = ["plain", 'with "quotes"', "two\nlines", "\n\n", '"\n"', "a,b", "", "é\r\nñ", "x" * 300, '""', ",", "tail\n", ("long " * 60 + "\n") * 9, '"' * 7, " blanks "]
+
+
+def write(path, rows, line="\n"):
+    with open(path, "w", newline="", encoding="utf-8") as f:
+        csv.writer(f, lineterminator=line).writerows(rows)
+
+
+def local(path):
+    return path.removeprefix("file:")
+
+
+def made(n, seed):
+    rng = np.random.default_rng(seed)
+    return [[str(i), *(CELLS[k] for k in rng.integers(0, len(CELLS), 2)), "end"] for i in range(n)]
+
+
+@pytest.mark.parametrize("line", ["\n", "\r\n"])
+def test_rows_and_file_order_of_files_cut_anywhere(spark, workdir, small_splits, line):
+    import os
+
+    os.makedirs(local(workdir))
+    tables = [made(150, 1), made(90, 2), made(0, 3), made(1, 4)]
+    for k, rows in enumerate(tables):
+        write(f"{local(workdir)}/{k}.csv", [["id", "first text", "second", "last"], *rows], line)
+    assert spark.read.option("lineSep", "\n").text(workdir).rdd.getNumPartitions() > 20
+    indexed = with_file_index(source_scan(spark, workdir)).collect()
+    want = [r for rows in tables for r in rows]
+    got = [[r["id"], r["first text"], r["second"], r["last"]] for r in sorted(indexed, key=lambda r: r.row_index)]
+    assert got == [[c or None for c in r] for r in want]
+    assert [r.row_index for r in sorted(indexed, key=lambda r: r.row_index)] == list(range(len(want)))
+
+
+def test_a_field_longer_than_many_splits(spark, workdir, small_splits):
+    import os
+
+    os.makedirs(local(workdir))
+    long = "\n".join(f"line {i}, still inside" for i in range(600))
+    rows = [["k", "v"], ["1", "a"], ["2", long], ["3", "b\nc"], ["4", long], ["5", ""]]
+    write(f"{local(workdir)}/one.csv", rows)
+    got = with_file_index(source_scan(spark, f"{workdir}/one.csv")).orderBy("row_index").collect()
+    assert [(r.k, r.v) for r in got] == [(k, v or None) for k, v in rows[1:]]
+
+
+def test_empty_lines_headers_and_unbalanced_files(spark, workdir, small_splits):
+    import os
+
+    os.makedirs(local(workdir))
+    with open(f"{local(workdir)}/a.csv", "w", newline="", encoding="utf-8-sig") as f:
+        f.write('\n"head\nline",b\n\n1,2\n\n\n3,"4\n\n"\n\n')
+    with open(f"{local(workdir)}/b.csv", "w", newline="") as f:
+        f.write("b,c\n5,6\n7\n")
+    got = source_scan(spark, workdir).select("head\nline", "b", "c").collect()
+    assert sorted(map(tuple, got), key=repr) == sorted([("1", "2", None), ("3", "4\n\n", None), (None, "5", "6"), (None, "7", None)], key=repr)
+    with open(f"{local(workdir)}/c.csv", "w") as f:
+        f.write('x\n"open\n')
+    with pytest.raises(UnbalancedQuotes):
+        csv_records(spark, f"{workdir}/c.csv")
+
+
+def test_ingest_of_texts_with_line_breaks_in_file_order(spark, workdir, small_splits):
+    import os
+
+    os.makedirs(local(workdir))
+    rows = made(120, 9)
+    write(f"{local(workdir)}/in.csv", [["id", "t", "u", "v"], *rows])
+    res = ingest_csv(spark, f"{workdir}/in.csv", f"{workdir}/raw", batch_size=25)
+    assert res.summary.first().asDict() == {"sent": 5, "ignored": 0, "errors": 0, "total": 5}
+    got = sorted(raw_scan(spark, f"{workdir}/raw").collect(), key=lambda r: int(r.id))
+    assert [(r.id, r.t, r.u) for r in got] == [(r[0], r[1] or None, r[2] or None) for r in rows]
+    assert [r.batch for r in got] == [f"batch_{i // 25 + 1:03d}" for i in range(120)]
+
+
+def test_headers_are_read_in_tasks(spark, workdir, monkeypatch):
+    import gzip
+    import os
+
+    from opinio.sources import files
+
+    day = f"{local(workdir)}/dt=2024-01-0"
+    for k in (1, 2, 3):
+        os.makedirs(f"{day}{k}/batch=batch_001")
+    write(f"{day}1/batch=batch_001/p.csv", [["a", "two\nlines"], ["1", "x\ny"]])
+    write(f"{day}1/batch_002.csv", [["a", "two\nlines"], ["2", "z"]])
+    write(f"{day}2/batch=batch_001/p.csv", [["two\nlines", "a"], ["w", "3"]])
+    buffer = io.StringIO()
+    csv.writer(buffer).writerows([["a", "c"], ["4", "q"]])
+    with gzip.open(f"{day}2/more.csv.gz", "wt", newline="") as f:
+        f.write(buffer.getvalue())
+    open(f"{day}3/empty.csv", "w").close()
+    with open(f"{day}3/_hidden.csv", "w") as f:
+        f.write("h\n1\n")
+    monkeypatch.setattr(files, "file_system", lambda *_: pytest.fail("the driver opens no file"))
+    headers = files._headers(spark, [f"{workdir}/dt=2024-01-0{k}" for k in (1, 2, 3)])
+    assert headers[("a", "two\nlines")] == [f"{workdir}/dt=2024-01-01"]
+    assert headers[("two\nlines", "a")] == [f"{workdir}/dt=2024-01-02/batch=batch_001/p.csv"] and len(headers) == 3
+    got = raw_scan(spark, workdir).select("a", "two\nlines", "c", "batch").collect()
+    assert sorted(map(tuple, got)) == [("1", "x\ny", None, "batch_001"), ("2", "z", None, "batch_002"), ("3", "w", None, "batch_001"), ("4", None, "q", None)]
