@@ -24,7 +24,7 @@ from opinio.operators.clean import normalize_headers
 from opinio.plans import derived, scenarios
 from opinio.plans.backfill import run_summary
 from opinio.plans.oracle import queries_sql
-from opinio.sources.catalog import schema_contract, sync_partitions
+from opinio.sources.catalog import partition_diff, schema_contract, sync_partitions
 from opinio.sources.files import list_partitions, product_scan, raw_scan, trusted_scan
 from opinio.sources.storage import scratch_path
 
@@ -242,6 +242,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "registered_table": lambda s, d: s.table(_lake(s, d).table).select(*PRODUCT_ORDER),
         "partition_sync": lambda s, d: sync_partitions(s, _lake(s, d).table),
         "schema_contract": lambda s, d: schema_contract(s, _lake(s, d, "flawed").table),
+        "schema_contract_vanished": lambda s, d: schema_contract(s, _lake(s, d, "vanished").table),
+        "partition_diff": lambda s, d: partition_diff(s, _lake(s, d, "vanished").table),
         "emptied_day_overwrite": lambda s, d: product_scan(s, _lake(s, d, "emptied_after").table).select(
             *PRODUCT_ORDER
         ),

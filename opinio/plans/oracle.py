@@ -375,6 +375,18 @@ def queries_sql() -> dict[str, str]:
         f"('avg_rating', 'double', 'string', 'TYPE_CHANGED', 1), ('dt', 'date', 'date', 'OK', {days}), "
         "('extra', NULL, 'int', 'UNEXPECTED', 1)) AS t(column_name, expected_type, actual_type, status, partitions)"
     )
+    q["schema_contract_vanished"] = (
+        "SELECT column_name, expected_type, actual_type, status, CAST(partitions AS BIGINT) AS partitions FROM (VALUES "
+        f"('age_band', 'string', 'string', 'OK', {days} - 1), ('department_name', 'string', 'string', 'OK', {days} - 1), "
+        f"('sentiment', 'string', 'string', 'OK', {days} - 1), ('review_count', 'int', 'int', 'OK', {days} - 1), "
+        f"('avg_rating', 'double', 'double', 'OK', {days} - 1), ('dt', 'date', 'date', 'OK', {days}), "
+        "('dt', 'date', NULL, 'VANISHED', 1)) AS t(column_name, expected_type, actual_type, status, partitions)"
+    )
+    q["partition_diff"] = (
+        f"WITH {DAYS_CTE}\nSELECT 'dt=' || CAST(dt AS VARCHAR) AS partition, true AS registered, dt <> {_first_day} AS stored, "
+        f"CASE WHEN dt = {_first_day} THEN 'VANISHED' ELSE 'OK' END AS status FROM days "
+        "UNION ALL SELECT 'dt=' || CAST(max(dt) + 1 AS VARCHAR), false, true, 'NEW' FROM days"
+    )
     q["emptied_day_overwrite"] = with_stored(f"SELECT {PRODUCT_COLS} FROM stored WHERE dt <> {_first_day}")
     q["backfill_log"] = (
         f"WITH {DAYS_CTE}\nSELECT CAST(dt AS VARCHAR) AS dt, "

@@ -7,6 +7,7 @@ queries reading the same lake do not rebuild it.
 
 from __future__ import annotations
 
+import datetime as _dt
 import uuid
 from dataclasses import dataclass
 
@@ -24,7 +25,7 @@ from opinio.operators.quality import EmptyPartition
 from opinio.sources.catalog import register_databases, register_product_table
 from opinio.sources.files import CSV_WRITE_OPTIONS, day_path, list_batches, product_scan
 from opinio.sources.sinks import record_batches, write_leaf_csv, write_raw_days_csv
-from opinio.sources.storage import scratch_path
+from opinio.sources.storage import file_system, scratch_path
 
 _RUNS: dict[tuple, object] = {}
 
@@ -68,6 +69,8 @@ def lake_run(spark: SparkSession, sf_dir: str, variant: str = "full") -> LakeRun
       more, one less).
     * ``flawed``: after the backfill the first day's product gets rows with null
       labels, and the last day's is replaced by files with other types.
+    * ``vanished``: after the backfill the first day's product folder is deleted
+      from outside, and the last day's is copied to the day after it.
     """
     key = _key(spark, sf_dir, variant)
     if key in _RUNS:
@@ -96,6 +99,11 @@ def lake_run(spark: SparkSession, sf_dir: str, variant: str = "full") -> LakeRun
         backfill(spark, lake, table=table)
     if variant == "flawed":
         _spoil(spark, lake, table, first, max(result.days))
+    if variant == "vanished":
+        after = day_path(lake.product, _dt.date.fromisoformat(max(result.days)) + _dt.timedelta(days=1))
+        spark.read.parquet(day_path(lake.product, max(result.days))).write.parquet(after)
+        store, folder = file_system(spark, day_path(lake.product, first))
+        store.delete(folder, True)
     run = LakeRun(lake, table, result, first)
     _RUNS[key] = run
     return run

@@ -10,6 +10,7 @@ from functools import partial
 
 import pyarrow as pa
 import pyarrow.parquet as pq
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,6 +18,7 @@ from pyspark.sql import types as T
 from opinio.functions.dates import iso
 from opinio.operators import views
 from opinio.schemas import PRODUCT_PROPERTIES, PRODUCT_TABLE_SCHEMA
+from opinio.sources.storage import children, task_file_system
 
 
 def register_databases(spark: SparkSession, locations: dict[str, str]) -> None:
@@ -51,13 +53,29 @@ def sync_partitions(spark: SparkSession, table: str, days=None) -> DataFrame:
     return spark.sql(f"SHOW PARTITIONS {table}")
 
 
-#: Bytes of the largest file whose footer is read by a task of the contract check; Spark infers the schema of a larger one.
-WHOLE_FILE = 1 << 30
+def partition_diff(spark: SparkSession, table: str) -> DataFrame:
+    """K2/K3: registered partitions against the stored folders, both ways.
 
+    One row per partition: ``OK``, ``NEW`` (a folder that is not registered) or
+    ``VANISHED`` (registered, its folder is gone).  Vanished partitions are reported
+    and stay registered; ``sync_partitions`` adds the new ones.  Costs one listing of
+    the table's folder."""
+    location, registered = _registered(spark, table)
+    stored = [name for name, is_folder in children(spark, location) if is_folder and "=" in name]
+    frame = lambda names, mark: spark.createDataFrame([(n, True) for n in names], f"partition string, {mark} boolean")
+    both = frame(registered, "registered").join(frame(stored, "stored"), "partition", "full")
+    status = F.when(F.col("registered") & F.col("stored"), "OK").when(F.col("stored"), "NEW").otherwise("VANISHED")
+    return both.select("partition", F.coalesce("registered", F.lit(False)).alias("registered"), F.coalesce("stored", F.lit(False)).alias("stored"), status.alias("status"))
 
-def _footer_types(footer: bytes) -> dict[str, str]:
+
+def _registered(spark: SparkSession, table: str) -> tuple[str, list[str]]:
+    """The table's location and its registered partitions."""
+    described = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE FORMATTED {table}").collect()}
+    return described["Location"], [r[0] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()]
+
+
+def _footer_types(meta: pq.FileMetaData) -> dict[str, str]:
     """Columns and Spark types of a Parquet file by its footer."""
-    meta = pq.read_metadata(pa.BufferReader(b"PAR1" + footer))
     stored = (meta.metadata or {}).get(b"org.apache.spark.sql.parquet.row.metadata")
     if stored:  # the writer's schema, which Spark reads too
         return {f.name: f.dataType.simpleString() for f in T.StructType.fromJson(json.loads(stored)).fields}
@@ -73,12 +91,22 @@ def _footer_types(footer: bytes) -> dict[str, str]:
     return found
 
 
-def _file_types(wanted: list[str], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _stored_types(wanted: list[str], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Partition folders -> their files' columns and types; a row without a name for a folder that is gone.
+
+    Of each file only the footer is read (from its end, through the file system), whatever its size."""
     for batch in batches:
         rows = []
-        for part, footer in zip(*(batch.column(c).to_pylist() for c in ("part", "footer")), strict=True):
-            found = _footer_types(footer)
-            rows += [(part, name, found.get(name)) for name in [*wanted, *(n for n in found if n not in wanted)]]
+        for folder, part in zip(*(batch.column(c).to_pylist() for c in ("folder", "part")), strict=True):
+            store, root = task_file_system(folder)
+            if store.get_file_info(root).type != fs.FileType.Directory:
+                rows.append((part, None, None))
+                continue
+            for info in store.get_file_info(fs.FileSelector(root, recursive=True)):
+                if info.type == fs.FileType.File and info.size and not re.search(r"/[._]", info.path[len(root) :]):
+                    with store.open_input_file(info.path) as file:
+                        found = _footer_types(pq.read_metadata(file))
+                    rows += [(part, name, found.get(name)) for name in [*wanted, *(n for n in found if n not in wanted)]]
         columns = zip(*rows, strict=True) if rows else ([], [], [])
         yield pa.RecordBatch.from_arrays([pa.array(list(c), pa.string()) for c in columns], ["part", "name", "type"])
 
@@ -90,41 +118,29 @@ def schema_contract(spark: SparkSession, table: str, contract: T.StructType = PR
     tasks, and held against the contract: a row per column and type found, ``OK``,
     ``TYPE_CHANGED``, ``MISSING`` (in the contract, not the file) or
     ``UNEXPECTED`` (the reverse), with the number of partitions that have such a
-    file; one whose files differ counts in several rows.
-    The partition key's type comes from the folder names.
+    file; one whose files differ counts in several rows.  The partition key's type
+    comes from the folder names; registered partitions whose folder is gone count in
+    its row ``VANISHED``.
     """
-    described = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE FORMATTED {table}").collect()}
-    location = described["Location"]
-    parts = [r[0] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()]
+    location, parts = _registered(spark, table)
     wanted = {f.name: f.dataType.simpleString() for f in contract.fields}
-    seen: dict[tuple[str, str | None], int] = {}
+    rows = []
     if parts:
         key = parts[0].split("=")[0]
         stored = [name for name in wanted if name != key]
-        files = spark.read.format("binaryFile").load([f"{location}/{part}" for part in parts])
-        part = F.element_at(F.split("path", "/"), -2).alias("part")
-        small = files.where(F.col("length") < WHOLE_FILE)
-        # the last eight bytes: the footer's length, least byte first, and the mark
-        size = F.expr("cast(conv(concat(" + ", ".join(f"hex(substring(content, -{i}, 1))" for i in (5, 6, 7, 8)) + "), 16, 10) as int) + 8")
-        footers = small.select(part, "content", size.alias("size")).selectExpr("part", "substring(content, -size, size) as footer")
-        types = footers.mapInArrow(partial(_file_types, stored), "part string, name string, type string")
-        large = []
-        for r in files.where(F.col("length") >= WHOLE_FILE).select("path", part).collect():
-            found = {f.name: f.dataType.simpleString() for f in spark.read.parquet(r.path).schema.fields}
-            large += [(r.part, name, found.get(name)) for name in [*stored, *(n for n in found if n not in stored)]]
-        if large:
-            types = types.unionByName(spark.createDataFrame(large, types.schema))
+        folders = spark.createDataFrame([(f"{location}/{part}", part) for part in parts], "folder string, part string").repartition(min(len(parts), 1000))
+        types = folders.mapInArrow(partial(_stored_types, stored), "part string, name string, type string")
         # a file's own column named like the key is the folder's
-        for r in types.where(F.col("name") != key).groupBy("name", "type").agg(F.countDistinct("part").alias("n")).collect():
-            seen[r.name, r.type] = r.n
+        counted = types.where(F.col("name").isNull() | (F.col("name") != key)).groupBy("name", "type").agg(F.countDistinct("part").alias("n")).collect()
+        seen = {(r.name, r.type): r.n for r in counted if r.name is not None}
         for part_name in parts:
             kind = "date" if re.fullmatch(r"[0-9]{4}-[0-9]{2}-[0-9]{2}", part_name.split("=", 1)[1]) else "string"
             seen[key, kind] = seen.get((key, kind), 0) + 1
-    rows = []
-    for (name, actual), partitions in seen.items():
-        expected = wanted.get(name)
-        status = "OK" if expected == actual else "MISSING" if actual is None else "UNEXPECTED" if expected is None else "TYPE_CHANGED"
-        rows.append((name, expected, actual, status, partitions))
+        for (name, actual), partitions in seen.items():
+            expected = wanted.get(name)
+            status = "OK" if expected == actual else "MISSING" if actual is None else "UNEXPECTED" if expected is None else "TYPE_CHANGED"
+            rows.append((name, expected, actual, status, partitions))
+        rows += [(key, wanted.get(key), None, "VANISHED", r.n) for r in counted if r.name is None]
     return spark.createDataFrame(rows, "column_name string, expected_type string, actual_type string, status string, partitions bigint")
 
 

@@ -336,3 +336,46 @@ def test_contract_reads_every_file_of_a_partition(spark, workdir):
     assert found["review_count", kind, "OK"] == found["sentiment", "string", "OK"] == found["dt", "date", "OK"] == 2
     assert found["review_count", "string", "TYPE_CHANGED"] == found["review_count", "double", "TYPE_CHANGED"] == 1
     assert found["extra", "int", "UNEXPECTED"] == found["sentiment", None, "MISSING"] == 1
+
+
+def test_vanished_and_new_folders_are_reported_and_nothing_is_dropped(spark, workdir):
+    import shutil
+
+    from opinio.sources.catalog import partition_diff
+
+    spark.sql("CREATE DATABASE IF NOT EXISTS opinio_test")
+    register_product_table(spark, "opinio_test.product_gone", f"{workdir}/gone")
+    good = _product(spark).drop("dt").limit(5)
+    for day in ("2024-01-01", "2024-01-02", "2024-01-03"):
+        good.coalesce(1).write.parquet(f"{workdir}/gone/dt={day}")
+    sync_partitions(spark, "opinio_test.product_gone", ["2024-01-01", "2024-01-02"])
+    shutil.rmtree(f"{workdir}/gone/dt=2024-01-01".removeprefix("file:"))
+    want = {("dt=2024-01-01", True, False, "VANISHED"), ("dt=2024-01-02", True, True, "OK"), ("dt=2024-01-03", False, True, "NEW")}
+    assert set(map(tuple, partition_diff(spark, "opinio_test.product_gone").collect())) == want
+    found = {(r.column_name, r.status): r.partitions for r in schema_contract(spark, "opinio_test.product_gone").collect()}
+    assert found["dt", "VANISHED"] == found["age_band", "OK"] == 1 and found["dt", "OK"] == 2
+    assert {r[0] for r in sync_partitions(spark, "opinio_test.product_gone", ["2024-01-03"]).collect()} == {"dt=2024-01-01", "dt=2024-01-02", "dt=2024-01-03"}
+
+
+def test_contract_reads_ends_of_files_only(tmp_path):
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    from opinio.sources.catalog import _stored_types
+
+    for name, n in (("small", 1000), ("large", 3_000_000)):
+        (tmp_path / name).mkdir()
+        pq.write_table(pa.table({"x": np.random.default_rng(1).random(n)}), tmp_path / name / "f.parquet")
+    read = []
+
+    def counted():
+        with open("/proc/self/io") as f:
+            return int(next(line for line in f if line.startswith("rchar")).split()[1])
+
+    for name in ("small", "large", "small", "large"):
+        batch = pa.record_batch([[str(tmp_path / name)], ["dt=1"]], ["folder", "part"])
+        before = counted()
+        assert [b.to_pylist() for b in _stored_types(["x", "y"], iter([batch]))] == [[{"part": "dt=1", "name": "x", "type": "double"}, {"part": "dt=1", "name": "y", "type": None}]]
+        read.append(counted() - before)
+    assert (tmp_path / "large" / "f.parquet").stat().st_size > 20_000_000 and read[3] < 200_000
