@@ -26,6 +26,7 @@ from opinio.plans.backfill import run_summary
 from opinio.plans.oracle import queries_sql
 from opinio.sources.catalog import partition_diff, schema_contract, sync_partitions
 from opinio.sources.files import list_partitions, product_scan, raw_scan, trusted_scan
+from opinio.sources.publish import published_scan
 from opinio.sources.storage import scratch_path
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -226,6 +227,19 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "ingest_first_summary": lambda s, d: scenarios.ingest_twice(s, d).first.summary,
         "ingest_summary": lambda s, d: scenarios.ingest_twice(s, d).second.summary,
         "ingest_rerun_rows": _ingest_rerun_rows,
+        # one batch can't be written: the others are, and a re-run writes it
+        "ingest_partial_summary": lambda s, d: scenarios.ingest_around_obstacle(s, d).first.summary,
+        "ingest_failed_batches": lambda s, d: scenarios.ingest_around_obstacle(s, d).first.failed.select("dt", "batch"),
+        "ingest_repaired_summary": lambda s, d: scenarios.ingest_around_obstacle(s, d).second.summary,
+        "ingest_repaired_rows": lambda s, d: raw_scan(s, scenarios.ingest_around_obstacle(s, d).root).select(
+            "doc_id", "text", "lang", "source", "n_chars", "dt", "batch"
+        ),
+        # a backfill continued by its journal
+        "resumed_log": lambda s, d: scenarios.resumed_run(s, d).result.log.select("dt", "status", "error"),
+        "resumed_product": lambda s, d: product_scan(s, scenarios.resumed_run(s, d).lake.product).select(*PRODUCT_ORDER),
+        # many days published in one step
+        "published_before": lambda s, d: scenarios.published_run(s, d).before.select(*PRODUCT_ORDER),
+        "published_product": lambda s, d: published_scan(s, scenarios.published_run(s, d).root).select(*PRODUCT_ORDER),
         # files, layers and catalog
         "csv_round_trip": lambda s, d: raw_scan(s, _lake(s, d).lake.raw).select(
             "Clothing ID", "Age", "Review Text", "Rating", "Recommended IND", "Department Name", "dt"

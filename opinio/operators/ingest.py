@@ -18,17 +18,14 @@ def missing_batches(candidates: DataFrame, existing: DataFrame) -> DataFrame:
     return candidates.join(keys, BATCH_KEY, "left_anti")
 
 
-def ingest_summary(candidate_keys: DataFrame, missing_keys: DataFrame, failed: bool = False) -> DataFrame:
-    """``sent``, ``ignored`` (already stored), ``errors``, ``total`` batches;
-    a failed write counts every batch that it should have sent as an error."""
-    flagged = missing_keys.select(*BATCH_KEY).withColumn("_missing", F.lit(1))
-    counts = candidate_keys.select(*BATCH_KEY).join(flagged, BATCH_KEY, "left").agg(
-        F.count(F.lit(1)).alias("total"), F.count("_missing").alias("n_missing")
-    )
-    none = F.lit(0).cast("bigint")
-    return counts.select(
-        (none if failed else F.col("n_missing")).alias("sent"),
-        (F.col("total") - F.col("n_missing")).alias("ignored"),
-        (F.col("n_missing") if failed else none).alias("errors"),
-        F.col("total"),
+def ingest_summary(candidate_keys: DataFrame, missing_keys: DataFrame, failed_keys: DataFrame | None = None) -> DataFrame:
+    """``sent``, ``ignored`` (already stored), ``errors`` (batches whose write failed), ``total`` batches."""
+    marked = missing_keys.select(*BATCH_KEY, F.lit(1).alias("_missing"))
+    counts = candidate_keys.select(*BATCH_KEY).join(marked, BATCH_KEY, "left")
+    failed = F.lit(0).cast("bigint")
+    if failed_keys is not None:
+        counts = counts.join(failed_keys.select(*BATCH_KEY, F.lit(1).alias("_failed")), BATCH_KEY, "left")
+        failed = F.count("_failed")
+    return counts.agg(F.count(F.lit(1)).alias("total"), F.count("_missing").alias("n_missing"), failed.alias("errors")).select(
+        (F.col("n_missing") - F.col("errors")).alias("sent"), (F.col("total") - F.col("n_missing")).alias("ignored"), "errors", "total"
     )

@@ -27,7 +27,7 @@ from opinio.plans.layout import Lake
 from opinio.schemas import RUNLOG_SCHEMA
 from opinio.sources.catalog import sync_partitions
 from opinio.sources.files import list_partitions, product_scan, raw_scan, trusted_scan
-from opinio.sources.sinks import write_days_parquet
+from opinio.sources.sinks import append_journal, last_entries, write_days_parquet
 
 
 @dataclass
@@ -72,9 +72,16 @@ def backfill(
     start_from: str | None = None,
     dry_run: bool = False,
     table: str | None = None,
+    journal: str | None = None,
+    wave: int = 400,
 ) -> BackfillResult:
     """List -> filter -> run all days -> status log + exit code.
 
+    With ``journal``, a folder that belongs to this run, the days are run in
+    waves of ``wave`` days, and each wave's log rows are appended there as it
+    ends.  A run that was killed is continued with the same folder: days that it
+    holds as succeeded are not run again, and the log has every day's last row.
+
     Exit code 0 when every day succeeded (or nothing was listed), 1 when a day
     failed, 2 when the raw layer could not be listed.  ``dry_run`` only
     lists.  The day list is bounded by the number of partitions, so it is
@@ -86,7 +93,16 @@ def backfill(
         return BackfillResult([], None, 2, f"{type(exc).__name__}: {exc}")
     if dry_run or not days:
         return BackfillResult(days, None, 0)
-    records = run_and_log(spark, lake, days, table)
+    if journal is None:
+        records = run_and_log(spark, lake, days, table)
+    else:
+        done = {r[0]: r for r in last_entries(spark, journal)}
+        left = [d for d in days if d not in done or done[d][1] != "SUCCEEDED"]
+        for k in range(0, len(left), wave):
+            rows = run_and_log(spark, lake, left[k : k + wave], table)
+            append_journal(spark, rows, journal)
+            done |= {r[0]: r for r in rows}
+        records = [done[d] for d in days]
     log = spark.createDataFrame(records, RUNLOG_SCHEMA)
     failed = sum(1 for r in records if r[1] != "SUCCEEDED")
     return BackfillResult(days, log, 1 if failed else 0)

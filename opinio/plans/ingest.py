@@ -16,6 +16,7 @@ from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from opinio.operators.batching import batch_keys, with_batches, with_file_index, with_row_index
 from opinio.operators.ingest import BATCH_KEY, ingest_summary, missing_batches
@@ -27,9 +28,12 @@ from opinio.sources.storage import checkpoint_root, scratch_path
 
 @dataclass
 class IngestResult:
+    """``failed``: the batches whose write failed (dt, batch, error); None where all were stored."""
+
     summary: DataFrame
     exit_code: int
     error: str | None = None
+    failed: DataFrame | None = None
 
 
 def plan_ingest(
@@ -64,23 +68,49 @@ def ingest(
 ) -> IngestResult:
     """D4 in key order: write the missing batches; summary ``sent, ignored, errors, total``.
 
-    A re-run writes nothing.  A failed write counts every batch of the run as
-    an error, keeps the error's text and returns exit code 1.
+    A re-run writes nothing.  A batch whose write fails counts as an error, the
+    others are stored; the exit code is then 1, and a re-run writes that batch.
     """
     return _store(spark, source, raw_root, lambda rows: with_row_index(rows, order_cols), start_date, batch_size)
 
 
+#: Batches that may fail alone; groups that fail after that many count as failed whole.
+FAILURES = 32
+
+
 def _store(spark, source, raw_root, number_rows, start_date, batch_size) -> IngestResult:
     candidates, missing, rows = plan_ingest(spark, source, raw_root, number_rows, start_date, batch_size)
-    error = None
+    errors = []
     if rows is not None:
-        try:
-            write_raw_days_csv(rows.drop("row_index", "batch_index"), raw_root, by=tuple(BATCH_KEY))
-            record_batches(missing.select(*BATCH_KEY), raw_root)
-        except Exception as exc:  # reported with its whole text, and by the exit code
-            error = f"{type(exc).__name__}: {exc}"
-    summary = ingest_summary(candidates, missing, failed=error is not None)
-    return IngestResult(summary, 1 if error else 0, error)
+        span = missing.agg(F.min("batch_index"), F.max("batch_index")).first()
+        errors = _write_batches(rows, missing, raw_root, span[0], span[1], FAILURES)
+    if not errors:
+        return IngestResult(ingest_summary(candidates, missing), 0)
+    # a group of failed batches is a range of their numbers
+    ranges = F.broadcast(spark.createDataFrame(errors, "first bigint, last bigint, error string"))
+    failed = missing.join(ranges, F.col("batch_index").between(F.col("first"), F.col("last"))).select(*BATCH_KEY, "error")
+    return IngestResult(ingest_summary(candidates, missing, failed), 1, errors[0][2], failed)
+
+
+def _write_batches(rows: DataFrame, missing: DataFrame, raw_root: str, first: int, last: int, failures: int) -> list[tuple[int, int, str]]:
+    """Writes the missing batches numbered first to last; returns ranges of failed ones with the error.
+
+    They are written by one job, whose batches get their completion records once it is done.  If
+    it fails, each half is written by a job of its own, so a batch that can't be written fails alone
+    while the others take about two jobs for each halving."""
+    own = lambda df: df.where(F.col("batch_index").between(first, last))
+    if last < first or (first < last and own(missing).isEmpty()):
+        return []
+    try:
+        write_raw_days_csv(own(rows).drop("row_index", "batch_index"), raw_root, by=tuple(BATCH_KEY))
+        record_batches(own(missing).select(*BATCH_KEY), raw_root)
+        return []
+    except Exception as exc:  # reported with its whole text, and by the exit code
+        if first == last or failures <= 0:
+            return [(first, last, f"{type(exc).__name__}: {exc}")]
+    middle = (first + last) // 2
+    failed = _write_batches(rows, missing, raw_root, first, middle, failures)
+    return failed + _write_batches(rows, missing, raw_root, middle + 1, last, failures - len(failed))
 
 
 def ingest_csv(

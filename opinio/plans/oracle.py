@@ -337,7 +337,17 @@ def queries_sql() -> dict[str, str]:
         f"WITH {batches}\nSELECT count(DISTINCT batch) AS sent, CAST(0 AS BIGINT) AS ignored, "
         "CAST(0 AS BIGINT) AS errors, count(DISTINCT batch) AS total FROM batches"
     )
-    q["ingest_rerun_rows"] = (
+    last = "(SELECT max(batch_index) FROM batches)"
+    q["ingest_partial_summary"] = (
+        f"WITH {batches}\nSELECT count(DISTINCT batch) - 1 AS sent, CAST(0 AS BIGINT) AS ignored, "
+        "CAST(1 AS BIGINT) AS errors, count(DISTINCT batch) AS total FROM batches"
+    )
+    q["ingest_failed_batches"] = f"WITH {batches}\nSELECT DISTINCT dt, batch FROM batches WHERE batch_index = {last}"
+    q["ingest_repaired_summary"] = (
+        f"WITH {batches}\nSELECT CAST(1 AS BIGINT) AS sent, count(DISTINCT batch) - 1 AS ignored, "
+        "CAST(0 AS BIGINT) AS errors, count(DISTINCT batch) AS total FROM batches"
+    )
+    q["ingest_rerun_rows"] = q["ingest_repaired_rows"] = (
         f"WITH {batches}\nSELECT CAST(doc_id AS VARCHAR) AS doc_id, nullif(text, '') AS text, lang, source, "
         "CAST(n_chars AS VARCHAR) AS n_chars, dt, batch FROM batches"
     )
@@ -394,6 +404,11 @@ def queries_sql() -> dict[str, str]:
         f"CASE WHEN dt = {_first_day} THEN 'EmptyPartition | no product rows for dt=' || CAST(dt AS VARCHAR) "
         "ELSE '' END AS error FROM days"
     )
+    q["resumed_log"] = f"WITH {DAYS_CTE}\nSELECT CAST(dt AS VARCHAR) AS dt, 'SUCCEEDED' AS status, '' AS error FROM days"
+    q["resumed_product"] = stored
+    middle = "(SELECT min(dt) + CAST(floor((max(dt) - min(dt)) / 2) AS INTEGER) FROM product)"
+    q["published_before"] = with_product(f"SELECT {PRODUCT_COLS} FROM product WHERE dt <= {middle}")
+    q["published_product"] = with_product(f"SELECT {PRODUCT_COLS} FROM product WHERE dt <> {middle}")
     q["runlog_round_trip"] = (
         f"WITH {DAYS_CTE}\nSELECT CAST(dt AS VARCHAR) AS dt, "
         f"CASE WHEN dt = {_first_day} THEN 'FAILED' ELSE 'SUCCEEDED' END AS status, "

@@ -156,6 +156,37 @@ def ingest_twice(spark: SparkSession, sf_dir: str) -> IngestRun:
     return run
 
 
+@dataclass
+class ObstructedIngestRun:
+    root: str
+    first: IngestResult
+    second: IngestResult
+
+
+def ingest_around_obstacle(spark: SparkSession, sf_dir: str) -> ObstructedIngestRun:
+    """Ingest ``documents`` where the last batch's day folder can't be made (a file has its name),
+    then again without that file."""
+    key = _key(spark, sf_dir, "ingest-obstacle")
+    if key in _RUNS:
+        return _RUNS[key]
+    root = scratch_path(spark, "ingest-obstacle") + "/raw"
+    docs = derived.table(spark, sf_dir, "documents")
+    last = batch_keys(spark, docs.count(), 100, "2024-01-01").agg(F.max("dt")).first()[0]
+    store, place = file_system(spark, day_path(root, last))
+    store.create(place).close()
+    first = ingest(spark, docs, root, "doc_id")
+    first.summary, first.failed = (_fixed(df) for df in (first.summary, first.failed))
+    store.delete(place, False)
+    run = ObstructedIngestRun(root, first, ingest(spark, docs, root, "doc_id"))
+    _RUNS[key] = run
+    return run
+
+
+def _fixed(df: DataFrame) -> DataFrame:
+    """A summary (one row) or the failed batches (here one), as they are now."""
+    return df.sparkSession.createDataFrame(df.collect(), df.schema)
+
+
 @dataclass
 class PartialIngestRun:
     root: str
@@ -184,6 +215,63 @@ def ingest_after_torn_run(spark: SparkSession, sf_dir: str) -> PartialIngestRun:
     return run
 
 
+@dataclass
+class ResumedRun:
+    lake: Lake
+    result: BackfillResult
+
+
+def resumed_run(spark: SparkSession, sf_dir: str) -> ResumedRun:
+    """A backfill whose journal already holds the first half of the days, of which one has since been
+    re-delivered empty: only the other days are run."""
+    key = _key(spark, sf_dir, "resumed")
+    if key in _RUNS:
+        return _RUNS[key]
+    root = scratch_path(spark, "lake-resumed")
+    lake = Lake.under(root)
+    reviews = derived.event_reviews(spark, sf_dir)
+    first, middle = _first_day(reviews), _middle_day(reviews)
+    write_raw_days_csv(reviews.where(F.col("dt") <= F.lit(middle)), lake.raw)
+    backfill(spark, lake, journal=f"{root}/journal", wave=7)
+    write_raw_days_csv(reviews.where(F.col("dt") > F.lit(middle)), lake.raw, mode="append")
+    write_leaf_csv(_blank_day(reviews, first), lake.raw, first)
+    run = ResumedRun(lake, backfill(spark, lake, journal=f"{root}/journal", wave=7))
+    _RUNS[key] = run
+    return run
+
+
+def _middle_day(reviews: DataFrame) -> _dt.date:
+    span = reviews.agg(F.min("dt").alias("lo"), F.max("dt").alias("hi"))
+    return span.select(F.date_add("lo", (F.datediff("hi", "lo") / 2).cast("int"))).first()[0]
+
+
+@dataclass
+class PublishedRun:
+    root: str
+    before: DataFrame
+    torn: list[str]
+
+
+def published_run(spark: SparkSession, sf_dir: str) -> PublishedRun:
+    """The product published in two runs with a torn one between them (all days of it written, none published)."""
+    from opinio.sources.publish import published_scan, publish_days, unpublished_runs, write_run
+
+    key = _key(spark, sf_dir, "published")
+    if key in _RUNS:
+        return _RUNS[key]
+    root = scratch_path(spark, "published")
+    product = derived.event_product(spark, sf_dir)
+    middle = _middle_day(product)
+    publish_days(product.where(F.col("dt") <= F.lit(middle)), root)
+    write_run(product.withColumn("review_count", F.lit(-1)), root)
+    before, torn = published_scan(spark, root), unpublished_runs(spark, root)
+    # the later days, and the middle one emptied
+    publish_days(product.where(F.col("dt") > F.lit(middle)), root, emptied=[middle])
+    run = PublishedRun(root, before, torn)
+    _RUNS[key] = run
+    return run
+
+
 def stream_run(spark: SparkSession, sf_dir: str) -> Lake:
     """Raw days land in two deliveries; each is picked up by an incremental run."""
     from opinio.streaming.incremental import process_new_days
@@ -194,8 +282,7 @@ def stream_run(spark: SparkSession, sf_dir: str) -> Lake:
     root = scratch_path(spark, "lake-stream")
     lake = Lake.under(root)
     reviews = derived.event_reviews(spark, sf_dir)
-    span = reviews.agg(F.min("dt").alias("lo"), F.max("dt").alias("hi"))
-    middle = span.select(F.date_add("lo", (F.datediff("hi", "lo") / 2).cast("int"))).first()[0]
+    middle = _middle_day(reviews)
     for part in (reviews.where(F.col("dt") <= F.lit(middle)), reviews.where(F.col("dt") > F.lit(middle))):
         write_raw_days_csv(part, lake.raw, mode="append")
         process_new_days(spark, lake, f"{root}/_stream_checkpoint").awaitTermination()

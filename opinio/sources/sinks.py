@@ -18,10 +18,11 @@ import json
 from collections.abc import Iterable
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from opinio.functions.dates import iso
+from opinio.schemas import RUNLOG_SCHEMA
 from opinio.sources.files import CSV_WRITE_OPTIONS, STORED_BATCHES, day_path
 from opinio.sources.storage import file_system
 
@@ -175,3 +176,19 @@ def write_runlog(log: DataFrame, path: str) -> None:
     log.select("dt", "status", F.round("duration_s", 1).alias("duration_s"), "error").coalesce(1).write.mode("overwrite").options(
         **CSV_WRITE_OPTIONS
     ).csv(path)
+
+
+def append_journal(spark: SparkSession, rows: list[tuple], path: str) -> None:
+    """Run-log rows of days that have just ended, added to the run's journal by one committed write."""
+    entry = F.struct(F.current_timestamp().alias("written"), F.monotonically_increasing_id().alias("place"))
+    spark.createDataFrame(rows, RUNLOG_SCHEMA).coalesce(1).withColumn("entry", entry).write.mode("append").parquet(path)
+
+
+def last_entries(spark: SparkSession, path: str) -> list[tuple]:
+    """Each day's last row of a journal (as many rows as days); none where there is no journal yet."""
+    fs, place = file_system(spark, path)
+    if not fs.exists(place):
+        return []
+    schema = f"{', '.join(f'{f.name} {f.dataType.simpleString()}' for f in RUNLOG_SCHEMA.fields)}, entry struct<written:timestamp,place:bigint>"
+    kept = spark.read.schema(schema).parquet(path).groupBy("dt").agg(F.max_by(F.struct(*RUNLOG_SCHEMA.names), "entry").alias("r"))
+    return [tuple(r) for r in kept.select("r.*").collect()]
