@@ -21,6 +21,7 @@ from opinio.operators import quality, views
 from opinio.operators.aggregate import dt_equals, dt_from
 from opinio.operators.batching import assign_batches, batch_summary
 from opinio.operators.clean import normalize_headers
+from opinio.operators.daily_state import merged_stats, stored_states
 from opinio.plans import derived, scenarios
 from opinio.plans.backfill import run_summary
 from opinio.plans.oracle import queries_sql
@@ -158,6 +159,12 @@ def _stored_checks(spark, d):
     )
 
 
+def _state_checks(spark, d):
+    states = stored_states(spark, scenarios.state_run(spark, d).states)
+    first = F.date_add(F.lit(_raw_first_day(spark, d)), 1)
+    return quality.quality_checks(None, expected_partitions=_raw_day_count(spark, d) - 1, expected_min_dt=first, stats=merged_stats(states))
+
+
 def _csv_ingested(spark, d):
     return raw_scan(spark, scenarios.ingest_after_torn_run(spark, d).root).select("doc_id", "text", "lang", "source", "n_chars", "dt", "batch")
 
@@ -237,6 +244,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         # a backfill continued by its journal
         "resumed_log": lambda s, d: scenarios.resumed_run(s, d).result.log.select("dt", "status", "error"),
         "resumed_product": lambda s, d: product_scan(s, scenarios.resumed_run(s, d).lake.product).select(*PRODUCT_ORDER),
+        # states that days replace (A4-A12): no scan of the product
+        "quality_report_states": _state_checks,
+        "vw_sentiment_by_age_kept": lambda s, d: scenarios.state_run(s, d).by_age,
+        "vw_sentiment_by_dept_kept": lambda s, d: scenarios.state_run(s, d).by_dept,
         # many days published in one step
         "published_before": lambda s, d: scenarios.published_run(s, d).before.select(*PRODUCT_ORDER),
         "published_product": lambda s, d: published_scan(s, scenarios.published_run(s, d).root).select(*PRODUCT_ORDER),

@@ -101,6 +101,7 @@ def quality_checks(
     only: tuple[int, ...] = tuple(CHECK_STATS),
     error: Column | None = None,
     spark: SparkSession | None = None,
+    stats: DataFrame | None = None,
 ) -> DataFrame:
     """D6 core: check rows ``(check_id, name, status, expected, actual, detail)``.
 
@@ -108,6 +109,7 @@ def quality_checks(
     Expectations may be literals or scalar Columns (e.g. scalar subqueries).
     ``only`` names the checks to run.  Without a product (``spark`` then gives
     the session) the checks fail with ``error`` as detail and keep their expectation.
+    ``stats`` (one row, as of ``table_stats``) takes the place of a scan of the product.
     """
     n_exp = _lit_or_col(expected_partitions).cast("bigint")
     min_exp = _date_expr(expected_min_dt)
@@ -123,7 +125,7 @@ def quality_checks(
         6: F.concat_ws("..", min_exp.cast("string"), max_exp.cast("string")),
     }
     found: dict[int, tuple[Column, Column, Column]] = {}
-    if product is not None:
+    if product is not None or stats is not None:
         count = lambda c: F.concat(F.lit("count="), F.col(c).cast("string"))
         values = lambda c: F.concat(F.lit("values="), _list_repr(F.col(c)))
         low, high = date_prefix(F.col("min_dt")), date_prefix(F.col("max_dt"))
@@ -148,7 +150,8 @@ def quality_checks(
                     expected[cid].alias("expected"), actual.alias("actual"), detail.alias("detail"),
                 )
             )
-    stats = table_stats(product, only) if product is not None else spark.range(1)
+    if stats is None:
+        stats = table_stats(product, only) if product is not None else spark.range(1)
     return stats.select(F.inline(F.array(*structs))).select(*CHECK_COLUMNS)
 
 

@@ -144,7 +144,8 @@ _first_day = "(SELECT min(CAST(ts AS DATE)) FROM events)"
 _n_days = "(SELECT count(DISTINCT CAST(ts AS DATE)) FROM events)"
 
 
-def _checks_sql(source: str = "product") -> str:
+def _checks_sql(source: str = "product", skipped: int = 0) -> str:
+    """The six checks; ``skipped`` first days are neither expected nor read."""
     exp_bands = ",".join(sorted(AGE_BANDS))
     exp_sents = ",".join(sorted(SENTIMENTS))
     body = with_product("") if source == "product" else with_stored("")
@@ -157,9 +158,9 @@ stats AS (
          count(*) FILTER (WHERE age_band IS NULL) AS null_bands,
          count(*) FILTER (WHERE sentiment IS NULL) AS null_sents,
          min(dt) AS min_dt, max(dt) AS max_dt,
-         {_n_days} AS n_exp,
-         {_first_day} AS min_exp
-  FROM {source}
+         {_n_days} - {skipped} AS n_exp,
+         CAST({_first_day} + {skipped} AS DATE) AS min_exp
+  FROM {source} WHERE dt >= {_first_day} + {skipped}
 ),
 s AS (SELECT *, CAST(min_exp + CAST(n_exp - 1 AS INTEGER) AS DATE) AS max_exp,
              coalesce(array_to_string(bands, ','), '') AS bands_txt,
@@ -297,6 +298,12 @@ def queries_sql() -> dict[str, str]:
         "SELECT age_band, sentiment, CAST(sum(review_count) AS BIGINT) AS total_reviews, "
         "round(avg(review_count * 2e14), 2) AS media_nota FROM product GROUP BY age_band, sentiment ORDER BY age_band, sentiment"
     )
+    q["quality_report_states"] = _checks_sql(skipped=1)
+    for view, label in (("vw_sentiment_by_age", "age_band"), ("vw_sentiment_by_dept", "department_name")):
+        q[f"{view}_kept"] = with_product(
+            f"SELECT {label}, sentiment, CAST(sum(review_count) AS BIGINT) AS total_reviews, {_mean_of_means()} AS media_nota "
+            f"FROM product WHERE dt <> {_first_day} GROUP BY {label}, sentiment"
+        )
     q["quality_report_json"] = _report_json_sql()
     q["partition_counts"] = (
         f"WITH {REVIEWS_CTE},{TRUSTED_CTE},{PRODUCT_CTE},{DAYS_CTE}\n"

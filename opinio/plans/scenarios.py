@@ -22,9 +22,10 @@ from opinio.plans.layout import Lake
 from opinio.operators.batching import batch_keys, with_batches, with_row_index
 from opinio.operators.ingest import missing_batches
 from opinio.operators.quality import EmptyPartition
+from opinio.schemas import PRODUCT_TABLE_SCHEMA
 from opinio.sources.catalog import register_databases, register_product_table
 from opinio.sources.files import CSV_WRITE_OPTIONS, day_path, list_batches, product_scan
-from opinio.sources.sinks import record_batches, write_leaf_csv, write_raw_days_csv
+from opinio.sources.sinks import record_batches, write_days_parquet, write_leaf_csv, write_raw_days_csv
 from opinio.sources.storage import file_system, scratch_path
 
 _RUNS: dict[tuple, object] = {}
@@ -183,7 +184,7 @@ def ingest_around_obstacle(spark: SparkSession, sf_dir: str) -> ObstructedIngest
 
 
 def _fixed(df: DataFrame) -> DataFrame:
-    """A summary (one row) or the failed batches (here one), as they are now."""
+    """A small frame (a summary, failed batches, the product of some days) as it is now."""
     return df.sparkSession.createDataFrame(df.collect(), df.schema)
 
 
@@ -272,6 +273,48 @@ def published_run(spark: SparkSession, sf_dir: str) -> PublishedRun:
     return run
 
 
+@dataclass
+class StateRun:
+    states: str
+    by_age: DataFrame
+    by_dept: DataFrame
+
+
+def state_run(spark: SparkSession, sf_dir: str) -> StateRun:
+    """Day states and view totals kept through an append, an overwrite and an emptied day: the days up to the
+    middle, then a changed middle day, then the true middle day with all later ones, then the first day emptied."""
+    from opinio.operators import daily_state as state
+
+    key = _key(spark, sf_dir, "states")
+    if key in _RUNS:
+        return _RUNS[key]
+    root = scratch_path(spark, "states")
+    product = derived.event_product(spark, sf_dir).select(*PRODUCT_TABLE_SCHEMA.names)
+    middle, first = _middle_day(product), _first_day(product)
+    days = [r.dt for r in product.select("dt").distinct().orderBy("dt").collect()]
+    changed = product.where(F.col("dt") == F.lit(middle)).withColumn("avg_rating", F.col("avg_rating") + 7).withColumn("age_band", F.lit(None).cast("string"))
+    steps = [
+        ([d for d in days if d <= middle], product.where(F.col("dt") <= F.lit(middle))),
+        ([middle], changed),
+        ([d for d in days if d >= middle], product.where(F.col("dt") >= F.lit(middle))),
+        ([first], product.limit(0)),
+    ]
+    views = {"by_age": ["age_band", "sentiment"], "by_dept": ["department_name", "sentiment"]}
+    totals = {name: state.view_totals(product.limit(0), keys) for name, keys in views.items()}
+    for k, (some, rows) in enumerate(steps):
+        old = _fixed(state.product_days(spark, f"{root}/product", some, PRODUCT_TABLE_SCHEMA))
+        write_days_parquet(rows, f"{root}/product", some, repartition_by_day=True)
+        new = state.product_days(spark, f"{root}/product", some, PRODUCT_TABLE_SCHEMA)
+        state.replace_states(new, f"{root}/states", some)
+        for name, keys in views.items():
+            state.after_rerun(totals[name], old, new, keys).write.parquet(f"{root}/{name}/{k}")
+            totals[name] = spark.read.parquet(f"{root}/{name}/{k}")
+    now = product_scan(spark, f"{root}/product")
+    run = StateRun(f"{root}/states", *(state.view_of_totals(totals[name], now, keys) for name, keys in views.items()))
+    _RUNS[key] = run
+    return run
+
+
 def stream_run(spark: SparkSession, sf_dir: str) -> Lake:
     """Raw days land in two deliveries; each is picked up by an incremental run."""
     from opinio.streaming.incremental import process_new_days
