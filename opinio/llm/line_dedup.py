@@ -143,28 +143,36 @@ def cut(text: bytes, starts: np.ndarray, ends: np.ndarray, kept: np.ndarray) ->
     return b"".join(out)
 
 
+def merged(spans: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First words and ends of the unions of overlapping or touching spans, and the index of each one's first span."""
+    order = np.argsort(spans, kind="stable")
+    begin, until = spans[order] >> 32, np.maximum.accumulate(spans[order] & 0xFFFFFFFF)
+    new = np.flatnonzero(np.append(True, begin[1:] > until[:-1]))
+    return begin[new], until[np.append(new[1:], len(spans)) - 1], order[new]
+
+
 def _cut_rows(min_words: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for a in range(0, batch.num_rows, 256):
-            rows = batch.slice(a, 256)
+        for a, b in blocks(utf8(batch.column("text"))[1]):
+            rows = batch.slice(a, b - a)
             texts, all_words, removed, all_runs = [], [], [], []
             data, offsets = utf8(rows.column("text"))
-            for k, (copy, source, repeats) in enumerate(zip(*(rows.column(c).to_pylist() for c in ("copy", "source", "repeats")), strict=True)):
+            # a text of one repeated word has thousands of spans: they stay arrays
+            lists = rows.column("repeats")
+            until = pa.compute.list_value_length(lists).fill_null(0).to_numpy().cumsum()
+            spans, sources = lists.flatten().field("span").to_numpy(), lists.flatten().field("source")
+            for k, (copy, source) in enumerate(zip(rows.column("copy").to_pylist(), rows.column("source").to_pylist(), strict=True)):
                 body = data[offsets[k] : offsets[k + 1]].tobytes()
                 starts, ends, _ = split(data, offsets[k : k + 2], NOT_SPACE)
-                n, runs = len(starts), []
+                n, runs, before = len(starts), [], until[k - 1] if k else 0
                 if copy and n >= min_words:
                     runs = [{"start": 0, "words": n, "source": source}]
                     kept = np.zeros(n, bool)
-                elif repeats and not copy:
+                elif until[k] > before and not copy:
                     kept = np.ones(n, bool)
-                    for span, source in sorted(((r["span"], r["source"]) for r in repeats), key=lambda r: r[0]):
-                        begin, until = span >> 32, span & 0xFFFFFFFF
-                        if runs and begin <= runs[-1]["start"] + runs[-1]["words"]:
-                            runs[-1]["words"] = max(runs[-1]["words"], until - runs[-1]["start"])
-                        else:
-                            runs.append({"start": begin, "words": until - begin, "source": source})
-                        kept[begin:until] = False
+                    for begin, end, i in zip(*(x.tolist() for x in merged(spans[before : until[k]])), strict=True):
+                        runs.append({"start": begin, "words": end - begin, "source": sources[int(before) + i].as_py()})
+                        kept[begin:end] = False
                 texts.append(cut(body, starts, ends, kept) if runs else body)
                 all_words.append(n)
                 removed.append(int((~kept).sum()) if runs else 0)
