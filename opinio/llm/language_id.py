@@ -3,10 +3,12 @@ sorted hash arrays; the lowest length-normalised cross-entropy wins, with
 calibrated rejection.
 
 Text is lower-cased, every run of other characters than letters becomes one
-space.  Each language's model is fitted from a bounded sample of its rows
-(``sample_rows``: about so many, at most twice as many expected, taken by a hash
-of the text).  One task fits one language; the driver joins the fitted arrays,
-whose size the sample bounds, and broadcasts them: for every order the sorted
+space.  Each language's model is fitted from a bounded sample of its different
+texts (``sample_texts``: all if there are not more, else between half and all of
+so many expected, taken by a hash of the text; copies count once), so that every
+labelled language has a model.  One task fits one language; the driver joins the
+fitted arrays (their size: the grams of the samples times the languages, four
+bytes each) and broadcasts them: for every order the sorted
 hashes of all n-grams seen in some language, with their log-probability under
 each language, and the sorted hashes of the contexts with their back-off
 weights.  Scoring is a narrow pass over whole texts.
@@ -17,8 +19,8 @@ accepted cross-entropy.
 
 Defined cases: a null text, or one without a letter, is ``und`` with score 0
 and rejected; so is every text when no row is labelled.  Null languages teach
-nothing.  Equal cross-entropies go to the language that sorts first.  Repeated
-rows stay; other columns are not read.
+nothing.  A very long text is scored on its own.  Equal cross-entropies go to the
+language that sorts first.  Repeated rows stay; other columns are not read.
 """
 
 from __future__ import annotations
@@ -36,6 +38,8 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from opinio.llm.common import blocks, utf8
+
 ORDER = 4
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 #: Positions scored at once.
@@ -200,17 +204,17 @@ def _fit_language(rows: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"lang": [rows["lang"].iloc[0]], "counts": [pickle.dumps(count_grams(taught))], "held": [held]})
 
 
-def fit(docs: DataFrame, learn: Column, sample_rows: int = 300, languages: int = 1000, lang_col: str = "lang", text_col: str = "text") -> Model | None:
-    """The model of the rows for which ``learn`` holds (of the ``languages`` most
-    frequent languages); None when none has a language and a letter."""
+def fit(docs: DataFrame, learn: Column, sample_texts: int = 300, lang_col: str = "lang", text_col: str = "text") -> Model | None:
+    """The model of the rows for which ``learn`` holds; None when none has a language and a letter."""
     own = docs.where(learn).select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
-    own = own.where(r"lang is not null and text rlike '\\p{L}'")
-    size = own.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(languages).collect()
+    own = own.where(r"lang is not null and text rlike '\\p{L}'").withColumn("t", F.xxhash64("text"))
+    # different texts of each language, by narrow rows that are combined before the shuffle
+    size = own.select("lang", "t").distinct().groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()
     if not size:
         return None
-    steps = docs.sparkSession.createDataFrame([(r.lang, r.n // sample_rows + 1) for r in size], "lang string, step bigint")
-    # the sample is drawn where the rows are read; only its rows move
-    sample = own.join(F.broadcast(steps), "lang").where(F.pmod(F.xxhash64("text"), "step") == 0).select("lang", "text")
+    steps = docs.sparkSession.createDataFrame([(r.lang, (r.n - 1) // sample_texts + 1) for r in size], "lang string, step bigint")
+    # the sample is drawn where the rows are read, one row for each language is broadcast; a text's copies are combined before they move
+    sample = own.join(F.broadcast(steps), "lang").where(F.pmod("t", "step") == 0).groupBy("lang", "t").agg(F.min("text").alias("text")).select("lang", "text")
     fitted = sample.groupBy("lang").applyInPandas(_fit_language, "lang string, counts binary, held array<string>").collect()
     if not fitted:
         return None
@@ -240,8 +244,8 @@ def identify(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_
 def _identify(sent: Broadcast, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     model: Model | None = sent.value
     for batch in batches:
-        for first in range(0, batch.num_rows, 128):
-            texts = batch.column("text").slice(first, 128).to_pylist()
+        for first, last in blocks(utf8(batch.column("text"))[1], 1 << 18):
+            texts = batch.column("text").slice(first, last - first).to_pylist()
             best, score, entropy, good = ["und"] * len(texts), np.zeros(len(texts)), np.full(len(texts), np.nan), np.zeros(len(texts), bool)
             if model is not None:
                 by_language, n = model.cross_entropy(texts)
@@ -254,6 +258,6 @@ def _identify(sent: Broadcast, batches: Iterator[pa.RecordBatch]) -> Iterator[pa
                 for i in letters.tolist():
                     best[i] = model.languages[k[i]]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id").slice(first, 128), pa.array(best, pa.string()), pa.array(score), pa.array(entropy, from_pandas=True), pa.array(good)],
+                [batch.column("id").slice(first, last - first), pa.array(best, pa.string()), pa.array(score), pa.array(entropy, from_pandas=True), pa.array(good)],
                 ["id", "lang_pred", "score", "cross_entropy", "accepted"],
             )

@@ -81,3 +81,14 @@ def test_defined_cases(spark):
     long = spark.createDataFrame([(1, "ka lo mi " * 100_000)], "doc_id long, text string")
     assert identify(long, model).first().lang_pred == "aa"
     assert np.isfinite(identify(long, model).first().cross_entropy)
+
+
+def test_every_labelled_language_has_a_model_whatever_is_copied(spark):
+    own = [(lang, t) for _, lang, t in rows(3, 400) if lang == "aa"]
+    own += [("bb", "streinung äch " * 3)] * 5000
+    own += [("cc", "ξολα " * k) for k in range(1, 8) for _ in range(850)] + [("dd", "zum")]
+    taught = spark.createDataFrame(own, "lang string, text string").repartition(4)
+    for texts in (600, 100, 1):
+        assert set(fit(taught, F.lit(True), sample_texts=texts).languages) >= ({"aa", "bb", "cc", "dd"} if texts > 1 else {"bb", "dd"})
+    docs = spark.createDataFrame([(1, "einung strstr"), (2, "λαξο λα"), (3, "kalo mita")], "doc_id long, text string")
+    assert {r.doc_id: r.lang_pred for r in identify(docs, fit(taught, F.lit(True))).collect()} == {1: "bb", 2: "cc", 3: "aa"}
