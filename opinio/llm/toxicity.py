@@ -11,8 +11,8 @@ it into a probability.  Labels are sampled at different rates, which the second
 constant takes back, so that a score means the same at any number of labels.
 
 Labels belong to whole texts, so a toxic text's windows are trained as a bag
-(one minus the product of the windows' complements) and every window of a clean
-text as negative.  Training takes a bounded sample of labelled rows
+(one minus the product of the windows' complements) and windows of a clean text,
+at most eight an epoch and others each time, as negative.  Training takes a bounded sample of labelled rows
 (``sample_rows`` of each label: about so many, at most twice as many expected,
 taken by a hash of the id) and runs on the driver; the network has a fixed
 size and is broadcast.  Scoring is a narrow pass over whole texts.
