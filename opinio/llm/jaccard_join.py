@@ -9,8 +9,8 @@ are represented by one of them and are not compared again:
    node chooses each coordinate with probability 1 / (threshold * COORDINATES),
    and splits its sets by their values there.  Nodes of at most ``BUCKET`` sets
    are leaves and compared by brute force; larger ones split again, down to
-   ``DEPTH`` levels, where what is left (sets that hardly differ) is compared in
-   pairs of blocks.  The number of runs follows from the target recall and the
+   ``DEPTH`` levels, where what is left (sets that hardly differ, or that share a
+   hot passage) is compared in pairs of blocks of ``CROWD`` sets.  The number of runs follows from the target recall and the
    survival of a pair at the threshold in ``DEPTH`` levels.
 2. A comparison in a leaf estimates the similarity from one byte of each MinHash
    value.  It yields a spanning tree of the sets that look alike, not their
@@ -46,6 +46,8 @@ from opinio.llm.words import ALNUM, grams, hashed, mix, prefix, spans_hash
 
 SHINGLE, THRESHOLD, TARGET_RECALL = 5, 0.8, 0.999
 COORDINATES, BUCKET, DEPTH, BLOCK = 128, 256, 2, 256
+#: Sets of a block where a bucket that no level has split is compared by MinHash bytes (144 bytes a set).
+CROWD = 2048
 #: A pair at the threshold is estimated this much lower with a probability of about 1e-5 (four standard deviations).
 SLACK = 0.15
 ROWS_A_FILE = 200_000
@@ -287,9 +289,9 @@ def components(edges: DataFrame) -> DataFrame:
         labels = _written(new.join(up, new.label == up.up).select("key", F.least("label", "top").alias("label")), n)
 
 
-def _in_cells(rows: DataFrame, size: Column, key: str) -> DataFrame:
-    """``rows`` once for each cell: a bucket of more than ``BLOCK`` sets is cut into blocks, and a cell is a pair of them."""
-    parts = F.ceil(size / BLOCK).cast("int")
+def _in_cells(rows: DataFrame, size: Column, key: str, block: int) -> DataFrame:
+    """``rows`` once for each cell: a bucket of more than ``block`` sets is cut into blocks, and a cell is a pair of them."""
+    parts = F.ceil(size / block).cast("int")
     rows = rows.withColumn("parts", parts).withColumn("side", F.pmod(F.xxhash64("class"), F.col("parts")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
     rows = rows.withColumn("other", other)
@@ -325,7 +327,7 @@ def similar_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         nodes = large.join(classes.select("class", "values"), "class").select("class", "values", "node").mapInArrow(partial(_next_nodes, threshold), node_schema)
 
     # 2. sets that look alike, cell by cell; within cut buckets the pairs of different blocks hold all pairs
-    in_cells = _in_cells(leaves, F.col("size"), "node").where("cross or parts = 1")
+    in_cells = _in_cells(leaves, F.col("size"), "node", CROWD).where("cross or parts = 1")
     in_cells = in_cells.select("cell", "class").distinct().join(classes.select("class", "bytes"), "class").select("cell", "class", "bytes")
     in_cells = in_cells.repartition("cell").sortWithinPartitions("cell")
     clusters = components(in_cells.mapInArrow(partial(_cells, partial(_alike, threshold - SLACK)), "a binary, b binary"))
@@ -337,7 +339,7 @@ def similar_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     wanted = wanted.select(told.alias("told"), F.col("first.t").alias("t"), F.col("first.t2").alias("t2"), F.col("first.id").alias("id_"))
     texts = own.join(wanted, ["t", "t2"]).where(F.col("id").eqNullSafe(F.col("id_"))).select("told", "text")
     sets = texts.mapInArrow(partial(_with_sets, size), f"told {wanted.schema['told'].dataType.simpleString()}, set binary").select("told.*", "set")
-    cells = _in_cells(sets, F.col("size"), "label").select("cell", "class", "texts", "side", "cross", "set")
+    cells = _in_cells(sets, F.col("size"), "label", BLOCK).select("cell", "class", "texts", "side", "cross", "set")
     cells = cells.repartition("cell").sortWithinPartitions("cell")
     verified = cells.mapInArrow(partial(_cells, partial(_verified, threshold)), "class binary, links bigint, root binary").persist(StorageLevel.DISK_ONLY)
     links = verified.groupBy("class").agg(F.sum("links").alias("links"))

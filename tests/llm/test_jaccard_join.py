@@ -63,6 +63,7 @@ def test_equals_all_pairs(spark):
 def test_large_buckets_and_blocks(spark, monkeypatch):
     monkeypatch.setattr(jaccard_join, "BUCKET", 6)
     monkeypatch.setattr(jaccard_join, "BLOCK", 5)
+    monkeypatch.setattr(jaccard_join, "CROWD", 5)
     monkeypatch.setattr(jaccard_join, "DEPTH", 2)
     rng = random.Random(9)
     base = [f"w{i}" for i in range(200)]
