@@ -6,14 +6,16 @@ Text is lower-cased, every run of other characters than letters becomes one
 space.  Each language's model is fitted from a bounded sample of its different
 texts (``sample_texts``: all if there are not more, else between half and all of
 so many expected, taken by a hash of the text; copies count once), so that every
-labelled language has a model.  One task fits one language; the driver joins the
-fitted arrays (their size: the grams of the samples times the languages, four
-bytes each) and broadcasts them: for every order the sorted
-hashes of all n-grams seen in some language, with their log-probability under
-each language, and the sorted hashes of the contexts with their back-off
-weights.  Scoring is a narrow pass over whole texts.
-
-A quarter of each sample is held back to calibrate: the factor by which
+labelled language has a model.  One task counts one language's grams; the driver
+joins the arrays and broadcasts them: for every order the sorted hashes of all
+n-grams seen in some language, with their log-probability under each language
+that has them, and the sorted hashes of the contexts with their back-off weights
+(so the arrays grow with the grams of the samples, not with these times the
+languages).  What a language lacks follows from its shorter grams when a block of
+texts is scored, once for each different gram of the block.  Scoring is a narrow
+pass over whole texts.
+
+A quarter of each sample is held back to calibrate, in tasks: the factor by which
 differences of cross-entropy become a confidence, and each language's greatest
 accepted cross-entropy.
 
@@ -34,7 +36,7 @@ from functools import lru_cache, partial
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark import Broadcast
+from pyspark import Broadcast, StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -44,6 +46,8 @@ ORDER = 4
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 #: Positions scored at once.
 _CHUNK = 1 << 18
+#: Factors tried when differences of cross-entropy are made a confidence.
+_SHARPNESS = (0.25, 0.5, 1, 2, 4, 8, 16, 32)
 
 
 @lru_cache(1)
@@ -117,36 +121,97 @@ def _find(sorted_: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return at, sorted_[at] == wanted
 
 
+def _distinct(index: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct values, ascending, of indexes below ``size``, and where each index stands among them."""
+    if len(index) * 16 < size:
+        return np.unique(index, return_inverse=True)
+    there = np.zeros(size, bool)
+    there[index] = True
+    found = np.flatnonzero(there)
+    place = np.empty(size, np.int64)
+    place[found] = np.arange(len(found))
+    return found, place[index]
+
+
+@dataclass
+class Sparse:
+    """Sorted hashes, each with the languages that have it and a value for each of these."""
+
+    hashes: np.ndarray
+    first: np.ndarray
+    language: np.ndarray
+    value: np.ndarray
+
+    @classmethod
+    def joined(cls, parts: list[tuple[np.ndarray, np.ndarray]]) -> Sparse:
+        """Of each language's hashes and values, in the languages' order."""
+        hashes = np.concatenate([h for h, _ in parts])
+        order = np.argsort(hashes, kind="stable")
+        hashes = hashes[order]
+        first = np.flatnonzero(np.append(True, hashes[1:] != hashes[:-1])) if len(hashes) else np.zeros(0, np.int64)
+        language = np.repeat(np.arange(len(parts), dtype=np.int32), [len(h) for h, _ in parts])
+        return cls(hashes[first], np.append(first, len(hashes)), language[order], np.concatenate([v for _, v in parts]).astype(np.float32)[order])
+
+    def put(self, rows: np.ndarray, index: np.ndarray) -> np.ndarray:
+        """Puts the values of the hashes at ``index`` into rows by language."""
+        many = self.first[index + 1] - self.first[index]
+        row = np.repeat(np.arange(len(index)), many)
+        at = np.arange(len(row)) + np.repeat(self.first[index] - np.cumsum(many) + many, many)
+        rows[row, self.language[at]] = self.value[at]
+        return rows
+
+
 @dataclass
 class Level:
-    """One order: sorted gram hashes with log-probabilities, sorted context hashes with log back-off weights, by language."""
+    """One order: log-probabilities of grams, with the place of each gram's suffix (among the grams of the order
+    below) and of its context; log back-off weights of contexts."""
 
-    grams: np.ndarray
-    logp: np.ndarray
-    contexts: np.ndarray
-    backoff: np.ndarray
+    grams: Sparse
+    suffix: np.ndarray
+    context: np.ndarray
+    contexts: Sparse
 
 
 @dataclass
 class Model:
     languages: list[str]
     levels: list[Level]
-    unseen: np.ndarray  # log-probability of a character that no text had
+    unseen: float  # log-probability of a character that no text had
     sharpness: float = 1.0
     accepted: np.ndarray | None = None
 
+    def weights(self, order: int, context: np.ndarray) -> np.ndarray:
+        """Log back-off weights by language of contexts, by their places; 0 where a language lacks the context."""
+        contexts = self.levels[order - 1].contexts
+        found, place = _distinct(context, len(contexts.hashes))
+        return contexts.put(np.zeros((len(found), len(self.languages)), np.float32), found)[place]
+
+    def rows(self, order: int, gram: np.ndarray) -> np.ndarray:
+        """Log-probabilities by language of grams, by their places."""
+        if order == 0:
+            return np.full((len(gram), len(self.languages)), self.unseen, np.float32)
+        level = self.levels[order - 1]
+        size = len(self.levels[order - 2].grams.hashes) if order > 1 else 1
+        found, place = _distinct(level.suffix[gram], size)
+        return level.grams.put(self.rows(order - 1, found)[place] + self.weights(order, level.context[gram]), gram)
+
     def positions(self, hashes: list[np.ndarray], at: np.ndarray, order: int) -> np.ndarray:
         """Log-probabilities by language of the characters at ``at`` after ``order - 1`` others."""
         if order == 0:
-            return np.broadcast_to(self.unseen, (len(at), len(self.languages)))
+            return self.rows(0, at)
         level = self.levels[order - 1]
-        where, seen = _find(level.grams, hashes[order][at])
-        out = level.logp[where]
+        where, seen = _find(level.grams.hashes, hashes[order][at])
+        out = np.empty((len(at), len(self.languages)), np.float32)
+        if seen.any():
+            found, place = _distinct(where[seen], len(level.grams.hashes))
+            out[seen] = self.rows(order, found)[place]
         miss = np.flatnonzero(~seen)
         if len(miss):
             lower = self.positions(hashes, at[miss], order - 1)
-            context, known = _find(level.contexts, hashes[order - 1][at[miss] - 1] if order > 1 else np.zeros(len(miss), np.uint64))
-            out[miss] = lower + np.where(known[:, None], level.backoff[context], 0)
+            context, known = _find(level.contexts.hashes, hashes[order - 1][at[miss] - 1] if order > 1 else np.zeros(len(miss), np.uint64))
+            if known.any():
+                lower[known] += self.weights(order, context[known])
+            out[miss] = lower
         return out
 
     def cross_entropy(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
@@ -155,8 +220,9 @@ class Model:
         hashes = [np.zeros(len(codes), np.uint64), *[gram_hashes(codes, k) for k in range(1, ORDER + 1)]]
         total = np.zeros((len(texts), len(self.languages)))
         every = np.flatnonzero(scored)
-        for first in range(0, len(every), _CHUNK):
-            at = every[first : first + _CHUNK]
+        chunk = max(_CHUNK // (len(self.languages) // 16 + 1), 1)
+        for first in range(0, len(every), chunk):
+            at = every[first : first + chunk]
             logp, text = self.positions(hashes, at, ORDER), owner[at]
             begin = np.flatnonzero(np.append(True, text[1:] != text[:-1]))
             total[text[begin]] += np.add.reduceat(logp, begin, axis=0, dtype=np.float64)
@@ -164,36 +230,37 @@ class Model:
         return -total / np.maximum(n, 1)[:, None], n
 
 
+def _kneser_ney(counts: list[Counts], unseen: float) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """A language's orders: hashes and log-probabilities of its grams, hashes and log back-off weights of its contexts."""
+    below, logp = None, None
+    for c in counts:
+        lower = np.full(len(c.gram), unseen) if below is None else logp[np.searchsorted(below, c.suffix)]
+        once, twice = (c.count == 1).sum(), (c.count == 2).sum()
+        discount = once / (once + 2 * twice) if once and twice else 0.5
+        contexts, there = np.unique(c.context, return_inverse=True)
+        total = np.bincount(there, c.count, len(contexts))
+        weight = discount * np.bincount(there, minlength=len(contexts)) / total
+        below, logp = c.gram, np.log((c.count - discount) / total[there] + weight[there] * np.exp(lower))
+        yield c.gram, logp, contexts, np.log(weight)
+
+
 def join_models(counts: dict[str, list[Counts]]) -> Model:
-    """Interpolated Kneser-Ney models of all languages over the union of their grams."""
+    """Interpolated Kneser-Ney models of all languages in arrays by hash: a value for each gram a language has, none for others."""
     languages = sorted(counts)
-    alphabet = len(np.unique(np.concatenate([counts[x][0].gram for x in languages]))) + 1
-    unseen = np.full(len(languages), -np.log(alphabet))
+    unseen = -float(np.log(len(np.unique(np.concatenate([counts[x][0].gram for x in languages]))) + 1))
+    fitted = [list(_kneser_ney(counts[x], unseen)) for x in languages]
     levels: list[Level] = []
-    for order in range(1, ORDER + 1):
-        own = [counts[x][order - 1] for x in languages]
-        grams, first = np.unique(np.concatenate([c.gram for c in own]), return_index=True)
-        suffix = np.concatenate([c.suffix for c in own])[first]
-        context = np.concatenate([c.context for c in own])[first]
-        contexts = np.unique(context)
-        if levels:
-            below, _ = _find(levels[-1].grams, suffix)
-            lower = levels[-1].logp[below].astype(np.float64)
-        else:
-            lower = np.broadcast_to(unseen, (len(grams), len(languages)))
-        logp, backoff = np.empty((len(grams), len(languages)), np.float32), np.zeros((len(contexts), len(languages)), np.float32)
-        of, _ = _find(contexts, context)
-        for k, c in enumerate(own):
-            once, twice = (c.count == 1).sum(), (c.count == 2).sum()
-            discount = once / (once + 2 * twice) if once and twice else 0.5
-            there, _ = _find(contexts, c.context)
-            total, kinds = np.bincount(there, c.count, len(contexts)), np.bincount(there, minlength=len(contexts))
-            weight = np.where(total > 0, discount * kinds / np.maximum(total, 1), 1.0)
-            p = weight[of] * np.exp(lower[:, k])
-            at = np.searchsorted(grams, c.gram)
-            p[at] += (c.count - discount) / total[there]
-            logp[:, k], backoff[:, k] = np.log(p), np.log(weight)
-        levels.append(Level(grams, logp, contexts, backoff))
+    for k in range(ORDER):
+        grams = Sparse.joined([f[k][:2] for f in fitted])
+        contexts = Sparse.joined([f[k][2:] for f in fitted])
+        suffix, context = np.zeros(len(grams.hashes), np.int32), np.zeros(len(grams.hashes), np.int32)
+        for x in languages:
+            c = counts[x][k]
+            at = np.searchsorted(grams.hashes, c.gram)
+            context[at] = np.searchsorted(contexts.hashes, c.context)
+            if levels:
+                suffix[at] = np.searchsorted(levels[-1].grams.hashes, c.suffix)
+        levels.append(Level(grams, suffix, context, contexts))
     return Model(languages, levels, unseen)
 
 
@@ -215,24 +282,34 @@ def fit(docs: DataFrame, learn: Column, sample_texts: int = 300, lang_col: str =
     steps = docs.sparkSession.createDataFrame([(r.lang, (r.n - 1) // sample_texts + 1) for r in size], "lang string, step bigint")
     # the sample is drawn where the rows are read, one row for each language is broadcast; a text's copies are combined before they move
     sample = own.join(F.broadcast(steps), "lang").where(F.pmod("t", "step") == 0).groupBy("lang", "t").agg(F.min("text").alias("text")).select("lang", "text")
-    fitted = sample.groupBy("lang").applyInPandas(_fit_language, "lang string, counts binary, held array<string>").collect()
-    if not fitted:
+    fitted = sample.groupBy("lang").applyInPandas(_fit_language, "lang string, counts binary, held array<string>").persist(StorageLevel.DISK_ONLY)
+    counts = {r.lang: pickle.loads(r.counts) for r in fitted.select("lang", "counts").collect()}
+    if not counts:
         return None
-    model = join_models({r.lang: pickle.loads(r.counts) for r in fitted})
-    held = [(model.languages.index(r.lang), t) for r in fitted for t in r.held]
-    right = np.array([k for k, _ in held])
-    entropy, _ = model.cross_entropy([t for _, t in held])
-    losses = {}
-    for sharpness in (0.25, 0.5, 1, 2, 4, 8, 16, 32):
-        z = -sharpness * entropy
-        z -= z.max(axis=1, keepdims=True)
-        losses[sharpness] = -np.mean(z[np.arange(len(right)), right] - np.log(np.exp(z).sum(axis=1)))
-    model.sharpness = min(losses, key=losses.get)
-    own_entropy = entropy[np.arange(len(right)), right]
-    model.accepted = np.array([1.25 * np.quantile(own_entropy[right == k], 0.99) if (right == k).any() else np.inf for k in range(len(model.languages))])
+    model = join_models(counts)
+    # the held-back texts are scored where they are; a few numbers of each come back
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+    held = fitted.select("lang", F.explode("held").alias("text")).mapInArrow(partial(_held_back, sent), "lang string, entropy double, losses array<double>").toArrow()
+    fitted.unpersist()
+    lang, entropy = np.array(held.column("lang").to_pylist()), held.column("entropy").to_numpy()
+    model.sharpness = _SHARPNESS[int(np.mean(held.column("losses").to_pylist(), axis=0).argmin())]
+    model.accepted = np.array([1.25 * np.quantile(entropy[lang == x], 0.99) for x in model.languages])
     return model
 
 
+def _held_back(sent: Broadcast, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of each text: its language, the cross-entropy under it, and the language's negative log-confidence at each sharpness."""
+    model: Model = sent.value
+    for batch in batches:
+        for first, last in blocks(utf8(batch.column("text"))[1], 1 << 18):
+            lang = batch.column("lang").slice(first, last - first)
+            entropy, _ = model.cross_entropy(batch.column("text").slice(first, last - first).to_pylist())
+            own = entropy[np.arange(len(entropy)), np.searchsorted(model.languages, lang.to_pylist())]
+            least = entropy.min(axis=1, keepdims=True)
+            losses = [x * (own - least[:, 0]) + np.log(np.exp(-x * (entropy - least)).sum(axis=1)) for x in _SHARPNESS]
+            yield pa.RecordBatch.from_arrays([lang, pa.array(own), pa.array(np.stack(losses, axis=1).tolist(), pa.list_(pa.float64()))], ["lang", "entropy", "losses"])
+
+
 def identify(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: id, lang_pred, score, cross_entropy and accepted."""
     sent = docs.sparkSession.sparkContext.broadcast(model)

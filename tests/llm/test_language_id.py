@@ -1,11 +1,12 @@
 import math
 import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
 from pyspark.sql import functions as F
 
-from opinio.llm.language_id import ORDER, count_grams, fit, identify, join_models
+from opinio.llm.language_id import ORDER, Sparse, _kneser_ney, count_grams, fit, identify, join_models
 
 
 def rows(seed, n):
@@ -92,3 +93,36 @@ def test_every_labelled_language_has_a_model_whatever_is_copied(spark):
         assert set(fit(taught, F.lit(True), sample_texts=texts).languages) >= ({"aa", "bb", "cc", "dd"} if texts > 1 else {"bb", "dd"})
     docs = spark.createDataFrame([(1, "einung strstr"), (2, "λαξο λα"), (3, "kalo mita")], "doc_id long, text string")
     assert {r.doc_id: r.lang_pred for r in identify(docs, fit(taught, F.lit(True))).collect()} == {1: "bb", 2: "cc", 3: "aa"}
+
+
+def test_many_languages_are_told_apart_in_little_memory():
+    rng = random.Random(4)
+    letters = [chr(c) for c in range(0x4E00, 0x4E00 + 3000)]
+    own = {f"l{k:03}": rng.sample(letters, 40) for k in range(500)}
+    write = lambda lang: " ".join("".join(rng.choices(own[lang], k=4)) for _ in range(60))
+    counts = {lang: count_grams([write(lang) for _ in range(5)]) for lang in own}
+    tracemalloc.start()
+    model = join_models(counts)
+    entropy, _ = model.cross_entropy([write(lang) for lang in list(own)[:50]])
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 200e6, most
+    assert (entropy.argmin(axis=1) == np.arange(50)).mean() > 0.95
+
+
+def test_each_language_scores_as_if_it_were_alone():
+    texts = {"xx": ["banana bandana, Anna!", "ban the ANNA... banner"], "yy": ["the annual ban", "then the thin"], "zz": ["λόγος ban"]}
+    model = join_models({lang: count_grams(t) for lang, t in texts.items()})
+    letters = {c for t in texts.values() for x in t for c in x.lower() if c.isalpha()} | {" "}
+    alone = {lang: join_models({lang: count_grams(t)}) for lang, t in texts.items()}
+    for text in ("ban the banana", "thin λόγος", "qqq the"):
+        got = model.cross_entropy([text])[0][0]
+        for k, lang in enumerate(sorted(texts)):
+            one = alone[lang]
+            plain = join_models({lang: count_grams(texts[lang])})
+            plain.unseen = model.unseen
+            assert model.unseen == -math.log(len(letters) + 1) and one.unseen >= model.unseen
+            # the alphabet is common: a language's own model with it gives the same
+            for level, (gram, logp, _, _) in zip(plain.levels, _kneser_ney(count_grams(texts[lang]), model.unseen), strict=True):
+                level.grams = Sparse.joined([(gram, logp)])
+            assert abs(plain.cross_entropy([text])[0][0, 0] - got[k]) < 1e-4
