@@ -139,6 +139,14 @@ def _saved_view_sql(spark, d):
     return spark.sql("SELECT age_band, sentiment, total_reviews, media_nota FROM vw_sentiment_by_age")
 
 
+def _saved_view(spark, d, name):
+    """A saved query of the catalog."""
+    from opinio.sources.catalog import SAVED_QUERIES, save_views
+
+    saved = dict(zip(SAVED_QUERIES, save_views(spark, _lake(spark, d).table), strict=True))
+    return spark.table(saved[name])
+
+
 def _lake(spark, d, variant="full"):
     return scenarios.lake_run(spark, d, variant)
 
@@ -264,6 +272,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "idempotent_rerun": lambda s, d: product_scan(s, _lake(s, d, "rerun").table).select(*PRODUCT_ORDER),
         "mixed_header_backfill": lambda s, d: product_scan(s, _lake(s, d, "mixed").table).select(*PRODUCT_ORDER),
         "saved_view_sql": _saved_view_sql,
+        "saved_view_dept": lambda s, d: _saved_view(s, d, "vw_sentiment_by_dept"),
+        "saved_view_trend": lambda s, d: _saved_view(s, d, "vw_daily_trend"),
         "registered_table": lambda s, d: s.table(_lake(s, d).table).select(*PRODUCT_ORDER),
         "partition_sync": lambda s, d: sync_partitions(s, _lake(s, d).table),
         "schema_contract": lambda s, d: schema_contract(s, _lake(s, d, "flawed").table),
@@ -276,6 +286,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "incremental_product": lambda s, d: product_scan(s, scenarios.stream_run(s, d).product).select(
             *PRODUCT_ORDER
         ),
+        # late rows are added to their days, which are not read again
+        "late_rows_product": lambda s, d: product_scan(s, scenarios.late_run(s, d).product).select(*PRODUCT_ORDER),
         "backfill_log": lambda s, d: _lake(s, d, "emptied").result.log.select("dt", "status", "error"),
         "runlog_round_trip": _runlog_round_trip,
         "run_summary": lambda s, d: run_summary(_lake(s, d, "emptied").result.log).drop("duration_s"),

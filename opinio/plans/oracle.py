@@ -378,7 +378,14 @@ def queries_sql() -> dict[str, str]:
         f"SELECT age_band, sentiment, CAST(sum(review_count) AS BIGINT) AS total_reviews, {_mean_of_means()} AS media_nota "
         "FROM stored GROUP BY age_band, sentiment ORDER BY age_band, sentiment"
     )
-    for name in ("idempotent_rerun", "registered_table", "incremental_product", "mixed_header_backfill"):
+    q["saved_view_dept"] = with_stored(
+        f"SELECT department_name, sentiment, CAST(sum(review_count) AS BIGINT) AS total_reviews, {_mean_of_means()} AS media_nota "
+        "FROM stored GROUP BY department_name, sentiment ORDER BY department_name, sentiment"
+    )
+    q["saved_view_trend"] = with_stored(
+        "SELECT dt, sentiment, CAST(sum(review_count) AS BIGINT) AS total_reviews FROM stored GROUP BY dt, sentiment ORDER BY dt, sentiment"
+    )
+    for name in ("idempotent_rerun", "registered_table", "incremental_product", "mixed_header_backfill", "late_rows_product"):
         q[name] = stored
     q["partition_sync"] = with_product(
         "SELECT DISTINCT 'dt=' || CAST(dt AS VARCHAR) AS partition FROM product ORDER BY partition"

@@ -158,6 +158,33 @@ def register_views(product: DataFrame) -> list[str]:
     return list(VIEW_BUILDERS)
 
 
+def _view_sql(table: str, keys: str, mean: bool) -> str:
+    """A saved query as SQL, with the exact mean of ``views.mean_of_means``."""
+    cents = "try_cast(avg_rating AS decimal(16,2))"
+    exact = f"cast(round(sum({cents}) / cast(nullif(count({cents}), 0) AS decimal(12,0)), 2) AS double)"
+    media = f", CASE WHEN count({cents}) = count(avg_rating) THEN {exact} ELSE round(avg(avg_rating), 2) END AS media_nota" if mean else ""
+    return f"SELECT {keys}, cast(sum(review_count) AS bigint) AS total_reviews{media} FROM {table} GROUP BY {keys} ORDER BY {keys}"
+
+
+SAVED_QUERIES = {
+    "vw_sentiment_by_age": ("age_band, sentiment", True),
+    "vw_sentiment_by_dept": ("department_name, sentiment", True),
+    "vw_daily_trend": ("dt, sentiment", False),
+}
+
+
+def save_views(spark: SparkSession, table: str, database: str | None = None) -> list[str]:
+    """K5: the three saved queries as views of the catalog, next to ``table`` or in ``database``.
+
+    They outlive the session wherever the catalog does (a metastore) and are replaced when saved
+    again.  A view holds its query, not rows: it always shows the table as it is."""
+    place = f"{database}." if database else f"{table.rpartition('.')[0]}." if "." in table else ""
+    names = [f"{place}{name}" for name in SAVED_QUERIES]
+    for name, (keys, mean) in zip(names, SAVED_QUERIES.values(), strict=True):
+        spark.sql(f"CREATE OR REPLACE VIEW {name} AS {_view_sql(table, keys, mean)}")
+    return names
+
+
 def table_properties(spark: SparkSession, table: str) -> DataFrame:
     """The product table's properties as ``(key, value)`` rows."""
     return spark.sql(f"SHOW TBLPROPERTIES {table}").where(~F.col("key").startswith("transient"))

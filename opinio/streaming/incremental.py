@@ -27,16 +27,18 @@ from opinio.plans.layout import Lake
 _FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
 
+def landed_files(spark: SparkSession, lake: Lake, max_files: int | None = None) -> DataFrame:
+    """Stream of the paths of newly landed raw files (contents not read)."""
+    reader = spark.readStream.format("binaryFile").schema(_FILE_SCHEMA).option("recursiveFileLookup", "true")
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", str(max_files))
+    return reader.load(lake.raw).select("path")
+
+
 def landed_days(spark: SparkSession, lake: Lake) -> DataFrame:
     """Stream of ``dt`` values, one per newly landed raw file (contents not read)."""
-    files = (
-        spark.readStream.format("binaryFile")
-        .schema(_FILE_SCHEMA)
-        .option("recursiveFileLookup", "true")
-        .load(lake.raw)
-    )
     day = F.regexp_extract(F.col("path"), r"/dt=([^/]+)/", 1)
-    return files.select(day.alias("dt")).where(F.col("dt") != "")
+    return landed_files(spark, lake).select(day.alias("dt")).where(F.col("dt") != "")
 
 
 def process_new_days(

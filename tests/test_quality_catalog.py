@@ -245,11 +245,14 @@ def test_both_databases_are_registered(spark, workdir):
 
 
 def test_delivered_results(spark):
-    from opinio.sources.files import fetch_column, fetch_scalar, fetch_two
+    from opinio.sources.files import TooManyRows, fetch_column, fetch_scalar, fetch_two, iterate_column
 
     many = spark.range(20_000)
     assert fetch_column(many.orderBy("id"))[-1] == 19_999 and len(fetch_column(many)) == 20_000
     assert fetch_scalar(many.agg(F.max("id"))) == 19_999 and fetch_scalar(many.limit(0)) is None
+    with pytest.raises(TooManyRows):
+        fetch_column(many, most=19_999)
+    assert sum(1 for _ in iterate_column(many)) == 20_000
     assert fetch_two(many.agg(F.min("id"), F.max("id"))) == (0, 19_999) and fetch_two(many.limit(0)) == (None, None)
 
 
@@ -379,3 +382,20 @@ def test_contract_reads_ends_of_files_only(tmp_path):
         assert [b.to_pylist() for b in _stored_types(["x", "y"], iter([batch]))] == [[{"part": "dt=1", "name": "x", "type": "double"}, {"part": "dt=1", "name": "y", "type": None}]]
         read.append(counted() - before)
     assert (tmp_path / "large" / "f.parquet").stat().st_size > 20_000_000 and read[3] < 200_000
+
+
+def test_saved_views_outlive_the_session_that_saved_them(spark, workdir):
+    from opinio.sources.catalog import save_views
+
+    register_databases(spark, {"opinio_saved_t": workdir + "/db"})
+    table = "opinio_saved_t.cells"
+    rows = [("Jovem", "D", "Neutro", n, mean, day) for n, mean, day in ((1, 4.33, "a"), (2, 4.34, "a"), (None, None, "b"), (3, 2e14, "b"), (4, 1.0, "c"))]
+    rows += [("Adulto", "E", "Neutro", 7, 0.125, "a"), (None, "E", "Positivo", 1, 5.0, "b")]
+    spark.createDataFrame(rows, "age_band string, department_name string, sentiment string, review_count int, avg_rating double, dt string").write.saveAsTable(table)
+    names = save_views(spark, table)
+    assert names == save_views(spark, table)  # saved again
+    other = spark.newSession()
+    for name in names:
+        want = getattr(views, name.rpartition(".")[2])(spark.table(table))
+        got = other.table(name)
+        assert got.dtypes == want.dtypes and list(map(tuple, got.collect())) == list(map(tuple, want.collect()))
