@@ -5,12 +5,16 @@ trained on a small labelled table.
 A page is cut into flat blocks at block-level tags.  Scripts, styles, comments,
 the head, form controls and hidden elements give no text.  Besides the counts, a
 block tells whether it stands inside an element that names itself an article or
-main content, inside one that names itself navigation, footer, advert, notice,
-form or comments, and whether it is a list item or a heading.  The tree (CART,
-Gini impurity) is grown at run time from ``LABELLED``; the blocks that it calls
-content are joined in page order.
-
-Defined cases: null, empty and text-less pages give an empty text.  Unclosed
+main content, how far the names around it speak of navigation, footer, advert,
+notice, form or comments (0, 0.5 where an element's names disagree, 1), and whether
+it is a list item or a heading.  Where names disagree, or a name of clutter holds the
+page's only article, and on pages without names, the words and link densities of the
+block and its neighbours decide.  The tree (CART, Gini impurity) is grown at run time
+from ``LABELLED``; the blocks that it calls content are joined in page order.
+
+Defined cases: null, empty and text-less pages give an empty text; a page of plain
+text is its own main text.  Very long or deeply nested pages take time in proportion
+to their length.  Unclosed
 tags end with the element around them, a stray end tag is ignored, text after
 an unfinished tag is text up to it.  Repeated rows stay; other columns are not
 read.
@@ -19,7 +23,9 @@ read.
 from __future__ import annotations
 
 import html as html_lib
+import itertools
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import partial
@@ -44,6 +50,7 @@ INLINE = set(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd mark nobr q ruby rb rp rt s samp small span strike strong sub sup "
     "time tt u var wbr".split()
 )
+_ITEMS = ("li", "dd", "dt", "td", "th")
 CONTENT_TAGS, CLUTTER_TAGS = {"article", "main"}, {"nav", "footer", "aside", "form", "menu"}
 CONTENT_NAMES = set("article content main post entry story body text prose".split())
 CLUTTER_NAMES = set(
@@ -61,7 +68,7 @@ class Block:
     words: int
     linked: float
     article: bool
-    clutter: bool
+    clutter: float
     item: bool
     heading: bool
 
@@ -70,26 +77,38 @@ def _attributes(raw: str) -> dict[str, str]:
     return {k.lower(): html_lib.unescape(v.strip("\"'")) for k, v in _ATTRIBUTE.findall(raw)} if raw.strip(" /") else {}
 
 
-def _kind(tag: str, raw: str, in_article: bool) -> tuple[bool, bool, bool]:
-    """Whether an element is an article, is clutter, or shows nothing."""
+def _named(value: str) -> tuple[int, int]:
+    """How many names of a class or id attribute speak of clutter, and how many of content alone; a compound
+    (``post-comments``) that has a word of clutter speaks of clutter."""
+    words = [set(_TOKEN.findall(name.lower())) for name in _CAMEL.sub(r"\1-\2", value).split()]
+    clutter = sum(bool(w & CLUTTER_NAMES) for w in words)
+    return clutter, sum(bool(w & CONTENT_NAMES) and not w & CLUTTER_NAMES for w in words)
+
+
+def _kind(tag: str, raw: str, in_article: bool) -> tuple[bool, float, bool]:
+    """Whether an element is an article, how far its names speak of clutter (0, 0.5 where they disagree, 1), and whether it shows nothing."""
     attributes = _attributes(raw)
-    names = set(_TOKEN.findall(_CAMEL.sub(r"\1 \2", f"{attributes.get('class', '')} {attributes.get('id', '')}").lower()))
-    if tag in ("html", "body"):
-        names = set()
+    names = f"{attributes.get('class', '')} {attributes.get('id', '')}" if tag not in ("html", "body") else ""
+    against, for_ = _named(names)
     role = attributes.get("role", "").lower()
     style = attributes.get("style", "").replace(" ", "").lower()
     silent = tag in SILENT or "hidden" in attributes or attributes.get("aria-hidden", "").lower() == "true" or "display:none" in style or "visibility:hidden" in style
-    header = tag == "header" or "header" in names
-    clutter = tag in CLUTTER_TAGS or role in CLUTTER_ROLES or bool(names & CLUTTER_NAMES) or (header and not in_article and not names & CONTENT_NAMES)
-    article = tag in CONTENT_TAGS or role in ("main", "article") or attributes.get("itemprop", "").lower() == "articlebody" or bool(names & CONTENT_NAMES)
-    return article and not clutter, clutter, silent
+    header = tag == "header" or "header" in _TOKEN.findall(_CAMEL.sub(r"\1 \2", names).lower())
+    if tag in CLUTTER_TAGS or role in CLUTTER_ROLES or (header and not in_article and not for_):
+        clutter = 1.0
+    else:
+        clutter = 0.0 if not against else 0.5 if for_ or tag == "main" or role == "main" else 1.0
+    article = tag in CONTENT_TAGS or role in ("main", "article") or attributes.get("itemprop", "").lower() == "articlebody" or for_ > 0
+    return article and clutter < 1, clutter, silent
 
 
 def page_blocks(page: str) -> list[Block]:
     """The flat text blocks of a page, in order."""
     out: list[Block] = []
-    stack: list[tuple[str, bool, bool, bool]] = []  # open elements, each with what holds inside it
-    article = clutter = silent = False
+    stack: list[tuple[str, bool, float, bool]] = []  # open elements, each with what holds around it
+    count: Counter[str] = Counter()  # of their tags
+    article = silent = False
+    clutter = 0.0
     parts: list[str] = []
     link_parts: list[str] = []
     link = False
@@ -100,11 +119,19 @@ def page_blocks(page: str) -> list[Block]:
         if text:
             words = len(text.split())
             linked = len(html_lib.unescape("".join(link_parts)).split()) / words
-            nested = {x[0] for x in stack}
-            out.append(Block(text, words, min(linked, 1.0), article, clutter, bool(nested & {"li", "dd", "dt", "td", "th"}), tag_now in ("h1", "h2", "h3", "h4", "h5", "h6")))
+            out.append(Block(text, words, min(linked, 1.0), article, clutter, any(count[t] for t in _ITEMS), tag_now in ("h1", "h2", "h3", "h4", "h5", "h6")))
         parts.clear()
         link_parts.clear()
 
+    def push(tag: str) -> None:
+        stack.append((tag, article, clutter, silent))
+        count[tag] += 1
+
+    def pop() -> tuple[bool, float, bool]:
+        tag, *around = stack.pop()
+        count[tag] -= 1
+        return tuple(around)
+
     def add(text: str) -> None:
         if not silent and text:
             parts.append(text)
@@ -138,19 +165,19 @@ def page_blocks(page: str) -> list[Block]:
             link_parts.append(" ")
             continue
         inline = tag in INLINE or (tag not in _BLOCKS and tag not in SILENT)
-        if inline and closing and not any(x[0] == tag for x in stack):
+        if inline and closing and not count[tag]:
             continue
         if inline and not closing:
             if found[3]:  # an inline element may be hidden or an advert too
                 now = _kind(tag, found[3], article)
                 if (now[1] or now[2]) and not found[3].endswith("/"):
                     flush()
-                    stack.append((tag, article, clutter, silent))
-                    article, clutter, silent = article, clutter or now[1], silent or now[2]
-                elif stack and any(x[0] == tag for x in stack):
-                    stack.append((tag, article, clutter, silent))
-            elif any(x[0] == tag for x in stack):
-                stack.append((tag, article, clutter, silent))
+                    push(tag)
+                    clutter, silent = max(clutter, now[1]), silent or now[2]
+                elif count[tag]:
+                    push(tag)
+            elif count[tag]:
+                push(tag)
             continue
         if tag in VOID:
             if tag == "hr":
@@ -162,30 +189,29 @@ def page_blocks(page: str) -> list[Block]:
             if not closing and found[3].strip(" /"):
                 now = _kind(tag, found[3], article)
                 if now[1] or now[2]:
-                    stack.append((tag, article, clutter, silent))
-                    clutter, silent = clutter or now[1], silent or now[2]
+                    push(tag)
+                    clutter, silent = max(clutter, now[1]), silent or now[2]
                     continue
             if not closing:
                 # a paragraph ends the one before it
                 if stack and stack[-1][0] in ("p", "h1", "h2", "h3", "h4", "h5", "h6"):
-                    _, article, clutter, silent = stack.pop()
+                    article, clutter, silent = pop()
                 continue
             if stack and stack[-1][0] == tag:
-                _, article, clutter, silent = stack.pop()
+                article, clutter, silent = pop()
             continue
         if closing:
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == tag:
-                    _, article, clutter, silent = stack[k]
-                    del stack[k:]
-                    link = False
-                    break
+            if count[tag]:  # ends what is open inside it too
+                while stack[-1][0] != tag:
+                    pop()
+                article, clutter, silent = pop()
+                link = False
             continue
         if found[3].endswith("/") and tag in SILENT:
             continue
         now = _kind(tag, found[3], article)
-        stack.append((tag, article, clutter, silent))
-        article, clutter, silent = article or now[0], clutter or now[1], silent or now[2]
+        push(tag)
+        article, clutter, silent = article or now[0], max(clutter, now[1]), silent or now[2]
     flush()
     return out
 
@@ -205,6 +231,10 @@ LABELLED = [
     (12, 0.00, 6, 0.00, 70, 0.00, 1, 0, 0, 1, 1, 1), (2, 0.00, 9, 1.00, 55, 0.00, 1, 0, 0, 1, 1, 1), (30, 0.40, 20, 0.00, 8, 0.00, 1, 0, 0, 0, 1, 1),
     (9, 0.00, 9, 0.00, 11, 0.00, 1, 0, 1, 0, 1, 1), (2, 0.00, 3, 0.00, 2, 0.00, 1, 0, 1, 0, 1, 1), (6, 0.00, 1, 1.00, 14, 0.00, 1, 0, 0, 0, 1, 1),
     (22, 0.00, 12, 0.00, 6, 1.00, 1, 0, 0, 0, 1, 1), (5, 1.00, 40, 0.00, 50, 0.00, 1, 0, 0, 0, 1, 1), (14, 0.20, 15, 0.10, 12, 0.00, 1, 0, 1, 0, 1, 1),
+    (25, 0.00, 3, 1.00, 4, 1.00, 1, 0, 0, 0, 1, 1),
+    # linked texts that stand among others, but not in an article
+    (5, 1.00, 40, 0.00, 50, 0.00, 0, 1, 0, 0, 1, 0), (5, 1.00, 40, 0.00, 50, 0.00, 1, 1, 0, 0, 1, 0), (5, 1.00, 40, 0.00, 50, 0.00, 0, 0, 0, 0, 1, 0),
+    (5, 1.00, 40, 0.00, 50, 0.00, 0, 0, 0, 0, 0, 0), (5, 1.00, 40, 0.00, 50, 0.00, 0, 1, 0, 0, 0, 0),
     # inside an article: lists of links
     (2, 1.00, 2, 1.00, 3, 1.00, 1, 0, 1, 0, 1, 0), (4, 1.00, 30, 0.00, 3, 1.00, 1, 0, 1, 0, 1, 0), (3, 1.00, 3, 1.00, 40, 0.00, 1, 0, 1, 0, 1, 0),
     (6, 0.95, 5, 1.00, 5, 1.00, 1, 0, 1, 0, 1, 0),
@@ -224,6 +254,24 @@ LABELLED = [
     (2, 1.00, 2, 1.00, 2, 1.00, 0, 0, 0, 0, 0, 0), (3, 1.00, 0, 0.00, 4, 1.00, 0, 0, 1, 0, 0, 0), (5, 0.80, 60, 0.00, 3, 1.00, 0, 0, 0, 0, 0, 0),
     (15, 0.90, 12, 0.90, 14, 1.00, 0, 0, 0, 0, 0, 0), (4, 0.00, 2, 1.00, 3, 1.00, 0, 0, 0, 0, 0, 0), (6, 0.00, 3, 0.90, 0, 0.00, 0, 0, 0, 0, 0, 0),
     (30, 0.70, 5, 1.00, 6, 1.00, 0, 0, 0, 0, 0, 0), (4, 1.00, 30, 0.00, 30, 0.00, 0, 0, 1, 0, 0, 0),
+    # pages of one text
+    (200, 0.00, 0, 0.00, 0, 0.00, 0, 0, 0, 0, 0, 1), (30, 0.00, 0, 0.00, 0, 0.00, 0, 0, 0, 0, 0, 1), (2, 0.00, 0, 0.00, 0, 0.00, 0, 0, 0, 0, 0, 1),
+    (3, 1.00, 0, 0.00, 0, 0.00, 0, 0, 0, 0, 0, 0),
+    # pages without an article, short texts: what stands beside them decides
+    (10, 0.00, 30, 0.00, 25, 0.00, 0, 0, 0, 0, 0, 1), (12, 0.00, 25, 0.00, 14, 0.00, 0, 0, 0, 0, 0, 1), (9, 0.00, 26, 1.00, 25, 1.00, 0, 0, 0, 0, 0, 0),
+    (12, 0.00, 14, 1.00, 20, 0.90, 0, 0, 0, 0, 0, 0), (8, 0.00, 18, 0.90, 30, 1.00, 0, 0, 1, 0, 0, 0),
+    # names that disagree (an article that is called "post tags", a column "main sidebar-right"): texts beside texts, or beside links
+    (60, 0.00, 40, 0.00, 55, 0.00, 1, 0.5, 0, 0, 1, 1), (25, 0.05, 70, 0.00, 20, 0.00, 1, 0.5, 0, 0, 1, 1), (8, 0.00, 45, 0.00, 50, 0.00, 1, 0.5, 0, 0, 1, 1),
+    (6, 0.00, 0, 0.00, 60, 0.00, 1, 0.5, 0, 1, 1, 1), (5, 0.00, 2, 1.00, 40, 0.00, 1, 0.5, 0, 1, 1, 1), (30, 0.00, 50, 0.00, 0, 0.00, 1, 0.5, 0, 0, 1, 1),
+    (1, 0.00, 12, 0.00, 9, 0.00, 1, 0.5, 0, 0, 1, 1), (10, 0.00, 12, 0.00, 14, 0.00, 1, 0.5, 1, 0, 1, 1), (3, 0.00, 0, 0.00, 0, 0.00, 1, 0.5, 0, 0, 1, 1),
+    (22, 0.00, 12, 0.00, 6, 1.00, 1, 0.5, 0, 0, 1, 1), (4, 0.00, 3, 1.00, 2, 1.00, 1, 0.5, 0, 0, 1, 0), (7, 0.10, 22, 1.00, 55, 1.00, 1, 0.5, 0, 0, 1, 0),
+    (5, 0.00, 14, 1.00, 13, 0.90, 1, 0.5, 1, 0, 1, 0), (30, 0.10, 9, 1.00, 4, 1.00, 1, 0.5, 0, 0, 1, 0), (3, 1.00, 4, 1.00, 2, 1.00, 1, 0.5, 1, 0, 1, 0),
+    (2, 1.00, 30, 0.00, 3, 1.00, 1, 0.5, 1, 0, 1, 0), (6, 0.90, 40, 0.00, 30, 0.00, 1, 0.5, 0, 0, 1, 0),
+    # an article inside an element with a name of clutter, and none elsewhere: a name of the page's layout, unless links stand around
+    (50, 0.00, 40, 0.00, 60, 0.00, 1, 1, 0, 0, 0, 1), (30, 0.05, 60, 0.00, 45, 0.00, 1, 1, 0, 0, 0, 1), (12, 0.00, 35, 0.00, 40, 0.00, 1, 1, 0, 0, 0, 1),
+    (5, 0.00, 0, 0.00, 45, 0.00, 1, 1, 0, 1, 0, 1), (1, 0.00, 1, 1.00, 30, 0.00, 1, 1, 0, 1, 0, 1), (40, 0.00, 2, 1.00, 30, 0.00, 1, 1, 0, 0, 0, 1),
+    (35, 0.00, 30, 0.00, 3, 1.00, 1, 1, 0, 0, 0, 1), (40, 0.00, 0, 0.00, 0, 0.00, 1, 1, 0, 0, 0, 1), (6, 0.00, 2, 1.00, 3, 1.00, 1, 1, 0, 0, 0, 0),
+    (3, 1.00, 2, 1.00, 2, 1.00, 1, 1, 1, 0, 0, 0), (25, 0.00, 4, 1.00, 6, 1.00, 1, 1, 0, 0, 0, 0), (9, 0.80, 30, 0.00, 20, 0.00, 1, 1, 0, 0, 0, 0),
 ]
 
 
@@ -254,13 +302,21 @@ class Tree:
         return out
 
 
+def _of_any_length(row: tuple) -> list[tuple]:
+    """On pages with an article, a labelled block stands for blocks of other lengths with neighbours of other lengths."""
+    words, linked, before, linked_before, after, linked_after, *rest = row
+    if not row[FEATURES.index("page_has_article")]:
+        return [row]
+    return [(int(words * x + 0.75), linked, int(before * y + 0.75), linked_before, int(after * z + 0.75), linked_after, *rest) for x, y, z in itertools.product((0.25, 1, 4), repeat=3)]
+
+
 def train(labelled: list[tuple] = LABELLED) -> Tree:
-    table = np.array(labelled, float)
+    table = np.unique(np.array([x for row in labelled for x in _of_any_length(row)], float), axis=0)
     return Tree(table[:, :-1], table[:, -1])
 
 
 def features(blocks: list[Block]) -> np.ndarray:
-    has_article = any(b.article and not b.clutter for b in blocks)
+    has_article = any(b.article and b.clutter < 1 for b in blocks)
     own = [(b.words, b.linked) for b in blocks]
     edge = [(0, 0.0)]
     return np.array(

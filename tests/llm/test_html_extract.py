@@ -1,6 +1,10 @@
+import random
+import time
+from html.parser import HTMLParser
+
 import numpy as np
 
-from opinio.llm.html_extract import LABELLED, Tree, extract, features, main_text, page_blocks, train
+from opinio.llm.html_extract import FEATURES, LABELLED, Tree, extract, features, main_text, page_blocks, train
 
 TREE = train()
 
@@ -50,3 +54,90 @@ def test_rows(spark):
     assert got == [(1, "u", "x y", 3)]
     assert [(r.text, r.n_chars) for r in extract(pages).where("page_id = 2").collect()] == [("", 0)] * 2
     assert extract(pages.limit(0)).count() == 0
+
+
+def test_names_that_mislead_erase_no_text():
+    body = "<p>one two three four</p><p>five six</p>"
+    for page in (f"<article class='post tags'>{body}</article>", f"<div class='main sidebar-right'>{body}</div>", f"<div class='comment-free content'>{body}</div>", f"<main class=search>{body}</main>"):
+        assert text(page) == "one two three four five six"
+    assert text("A page of plain text") == "A page of plain text" and text("Hi") == "Hi"
+    # a name of the page's layout around its only article
+    assert text(f"<div class='has-sidebar'><nav><a href=1>Home</a></nav><main><h1>Title</h1><p>{'w ' * 30}</p><p>{'v ' * 20}</p></main></div>") == "Title " + "w " * 30 + ("v " * 20).strip()
+    # compounds keep the word of clutter
+    assert text(f"<article>{body}<div class='post-comments'><p>{'nice ' * 50}</p></div><div class='article-footer'>me</div></article>") == "one two three four five six"
+
+
+def test_links_beside_a_block_decide_where_names_disagree():
+    links = "<div><a href=1>one link</a></div>"
+    around = "<p>" + "word " * 20 + "</p>"
+    page = lambda inside: f"<article><p>first text here</p></article><div class='content widget'>{inside}</div>"
+    assert "in between" in text(page(f"{around}<p>in between</p>{around}"))
+    assert "in between" not in text(page(f"{links}<p>in between</p>{links}"))
+    split = lambda t: set() if t.feature < 0 else {FEATURES[t.feature]} | split(t.below) | split(t.above)
+    assert {"linked", "linked_before", "linked_after", "clutter", "article"} <= split(TREE)
+
+
+class Reader(HTMLParser):
+    """Flat blocks of well-formed pages of a few tags, by the standard parser."""
+
+    def __init__(self, page):
+        super().__init__(convert_charrefs=True)
+        self.out, self.words, self.linked, self.link, self.items = [], "", "", False, 0
+        self.feed(page)
+        self.close()
+        self.flush()
+
+    def flush(self):
+        if self.words.split():
+            self.out.append((" ".join(self.words.split()), min(len(self.linked.split()) / len(self.words.split()), 1.0), self.items > 0))
+        self.words = self.linked = ""
+
+    def handle_starttag(self, tag, _):
+        if tag == "a":
+            self.link, self.linked = True, self.linked + " "
+        elif tag != "b":
+            self.flush()
+            self.items += tag == "li"
+
+    def handle_endtag(self, tag):
+        if tag == "a":
+            self.link, self.linked = False, self.linked + " "
+        elif tag != "b":
+            self.flush()
+            self.items -= tag == "li"
+
+    def handle_data(self, data):
+        self.words += data
+        self.linked += data if self.link else ""
+
+
+def test_blocks_equal_those_of_a_plain_reader():
+    rng = random.Random(7)
+
+    def inside(depth):
+        parts = []
+        for _ in range(rng.randint(0, 4)):
+            kind = rng.choice(["text", "text", "a", "b", "p", "div", "ul", "section", "blockquote"])
+            word = " ".join(rng.choices(["x", "yy", "a &amp; b", "&#65;", "é"], k=rng.randint(1, 4)))
+            if kind == "text":
+                parts.append(rng.choice([" ", "\n", ""]) + word + rng.choice([" ", ""]))
+            elif kind in ("a", "b", "p"):
+                parts.append(f"<{kind}>{word}</{kind}>")
+            elif depth < 5:
+                body = "".join(f"<li>{inside(depth + 1)}</li>" for _ in range(rng.randint(1, 3))) if kind == "ul" else inside(depth + 1)
+                parts.append(f"<{kind}>{body}</{kind}>")
+        return "".join(parts)
+
+    for _ in range(400):
+        page = inside(0)
+        assert [(b.text, b.linked, b.item) for b in page_blocks(page)] == Reader(page).out, page
+
+
+def test_deep_pages_take_time_in_proportion():
+    def seconds(n):
+        start = time.perf_counter()
+        page_blocks("<div>x<span hidden>y</span><li>z" * n)
+        return time.perf_counter() - start
+
+    seconds(1000)
+    assert min(seconds(32_000) for _ in range(2)) < 20 * min(seconds(4_000) for _ in range(3)) + 0.2
