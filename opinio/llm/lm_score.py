@@ -43,7 +43,7 @@ import base64
 import copy
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from functools import partial
+from functools import cached_property, partial
 
 import numpy as np
 import pyarrow as pa
@@ -51,10 +51,12 @@ import tiktoken
 from pyspark import Broadcast, StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from opinio.llm.bpe import read_ranks
 from opinio.llm.common import blocks, utf8
 from opinio.llm.words import _LOWER, NOT_SPACE, hashed, mix
+from opinio.sources.storage import scratch_path
 
 CONTEXT, STRIDE, SIZE, HEADS, INNER = 32, 24, 24, 1, 32
 OWN_CLASSES, SHARED_CLASSES = 160, 24
@@ -73,12 +75,16 @@ class Subwords(dict):
     def __init__(self, rank_file: bytes, pattern: str):
         super().__init__()
         ranks = {base64.b64decode(t): int(r) for t, r in (line.split() for line in rank_file.splitlines() if line)}
-        self.encoding = tiktoken.Encoding("words", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+        self.ranks, self.pattern = ranks, pattern
         self.end = len(ranks)
         self.begins = np.zeros(self.end + 1, bool)
         self.begins[[r for t, r in ranks.items() if t[:1] == b" "]] = True
         self.begins[self.end] = True
 
+    @cached_property
+    def encoding(self) -> tiktoken.Encoding:
+        return tiktoken.Encoding("words", pat_str=self.pattern, mergeable_ranks=self.ranks, special_tokens={})
+
     def __missing__(self, word: bytes) -> bytes:
         ids = np.array(self.encoding.encode_ordinary(" " + word.decode("utf-8", "replace")), "<u2").tobytes()
         if len(self) >= _REMEMBERED:
@@ -99,6 +105,15 @@ class Subwords(dict):
             words.append(len(ids))
         return np.frombuffer(b"".join(parts), "<u2").astype(np.int64), np.array(sizes, np.int64) // 2, np.array(words, np.int64)
 
+    def stored(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The same from a column of texts that are encoded already (see ``with_ids``): a word is the ids from one that begins a word to the next."""
+        offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64) // 2
+        ids = np.frombuffer(column.buffers()[2], "<u2")[offsets[0] : offsets[-1]].astype(np.int64)
+        begins = self.begins[ids]
+        first = np.flatnonzero(begins)
+        # every text has an end, so none is empty
+        return ids, np.diff(np.append(first, len(ids))), np.add.reduceat(begins.astype(np.int64), offsets[:-1] - offsets[0])
+
 
 _FOLD = bytes(_LOWER)
 
@@ -176,7 +191,7 @@ def _norm(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _norm_back(d: np.ndarray, y: np.ndarray, r: np.ndarray) -> np.ndarray:
-    return r * (d - y * (d * y).mean(axis=-1, keepdims=True))
+    return r * (d - y * (np.einsum("...i,...i->...", d, y)[..., None] / y.shape[-1]))
 
 
 def _sum_rows(values: np.ndarray, index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -224,7 +239,7 @@ class Network:
         s = (q * np.float32((SIZE // HEADS) ** -0.5)) @ k.transpose(0, 1, 3, 2)
         np.exp(s, out=s)
         s *= self.mask[:t, :t]
-        s /= s.sum(axis=-1, keepdims=True) + np.float32(1e-30)
+        s /= np.einsum("...i->...", s)[..., None] + np.float32(1e-30)
         z = (s @ v).transpose(0, 2, 1, 3).reshape(b, t, SIZE)
         x1 = x0 + z @ w["o"]
         c, rc = _norm(x1)
@@ -247,7 +262,9 @@ class Network:
         dz = (dx1 @ w["o"].T).reshape(b, t, HEADS, SIZE // HEADS).transpose(0, 2, 1, 3)
         ds = dz @ v.transpose(0, 1, 3, 2)
         dv = s.transpose(0, 1, 3, 2) @ dz
-        ds = s * (ds - (ds * s).sum(axis=-1, keepdims=True)) * np.float32((SIZE // HEADS) ** -0.5)
+        ds -= np.einsum("...i,...i->...", ds, s)[..., None]
+        ds *= s
+        ds *= np.float32((SIZE // HEADS) ** -0.5)
         dqkv = np.stack([ds @ k, ds.transpose(0, 1, 3, 2) @ q, dv]).transpose(1, 3, 0, 2, 4).reshape(b, t, 3 * SIZE)
         out["qkv"] = flat(a).T @ flat(dqkv)
         dx0 = dx1 + _norm_back(dqkv @ w["qkv"].T, a, ra)
@@ -266,7 +283,7 @@ class Network:
         z = rows @ self.w["y"] + self.w["by"]
         # no shift here either (see LIMIT)
         p = np.exp(z, out=z)
-        p /= p.sum(axis=1, keepdims=True)
+        p /= np.einsum("ij->i", p)[:, None]
         want = targets[used]
         at = np.arange(len(want))
         value = float(-np.log(p[at, want] + 1e-30).mean())
@@ -312,7 +329,10 @@ class LanguageModel:
 
     def word_logs(self, bodies: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Natural log-probability of every word of the texts by the network (each text's end last), and words of each text."""
-        ids, sizes, words = self.subwords.texts(bodies)
+        return self.encoded_logs(*self.subwords.texts(bodies))
+
+    def encoded_logs(self, ids: np.ndarray, sizes: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The same of encoded texts."""
         classes = self.classes.of[ids]
         first_word = np.cumsum(sizes) - sizes
         text_end = np.cumsum(np.add.reduceat(sizes, np.cumsum(words) - words)) if len(words) else np.zeros(0, np.int64)
@@ -391,7 +411,8 @@ class Trainer:
             found, sums = _sum_rows(dx[shared], ids.reshape(-1)[shared])
             self.squares[found] += (sums * sums).mean(axis=1, keepdims=True)
             net.offset[found] -= 5 * rate * sums / np.sqrt(self.squares[found])
-        net.bound()
+        if self.step % 4 == 0:  # a few steps move the weights by little of the room that LIMIT leaves
+            net.bound()
         return int(used.sum())
 
 
@@ -407,14 +428,43 @@ def train_network(subwords: Subwords, bodies: list[bytes], steps: int, batch: in
     trainer.read(ids, sizes, words)
     for step in range(1, steps + 1):
         trainer.train(trainer.rng.integers(0, len(trainer.start), batch), 0.01 * min(1, step / 20) * (1 - 0.95 * step / steps))
+    net.bound()
     return classes, net
 
 
-def _bodies(batches: Iterator[pa.RecordBatch], size: int = 1 << 20) -> Iterator[list[bytes]]:
+def _encoded(subwords: Subwords, batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Blocks of encoded texts (see ``Subwords.texts``), from the column ids or else the column text."""
     for batch in batches:
-        data, offsets = utf8(batch.column("text"))
-        for a, b in blocks(offsets, size):
-            yield [data[offsets[i] : offsets[i + 1]].tobytes() for i in range(a, b)]
+        if "ids" in batch.schema.names:
+            column = batch.column("ids")
+            offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
+            for a, b in blocks(offsets.astype(np.int64)):
+                yield subwords.stored(column.slice(a, b - a))
+        else:
+            data, offsets = utf8(batch.column("text"))
+            for a, b in blocks(offsets):
+                yield subwords.texts([data[offsets[i] : offsets[i + 1]].tobytes() for i in range(a, b)])
+
+
+def _with_ids(sent: Broadcast, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    subwords, text_col, ids_col = Subwords(*sent.value[:2]), *sent.value[2:]
+    for batch in batches:
+        data, offsets = utf8(batch.column(text_col))
+        for a, b in blocks(offsets):
+            ids, sizes, words = subwords.texts([data[offsets[i] : offsets[i + 1]].tobytes() for i in range(a, b)])
+            end = 2 * np.cumsum(np.add.reduceat(sizes, np.cumsum(words) - words))
+            column = pa.Array.from_buffers(pa.binary(), b - a, [None, pa.py_buffer(np.append(0, end).astype(np.int32)), pa.py_buffer(ids.astype("<u2"))])
+            yield pa.RecordBatch.from_arrays([*batch.slice(a, b - a).columns, column], [*batch.schema.names, ids_col])
+
+
+def with_ids(docs: DataFrame, rank_path: str, pattern: str, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
+    """``docs`` with the ids of each text and its end (little-endian 16-bit integers), written once to the shared
+    checkpoint folder and read from there: counting, training and scoring need not encode again."""
+    spark = docs.sparkSession
+    sent = spark.sparkContext.broadcast((read_ranks(rank_path), pattern, text_col, ids_col))
+    path = scratch_path(spark, "lm-ids")
+    docs.mapInArrow(partial(_with_ids, sent), T.StructType([*docs.schema, T.StructField(ids_col, T.BinaryType())])).write.parquet(path)
+    return spark.read.parquet(path)
 
 
 def _count_ids(sent: Broadcast, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -422,8 +472,7 @@ def _count_ids(sent: Broadcast, batches: Iterator[pa.RecordBatch]) -> Iterator[p
     subwords, own = Subwords(*sent.value[:2]), sent.value[2]
     size = subwords.end + 1
     n = np.zeros(size * (1 if own is None else 2 * len(own)), np.int64)
-    for bodies in _bodies(batches):
-        ids = subwords.texts(bodies)[0]
+    for ids, _, _ in _encoded(subwords, batches):
         if own is None:
             n += np.bincount(ids, minlength=size)
         else:
@@ -435,10 +484,15 @@ def _count_ids(sent: Broadcast, batches: Iterator[pa.RecordBatch]) -> Iterator[p
         yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(n[some])], ["k", "n"])
 
 
-def corpus_classes(docs: DataFrame, rank_file: bytes, pattern: str, text_col: str = "text") -> Classes:
+def _texts(docs: DataFrame, text_col: str, ids_col: str | None) -> DataFrame:
+    """The one column that tasks encode, or that is encoded."""
+    return docs.select(F.col(text_col).alias("text") if ids_col is None else F.col(ids_col).alias("ids"))
+
+
+def corpus_classes(docs: DataFrame, rank_file: bytes, pattern: str, text_col: str = "text", ids_col: str | None = None) -> Classes:
     """Classes by the ids of all texts of ``docs``: counted in one pass, what stands beside them in a second."""
     subwords, spark = Subwords(rank_file, pattern), docs.sparkSession
-    texts = docs.select(F.col(text_col).alias("text"))
+    texts = _texts(docs, text_col, ids_col)
 
     def counted(own: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
         sent = spark.sparkContext.broadcast((rank_file, pattern, own))
@@ -460,13 +514,14 @@ def _train_part(sent: Broadcast, batches: Iterator[pa.RecordBatch]) -> Iterator[
     model: LanguageModel = sent.value
     net = copy.deepcopy(model.network)  # a worker runs several tasks on one broadcast value
     trainer, many, seen = Trainer(model.subwords, model.classes, net), 0, np.zeros(len(net.offset), np.int64)
-    for bodies in _bodies(batches):
-        trainer.read(*model.subwords.texts(bodies))
+    for encoded in _encoded(model.subwords, batches):
+        trainer.read(*encoded)
         order = trainer.rng.permutation(len(trainer.start))
         for a in range(0, len(order), 64):
             many += trainer.train(order[a : a + 64], 0.002 * min(1, (trainer.step + 1) / 20) / (1 + trainer.step / 200) ** 0.5)
         seen += np.bincount(trainer.shown, minlength=len(seen))
     if many:
+        net.bound()
         seen[model.classes.of < model.classes.own] = 0
         ids = np.flatnonzero(seen)
         dense = np.concatenate([net.w[k].reshape(-1) for k in sorted(net.w)])
@@ -539,8 +594,14 @@ def frequent_words(counts: DataFrame, limit: int = FREQUENT) -> Frequent:
     return Frequent(h[order], n[order], least, sum(r.tokens for r in by_size.values()), sum(r.words for r in by_size.values()))
 
 
+def _piece_at(t: Column, text: Column, most: int) -> Column:
+    """Where the piece of a text begins that a sample takes: anywhere, by the text's hash; at 1 for texts of ``most`` characters or fewer."""
+    return (F.pmod(F.xxhash64(t), F.greatest(F.char_length(text) - most, F.lit(0)) + 1) + 1).cast("int")
+
+
 def draw_texts(docs: DataFrame, chars: int, text_col: str = "text") -> list[tuple[int, bytes]]:
-    """Hash and beginning of distinct texts, of about ``chars`` characters together (all, if there are fewer); copies count once."""
+    """Hash of distinct texts and a piece of each (the whole text up to an eighth of ``chars``, else so much of it from a place that
+    its hash gives), of about ``chars`` characters together (all, if there are fewer); copies count once."""
     own = docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("text")).select(F.xxhash64("text").alias("t"), "text")
     most = max(chars // 8, 1)
     sizes = own.select("t", F.least(F.char_length("text"), F.lit(most)).alias("n")).groupBy("t").agg(F.max("n").alias("n")).persist(StorageLevel.DISK_ONLY)
@@ -553,25 +614,38 @@ def draw_texts(docs: DataFrame, chars: int, text_col: str = "text") -> list[tupl
                 drawn[r.t] = r.n
     sizes.unpersist()
     wanted = docs.sparkSession.createDataFrame(pa.table({"t": pa.array(sorted(drawn), pa.int64())}))
-    begun = own.join(F.broadcast(wanted), "t", "left_semi").select("t", F.substring("text", 1, most).alias("text")).distinct()
-    return sorted((r.t, r.text.encode()) for r in begun.collect())
+    piece = F.col("text").substr(_piece_at(F.col("t"), F.col("text"), most), F.lit(most))
+    pieces = own.join(F.broadcast(wanted), "t", "left_semi").select("t", piece.alias("text")).distinct()
+    return sorted((r.t, r.text.encode()) for r in pieces.collect())
+
+
+def _without_pieces(docs: DataFrame, drawn: list[int], chars: int, rank_path: str, pattern: str, text_col: str, ids_col: str | None) -> DataFrame:
+    """The texts of ``docs`` (as ``_texts``) without the pieces that ``draw_texts`` took of the drawn ones; what stands before and after a piece stays."""
+    spark, most = docs.sparkSession, max(chars // 8, 1)
+    back = F.broadcast(spark.createDataFrame(pa.table({"t": pa.array(drawn, pa.int64())})))
+    own = docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("text"), *([F.col(ids_col).alias("ids")] if ids_col else [])).withColumn("t", F.xxhash64("text"))
+    begin = _piece_at(F.col("t"), F.col("text"), most)
+    rest = own.where(F.char_length("text") > most).join(back, "t", "left_semi").select(
+        F.concat(F.col("text").substr(F.lit(1), begin - 1), F.lit(" "), F.col("text").substr(begin + most, F.char_length("text"))).alias("text")
+    )
+    if ids_col:
+        rest = with_ids(rest, rank_path, pattern)
+    return _texts(own.join(back, "t", "left_anti").unionByName(rest, allowMissingColumns=True), "text", ids_col and "ids")
 
 
-def fit(docs: DataFrame, counts: DataFrame, frequent: Frequent, rank_path: str, pattern: str, text_col: str = "text", sample_chars: int = 3_000_000, steps: int = 1500) -> LanguageModel:
+def fit(docs: DataFrame, counts: DataFrame, frequent: Frequent, rank_path: str, pattern: str, text_col: str = "text", sample_chars: int = 3_000_000, steps: int = 1500, ids_col: str | None = None) -> LanguageModel:
     """The model of ``docs`` (training texts): classes by the ids of all texts; the network begun on a sample,
-    from which the share's texts are held back, then trained on every other text."""
+    from which the share's pieces are held back, then trained on everything else; ``ids_col`` as made by ``with_ids``."""
     rank_file = read_ranks(rank_path)
     subwords = Subwords(rank_file, pattern)
     drawn = draw_texts(docs, sample_chars, text_col)
     drawn = [drawn[i] for i in np.random.default_rng(1).permutation(len(drawn))]
     some = max(len(drawn) // 8, min(len(drawn) - 1, 1))
     held, bodies = [b for _, b in drawn[:some]], [b for _, b in drawn[some:]]
-    classes = corpus_classes(docs, rank_file, pattern, text_col)
+    classes = corpus_classes(docs, rank_file, pattern, text_col, ids_col)
     model = LanguageModel(rank_file, pattern, *train_network(subwords, bodies, steps if bodies else 0, classes=classes))
     if bodies:
-        back = docs.sparkSession.createDataFrame(pa.table({"t": pa.array([t for t, _ in drawn[:some]], pa.int64())}))
-        own = docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-        model.network = train_everywhere(own.join(F.broadcast(back), F.xxhash64("text") == F.col("t"), "left_anti"), model)
+        model.network = train_everywhere(_without_pieces(docs, [t for t, _ in drawn[:some]], sample_chars, rank_path, pattern, text_col, ids_col), model)
     if held:
         logs, _ = model.word_logs(held)
         h = np.concatenate([np.append(hashed(*utf8(pa.array([b.decode()])), NOT_SPACE, True)[0].view(np.int64), END) for b in held])
@@ -589,11 +663,11 @@ def fit(docs: DataFrame, counts: DataFrame, frequent: Frequent, rank_path: str,
     return model
 
 
-def score(docs: DataFrame, counts: DataFrame, frequent: Frequent, model: LanguageModel, id_col: str = "doc_id", text_col: str = "text", keep: tuple[Column, ...] = ()) -> DataFrame:
+def score(docs: DataFrame, counts: DataFrame, frequent: Frequent, model: LanguageModel, id_col: str = "doc_id", text_col: str = "text", keep: tuple[Column, ...] = (), ids_col: str | None = None) -> DataFrame:
     """One row per row of ``docs``: the id, ``keep``, n_tokens, n_known, train_tokens, base_score and score."""
     sent = docs.sparkSession.sparkContext.broadcast((model, frequent))
     row = F.struct(F.col(id_col).alias(id_col), *keep)
-    own = docs.select(F.monotonically_increasing_id().alias("at"), row.alias("row"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    own = docs.select(F.monotonically_increasing_id().alias("at"), row.alias("row"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), *([F.col(ids_col).alias("ids")] if ids_col else []))
     schema = f"at bigint, row {own.schema['row'].dataType.simpleString()}, n_tokens bigint, n_known bigint, base double, score double, rare array<struct<h:bigint,p:float>>"
     scored = own.mapInArrow(partial(_score, sent), schema).persist(StorageLevel.DISK_ONLY)
     scored.count()  # computed once, before two branches of the result read it at the same time
@@ -622,7 +696,7 @@ def _score(sent: Broadcast, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Re
         for a, b in blocks(offsets):
             h, _, _, counts = hashed(data, offsets[a : b + 1], NOT_SPACE, True)
             h = np.insert(h.view(np.int64), counts[1:], END)
-            logs, words = model.word_logs([data[offsets[i] : offsets[i + 1]].tobytes() for i in range(a, b)])
+            logs, words = model.encoded_logs(*model.subwords.stored(batch.column("ids").slice(a, b - a))) if "ids" in batch.schema.names else model.word_logs([data[offsets[i] : offsets[i + 1]].tobytes() for i in range(a, b)])
             text = np.repeat(np.arange(b - a), words)
             at = np.minimum(np.searchsorted(frequent.h, h), max(len(frequent.h) - 1, 0))
             known = frequent.h[at] == h if len(frequent.h) else np.zeros(len(h), bool)

@@ -79,12 +79,13 @@ def op9_decontaminate(spark: SparkSession, d: str) -> DataFrame:
 
 
 def op10_lm_score(spark: SparkSession, d: str) -> DataFrame:
-    docs = table(spark, d, "documents").select("doc_id", "text")
+    path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    docs = lm_score.with_ids(table(spark, d, "documents").select("doc_id", "text"), path, pattern)
     taught = docs.where(fold("doc_id", 7) != 2)
     counts = lm_score.word_counts(taught).persist(StorageLevel.DISK_ONLY)
     frequent = lm_score.frequent_words(counts)
-    model = lm_score.fit(taught, counts, frequent, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
-    out = lm_score.score(docs, counts, frequent, model, keep=((fold("doc_id", 7) == 2).alias("held_out"),))
+    model = lm_score.fit(taught, counts, frequent, path, pattern, ids_col="ids")
+    out = lm_score.score(docs, counts, frequent, model, keep=((fold("doc_id", 7) == 2).alias("held_out"),), ids_col="ids")
     return out.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 

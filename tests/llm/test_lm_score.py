@@ -179,3 +179,47 @@ def test_sample_counts_texts_not_copies(spark):
     assert sum(len(b) for _, b in drawn) >= 5000 and len({t for t, _ in drawn}) == len(drawn) >= 8
     assert len(lm_score.draw_texts(docs.where("doc_id >= 9000"), 1000)) == 4
     assert lm_score.draw_texts(docs.limit(0), 1000) == []
+
+
+def test_stored_ids_are_those_of_the_texts(spark):
+    rows = [(i, t) for i, t in enumerate(texts(8))] + [(98, None), (99, " \n"), (100, "日本 x\u00a0y \u3000z 42")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 as t", "2 as row").coalesce(2)
+    stored = lm_score.with_ids(docs, PATH, PATTERN)
+    assert stored.columns == [*docs.columns, "ids"] and stored.count() == len(rows)
+    table = stored.orderBy("doc_id").toArrow()
+    column = table.column("ids").combine_chunks()
+    for want, got in zip(SUBWORDS.texts([(t or "").encode() for _, t in sorted(rows)]), SUBWORDS.stored(column), strict=True):
+        assert want.tolist() == got.tolist()
+    part = column.slice(5, 9)
+    assert SUBWORDS.stored(part)[0].tolist() == SUBWORDS.texts([(t or "").encode() for _, t in sorted(rows)[5:14]])[0].tolist()
+    assert lm_score.with_ids(docs.limit(0), PATH, PATTERN).count() == 0
+    plain, by_ids = docs.select("doc_id", "text"), stored.select("doc_id", "text", "ids")
+    counts = lm_score.word_counts(plain)
+    frequent = lm_score.frequent_words(counts)
+    found = [lm_score.corpus_classes(x, RANKS, PATTERN, ids_col=c) for x, c in ((plain, None), (by_ids, "ids"))]
+    assert (found[0].of == found[1].of).all() and np.allclose(found[0].within, found[1].within)
+    model = lm_score.fit(by_ids, counts, frequent, PATH, PATTERN, steps=5, ids_col="ids")
+    scores = [sorted((r.doc_id, r.n_tokens, r.n_known, round(r.score, 3)) for r in lm_score.score(x, counts, frequent, model, ids_col=c).collect()) for x, c in ((plain, None), (by_ids, "ids"))]
+    assert scores[0] == scores[1] and len(scores[0]) == len(rows)
+
+
+def test_only_the_held_back_pieces_are_left_out_of_training(spark):
+    rows = [(i, f"short {i}") for i in range(20)] + [(100 + i, " ".join(f"w{i}x{k}" for k in range(3000))) for i in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(2)
+    chars = 8000
+    drawn = lm_score.draw_texts(docs, chars)
+    pieces = {t: p.decode() for t, p in drawn}
+    long = [t for t, p in pieces.items() if len(p) == chars // 8]
+    assert long and any(not text.startswith(pieces[t]) for t in long for _, text in rows if pieces[t] in text)  # pieces from anywhere
+    by_hash = {r.t: r.text for r in docs.selectExpr("xxhash64(text) as t", "text").collect()}
+    want = []
+    for t, text in by_hash.items():
+        if t not in pieces:
+            want.append(text)
+        elif len(text) > chars // 8:
+            before, after = text.split(pieces[t])
+            want.append(before + " " + after)
+    got = lm_score._without_pieces(docs, list(pieces), chars, PATH, PATTERN, "text", None)
+    assert sorted(r.text for r in got.collect()) == sorted(want)
+    stored = lm_score._without_pieces(lm_score.with_ids(docs, PATH, PATTERN), list(pieces), chars, PATH, PATTERN, "text", "ids")
+    assert sorted(len(r.ids) for r in stored.collect()) == sorted(2 * len(SUBWORDS.texts([t.encode()])[0]) for t in want)
