@@ -411,7 +411,7 @@ class Trainer:
             found, sums = _sum_rows(dx[shared], ids.reshape(-1)[shared])
             self.squares[found] += (sums * sums).mean(axis=1, keepdims=True)
             net.offset[found] -= 5 * rate * sums / np.sqrt(self.squares[found])
-        if self.step % 4 == 0:  # a few steps move the weights by little of the room that LIMIT leaves
+        if rate > 0.003 or self.step % 4 == 0:  # at small rates four steps take little of the room that LIMIT leaves
             net.bound()
         return int(used.sum())
 
