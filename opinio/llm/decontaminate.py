@@ -16,7 +16,7 @@ searched in one narrow pass over the documents, and the passes hand on a bit
 per word, so that words hit by several blocks count once.
 
 Defined cases: a null or word-less text has no words and is clean; null or
-word-less items have no window; an empty benchmark leaves every document clean.
+word-less items have no window; a very long document stays whole in one shard; an empty benchmark leaves every document clean.
 Repeated items count by distinct item id; a null item id is found but not
 listed.  Repeated rows stay; other columns are not read by
 ``match_documents`` and are handed on by ``drop_contaminated``.

@@ -15,7 +15,8 @@ splits partitions.
 
 Defined cases: null counts as the empty text, and all empty texts are one
 group.  A null id comes after every other id.  Rows that repeat an id and text
-are separate rows, of which one stays.  Other columns are not read.
+are separate rows, of which one stays.  A very long text is hashed and compared
+whole, like any other.  Other columns are not read.
 """
 
 from __future__ import annotations

@@ -26,7 +26,7 @@ links of a cluster has that cost.
 Defined cases: a text of one to four words has one shingle, all its words; a
 null or word-less text has none, is like no other and is a class and group of
 its own.  A null id comes after every other id.  Equal rows are copies of each
-other.  Other columns are not read.
+other.  A very long text is read whole, as a block of its own.  Other columns are not read.
 """
 
 from __future__ import annotations

@@ -32,7 +32,8 @@ network probability) that is joined with the counts and summed by document.
 
 Defined cases: null counts as the empty text: one token, the end.  Without any
 training text all counts are 0, and base and network are uniform.  Words are
-told apart by a 64-bit hash.  Repeated rows are scored each; as training texts
+told apart by a 64-bit hash.  A very long text is encoded whole by one task and scored in
+as many windows as it has.  Repeated rows are scored each; as training texts
 they count each.  With a single training text nothing is held back and ``share``
 is 0.5.  Other columns are not read.
 """

@@ -19,7 +19,7 @@ size and is broadcast.  Scoring is a narrow pass over whole texts.
 
 Defined cases: null, empty and word-less texts have no window and score 0.
 Without a toxic and a clean labelled row every text scores 0.  Null labels teach
-nothing; repeated rows stay; other columns are not read.
+nothing; all windows of a very long text are scored; repeated rows stay; other columns are not read.
 """
 
 from __future__ import annotations

@@ -11,7 +11,7 @@ Defined cases: a null URL, or one without ``://``, has an empty host and path
 and meets no rule but one with both empty.  Of rules of equal length that fit,
 the one with the longer host wins, then block before allow, then the smaller
 host and path; repeated rules count once.  An empty rule table lets the default
-verdict stand for every URL.  Repeated rows stay repeated.
+verdict stand for every URL.  A very long URL is matched whole.  Repeated rows stay repeated.
 Other columns of the input are not read, whatever their names.
 """
 
