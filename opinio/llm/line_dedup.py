@@ -11,9 +11,11 @@ both, hence the same fingerprint: none is missed.
 1. Fingerprints are counted by hash; those that two different texts share, or
    that one text has twice, are joined back to their positions.
 2. A position is extended both ways to the run of ``MIN_WORDS`` words whose
-   window it is the least of, and the run is hashed.  Equal runs meet in a
-   group-by that finds the least id; occurrences in other documents, and later
-   ones in a document, are repeats.  Overlapping ones join to maximal runs.
+   window it is the least of, and the run is hashed.  A run stands once for a
+   text, with the spans of its later places there, so that a text of one repeated
+   word is a row, not thousands.  Equal runs meet in a group-by that finds the
+   least id; occurrences in other documents, and later ones in a document, are
+   repeats.  Overlapping ones join to maximal runs before they go to the texts.
 3. The words of later repeats are deleted.  A document whose whole text is that
    of an earlier one is one such run (if it has ``MIN_WORDS`` words).
 
@@ -22,7 +24,8 @@ elsewhere.  Runs shorter than ``MIN_WORDS`` words stay.  No group is collected
 but the positions of one document; hashes of hot lines and passages are combined
 before each shuffle and joined where Spark splits skewed partitions.  Texts that
 share no line with another are not shuffled, as far as a broadcast map of bounded
-size tells them apart.
+size tells them apart.  Lines and runs are equal if their 64-bit
+hashes are; their words are not compared.
 
 Defined cases: null counts as the empty text and is returned empty.  A null id
 comes after every other id.  Equal rows (id and text) are one occurrence and
@@ -115,14 +118,21 @@ def _runs(min_words: int, line: int, batches: Iterator[pa.RecordBatch]) -> Itera
             start = first[window[keep]]
             text = np.searchsorted(counts, start, side="right") - 1
             g = spans_hash(prefix(words), start, start + min_words)
-            # the same run earlier in the text: its first place
+            # a run once a text: its first place, and the spans of its later places, those that touch as one
             order = np.lexsort((start, g, text))
-            new = np.append(True, (g[order][1:] != g[order][:-1]) | (text[order][1:] != text[order][:-1]))[: len(order)]
-            own = np.empty(len(g), np.int64)
-            own[order] = start[order][np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))]
-            taken, rows = pa.array(text), batch.slice(a, b - a)
-            at = [pa.array((x - counts[text]).astype(np.int32)) for x in (start, own)]
-            yield pa.RecordBatch.from_arrays([pa.array(g.view(np.int64)), rows.column("id").take(taken), rows.column("t").take(taken), *at], ["g", "id", "t", "at", "own"])
+            text, g, at = text[order], g[order], (start - counts[text])[order]
+            new = np.append(True, (g[1:] != g[:-1]) | (text[1:] != text[:-1]))[: len(g)]
+            begins = ~new & np.append(True, new[:-1] | (at[1:] > at[:-1] + min_words))[: len(g)]
+            ends = ~new & np.append(begins[1:] | new[1:], True)[: len(g)]
+            spans = np.append(0, np.cumsum(begins))
+            firsts = np.flatnonzero(new)
+            until = np.append(spans[firsts], spans[-1]).astype(np.int32)
+            others = pa.ListArray.from_arrays(pa.array(until), pa.array((at[begins] << 32) + at[ends] + min_words), mask=pa.array(until[1:] == until[:-1]))
+            taken, rows = pa.array(text[firsts]), batch.slice(a, b - a)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(g[firsts].view(np.int64)), rows.column("id").take(taken), rows.column("t").take(taken), pa.array(at[firsts].astype(np.int32)), others],
+                ["g", "id", "t", "at", "others"],
+            )
 
 
 def cut(text: bytes, starts: np.ndarray, ends: np.ndarray, kept: np.ndarray) -> bytes:
@@ -151,6 +161,23 @@ def merged(spans: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return begin[new], until[np.append(new[1:], len(spans)) - 1], order[new]
 
 
+def _merge_spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The spans of each text as their unions, with the source of the first."""
+    for batch in batches:
+        lists = batch.column("repeats")
+        until = pa.compute.list_value_length(lists).to_numpy(zero_copy_only=False).cumsum()
+        spans, sources = lists.flatten().field("span").to_numpy(), lists.flatten().field("source")
+        joined, taken, sizes = [], [], [0]
+        for before, after in zip(np.append(0, until[:-1]).tolist(), until.tolist(), strict=True):
+            begin, end, i = merged(spans[before:after])
+            joined.append((begin << 32) + end)
+            taken.append(before + i)
+            sizes.append(len(begin))
+        unions = pa.StructArray.from_arrays([pa.array(np.concatenate(joined)), sources.take(pa.array(np.concatenate(taken)))], ["span", "source"])
+        repeats = pa.ListArray.from_arrays(pa.array(np.cumsum(sizes).astype(np.int32)), unions)
+        yield pa.RecordBatch.from_arrays([batch.column("rt"), batch.column("rid"), repeats], ["rt", "rid", "repeats"])
+
+
 def _cut_rows(min_words: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for a, b in blocks(utf8(batch.column("text"))[1]):
@@ -211,14 +238,18 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     # not an equality (source is the least id), so that both joins of the texts share one exchange by (t, t2)
     earliest = (F.col("id") <= F.col("source")) | (F.col("id").isNull() & F.col("source").isNull())
     runs = touched.join(wanted.where("at is not null"), ["t", "t2"]).where(earliest).select("id", "t", "text", "at")
-    runs = runs.mapInArrow(partial(_runs, min_words, line), f"g bigint, id {kind}, t bigint, at int, own int")
-    origin = runs.where("own = at").groupBy("g").agg(F.min("id").alias("low"))
+    runs = runs.mapInArrow(partial(_runs, min_words, line), f"g bigint, id {kind}, t bigint, at int, others array<bigint>")
+    origin = runs.groupBy("g").agg(F.min("id").alias("low"))
     elsewhere = F.col("low").isNotNull() & (F.col("id").isNull() | (F.col("id") > F.col("low")))
-    later = runs.join(origin, "g").where(elsewhere | (F.col("own") < F.col("at")))
-    begin = F.when(elsewhere, F.col("at")).otherwise(F.greatest("at", F.col("own") + min_words)).cast("bigint")
-    span = F.shiftleft(begin, 32) + F.col("at") + min_words  # first word, and the one after the last
-    repeat = F.struct(span.alias("span"), F.coalesce("low", "id").alias("source"))
-    repeats = later.groupBy(F.col("t").alias("rt"), F.col("id").alias("rid")).agg(F.collect_set(repeat).alias("repeats"))
+    later = runs.join(origin, "g").where(elsewhere | F.col("others").isNotNull())
+    # a span: first word, and the one after the last; within a text only words after the first occurrence's end go
+    until = F.col("at").cast("bigint") + min_words
+    here = F.array(F.shiftleft(F.col("at").cast("bigint"), 32) + until)
+    after = F.transform("others", lambda x: F.shiftleft(F.greatest(F.shiftright(x, 32), until), 32) + x.bitwiseAND(F.lit(0xFFFFFFFF)))
+    spans = F.when(elsewhere & F.col("others").isNull(), here).when(elsewhere, F.concat(here, "others")).otherwise(after)
+    repeat = F.struct("span", F.coalesce("low", "id").alias("source"))
+    repeats = later.withColumn("span", F.explode(spans)).groupBy(F.col("t").alias("rt"), F.col("id").alias("rid")).agg(F.collect_set(repeat).alias("repeats"))
+    repeats = repeats.mapInArrow(_merge_spans, f"rt bigint, rid {kind}, repeats array<struct<span:bigint,source:{kind}>>")
 
     told = first.join(repeats, (F.col("t") == F.col("rt")) & F.col("source").eqNullSafe(F.col("rid")), "left").where("n > 1 or repeats is not null")
     told = told.select("t", "t2", "source", "repeats")
