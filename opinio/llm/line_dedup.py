@@ -24,14 +24,15 @@ elsewhere.  Runs shorter than ``MIN_WORDS`` words stay.  No group is collected
 but the positions of one document; hashes of hot lines and passages are combined
 before each shuffle and joined where Spark splits skewed partitions.  Texts that
 share no line with another are not shuffled, as far as a broadcast map of bounded
-size tells them apart.  Lines and runs are equal if their 64-bit
-hashes are; their words are not compared.
+size tells them apart.  Lines and runs count as equal if their 64-bit hashes
+are; their words are not compared.
 
 Defined cases: null counts as the empty text and is returned empty.  A null id
 comes after every other id.  Equal rows (id and text) are one occurrence and
-keep the same words; different texts of one id do not repeat each other.  Within a text a repeat deletes only words after the first
-occurrence's end.  A deleted run takes the white space beside it; one line break
-stays where it held one.  Other columns are not read.
+keep the same words; different texts of one id do not repeat each other.  Within
+a text a repeat deletes only words after the first occurrence's end.  A deleted
+run takes the white space beside it; one line break stays where it held one.
+Other columns are not read.
 """
 
 from __future__ import annotations

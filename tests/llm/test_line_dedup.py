@@ -2,8 +2,9 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 
-from opinio.llm.line_dedup import cut, dedup_lines, least
+from opinio.llm.line_dedup import _merge_spans, _runs, cut, dedup_lines, least
 
 WORD = re.compile("[^ \t-\r]+")
 
@@ -80,6 +81,32 @@ def test_hot_passage_and_long_text(spark):
     assert [r.n_words - r.n_removed for r in got if r.row.doc_id == 1000] == [50]
 
 
+def test_repeated_words_in_several_documents(spark):
+    rows = [(4, "ax by " * 20), (2, "z " + "by ax " * 15 + "q"), (3, "ax " * 30), (6, "cc " + "ax " * 25), (None, "ax by " * 10 + "w"), (5, "m n o p q r " * 3 + "x " + "m n o p q r " * 2)]
+    for size, line in ((5, 2), (8, 3), (50, 16)):
+        got = run(spark, rows, size, line)
+        assert sorted((str(r.row.doc_id), WORD.findall(r.text)) for r in got) == plain(rows, size)
+
+
+def test_a_run_stands_once_for_a_text():
+    text = "ax " * 5000 + "p q " * 500
+    batch = pa.RecordBatch.from_arrays([pa.array([7]), pa.array([1]), pa.array([text]), pa.array([list(range(6000))], pa.list_(pa.int32()))], ["id", "t", "text", "at"])
+    (out,) = _runs(5, 2, iter([batch]))
+    rows = out.to_pylist()
+    assert len({r["g"] for r in rows}) == len(rows) < 10
+    first = next(r for r in rows if r["at"] == 0)
+    assert [(x >> 32, x & 0xFFFFFFFF) for x in first["others"]] == [(1, 5000)]
+
+
+def test_spans_of_a_text_are_merged():
+    span = lambda a, b: {"span": (a << 32) + b, "source": a}
+    lists = [[span(30, 35), span(1, 6), span(4, 9), span(9, 14)], [span(2, 7)]]
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2]), pa.array([None, 5]), pa.array(lists)], ["rt", "rid", "repeats"])
+    (out,) = _merge_spans(iter([batch]))
+    assert out.column("repeats").to_pylist() == [[span(1, 14), span(30, 35)], [span(2, 7)]]
+    assert out.column("rid").to_pylist() == [None, 5]
+
+
 def test_least_of_every_window():
     rng = np.random.default_rng(0)
     places = np.arange(120)
