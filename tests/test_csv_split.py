@@ -3,6 +3,7 @@ import io
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from opinio.operators.batching import with_file_index
 from opinio.plans.ingest import ingest_csv
@@ -118,3 +119,25 @@ def test_headers_are_read_in_tasks(spark, workdir, monkeypatch):
     assert headers[("two\nlines", "a")] == [f"{workdir}/dt=2024-01-02/batch=batch_001/p.csv"] and len(headers) == 3
     got = raw_scan(spark, workdir).select("a", "two\nlines", "c", "batch").collect()
     assert sorted(map(tuple, got)) == [("1", "x\ny", None, "batch_001"), ("2", "z", None, "batch_002"), ("3", "w", None, "batch_001"), ("4", None, "q", None)]
+
+
+def test_source_of_the_torn_ingest_is_written_by_all_tasks_of_the_shuffle(spark, workdir):
+    from opinio.plans import scenarios
+    from opinio.sources.storage import children
+
+    docs = spark.range(700).select(F.col("id").alias("doc_id"), F.concat(F.lit('a "b",\n'), F.col("id").cast("string")).alias("text"), F.lit("en").alias("lang"), F.lit("s").alias("source"), F.lit(9).alias("n_chars"))
+    docs.write.parquet(f"{workdir}/documents.parquet")
+    set_to = {"spark.sql.shuffle.partitions": "11", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in set_to}
+    for k, v in set_to.items():
+        spark.conf.set(k, v)
+    try:
+        run = scenarios.ingest_after_torn_run(spark, workdir)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    source = run.root.removesuffix("/raw") + "/source"
+    assert sum(name.startswith("part-") for name, _ in children(spark, source)) == 11
+    assert run.result.summary.first().asDict() == {"sent": 4, "ignored": 3, "errors": 0, "total": 7}
+    got = sorted((int(r.doc_id), r.text, r.batch) for r in raw_scan(spark, run.root).collect())
+    assert got == [(i, f'a "b",\n{i}', f"batch_{i // 100 + 1:03d}") for i in range(700)]
