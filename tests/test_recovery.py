@@ -10,7 +10,7 @@ from opinio.plans import ingest as ingest_module
 from opinio.plans.backfill import backfill
 from opinio.plans.ingest import ingest
 from opinio.plans.layout import Lake
-from opinio.sources import publish
+from opinio.sources import files, publish
 from opinio.sources.files import raw_scan
 from opinio.sources.publish import PublishConflict, drop_run, manifest, publish_days, publish_run, published_scan, unpublished_runs, write_run
 from opinio.sources.sinks import last_entries, write_raw_days_csv
@@ -138,3 +138,36 @@ def test_two_runs_that_publish_at_once_keep_both_runs_days(spark, workdir, monke
     monkeypatch.setattr(publish, "_renamed", lambda *_: False)
     with pytest.raises(PublishConflict):
         publish_run(spark, workdir, mine, attempts=2)
+
+
+def test_batches_whose_place_cannot_be_made_cost_no_second_job(spark, workdir, monkeypatch):
+    rows = numbered(spark, 95).withColumn("k", F.lpad("k", 4, "0"))
+    os.makedirs(workdir.removeprefix("file:"))
+    open(f"{workdir}/dt=2024-01-06".removeprefix("file:"), "w").close()
+    written, real = [], ingest_module.write_raw_days_csv
+    monkeypatch.setattr(ingest_module, "write_raw_days_csv", lambda *a, **k: written.append(1) or real(*a, **k))
+    res = ingest(spark, rows, workdir, "k", batch_size=10)
+    assert res.summary.first().asDict() == {"sent": 9, "ignored": 0, "errors": 1, "total": 10} and len(written) == 1
+    assert [(str(r.dt), r.batch) for r in res.failed.collect()] == [("2024-01-06", "batch_006")]
+    days = [f"dt=2024-01-{k:02d}" for k in range(1, 11)]
+    assert sorted(n for n in os.listdir(workdir.removeprefix("file:")) if not n.startswith(".")) == ["_stored_batches", *days]
+    os.remove(f"{workdir}/dt=2024-01-06".removeprefix("file:"))
+    assert sorted(r.k for r in raw_scan(spark, workdir).collect()) == [f"{i:04d}" for i in range(95) if i // 10 != 5]
+
+
+def test_stored_batches_are_listed_without_a_call_for_each_day(spark, workdir, monkeypatch):
+    root = workdir.removeprefix("file:")
+    for k in range(1, 6):
+        os.makedirs(f"{root}/dt=2024-01-0{k}/batch=batch_00{k}")
+    for name in ("batch_002.csv", "batch_x.csv", "notes.csv"):
+        open(f"{root}/dt=2024-01-02/{name}", "w").close()
+    os.makedirs(f"{root}/dt=2024-01-03/batch_003.csv")
+    open(f"{root}/dt=2024-01-09", "w").close()
+    monkeypatch.setattr(files, "children", None)
+    assert [(str(r.dt), r.batch) for r in files.list_batches(spark, workdir).collect()] == [("2024-01-02", "batch_002")]
+    assert files.list_batches(spark, f"{workdir}/none").count() == 0
+
+
+def test_folders_are_dealt_to_few_tasks(spark):
+    assert files._dealt(spark, [f"d{k}" for k in range(300)]).rdd.getNumPartitions() == 9
+    assert files._dealt(spark, ["d"]).rdd.getNumPartitions() == 1
